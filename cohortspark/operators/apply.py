@@ -32,8 +32,9 @@ def group_apply(df: DataFrame, by: list[str], fn: Callable[[pd.DataFrame], pd.Da
     if combine is None:
         raise ValueError(f"a group has more than {limit} rows; pass combine")
     from cohortspark.operators.ordered import attach
-    chunks = attach(df, large, by).withColumn(
-        "__chunk", F.when(F.col("__n").isNull(), 0).otherwise(F.floor(F.rand(5) * F.ceil(F.col("__n") / limit * 1.25)))).drop("__n")
+    # the chunk follows from the values, so a task that runs again gives the same one
+    spread = F.pmod(F.xxhash64(*df.columns), F.ceil(F.col("__n") / limit * 1.25))
+    chunks = attach(df, large, by).withColumn("__chunk", F.coalesce(spread, F.lit(0))).drop("__n")
     part = chunks.groupBy(*by, "__chunk").applyInPandas(lambda p: fn(p.drop(columns="__chunk")), schema)
     return part.groupBy(*by).applyInPandas(combine, schema)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortspark.operators import ordered as O
+from cohortspark.operators.verbs import crossing
 
 MAX_LEVELS = 10_000  # one output column each
 NA_NAME = "NA_"
@@ -48,9 +49,7 @@ def tabyl(df: DataFrame, a: str, b: str | None = None, c: str | None = None, sho
     wide = cells.groupBy(*keys).agg(*[
         F.coalesce(F.sum(F.when(F.col(b).eqNullSafe(F.lit(v)), F.col("__n"))), F.lit(0)).alias(_name(v)) for v in found])
     if c and show_missing_levels:
-        grid = df.select(c).distinct()
-        rows = df.select(a).distinct().agg(F.collect_set(F.struct(a))).scalar()
-        grid = grid.withColumn("__r", F.explode(rows)).select(c, F.col("__r")[a].alias(a))
+        grid = crossing(df.select(c), df.select(a))
         wide = O.attach(grid, wide, [c, a]).fillna(0, [_name(v) for v in found])
     return wide
 
