@@ -88,24 +88,6 @@ def shortest_paths(edges: DataFrame, source, weight: str | None = "weight", max_
     raise RuntimeError("distances did not settle: a loop of negative weight, or too few rounds")
 
 
-def all_distances(edges: DataFrame, weight: str | None = None, max_iter: int = 1000) -> DataFrame:
-    """Distances between all pairs that are connected; the result has up to n squared rows."""
-    w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    e = cut_lineage(edges.select("src", "dst", w.alias("w")).groupBy("src", "dst").agg(F.min("w").alias("w")))
-    v = vertices_of(edges)
-    dist = cut_lineage(v.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("d"), F.lit(True).alias("new")))
-    for _ in range(max_iter):
-        front = dist.where("new")
-        offers = front.join(e, front["b"] == e["src"]).groupBy("a", e["dst"].alias("b2")).agg(F.min(F.col("d") + F.col("w")).alias("o"))
-        offers = offers.withColumnRenamed("b2", "b")
-        better = F.col("o").isNotNull() & (F.col("d").isNull() | (F.col("o") < F.col("d")))
-        dist = cut_lineage(dist.drop("new").join(offers, ["a", "b"], "full").select(
-            "a", "b", F.least("d", "o").alias("d"), F.coalesce(better, F.lit(False)).alias("new")))
-        if dist.where("new").isEmpty():
-            return dist.select("a", "b", F.col("d").alias("distance"))
-    raise RuntimeError("distances did not settle")
-
-
 def eccentricity(dist: DataFrame) -> DataFrame:
     """Largest distance per vertex of a distance table (a, b, distance)."""
     return dist.groupBy(F.col("a").alias("id")).agg(F.max("distance").alias("eccentricity"))

@@ -441,6 +441,14 @@ def tied(df: DataFrame, keys: list[str], name: str = "tied") -> DataFrame:
     return O.recycle(df, keys, __n=F.count(F.lit(1))).withColumn(name, F.col("__n") > 1).drop("__n")
 
 
+def collect_list_bounded(df: DataFrame, c: str) -> Column:
+    """The values of a small column as one list Column; its rows are counted first."""
+    limit = broadcast_rows(df.sparkSession)
+    if df.limit(limit + 1).count() > limit:
+        raise ValueError(f"more than {limit} rows")
+    return df.agg(F.collect_list(c)).scalar()
+
+
 def expand_grid(*dfs: DataFrame) -> DataFrame:
     """All combinations of the rows of the inputs, the product being what is asked for.
 
