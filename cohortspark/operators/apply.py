@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortspark.session import hot_rows
 
@@ -59,7 +60,7 @@ def window_apply(df: DataFrame, by: list[str], order: list[str], fn: Callable[[p
         p = p.sort_values(keys, ascending=up).reset_index(drop=True)
         return p.assign(**{name: fn(p)})
 
-    schema = df.schema.add(name, kind)
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T._parse_datatype_string(kind))])
     return df.groupBy(*by).applyInPandas(run, schema)
 
 
@@ -73,8 +74,7 @@ def page_apply(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema
 
 def custom_agg(fn: Callable[..., float], kind: str = "double"):
     """An aggregate written over pandas Series; the whole group reaches the function."""
-    import typing
-    from pyspark.sql.functions import PandasUDFType, pandas_udf
+    from pyspark.sql.functions import pandas_udf
 
     def call(x: pd.Series) -> float:
         return fn(x)

@@ -181,7 +181,8 @@ def layout(df: DataFrame, by: list[str] | None, order: list[str]) -> Layout:
     rows, longest = [], 1
     for *group, k, _ in cut:
         points = drawn.get(tuple(group), [])
-        splits = [points[len(points) * j // k] for j in range(1, k)] if points else []
+        # each split point is a row of the group, so no piece after the first is empty
+        splits = list(dict.fromkeys(points[len(points) * j // k] for j in range(1, k))) if points else []
         longest = max(longest, len(splits))
         rows.append((*group, splits))
     bounds = spark.createDataFrame(rows, T.StructType([
@@ -453,3 +454,31 @@ def recycle(df: DataFrame, by: list[str] | None = None, **aggs: Column) -> DataF
         return attach(df, df.groupBy(*by).agg(*[a.alias(n) for n, a in aggs.items()]), by)
     one = df.agg(F.struct(*[a.alias(n) for n, a in aggs.items()]).alias("s"))
     return df.withColumn("__s", one.scalar()).select("*", *[F.col("__s")[n].alias(n) for n in aggs]).drop("__s")
+
+
+def moving(df: DataFrame, aggs: dict[str, Column], start: int, end: int, order: list[str], by: list[str] | None = None) -> DataFrame:
+    """Aggregates over a frame of a fixed number of rows around each row.
+
+    At the edge of a piece the frame needs rows of the neighbouring pieces, so
+    those few rows are copied over, used, and dropped again.
+    """
+    lay = layout(df, by, order)
+    rows = lay.df
+    if lay.hot:
+        split = lay.split_rows()
+        parts = [rows.withColumn("__copy", F.lit(False))]
+        top = lay.bounds.select(*lay.by, F.size("__splits").alias("__last"))
+        for reach, flip, step in ((-min(start, 0), True, 1), (max(end, 0), False, -1)):
+            if reach:
+                near = (split.withColumn("__rn", F.row_number().over(lay.window(flip))).where(F.col("__rn") <= reach))
+                # a piece may hold fewer rows than the reach, so copies go to as many pieces as that
+                near = attach(near, top, lay.by, small=True).withColumn("__to", F.explode(F.sequence(F.lit(1), F.lit(reach))))
+                near = near.withColumn(PIECE, F.col(PIECE) + F.col("__to") * step)
+                near = near.where((F.col(PIECE) >= 0) & (F.col(PIECE) <= F.col("__last")))
+                parts.append(near.drop("__rn", "__to", "__last").withColumn("__copy", F.lit(True)))
+        rows = parts[0]
+        for p in parts[1:]:
+            rows = rows.unionByName(p)
+    w = lay.window().rowsBetween(start, end)
+    out = rows.withColumns({n: a.over(w) for n, a in aggs.items()})
+    return lay.done(out.where(~F.col("__copy")).drop("__copy") if lay.hot else out)
