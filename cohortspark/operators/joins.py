@@ -96,6 +96,8 @@ def nearest_join(x: DataFrame, y: DataFrame, by: list[str], on: str, max_dist: f
                  y_on: str | None = None, order: list[str] | None = None) -> DataFrame:
     """For each x row the y row with the nearest ``on`` value in the group, the lower one on a tie.
 
+    ``max_dist`` is in days for dates and times.
+
     Both tables are laid in one sorted line; the last y row before and the next
     one after each x row are the only candidates, so no pairs are built.
     ``order`` names y columns that pick one of several y rows at one value.
@@ -104,8 +106,14 @@ def nearest_join(x: DataFrame, y: DataFrame, by: list[str], on: str, max_dist: f
     payload = [c for c in y.columns if c not in by]
     if order is not None:
         y = first_rows(y, 1, order, [*by, y_on])
-    num = (lambda c: F.unix_micros(c)) if isinstance(x.schema[on].dataType, T.TimestampType) else (
-        (lambda c: F.unix_date(c)) if isinstance(x.schema[on].dataType, T.DateType) else (lambda c: c.cast("double")))
+    kind = x.schema[on].dataType
+    instant = isinstance(kind, (T.TimestampType, T.TimestampNTZType))
+    if instant:
+        num = lambda c: F.unix_micros(c.cast("timestamp"))
+    elif isinstance(kind, T.DateType):
+        num = F.unix_date
+    else:
+        num = lambda c: c.cast("double")
     right = y.where(F.col(y_on).isNotNull()).select(
         *by, num(F.col(y_on)).alias("__on"), F.lit(0).alias("__side"),
         F.struct(num(F.col(y_on)).alias("__at"), *payload).alias("__y"))
@@ -117,7 +125,7 @@ def nearest_join(x: DataFrame, y: DataFrame, by: list[str], on: str, max_dist: f
         F.col("__hi").isNull() | (dlo <= dhi), F.col("__lo")).otherwise(F.col("__hi"))
     out = both.withColumn("__best", pick).withColumn("__dist", F.abs(F.col("__on") - F.col("__best.__at")))
     if max_dist is not None:
-        limit = max_dist * 86_400_000_000 if isinstance(x.schema[on].dataType, T.TimestampType) else max_dist
+        limit = max_dist * 86_400_000_000 if instant else max_dist
         out = out.withColumn("__best", F.when(F.col("__dist") <= limit, F.col("__best")))
     names = [c if c not in x.columns else f"{c}.y" for c in payload]
     return out.select("__x.*", *[F.col(f"__best.{c}").alias(n) for c, n in zip(payload, names)])

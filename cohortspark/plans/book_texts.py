@@ -35,8 +35,8 @@ def collapse_with_last(t):
     return t.part.select("p_partkey", S.collapse(F.split("p_name", " "), ", ", " and ").alias("names"))
 
 
-@query("str_dup_pad_trunc", """SELECT p_partkey, repeat(p_brand, 2) AS twice, lpad(p_name, greatest(length(p_name), 20), ' ') AS left_pad, rpad(p_name, greatest(length(p_name), 20), '*') AS right_pad,
-rpad(lpad(p_name, length(p_name) + greatest(20 - length(p_name), 0) // 2, ' '), greatest(length(p_name), 20), ' ') AS both_pad,
+@query("str_dup_pad_trunc", """SELECT p_partkey, repeat(p_brand, 2) AS twice, lpad(p_name, greatest(length(p_name), 20)::INT, ' ') AS left_pad, rpad(p_name, greatest(length(p_name), 20)::INT, '*') AS right_pad,
+rpad(lpad(p_name, (length(p_name) + greatest(20 - length(p_name), 0) // 2)::INT, ' '), greatest(length(p_name), 20)::INT, ' ') AS both_pad,
 CASE WHEN length(p_name) > 8 THEN substr(p_name, 1, 5) || '...' ELSE p_name END AS cut FROM part""")
 def str_dup_pad_trunc(t):
     return t.part.select("p_partkey", S.str_dup("p_brand", 2).alias("twice"), S.str_pad("p_name", 20).alias("left_pad"), S.str_pad("p_name", 20, "right", "*").alias("right_pad"),
@@ -128,9 +128,9 @@ def nth_word(t):
     return t.documents.select("doc_id", S.word("text", 2).alias("w")).where("w IS NOT NULL")
 
 
-@query("glue_template", """SELECT c_name || ' (' || c_mktsegment || ') owes ' || printf('%.1f', c_acctbal) AS line FROM customer""")
+@query("glue_template", """SELECT c_name || ' (' || c_mktsegment || ') owes ' || printf('%.2f', c_acctbal) AS line FROM customer""")
 def glue_template(t):
-    return t.customer.select(S.glue("{c_name} ({c_mktsegment}) owes {c_acctbal:.1f}").alias("line"))
+    return t.customer.select(S.glue("{c_name} ({c_mktsegment}) owes {c_acctbal:.2f}").alias("line"))
 
 
 @query("pattern_modes", """SELECT doc_id, contains(text, 'the') AS literal, contains(lower(text), 'the') AS any_case, regexp_matches(text, '(?i)\\bthe\\b') AS word FROM documents""".replace("\\\\", "\\"))
@@ -172,16 +172,16 @@ def ordinal_numbers(t):
 
 
 @query("number_formats", """SELECT c_custkey, format('{:,}', CAST(ROUND(c_acctbal) AS BIGINT)) AS comma, CASE WHEN c_acctbal < 0 THEN '-' ELSE '' END || '$' || format('{:,.2f}', ABS(c_acctbal)) AS dollar,
-printf('%.2e', c_acctbal) AS sci, CASE WHEN ABS(c_acctbal) >= 1024 THEN printf('%.1f kB', c_acctbal / 1024) ELSE printf('%.0f B', c_acctbal) END AS bytes FROM customer""")
+printf('%.5e', c_acctbal) AS sci, CASE WHEN ABS(c_acctbal) >= 1024 THEN printf('%.1f kB', c_acctbal / 1024) ELSE printf('%.0f B', c_acctbal) END AS bytes FROM customer""")
 def number_formats(t):
     c = "c_acctbal"
-    return t.customer.select("c_custkey", S.fmt_comma(F.round(c).cast("bigint")).alias("comma"), S.fmt_dollar(c).alias("dollar"), S.fmt_scientific(c).alias("sci"), S.fmt_bytes(c).alias("bytes"))
+    return t.customer.select("c_custkey", S.fmt_comma(F.round(c).cast("bigint")).alias("comma"), S.fmt_dollar(c).alias("dollar"), S.fmt_scientific(c, 5).alias("sci"), S.fmt_bytes(c).alias("bytes"))
 
 
 @query("duration_text", """SELECT event_id, CASE WHEN ms < 1000 THEN ms || 'ms' ELSE concat_ws(' ', CASE WHEN ms // 86400000 > 0 THEN (ms // 86400000) || 'd' END, CASE WHEN ms // 3600000 % 24 > 0 THEN (ms // 3600000 % 24) || 'h' END,
 CASE WHEN ms // 60000 % 60 > 0 THEN (ms // 60000 % 60) || 'm' END, CASE WHEN ms // 1000 % 60 > 0 THEN (ms // 1000 % 60) || 's' END) END AS d FROM (SELECT event_id, epoch_ms(ts) - epoch_ms(TIMESTAMP '2024-01-01') AS ms FROM events)""")
 def duration_text(t):
-    ms = F.unix_millis("ts") - F.unix_millis(F.lit("2024-01-01").cast("timestamp"))
+    ms = F.unix_millis(F.col("ts").cast("timestamp")) - F.unix_millis(F.lit("2024-01-01").cast("timestamp"))
     return t.events.select("event_id", S.pretty_ms(ms).alias("d"))
 
 
