@@ -129,7 +129,9 @@ def arr_insert(c, at: int, value) -> Column:
 
 def arr_transpose(c, fields: list[str]) -> Column:
     """Array of structs to a struct of arrays."""
-    return F.struct(*[F.transform(col(c), lambda s, f=f: s.getField(f)).alias(f) for f in fields])
+    def part(name: str) -> Column:
+        return F.transform(col(c), lambda s: s.getField(name)).alias(name)
+    return F.struct(*[part(f) for f in fields])
 
 
 def pluck(c, *path, default=None) -> Column:

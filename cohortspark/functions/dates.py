@@ -124,15 +124,30 @@ _CODES = {"%Y": "yyyy", "%y": "yy", "%m": "MM", "%d": "dd", "%e": "d", "%B": "MM
           "%j": "DDD", "%a": "EEE", "%A": "EEEE"}
 
 
+def _quoted(parts: list[tuple[str, bool]]) -> str:
+    """Join pattern parts; a run of literal letters goes into one pair of quotes."""
+    out, run = "", ""
+    for text, literal in [*parts, ("", False)]:
+        if literal and text.isalpha():
+            run += text
+            continue
+        out += f"'{run}'" if run else ""
+        run = ""
+        out += text
+    return out
+
+
 def spark_pattern(fmt: str) -> str:
-    """A percent-code format as a Spark pattern; other letters are quoted."""
-    out, i = "", 0
+    """A percent-code format as a Spark pattern."""
+    parts, i = [], 0
     while i < len(fmt):
-        if fmt[i] == "%" and fmt[i:i + 2] in _CODES:
-            out, i = out + _CODES[fmt[i:i + 2]], i + 2
+        if fmt[i:i + 2] in _CODES:
+            parts.append((_CODES[fmt[i:i + 2]], False))
+            i += 2
         else:
-            out, i = out + (f"'{fmt[i]}'" if fmt[i].isalpha() else fmt[i]), i + 1
-    return out
+            parts.append((fmt[i], True))
+            i += 1
+    return _quoted(parts)
 
 
 _ENGLISH = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
@@ -470,16 +485,12 @@ def stamp(c, example: str) -> Column:
     shapes = [(r"\d{4}-\d{2}-\d{2}", "yyyy-MM-dd"), (r"\d{1,2}:\d{2}:\d{2}", "HH:mm:ss"), (r"\d{1,2}:\d{2}", "HH:mm"),
               (r"\b(?:" + "|".join(_ENGLISH) + r")\b", "MMMM"), (r"\b(?:" + "|".join(m[:3] for m in _ENGLISH) + r")\b", "MMM"),
               (r"\b\d{4}\b", "yyyy"), (r"\b\d{2}\b", "dd"), (r"\b\d\b", "d")]
-    out, i = "", 0
+    parts, i = [], 0
     while i < len(example):
-        for rx, pattern in shapes:
-            m = re.compile(rx).match(example, i)
-            if m:
-                out, i = out + pattern, m.end()
-                break
-        else:
-            out, i = out + (f"'{example[i]}'" if example[i].isalpha() else example[i]), i + 1
-    return F.date_format(col(c), out)
+        found = next(((m, p) for rx, p in shapes if (m := re.compile(rx).match(example, i))), None)
+        parts.append((found[1], False) if found else (example[i], True))
+        i = found[0].end() if found else i + 1
+    return F.date_format(col(c), _quoted(parts))
 
 
 # -------------------------------------------------------------- school year

@@ -34,12 +34,21 @@ def flatten_struct(df: DataFrame, sep: str = ".") -> DataFrame:
 
 
 def json_valid(c) -> Column:
+    """The whole text is one JSON value.
+
+    The parser stops after the first value, so the text is also put between two
+    kinds of brackets: what closes one of them early breaks the other.
+    """
     c = col(c)
-    return F.when(c.isNotNull(), F.try_parse_json(c).isNotNull())
+    in_list = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"a":'), c, F.lit("}")))
+    return F.when(c.isNotNull(), in_list.isNotNull() & in_object.isNotNull())
 
 
 def json_minify(c) -> Column:
-    return F.to_json(F.try_parse_json(col(c)))
+    """Without blanks; NA when the text is not valid."""
+    c = col(c)
+    return F.when(json_valid(c), F.to_json(F.try_parse_json(c)))
 
 
 def json_prettify(c, schema: str) -> Column:

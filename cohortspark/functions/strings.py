@@ -401,7 +401,7 @@ def fmt_pvalue(c, digits: int = 3) -> Column:
 def fmt_bytes(c, base: int = 1024) -> Column:
     c = col(c).cast("double")
     units = ["B", "kB", "MB", "GB", "TB", "PB", "EB"]
-    out = F.format_string("%.0f B", c)
+    out = F.format_string("%d B", F.bround(c).cast("bigint"))
     for i, u in enumerate(units[1:], 1):
         out = F.when(F.abs(c) >= float(base) ** i, F.format_string(f"%.1f {u}", c / float(base) ** i)).otherwise(out)
     return out

@@ -314,7 +314,8 @@ def imputation_scaffold(df: DataFrame, terms: DataFrame | None = None) -> DataFr
     term_no = F.col("academic_year") * 10 + D.season_number("season")
     listed = V.collect_list_bounded(terms.select(F.struct(term_no.alias("t"), *TERM).alias("v")), "v")
     spans = df.groupBy(*STUDENT).agg(F.min(term_no).alias("__a"), F.max(term_no).alias("__b"))
-    grid = spans.withColumn("__t", F.explode(F.filter(listed, lambda v: v["t"].between(F.col("__a"), F.col("__b")))))
+    grid = spans.withColumn("__l", listed).withColumn(
+        "__t", F.explode(F.filter("__l", lambda v: v["t"].between(F.col("__a"), F.col("__b")))))
     return grid.select(*STUDENT, F.col("__t.academic_year").alias("academic_year"), F.col("__t.season").alias("season"), F.col("__t.t").alias("term_no"))
 
 
@@ -418,8 +419,8 @@ def permutation_stats(df: DataFrame, group: str, measure: str, id_col: str, n: i
     whole = known.agg(F.avg("__m")).scalar()
     runs = known.select("__m", id_col).withColumn("__p", F.explode(F.sequence(F.lit(1), F.lit(n))))
     runs = runs.withColumn("__h", F.xxhash64(F.lit(seed), "__p", id_col))
-    placed = O.row_number(runs, "__pos", ["__h", id_col], ["__p"])
-    label = F.get(F.filter(spread, lambda v: (F.col("__pos") > v["__lo"]) & (F.col("__pos") <= v["__hi"])), F.lit(0))[group]
+    placed = O.row_number(runs, "__pos", ["__h", id_col], ["__p"]).withColumn("__l", spread)
+    label = F.get(F.filter("__l", lambda v: (F.col("__pos") > v["__lo"]) & (F.col("__pos") <= v["__hi"])), F.lit(0))[group]
     means = placed.withColumn(group, label).groupBy("__p", group).agg(F.avg("__m").alias("__pm"))
     seen = sizes.withColumn("diff", F.col("mean") - whole)
     joined = means.join(seen.select(group, "diff"), group).withColumn("__pd", F.col("__pm") - whole)

@@ -1 +1,136 @@
-"""Queries."""
+"""Queries: graphs. Edges run from customers to suppliers by their orders."""
+
+from pyspark.sql import functions as F
+
+from cohortspark.operators import graph as G
+from cohortspark.plans.registry import query
+
+
+def trade(t):
+    """One edge per line item, suppliers numbered after the customers."""
+    o = t.orders.select("o_orderkey", F.col("o_custkey").alias("src"))
+    l = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), (F.col("l_suppkey") + 1000000).alias("dst"), F.col("l_quantity").alias("weight"),
+                          F.col("l_discount").alias("residual"))
+    return l.join(o, "o_orderkey").select("src", "dst", "weight", "residual")
+
+
+_TRADE = "(SELECT o_custkey AS src, l_suppkey + 1000000 AS dst, l_quantity AS weight, l_discount AS residual FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
+
+
+def nations(t):
+    """Nation to nation: line items sold, from the whole line item table."""
+    c = t.customer.select(F.col("c_custkey").alias("src"), F.col("c_nationkey").cast("bigint").alias("a"))
+    s = t.supplier.select((F.col("s_suppkey") + 1000000).alias("dst"), F.col("s_nationkey").cast("bigint").alias("b"))
+    per = trade(t).groupBy("src", "dst").agg(F.sum("weight").alias("w"))
+    return per.join(c, "src").join(s, "dst").groupBy(F.col("a").alias("src"), F.col("b").alias("dst")).agg(F.sum("w").alias("weight"))
+
+
+_NATIONS = f"""n AS (SELECT CAST(c_nationkey AS BIGINT) AS src, CAST(s_nationkey AS BIGINT) AS dst, SUM(weight) AS weight FROM {_TRADE} x JOIN customer ON c_custkey = src JOIN supplier ON s_suppkey + 1000000 = dst GROUP BY 1, 2)"""
+
+
+@query("graph_out_degree", f"SELECT id, COUNT(src) AS degree FROM (SELECT src AS id FROM {_TRADE} UNION SELECT dst FROM {_TRADE}) LEFT JOIN {_TRADE} e ON e.src = id GROUP BY 1")
+def graph_out_degree(t):
+    return G.degree(trade(t))
+
+
+@query("graph_in_degree", f"SELECT id, COUNT(dst) AS degree FROM (SELECT c_custkey AS id FROM customer UNION SELECT s_suppkey + 1000000 FROM supplier) LEFT JOIN {_TRADE} e ON e.dst = id GROUP BY 1")
+def graph_in_degree(t):
+    v = t.customer.select(F.col("c_custkey").alias("id")).unionByName(t.supplier.select((F.col("s_suppkey") + 1000000).alias("id")))
+    return G.degree(trade(t), v, "in")
+
+
+@query("graph_degree_distribution", f"SELECT degree, COUNT(*) AS n_vertices, ROUND(AVG(w), 6) AS mean_weight FROM (SELECT src, COUNT(*) AS degree, SUM(weight) AS w FROM {_TRADE} GROUP BY 1) GROUP BY 1")
+def graph_degree_distribution(t):
+    return G.degree_dist(trade(t), "weight").withColumn("mean_weight", F.round("mean_weight", 6))
+
+
+@query("graph_duplicate_edges", f"SELECT SUM(c - 1)::BIGINT AS n_duplicates FROM (SELECT COUNT(*) AS c FROM {_TRADE} GROUP BY src, dst)")
+def graph_duplicate_edges(t):
+    return G.dup_edges(trade(t))
+
+
+@query("graph_duplicate_distribution", f"SELECT repeats::BIGINT AS repeats, COUNT(*) AS n_vertices FROM (SELECT src, SUM(c - 1) AS repeats FROM (SELECT src, COUNT(*) AS c FROM {_TRADE} GROUP BY src, dst) GROUP BY 1) GROUP BY 1")
+def graph_duplicate_distribution(t):
+    return G.dup_edge_dist(trade(t))
+
+
+@query("graph_transpose", f"SELECT dst AS src, src AS dst, weight FROM {_TRADE}")
+def graph_transpose(t):
+    return G.transpose(trade(t)).select("src", "dst", "weight")
+
+
+@query("graph_lookup_edge", f"SELECT src, dst, COUNT(*) AS n FROM {_TRADE} WHERE src = 7 AND dst = 1000011 GROUP BY 1, 2 UNION ALL SELECT NULL, NULL, 0")
+def graph_lookup_edge(t):
+    found = G.lookup_edge(trade(t), 7, 1000011).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    none = t.region.agg(F.lit(None).cast("bigint").alias("src"), F.lit(None).cast("bigint").alias("dst"), F.lit(0).cast("bigint").alias("n"))
+    return found.unionByName(none)
+
+
+@query("graph_bandwidth", f"SELECT MAX(ABS(src - dst)) AS bandwidth FROM {_TRADE}")
+def graph_bandwidth(t):
+    return G.bandwidth(trade(t))
+
+
+@query("graph_flow_cost", f"SELECT ROUND(SUM((1 - residual) * weight), 3) AS cost FROM {_TRADE}")
+def graph_flow_cost(t):
+    return G.flow_cost(trade(t).withColumn("capacity", F.lit(1.0))).select(F.round("cost", 3).alias("cost"))
+
+
+@query("graph_components", f"""SELECT id, 0::BIGINT AS component FROM (SELECT src AS id FROM {_TRADE} UNION SELECT dst FROM {_TRADE})""")
+def graph_components(t):
+    return G.components(trade(t))
+
+
+@query("graph_sparse_components", """WITH RECURSIVE e AS (SELECT DISTINCT p_partkey AS a, CAST(p_partkey * 7 % (SELECT COUNT(*) FROM part) AS BIGINT) AS b FROM part WHERE p_size > 40), b AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(id, m) AS (SELECT a, a FROM b UNION SELECT b.b, r.m FROM r JOIN b ON b.a = r.id) SELECT id, MIN(m) AS component FROM r GROUP BY 1""")
+def graph_sparse_components(t):
+    n = t.part.agg(F.count(F.lit(1))).scalar()
+    e = t.part.where("p_size > 40").select(F.col("p_partkey").alias("src"), (F.col("p_partkey") * 7 % n).alias("dst"))
+    return G.components(e)
+
+
+@query("graph_link_components", """WITH RECURSIVE e AS (SELECT DISTINCT p_partkey AS a, CAST(p_partkey * 7 % (SELECT COUNT(*) FROM part) AS BIGINT) AS b FROM part WHERE p_size > 40), b AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(id, m) AS (SELECT a, a FROM b UNION SELECT b.b, r.m FROM r JOIN b ON b.a = r.id), c AS (SELECT DISTINCT MIN(m) AS k FROM r GROUP BY id)
+SELECT k AS src, dst FROM (SELECT k, LEAD(k) OVER (ORDER BY k) AS dst FROM c) WHERE dst IS NOT NULL""")
+def graph_link_components(t):
+    n = t.part.agg(F.count(F.lit(1))).scalar()
+    e = t.part.where("p_size > 40").select(F.col("p_partkey").alias("src"), (F.col("p_partkey") * 7 % n).alias("dst"))
+    return G.link_components(G.components(e)).select("src", "dst")
+
+
+@query("graph_shortest_paths", f"""WITH RECURSIVE {_NATIONS}, e AS (SELECT src, dst, weight FROM n WHERE src <> dst),
+r(id, d, hops) AS (SELECT 0::BIGINT, 0.0::DOUBLE, 0 UNION SELECT id, d, hops FROM (SELECT dst AS id, MIN(d + weight) AS d, hops + 1 AS hops FROM r JOIN e ON src = id WHERE hops < 8 GROUP BY dst, hops))
+SELECT id, MIN(d) AS distance FROM r GROUP BY 1""")
+def graph_shortest_paths(t):
+    return G.shortest_paths(nations(t).where("src <> dst"), 0)
+
+
+@query("graph_hops", f"""WITH RECURSIVE {_NATIONS}, e AS (SELECT src, dst FROM n WHERE dst = src + 1 OR dst = src + 3), r(id, h) AS (SELECT 0::BIGINT, 0 UNION SELECT dst, h + 1 FROM r JOIN e ON src = id WHERE h < 30)
+SELECT v.id, COALESCE(MIN(h)::DOUBLE, CAST('inf' AS DOUBLE)) AS distance FROM (SELECT src AS id FROM e UNION SELECT dst FROM e) v LEFT JOIN r ON r.id = v.id GROUP BY 1""")
+def graph_hops(t):
+    e = nations(t).where("dst = src + 1 OR dst = src + 3")
+    return G.shortest_paths(e, 0, weight=None)
+
+
+@query("graph_reachable", f"""WITH RECURSIVE {_NATIONS}, e AS (SELECT src, dst FROM n WHERE dst = src + 1 OR dst = src + 3), r(id) AS (SELECT 0::BIGINT UNION SELECT dst FROM r JOIN e ON src = id)
+SELECT EXISTS (SELECT 1 FROM r WHERE id = 20) AS ahead, FALSE AS back, COUNT(*) AS n_edges FROM e""")
+def graph_reachable(t):
+    e = nations(t).where("dst = src + 1 OR dst = src + 3")
+    there, back = G.st_connected(e, 0, 20), G.st_connected(e, 20, 0)
+    return e.agg(F.lit(there).alias("ahead"), F.lit(back).alias("back"), F.count(F.lit(1)).alias("n_edges"))
+
+
+@query("graph_topological_levels", f"""WITH RECURSIVE {_NATIONS}, e AS (SELECT src, dst FROM n WHERE dst > src), r(id, l) AS (SELECT src, 0 FROM e WHERE src NOT IN (SELECT dst FROM e) UNION SELECT dst, l + 1 FROM r JOIN e ON src = id)
+SELECT id, MAX(l)::BIGINT AS level FROM r GROUP BY 1""")
+def graph_topological_levels(t):
+    return G.topo_levels(nations(t).where("dst > src")).select("id", F.col("level").cast("bigint").alias("level"))
+
+
+@query("graph_eccentricity", f"WITH {_NATIONS} SELECT src AS id, MAX(weight) AS eccentricity FROM n GROUP BY 1")
+def graph_eccentricity(t):
+    return G.eccentricity(nations(t).select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("weight").alias("distance")))
+
+
+@query("graph_radius_diameter", f"WITH {_NATIONS} SELECT MIN(w) AS radius, MAX(w) AS diameter FROM (SELECT MAX(weight) AS w FROM n GROUP BY src)")
+def graph_radius_diameter(t):
+    return G.radius_diameter(nations(t).select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("weight").alias("distance")))

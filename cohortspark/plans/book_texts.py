@@ -179,7 +179,7 @@ def number_formats(t):
 
 
 @query("duration_text", """SELECT event_id, CASE WHEN ms < 1000 THEN ms || 'ms' ELSE concat_ws(' ', CASE WHEN ms // 86400000 > 0 THEN (ms // 86400000) || 'd' END, CASE WHEN ms // 3600000 % 24 > 0 THEN (ms // 3600000 % 24) || 'h' END,
-CASE WHEN ms // 60000 % 60 > 0 THEN (ms // 60000 % 60) || 'm' END, CASE WHEN ms // 1000 % 60 > 0 THEN (ms // 1000 % 60) || 's' END) END AS d FROM (SELECT event_id, epoch_ms(ts) - epoch_ms(TIMESTAMP '2024-01-01') AS ms FROM events)""")
+CASE WHEN ms // 60000 % 60 > 0 THEN (ms // 60000 % 60) || 'm' END, CASE WHEN ms // 1000 % 60 > 0 THEN (ms // 1000 % 60) || 's' END) END AS d FROM (SELECT event_id, (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // 1000 AS ms FROM events)""")
 def duration_text(t):
     ms = F.unix_millis(F.col("ts").cast("timestamp")) - F.unix_millis(F.lit("2024-01-01").cast("timestamp"))
     return t.events.select("event_id", S.pretty_ms(ms).alias("d"))

@@ -24,6 +24,7 @@ _RUNTIME_CONF = {
     # split a skewed join partition even when that costs one more shuffle later
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.timeType.enabled": "true",
 }
 
 
