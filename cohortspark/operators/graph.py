@@ -46,7 +46,8 @@ def dup_edge_dist(edges: DataFrame) -> DataFrame:
 
 
 def transpose(edges: DataFrame) -> DataFrame:
-    return edges.withColumnsRenamed({"src": "dst", "dst": "src"}).select(*edges.columns)
+    swap = {"src": "dst", "dst": "src"}
+    return edges.select(*[F.col(swap.get(c, c)).alias(c) for c in edges.columns])
 
 
 def lookup_edge(edges: DataFrame, src, dst) -> DataFrame:

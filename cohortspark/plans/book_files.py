@@ -162,12 +162,15 @@ def json_lines_round_trip(t):
     return I.read_json(t.spark, path, "o_orderkey bigint, o_totalprice double, who struct<key:bigint,status:string>", flatten=True)
 
 
-@query("json_record_arrays", "SELECT r_regionkey::BIGINT AS k, r_name AS name FROM region")
+@query("json_record_arrays", "SELECT c_custkey AS k, c_name AS name FROM customer")
 def json_record_arrays(t):
+    from cohortspark.operators.reshape import nest
     path = scratch_path(t.spark, "records")
-    one = F.to_json(F.struct(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name")))
-    I.write_lines(t.region.select(F.concat(F.lit("["), one, F.lit("]")).alias("value")).repartition(5, "value"), path)
-    return I.read_json(t.spark, path + "/*.txt", "k bigint, name string", records=True)
+    rows = t.customer.select("c_mktsegment", F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
+    cells = nest(rows, ["c_mktsegment"], "data", ["k"], rows_per_cell=100)
+    I.write_lines(cells.select(F.to_json("data").alias("value")), path)
+    # each line is an array of records and becomes as many rows
+    return I.read_json(t.spark, path, "k bigint, name string")
 
 
 @query("bound_pages", "SELECT c_custkey AS k, c_name AS a, CAST(NULL AS DOUBLE) AS b FROM customer UNION ALL SELECT s_suppkey, NULL, s_acctbal FROM supplier")

@@ -81,21 +81,25 @@ def graph_components(t):
     return G.components(trade(t))
 
 
-@query("graph_sparse_components", """WITH RECURSIVE e AS (SELECT DISTINCT p_partkey AS a, CAST(p_partkey * 7 % (SELECT COUNT(*) FROM part) AS BIGINT) AS b FROM part WHERE p_size > 40), b AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-r(id, m) AS (SELECT a, a FROM b UNION SELECT b.b, r.m FROM r JOIN b ON b.a = r.id) SELECT id, MIN(m) AS component FROM r GROUP BY 1""")
+def large_order_links(t):
+    """Customers linked to the days of their very large orders."""
+    day = F.datediff("o_orderdate", F.lit("1990-01-01")).cast("bigint") + 2000000000
+    return t.orders.where("o_totalprice > 450000").select(F.col("o_custkey").alias("src"), day.alias("dst"))
+
+
+_LINKS = """e AS (SELECT DISTINCT o_custkey AS a, date_diff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) + 2000000000 AS b FROM orders WHERE o_totalprice > 450000),
+b AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(id, m) AS (SELECT a, a FROM b UNION SELECT b.b, r.m FROM r JOIN b ON b.a = r.id WHERE r.m < b.b)"""
+
+
+@query("graph_sparse_components", f"WITH RECURSIVE {_LINKS} SELECT id, MIN(m) AS component FROM r GROUP BY 1")
 def graph_sparse_components(t):
-    n = t.part.agg(F.count(F.lit(1))).scalar()
-    e = t.part.where("p_size > 40").select(F.col("p_partkey").alias("src"), (F.col("p_partkey") * 7 % n).alias("dst"))
-    return G.components(e)
+    return G.components(large_order_links(t))
 
 
-@query("graph_link_components", """WITH RECURSIVE e AS (SELECT DISTINCT p_partkey AS a, CAST(p_partkey * 7 % (SELECT COUNT(*) FROM part) AS BIGINT) AS b FROM part WHERE p_size > 40), b AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-r(id, m) AS (SELECT a, a FROM b UNION SELECT b.b, r.m FROM r JOIN b ON b.a = r.id), c AS (SELECT DISTINCT MIN(m) AS k FROM r GROUP BY id)
+@query("graph_link_components", f"""WITH RECURSIVE {_LINKS}, c AS (SELECT DISTINCT MIN(m) AS k FROM r GROUP BY id)
 SELECT k AS src, dst FROM (SELECT k, LEAD(k) OVER (ORDER BY k) AS dst FROM c) WHERE dst IS NOT NULL""")
 def graph_link_components(t):
-    n = t.part.agg(F.count(F.lit(1))).scalar()
-    e = t.part.where("p_size > 40").select(F.col("p_partkey").alias("src"), (F.col("p_partkey") * 7 % n).alias("dst"))
-    return G.link_components(G.components(e)).select("src", "dst")
+    return G.link_components(G.components(large_order_links(t))).select("src", "dst")
 
 
 @query("graph_shortest_paths", f"""WITH RECURSIVE {_NATIONS}, e AS (SELECT src, dst, weight FROM n WHERE src <> dst),

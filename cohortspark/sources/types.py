@@ -47,7 +47,8 @@ CODES = {"l": "logical", "i": "integer", "L": "long", "d": "double", "n": "numbe
 
 def guess_types(df: DataFrame, cols: list[str] | None = None, na: tuple = NA_STRINGS) -> dict[str, str]:
     """Narrowest type that fits every value, found for all columns in one aggregation."""
-    cols = [c for c in (cols or df.columns) if dict(df.dtypes)[c] == "string"]
+    kinds = dict(df.dtypes)
+    cols = [c for c in (df.columns if cols is None else cols) if kinds[c] == "string"]
     if not cols:
         return {}
     aggs = []

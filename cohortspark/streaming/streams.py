@@ -86,10 +86,15 @@ def latest_table(sdf: DataFrame, schema: T.StructType | str, keys: list[str]) ->
     return last.select(*keys, "__v.*")
 
 
+def _timed(sdf: DataFrame, ts: str) -> DataFrame:
+    """Watermarks need an instant; a time without zone is taken in the session zone."""
+    return sdf.withColumn(ts, F.col(ts).cast("timestamp"))
+
+
 def stream_window_agg(sdf: DataFrame, ts: str, size: str, slide: str | None = None, watermark: str = "1 hour",
                       by: list[str] | None = None, session: bool = False, **aggs) -> DataFrame:
     """Tumbling, sliding or session windows; rows later than the watermark are dropped."""
-    marked = sdf.withWatermark(ts, watermark)
+    marked = _timed(sdf, ts).withWatermark(ts, watermark)
     win = F.session_window(ts, size) if session else (F.window(ts, size, slide) if slide else F.window(ts, size))
     out = marked.groupBy(win.alias("w"), *(by or [])).agg(*[a.alias(n) for n, a in aggs.items()])
     return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *(by or []), *aggs)
@@ -97,4 +102,4 @@ def stream_window_agg(sdf: DataFrame, ts: str, size: str, slide: str | None = No
 
 def stream_dedupe(sdf: DataFrame, keys: list[str], ts: str, watermark: str) -> DataFrame:
     """First row seen per key; state is dropped after the watermark."""
-    return sdf.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
+    return _timed(sdf, ts).withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
