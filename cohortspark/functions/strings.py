@@ -44,16 +44,6 @@ def str_c(*cols, sep: str = "") -> Column:
     return F.concat(*parts)
 
 
-def str_flatten(c, sep: str = "", order: str | None = None) -> Column:
-    """Aggregate: the texts of a group in one, ordered by ``order`` then by the text.
-
-    The result is a single value, so use it for groups that fit in one.
-    """
-    c = col(c)
-    rank = F.struct(*([col(order)] if order else []), c.alias("__v"))
-    return F.array_join(F.transform(F.sort_array(F.collect_list(F.when(c.isNotNull(), rank))), lambda s: s["__v"]), sep)
-
-
 def collapse(arr, sep: str = ", ", last: str | None = None) -> Column:
     """Join an array, with another separator before the last item."""
     arr = col(arr)

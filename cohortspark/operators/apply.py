@@ -72,14 +72,19 @@ def page_apply(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema
     return df.mapInPandas(run, schema)
 
 
-def custom_agg(fn: Callable[..., float], kind: str = "double"):
-    """An aggregate written over pandas Series; the whole group reaches the function."""
-    from pyspark.sql.functions import pandas_udf
-
-    def call(x: pd.Series) -> float:
-        return fn(x)
-    call.__annotations__ = {"x": pd.Series, "return": float}
-    return pandas_udf(call, kind)
+def custom_agg(df: DataFrame, by: list[str], c: str, name: str, fn: Callable[[pd.Series], object],
+               merge: Callable[[pd.Series], object] | None = None, kind: str = "double") -> DataFrame:
+    """An aggregate written over pandas Series.
+
+    ``merge`` turns the results of chunks into the result of the group and is
+    needed for groups above the row limit.
+    """
+    def one(p: pd.DataFrame, f, source: str) -> pd.DataFrame:
+        return pd.DataFrame({**{b: [p[b].iloc[0]] for b in by}, name: [f(p[source])]})
+
+    schema = T.StructType([*[df.schema[b] for b in by], T.StructField(name, T._parse_datatype_string(kind))])
+    combine = (lambda p: one(p, merge, name)) if merge else None
+    return group_apply(df.select(*by, c), by, lambda p: one(p, fn, c), schema, combine)
 
 
 def iterate(df: DataFrame) -> Iterator:

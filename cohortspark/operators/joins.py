@@ -1,7 +1,10 @@
 """Equi joins with NA matching, nearest, band and interval joins.
 
 No join here is hinted to broadcast unless the side is bound by construction:
-adaptive execution picks broadcast from measured sizes and splits hot keys.
+adaptive execution picks broadcast from measured sizes. It also splits a hot
+key, but only on a side whose rows need not all be kept: both sides of an inner
+join, the left side of left, semi and anti joins. Where the hot side is the
+other one, the join is written as an inner join plus the rows without partner.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql import types as T
 
 from cohortspark.operators import ordered as O
 from cohortspark.operators.verbs import first_rows
+from cohortspark.session import hot_rows
 
 By = list[str] | dict[str, str] | None
 
@@ -38,11 +42,37 @@ def _condition(x: DataFrame, y: DataFrame, pairs, na_matches: str) -> Column:
     return cond
 
 
+def _has_hot_key(df: DataFrame, keys: list[str]) -> bool:
+    limit = hot_rows(df.sparkSession)
+    return not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit).isEmpty()
+
+
+def _pair_rows(x: DataFrame, yr: DataFrame, pairs, how: str, na_matches: str) -> DataFrame:
+    """The joined rows; outer joins with a hot key on a kept side are put together from parts."""
+    cond = _condition(x, yr, pairs, na_matches)
+    if how in ("inner", "left", "right", "full"):
+        left_keys, right_keys = [a for a, _ in pairs], [b for _, b in pairs]
+        split = {"inner": lambda: False, "left": lambda: _has_hot_key(yr, right_keys), "right": lambda: _has_hot_key(x, left_keys),
+                 "full": lambda: _has_hot_key(x, left_keys) or _has_hot_key(yr, right_keys)}[how]()
+        if split:
+            out = x.join(yr, cond, "inner")
+            if how in ("left", "full"):
+                out = out.unionByName(_without_partner(x, yr, cond, right_keys), allowMissingColumns=True)
+            if how in ("right", "full"):
+                out = out.unionByName(_without_partner(yr, x, cond, left_keys), allowMissingColumns=True)
+            return out
+    return x.join(yr, cond, how)
+
+
+def _without_partner(x: DataFrame, y: DataFrame, cond: Column, y_keys: list[str]) -> DataFrame:
+    """Anti join against the distinct keys, so that a hot key of y is one row."""
+    return x.join(y.select(*y_keys).distinct(), cond, "left_anti")
+
+
 def _mutating(x: DataFrame, y: DataFrame, by: By, how: str, suffix, na_matches: str) -> DataFrame:
     pairs = _pairs(x, y, by)
     yr = y.withColumnsRenamed({c: f"__y_{c}" for c in y.columns})
-    pairs_y = [(a, f"__y_{b}") for a, b in pairs]
-    joined = x.join(yr, _condition(x, yr, pairs_y, na_matches), how)
+    joined = _pair_rows(x, yr, [(a, f"__y_{b}") for a, b in pairs], how, na_matches)
     key_of = dict(pairs)
     y_keys = {b for _, b in pairs}
     clash = {c for c in x.columns if c in y.columns and c not in key_of and c not in y_keys}
@@ -74,12 +104,22 @@ def full_join(x, y, by: By = None, suffix=(".x", ".y"), na_matches: str = "na")
     return _mutating(x, y, by, "full", suffix, na_matches)
 
 
+def _filtering(x: DataFrame, y: DataFrame, by: By, how: str, na_matches: str) -> DataFrame:
+    """Only the keys of y matter; they are made distinct when one of them is hot."""
+    pairs = _pairs(x, y, by)
+    names = {b: f"__y_{b}" for _, b in pairs}
+    keys = y.select(*[F.col(b).alias(n) for b, n in names.items()])
+    if _has_hot_key(keys, list(names.values())):
+        keys = keys.distinct()
+    return x.join(keys, _condition(x, keys, [(a, names[b]) for a, b in pairs], na_matches), how)
+
+
 def semi_join(x, y, by: By = None, na_matches: str = "na") -> DataFrame:
-    return x.join(y, _condition(x, y, _pairs(x, y, by), na_matches), "left_semi")
+    return _filtering(x, y, by, "left_semi", na_matches)
 
 
 def anti_join(x, y, by: By = None, na_matches: str = "na") -> DataFrame:
-    return x.join(y, _condition(x, y, _pairs(x, y, by), na_matches), "left_anti")
+    return _filtering(x, y, by, "left_anti", na_matches)
 
 
 def join_all(dfs: list[DataFrame], by: list[str], how: str = "left", match: str = "all",

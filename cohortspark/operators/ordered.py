@@ -242,23 +242,22 @@ def ranks(df: DataFrame, c: str, by: list[str] | None = None, desc: bool = False
     """Rank columns of ``c``; NA stays NA.
 
     ``names`` maps a measure to its output column: min_rank, dense_rank,
-    max_rank, avg_rank, percent_rank, cume_dist. Ties are counted before any
-    ordering, so a value held by many rows is one row of the ranking.
+    max_rank, avg_rank, percent_rank, cume_dist. With a group above the row
+    limit ties are counted before any ordering, so a value held by many rows is
+    one row of the ranking, which is then joined back.
     """
     by = list(by or [])
     spec = ("-" if desc else "") + c
-    wanted = list(names.items())
-    counts = df.where(F.col(c).isNotNull()).groupBy(*by, c).agg(F.count(F.lit(1)).alias("__c"))
+    limit = hot_rows(df.sparkSession)
+    known = df.where(F.col(c).isNotNull())
+    sizes = known.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    if sizes.where(F.col("__n") > limit).isEmpty():
+        return _plain_ranks(df, c, by, spec, names)
+    counts = known.groupBy(*by, c).agg(F.count(F.lit(1)).alias("__c"))
     lay = layout(counts, by, [spec])
-    run = _running(lay, "__c", "sum", "__upto")
-    lay2 = Layout(run, lay.by, lay.keys, lay.bounds, lay.drop)
-    run = _position(lay2, "__dense")
-    totals = counts.groupBy(*by).agg(F.sum("__c").alias("__n")) if by else None
-    run = lay.done(run)
-    if by:
-        run = attach(run, totals, by)
-    else:
-        run = run.withColumn("__n", counts.agg(F.sum("__c")).scalar())
+    run = Layout(_running(lay, "__c", "sum", "__upto"), lay.by, lay.keys, lay.bounds, lay.drop)
+    run = lay.done(_position(run, "__dense"))
+    run = attach(run, sizes, by) if by else run.withColumn("__n", sizes.scalar())
     first = F.col("__upto") - F.col("__c") + 1
     build = {
         "min_rank": first.cast("bigint"),
@@ -268,10 +267,24 @@ def ranks(df: DataFrame, c: str, by: list[str] | None = None, desc: bool = False
         "percent_rank": F.when(F.col("__n") > 1, (first - 1) / (F.col("__n") - 1)).otherwise(F.lit(0.0)),
         "cume_dist": F.col("__upto") / F.col("__n"),
     }
-    table = run.select(*by, c, *[build[k].alias(v) for k, v in wanted])
+    table = run.select(*by, c, *[build[k].alias(v) for k, v in names.items()])
     return attach(df, table, [*by, c])
 
 
+def _plain_ranks(df: DataFrame, c: str, by: list[str], spec: str, names: dict[str, str]) -> DataFrame:
+    w = Window.partitionBy(*by, F.col(c).isNull()).orderBy(*sort_columns(df, [spec]))
+    upto = F.count(F.lit(1)).over(w)  # the frame ends with the ties of the row
+    build = {
+        "min_rank": F.rank().over(w).cast("bigint"),
+        "dense_rank": F.dense_rank().over(w).cast("bigint"),
+        "max_rank": upto,
+        "avg_rank": (F.rank().over(w) + upto) / 2.0,
+        "percent_rank": F.percent_rank().over(w),
+        "cume_dist": F.cume_dist().over(w),
+    }
+    return df.withColumns({v: F.when(F.col(c).isNotNull(), build[k]) for k, v in names.items()})
+
+
 _MERGE = {"sum": F.sum, "min": F.min, "max": F.max, "prod": F.product, "any": F.bool_or, "all": F.bool_and}
 
 
@@ -482,3 +495,33 @@ def moving(df: DataFrame, aggs: dict[str, Column], start: int, end: int, order:
     w = lay.window().rowsBetween(start, end)
     out = rows.withColumns({n: a.over(w) for n, a in aggs.items()})
     return lay.done(out.where(~F.col("__copy")).drop("__copy") if lay.hot else out)
+
+
+# Several window columns on one layout: the groups are counted once.
+
+def w_row_number():
+    return lambda lay, name: _position(lay, name)
+
+
+def w_cum(c: str, kind: str):
+    return lambda lay, name: _running(lay, c, kind, name)
+
+
+def w_lag(c: str, n: int = 1, default=None):
+    return lambda lay, name: _shift(lay, c, n, name, default)
+
+
+def w_lead(c: str, n: int = 1, default=None):
+    return lambda lay, name: _shift(lay, c, -n, name, default)
+
+
+def w_fill(c: str, up: bool = False):
+    return lambda lay, name: _carry_known(lay, {c: name}, up)
+
+
+def windows(df: DataFrame, order: list[str], by: list[str] | None = None, **specs) -> DataFrame:
+    """Add several window columns, ``windows(df, ["ts"], ["k"], n=w_row_number(), prev=w_lag("x"))``."""
+    lay = layout(df, by, order)
+    for name, spec in specs.items():
+        lay = Layout(spec(lay, name), lay.by, lay.keys, lay.bounds, lay.drop)
+    return lay.done(lay.df)

@@ -162,6 +162,14 @@ def nest(df: DataFrame, by: list[str], name: str = "data", order: list[str] | No
     return df.groupBy(*by).agg(F.transform(F.sort_array(F.collect_list(rank)), lambda s: s["__row"]).alias(name))
 
 
+def flatten_text(df: DataFrame, by: list[str], c: str, sep: str = "", order: list[str] | None = None, name: str = "text",
+                 rows_per_cell: int | None = None) -> DataFrame:
+    """Texts of a group in one, ordered; the size rule of ``nest`` holds."""
+    cells = nest(df.select(*dict.fromkeys([*by, *[o.removeprefix("-") for o in order or []], c])), by, "__l", order or [c], rows_per_cell)
+    keys = [x for x in cells.columns if x != "__l"]
+    return cells.select(*keys, F.array_join(F.transform("__l", lambda s: s[c].cast("string")), sep).alias(name))
+
+
 def unnest(df: DataFrame, c: str, keep_empty: bool = False) -> DataFrame:
     """List cells back to rows."""
     kind = df.schema[c].dataType.elementType

@@ -234,10 +234,18 @@ def slice(df: DataFrame, positions: list[int], order: list[str], by: list[str] |
     return first_rows(df, max(positions), order, by, "__pos").where(F.col("__pos").isin(positions)).drop("__pos")
 
 
+# Up to this n Spark cuts each map task to n rows per group before the shuffle.
+GROUP_LIMIT = 1000
+
+
 def first_rows(df: DataFrame, n: int, order: list[str], by: list[str] | None = None, name: str | None = None) -> DataFrame:
-    """First n rows per group. Spark limits each map task to n rows per group before the shuffle."""
-    w = Window.partitionBy(*(by or [])).orderBy(*O.sort_columns(df, order))
-    out = df.withColumn(name or "__pos", F.row_number().over(w)).where(F.col(name or "__pos") <= n)
+    """First n rows per group."""
+    pos = name or "__pos"
+    if n > GROUP_LIMIT:
+        out = O.row_number(df, pos, order, by).where(F.col(pos) <= n)
+    else:
+        w = Window.partitionBy(*(by or [])).orderBy(*O.sort_columns(df, order))
+        out = df.withColumn(pos, F.row_number().over(w)).where(F.col(pos) <= n)
     return out if name else out.drop("__pos")
 
 
@@ -255,6 +263,8 @@ def tail(df: DataFrame, n: int, order: list[str]) -> DataFrame:
 
 def top_n(df: DataFrame, n: int, wt: str, by: list[str] | None = None) -> DataFrame:
     """Largest n per group (smallest for negative n), ties kept."""
+    if abs(n) > GROUP_LIMIT:
+        return O.ranks(df, wt, by, desc=n > 0, min_rank="__rank").where(F.col("__rank") <= abs(n)).drop("__rank")
     keys = O.sort_columns(df, [("-" if n > 0 else "") + wt])
     w = Window.partitionBy(*(by or [])).orderBy(*keys)
     return (df.where(F.col(wt).isNotNull()).withColumn("__rank", F.rank().over(w))
@@ -323,8 +333,9 @@ def sample_n(df: DataFrame, n: int, by: list[str] | None = None, weight: str | N
 
 
 def sample_frac(df: DataFrame, frac: float, by: list[str] | None = None, seed: int = 0) -> DataFrame:
-    """About ``frac`` of the rows; the same share in each group."""
-    return df.where(F.rand(seed) < frac)
+    """The given share of the rows of each group, exactly, in a hashed order."""
+    lay = O.layout(df.withColumn("__u", F.xxhash64(F.lit(seed), *df.columns)), by, ["__u"])
+    return lay.done(O._position(lay, "__pos", "__n").where(F.col("__pos") <= F.round(F.col("__n") * frac)).drop("__pos", "__n", "__u"))
 
 
 def pull(df: DataFrame, c: str) -> DataFrame:

@@ -132,13 +132,16 @@ def group_apply_function(t):
     return out.select("user_id", "n", F.round(F.col("hi") - F.col("lo"), 6).alias("spread"))
 
 
-@query("split_apply_pairs", """SELECT user_id AS k, n, m FROM (SELECT user_id, COUNT(*) AS n FROM events GROUP BY 1) JOIN (SELECT o_custkey, COUNT(*) AS m FROM orders GROUP BY 1) ON user_id = o_custkey""")
+@query("split_apply_pairs", """SELECT k, n, m FROM (SELECT user_id AS k, COUNT(*) AS n FROM events GROUP BY 1) JOIN (SELECT o_custkey AS k, COUNT(*) AS m FROM orders GROUP BY 1) USING (k)""")
 def split_apply_pairs(t):
     def sizes(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame({"k": [], "n": [], "m": []}).astype("int64")
-        return pd.DataFrame({"k": [a.k.iloc[0]], "n": [len(a)], "m": [len(b)]})
-    return P.group_pairs_apply(t.events.select(F.col("user_id").alias("k")), t.orders.select(F.col("o_custkey").alias("k")), ["k"], sizes, "k bigint, n bigint, m bigint")
+        return pd.DataFrame({"k": [a.k.iloc[0]], "n": [a.n.sum()], "m": [b.n.sum()]})
+    # counted per kind first: a group has one row per event type or order status
+    e = t.events.groupBy(F.col("user_id").alias("k"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    o = t.orders.groupBy(F.col("o_custkey").alias("k"), "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    return P.group_pairs_apply(e, o, ["k"], sizes, "k bigint, n bigint, m bigint")
 
 
 # ------------------------------------------------------------- cross tables
@@ -296,17 +299,18 @@ def named_aggregate(t):
                                                   G.named_agg("spread", "l_discount").alias("spread"))
 
 
-@query("custom_aggregate", "SELECT user_id, ROUND(MAX(value) - MIN(value), 6) AS spread FROM events GROUP BY 1")
+@query("custom_aggregate", "SELECT event_type, MAX(value) AS top, MIN(user_id) AS first_user FROM events GROUP BY 1")
 def custom_aggregate(t):
-    spread = P.custom_agg(lambda x: float(x.max() - x.min()))
-    return t.events.groupBy("user_id").agg(F.round(spread("value"), 6).alias("spread"))
+    top = P.custom_agg(t.events, ["event_type"], "value", "top", lambda x: float(x.max()), lambda x: float(x.max()))
+    low = P.custom_agg(t.events, ["event_type"], "user_id", "first_user", lambda x: int(x.min()), lambda x: int(x.min()), "bigint")
+    return top.join(low, "event_type")
 
 
-@query("custom_window_function", """SELECT event_id, ROUND(value - FIRST_VALUE(value) OVER (PARTITION BY user_id ORDER BY ts, event_id), 6) AS since_first FROM events""")
+@query("custom_window_function", """SELECT user_id, event_type, n - FIRST_VALUE(n) OVER (PARTITION BY user_id ORDER BY event_type) AS over_first FROM (SELECT user_id, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2)""")
 def custom_window_function(t):
-    out = P.window_apply(t.events.select("event_id", "user_id", "ts", "value"), ["user_id"], ["ts", "event_id"],
-                         lambda p: p.value - p.value.iloc[0], "since_first", "double")
-    return out.select("event_id", F.round("since_first", 6).alias("since_first"))
+    counts = t.events.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    out = P.window_apply(counts, ["user_id"], ["event_type"], lambda p: p.n - p.n.iloc[0], "over_first", "bigint")
+    return out.select("user_id", "event_type", "over_first")
 
 
 @query("page_apply_rows", "SELECT event_id, event_type || '-' || user_id AS tag FROM events")

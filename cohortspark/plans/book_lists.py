@@ -79,19 +79,23 @@ def list_flatten_insert(t):
     return t.part.select("p_partkey", F.array_join(A.arr_append(A.arr_prepend(A.arr_flatten(F.array(w, w)), "A"), "Z"), " ").alias("x"), F.array_join(A.arr_insert(w, 2, "mid"), " ").alias("y"))
 
 
-@query("list_transpose", "SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS keys, string_agg(o_orderstatus, ',' ORDER BY o_orderkey) AS states FROM orders GROUP BY 1")
-def list_transpose(t):
+_CHUNKS = "(SELECT *, (ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 500 + 1 AS chunk FROM orders)"
+
+
+def order_cells(t):
     from cohortspark.operators.reshape import nest
-    cells = nest(t.orders.select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], "rows", ["o_orderkey"])
-    s = cells.select("o_custkey", A.arr_transpose("rows", ["o_orderkey", "o_orderstatus"]).alias("s"))
-    return s.select("o_custkey", F.array_join(F.col("s.o_orderkey").cast("array<string>"), ",").alias("keys"), F.array_join("s.o_orderstatus", ",").alias("states"))
+    return nest(t.orders.select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], "rows", ["o_orderkey"], rows_per_cell=500)
 
 
-@query("list_pluck", "SELECT o_custkey, MIN(o_orderkey) AS first, COALESCE(LIST(o_orderkey ORDER BY o_orderkey)[15], -1) AS fifteenth FROM orders GROUP BY 1")
+@query("list_transpose", f"SELECT o_custkey, chunk, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS keys, string_agg(o_orderstatus, ',' ORDER BY o_orderkey) AS states FROM {_CHUNKS} GROUP BY 1, 2")
+def list_transpose(t):
+    s = order_cells(t).select("o_custkey", "chunk", A.arr_transpose("rows", ["o_orderkey", "o_orderstatus"]).alias("s"))
+    return s.select("o_custkey", "chunk", F.array_join(F.col("s.o_orderkey").cast("array<string>"), ",").alias("keys"), F.array_join("s.o_orderstatus", ",").alias("states"))
+
+
+@query("list_pluck", f"SELECT o_custkey, chunk, MIN(o_orderkey) AS first, COALESCE(LIST(o_orderkey ORDER BY o_orderkey)[15], -1) AS fifteenth FROM {_CHUNKS} GROUP BY 1, 2")
 def list_pluck(t):
-    from cohortspark.operators.reshape import nest
-    cells = nest(t.orders.select("o_custkey", "o_orderkey"), ["o_custkey"], "rows", ["o_orderkey"])
-    return cells.select("o_custkey", A.pluck("rows", 1, "o_orderkey").alias("first"), A.pluck("rows", 15, "o_orderkey", default=-1).alias("fifteenth"))
+    return order_cells(t).select("o_custkey", "chunk", A.pluck("rows", 1, "o_orderkey").alias("first"), A.pluck("rows", 15, "o_orderkey", default=-1).alias("fifteenth"))
 
 
 @query("list_cross", "SELECT p_partkey, len(string_split(p_name, ' ')) * len(string_split(p_type, 'A')) AS n FROM part")

@@ -100,10 +100,10 @@ def full_sequence_dates(t):
     return R.full_seq(days, "d", "INTERVAL 7 DAY").withColumn("d", F.date_format("d", "yyyy-MM-dd"))
 
 
-@query("nest_rows", """SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS keys, COUNT(*) AS n FROM orders GROUP BY 1""")
+@query("nest_rows", """SELECT o_custkey, chunk, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS keys, COUNT(*) AS n FROM (SELECT o_custkey, o_orderkey, (ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 500 + 1 AS chunk FROM orders) GROUP BY 1, 2""")
 def nest_rows(t):
-    cells = R.nest(t.orders.select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"], "data", ["o_orderkey"])
-    return cells.select("o_custkey", F.array_join(F.transform("data", lambda s: s["o_orderkey"].cast("string")), ",").alias("keys"), F.size("data").cast("bigint").alias("n"))
+    cells = R.nest(t.orders.select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"], "data", ["o_orderkey"], rows_per_cell=500)
+    return cells.select("o_custkey", "chunk", F.array_join(F.transform("data", lambda s: s["o_orderkey"].cast("string")), ",").alias("keys"), F.size("data").cast("bigint").alias("n"))
 
 
 @query("nest_in_chunks", """SELECT o_orderstatus, (r - 1) // 1000 + 1 AS chunk, COUNT(*) AS n, MIN(o_orderkey) AS first FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS r FROM orders) GROUP BY 1, 2""")
@@ -114,7 +114,7 @@ def nest_in_chunks(t):
 
 @query("unnest_cells", "SELECT o_custkey, o_orderkey, o_totalprice FROM orders")
 def unnest_cells(t):
-    return R.unnest(R.nest(t.orders.select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"], "data"), "data")
+    return R.unnest(R.nest(t.orders.select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"], "data", ["o_orderkey"], rows_per_cell=500), "data").drop("chunk")
 
 
 @query("uncount_rows", "SELECT p_partkey, CAST(UNNEST(range(1, p_size + 1)) AS BIGINT) AS id FROM part")

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from cohortspark.functions import dates as D
 from cohortspark.operators import joins as J
 from cohortspark.operators import ordered as O
-from cohortspark.operators import reshape as R
 from cohortspark.operators import tabyl as X
 from cohortspark.operators import verbs as V
 from cohortspark.plans.registry import query
@@ -38,11 +37,11 @@ def growth_quartile_table(t):
     per = per.join(t.customer.select(F.col("c_custkey").alias("student_id"), F.col("c_mktsegment").alias("grp")), "student_id")
     growth = O.diff(per, "score", "growth", ["academic_year"], ["student_id"]).where(F.col("growth").isNotNull())
     parts = O.ntile(growth, "quartile", 4, ["growth", "student_id"], ["academic_year"])
-    wide = X.adorn_percentages(X.tabyl(parts, "grp", "quartile", levels=[1, 2, 3, 4]), "row")
-    counts = R.gather(X.tabyl(parts, "grp", "quartile", levels=[1, 2, 3, 4]), "quartile", "n", ["-grp"])
-    shares = R.gather(wide, "quartile", "percent", ["-grp"])
-    return counts.join(shares, ["grp", "quartile"]).select(
-        "grp", F.col("quartile").cast("bigint").alias("quartile"), "n", F.round("percent", 6).alias("percent"))
+    wide = X.tabyl(parts, "grp", "quartile", levels=[1, 2, 3, 4])
+    total = sum(F.col(str(q)) for q in (1, 2, 3, 4))
+    cells = F.array(*[F.struct(F.lit(q).cast("bigint").alias("quartile"), F.col(str(q)).alias("n"), F.round(F.col(str(q)) / total, 6).alias("percent"))
+                      for q in (1, 2, 3, 4)])
+    return wide.select("grp", F.inline(cells))
 
 
 # ---------------------------------------------------------------- columns
@@ -219,9 +218,9 @@ def sample_replace(t):
     return V.sample_n(t.customer, 40, ["c_mktsegment"], seed=3, replace=True).select("c_mktsegment", "c_custkey")
 
 
-@query("sample_fraction")
+@query("sample_fraction", "SELECT o_orderpriority, CAST(ROUND(COUNT(*) * 0.1) AS BIGINT) AS n FROM orders GROUP BY 1")
 def sample_fraction(t):
-    return V.sample_frac(t.orders, 0.1, seed=3).select("o_orderkey")
+    return V.sample_frac(t.orders, 0.1, ["o_orderpriority"], seed=3).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("pull_column", "SELECT c_name FROM customer")

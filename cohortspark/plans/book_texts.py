@@ -25,9 +25,11 @@ def str_concat_na(t):
     return t.lineitem.select("l_orderkey", S.str_c(flag, "l_linestatus", sep="-").alias("code"))
 
 
-@query("str_flatten_groups", """SELECT s_nationkey::BIGINT AS k, string_agg(s_name, ', ' ORDER BY s_suppkey) AS names FROM supplier GROUP BY 1""")
+@query("str_flatten_groups", """SELECT k, chunk, string_agg(s_name, ', ' ORDER BY s_suppkey) AS names FROM (SELECT s_nationkey::BIGINT AS k, s_suppkey, s_name, (ROW_NUMBER() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1) // 1000 + 1 AS chunk FROM supplier) GROUP BY 1, 2""")
 def str_flatten_groups(t):
-    return t.supplier.groupBy(F.col("s_nationkey").cast("bigint").alias("k")).agg(S.str_flatten("s_name", ", ", "s_suppkey").alias("names"))
+    from cohortspark.operators.reshape import flatten_text
+    base = t.supplier.select(F.col("s_nationkey").cast("bigint").alias("k"), "s_suppkey", "s_name")
+    return flatten_text(base, ["k"], "s_name", ", ", ["s_suppkey"], "names", rows_per_cell=1000)
 
 
 @query("collapse_with_last", """SELECT p_partkey, array_to_string(string_split(p_name, ' ')[:-2], ', ') || CASE WHEN len(string_split(p_name, ' ')) > 1 THEN ' and ' ELSE '' END || string_split(p_name, ' ')[-1] AS names FROM part""")

@@ -141,16 +141,19 @@ def read_many(spark: SparkSession, paths: list[str], id: str = "filename", reade
     return type_convert(raw)
 
 
-def read_assessment_files(spark: SparkSession, folder: str, groups: list[list[str]] | None = None) -> DataFrame:
+def read_assessment_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
     """Every delimited file below a folder as text, stacked by name, then types inferred once.
 
     Files are grouped by their header so that files of one layout are one scan;
     empty files are skipped with a message.
     """
-    heads = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(folder)
-             .select("path", F.substring_index(F.decode(F.substring("content", 1, 65536), "UTF-8"), "\n", 1).alias("head"), "length"))
+    files = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    listed = files.format("binaryFile").load(folder).select("path", "length")  # contents are not read
+    # the first line of the split that starts a file is its header
+    lines = files.text(folder).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+    heads = lines.where("at = 0").groupBy("path").agg(F.first("value").alias("head"))
     by_header: dict[str, list[str]] = {}
-    for r in heads.collect():  # one short row per file
+    for r in listed.join(heads, "path", "left").collect():  # one short row per file
         if not r["length"] or not (r["head"] or "").strip():
             print(f"skipped empty file {r['path']}")
             continue

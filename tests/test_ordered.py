@@ -130,3 +130,13 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], "k string, v int, id int")
     assert O.row_number(empty, "r", ["id"], ["k"]).count() == 0
     assert O.quantiles(empty, "v", {"m": 0.5}, ["k"]).count() == 0
+
+
+def test_several_windows_on_one_layout(spark, data):
+    run = lambda: rows(O.windows(data.select("id", "k", "x"), ["id"], ["k"], n=O.w_row_number(), prev=O.w_lag("x"), nxt=O.w_lead("x", 2),
+                                 total=O.w_cum("id", "sum"), known=O.w_fill("x")))
+    plain = run()
+    spark.conf.set(HOT_ROWS_CONF, "40")
+    split = run()
+    spark.conf.unset(HOT_ROWS_CONF)
+    assert plain == split

@@ -235,3 +235,26 @@ def test_metamorphic_counts(spark):
     b = spark.range(30).select((F.col("id") % 15 + 10).alias("k")).distinct()
     assert J.inner_join(a, b).count() + J.anti_join(a, b).count() == J.left_join(a, b).count() == 50
     assert J.semi_join(a, b).count() + J.anti_join(a, b).count() == 50
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_joins_with_hot_keys_give_the_same_rows(spark, how):
+    from cohortspark.session import HOT_ROWS_CONF
+    x = spark.range(120).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 30).alias("k"), F.col("id").alias("a"))
+    y = spark.range(90).select(F.when(F.col("id") % 4 == 0, 7).when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("b"))
+    join = {"inner": J.inner_join, "left": J.left_join, "right": J.right_join, "full": J.full_join}[how]
+    for matches in ("na", "never"):
+        plain = rows(join(x, y, na_matches=matches))
+        spark.conf.set(HOT_ROWS_CONF, "10")
+        split = rows(join(x, y, na_matches=matches))
+        semi, anti = rows(J.semi_join(x, y, na_matches=matches)), rows(J.anti_join(x, y, na_matches=matches))
+        spark.conf.unset(HOT_ROWS_CONF)
+        assert plain == split
+        assert semi == rows(J.semi_join(x, y, na_matches=matches)) and anti == rows(J.anti_join(x, y, na_matches=matches))
+
+
+def test_large_first_rows_and_exact_fraction(spark):
+    d = spark.range(3000).withColumn("g", F.col("id") % 2)
+    assert rows(V.first_rows(d, 1200, ["id"], ["g"]).groupBy("g").count()) == [(0, 1200), (1, 1200)]
+    assert V.top_n(d, 1100, "id").count() == 1100
+    assert rows(V.sample_frac(d, 0.25, ["g"]).groupBy("g").count()) == [(0, 375), (1, 375)]
