@@ -275,16 +275,16 @@ def _coverage(x: DataFrame, y: DataFrame, by: list[str], start: str, end: str) -
             parts.append(df.where(F.col(start) < F.col(end)).select(
                 *by, F.col(c).alias("__at"), F.lit(step if side == "x" else 0).alias("__x"), F.lit(step if side == "y" else 0).alias("__y")))
     marks = reduce(lambda a, b: a.unionByName(b), parts).groupBy(*by, "__at").agg(F.sum("__x").alias("__x"), F.sum("__y").alias("__y"))
-    run = O.cumulate(marks, "__x", "sum", "__in_x", ["__at"], by)
-    run = O.cumulate(run, "__y", "sum", "__in_y", ["__at"], by)
-    return O.lead(run, "__at", "__next", ["__at"], by).where(F.col("__next").isNotNull())
+    run = O.windows(marks, ["__at"], by, __in_x=O.w_cum("__x", "sum"), __in_y=O.w_cum("__y", "sum"), __next=O.w_lead("__at"))
+    return run.where(F.col("__next").isNotNull())
 
 
 def _merge_runs(df: DataFrame, by: list[str], start: str, end: str) -> DataFrame:
     """Join stretches that touch."""
-    prev = O.lag(df, end, "__prev", [start], by)
-    runs = prev.withColumn("__new", F.when(F.col("__prev").eqNullSafe(F.col(start)), 0).otherwise(1))
-    runs = O.cumulate(runs, "__new", "sum", "__run", [start], by)
+    def starts_run(lay: O.Layout, name: str) -> DataFrame:
+        prev = O._shift(lay, end, 1, "__prev")
+        return prev.withColumn(name, F.when(F.col("__prev").eqNullSafe(F.col(start)), 0).otherwise(1)).drop("__prev")
+    runs = O.windows(df, [start], by, __new=starts_run, __run=O.w_cum("__new", "sum"))
     return runs.groupBy(*by, "__run").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__run")
 
 

@@ -145,8 +145,12 @@ def _piece_of(splits: Column, row: list[Column], keys: list[Key], longest: int)
     return F.reduce(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
 
 
-def layout(df: DataFrame, by: list[str] | None, order: list[str]) -> Layout:
-    """Count the groups and cut those above the row limit."""
+def layout(df: DataFrame, by: list[str] | None, order: list[str], small_groups: bool = False) -> Layout:
+    """Count the groups and cut those above the row limit.
+
+    ``small_groups`` saves the counting pass where the size of a group is bound
+    by construction, such as one row per school year.
+    """
     if not order:
         raise ValueError("an order is needed: Spark rows have no position")
     spark = df.sparkSession
@@ -155,9 +159,11 @@ def layout(df: DataFrame, by: list[str] | None, order: list[str]) -> Layout:
         df, by, drop = df.withColumn(_ALL, F.lit(1)), [_ALL], [_ALL]
     keys = order_keys(df, order)
     limit = hot_rows(spark)
+    plain = Layout(df.withColumn(PIECE, F.lit(-1)), by, keys, None, drop)
+    if small_groups:
+        return plain
     # at most (rows / limit) groups can come back
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit).collect()
-    plain = Layout(df.withColumn(PIECE, F.lit(-1)), by, keys, None, drop)
     if not sizes:
         return plain
     target = max(limit, sum(r["__n"] for r in sizes) // (8 * spark.sparkContext.defaultParallelism))
@@ -217,18 +223,18 @@ def _position(lay: Layout, name: str, total: str | None = None) -> DataFrame:
     return df.drop("__before", "__whole")
 
 
-def row_number(df: DataFrame, name: str, order: list[str], by: list[str] | None = None) -> DataFrame:
+def row_number(df: DataFrame, name: str, order: list[str], by: list[str] | None = None, small_groups: bool = False) -> DataFrame:
     """Position 1..n in the given order."""
-    lay = layout(df, by, order)
+    lay = layout(df, by, order, small_groups)
     return lay.done(_position(lay, name))
 
 
-def ntile(df: DataFrame, name: str, n: int, order: list[str], by: list[str] | None = None) -> DataFrame:
+def ntile(df: DataFrame, name: str, n: int, order: list[str], by: list[str] | None = None, small_groups: bool = False) -> DataFrame:
     """Bucket 1..n of near equal size; rows whose first order column is NA get NA."""
     first = order[0].removeprefix("-")
     known = F.col(first).isNotNull()
     work = df.withColumn("__known", known)
-    lay = layout(work, [*(by or []), "__known"], order)
+    lay = layout(work, [*(by or []), "__known"], order, small_groups)
     pos = _position(lay, "__pos", "__n")
     base, extra = F.floor(F.col("__n") / n), F.col("__n") % n
     edge = extra * (base + 1)
@@ -332,9 +338,9 @@ def _running(lay: Layout, c: str, kind: str, name: str) -> DataFrame:
     return df.withColumn(name, out).drop(*[f"{k}_c" for k in state])
 
 
-def cumulate(df: DataFrame, c: str, kind: str, name: str, order: list[str], by: list[str] | None = None) -> DataFrame:
+def cumulate(df: DataFrame, c: str, kind: str, name: str, order: list[str], by: list[str] | None = None, small_groups: bool = False) -> DataFrame:
     """Running sum, min, max, prod, mean, any or all."""
-    lay = layout(df, by, order)
+    lay = layout(df, by, order, small_groups)
     return lay.done(_running(lay, c, kind, name))
 
 
@@ -365,19 +371,19 @@ def _shift(lay: Layout, c: str, n: int, name: str, default=None) -> DataFrame:
     return df.withColumn(name, value).drop("__past")
 
 
-def lag(df: DataFrame, c: str, name: str, order: list[str], by: list[str] | None = None, n: int = 1, default=None) -> DataFrame:
-    lay = layout(df, by, order)
+def lag(df: DataFrame, c: str, name: str, order: list[str], by: list[str] | None = None, n: int = 1, default=None, small_groups: bool = False) -> DataFrame:
+    lay = layout(df, by, order, small_groups)
     return lay.done(_shift(lay, c, n, name, default))
 
 
-def lead(df: DataFrame, c: str, name: str, order: list[str], by: list[str] | None = None, n: int = 1, default=None) -> DataFrame:
-    lay = layout(df, by, order)
+def lead(df: DataFrame, c: str, name: str, order: list[str], by: list[str] | None = None, n: int = 1, default=None, small_groups: bool = False) -> DataFrame:
+    lay = layout(df, by, order, small_groups)
     return lay.done(_shift(lay, c, -n, name, default))
 
 
-def diff(df: DataFrame, c: str, name: str, order: list[str], by: list[str] | None = None, n: int = 1) -> DataFrame:
+def diff(df: DataFrame, c: str, name: str, order: list[str], by: list[str] | None = None, n: int = 1, small_groups: bool = False) -> DataFrame:
     """x minus the value n rows before."""
-    return lag(df, c, "__lag", order, by, n).withColumn(name, F.col(c) - F.col("__lag")).drop("__lag")
+    return lag(df, c, "__lag", order, by, n, small_groups=small_groups).withColumn(name, F.col(c) - F.col("__lag")).drop("__lag")
 
 
 def _carry_known(lay: Layout, names: dict[str, str], up: bool) -> DataFrame:
@@ -402,9 +408,9 @@ def _carry_known(lay: Layout, names: dict[str, str], up: bool) -> DataFrame:
     return df.withColumns(new).drop(*[f"__c_{c}" for c in names])
 
 
-def fill(df: DataFrame, cols: list[str], order: list[str], by: list[str] | None = None, direction: str = "down") -> DataFrame:
+def fill(df: DataFrame, cols: list[str], order: list[str], by: list[str] | None = None, direction: str = "down", small_groups: bool = False) -> DataFrame:
     """Put the last known value (down) or the next one (up) into NA cells."""
-    lay = layout(df, by, order)
+    lay = layout(df, by, order, small_groups)
     columns = df.columns
     for way in {"down": ["down"], "up": ["up"], "downup": ["down", "up"], "updown": ["up", "down"]}[direction]:
         out = _carry_known(lay, {c: f"__f_{c}" for c in cols}, way == "up")
@@ -413,9 +419,9 @@ def fill(df: DataFrame, cols: list[str], order: list[str], by: list[str] | None
     return lay.done(lay.df).select(*columns)
 
 
-def neighbours(df: DataFrame, c: str, before: str, after: str, order: list[str], by: list[str] | None = None) -> DataFrame:
+def neighbours(df: DataFrame, c: str, before: str, after: str, order: list[str], by: list[str] | None = None, small_groups: bool = False) -> DataFrame:
     """Both the last known value at or before a row and the next at or after it."""
-    lay = layout(df, by, order)
+    lay = layout(df, by, order, small_groups)
     out = _carry_known(lay, {c: before}, False)
     out = _carry_known(Layout(out, lay.by, lay.keys, lay.bounds, lay.drop), {c: after}, True)
     return lay.done(out)
@@ -442,7 +448,9 @@ def quantiles(df: DataFrame, c: str, probs: dict[str, float], by: list[str] | No
     limit = hot_rows(df.sparkSession)
     sizes = known.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
     if sizes.where(F.col("n") > limit).isEmpty():
-        return known.groupBy(*by).agg(*[F.percentile(c, F.lit(p)).alias(name) for name, p in probs.items()])
+        points = F.percentile(c, F.array(*[F.lit(float(p)) for p in probs.values()]))
+        table = known.groupBy(*by).agg(points.alias("__q"))
+        return table.select(*by, *[F.get("__q", F.lit(i)).alias(name) for i, name in enumerate(probs)])
     counts = known.groupBy(*by, c).agg(F.count(F.lit(1)).alias("__c"))
     run = cumulate(counts, "__c", "sum", "__upto", [c], by)
     run = attach(run, sizes, by) if by else run.withColumn("n", sizes.scalar())
@@ -469,13 +477,13 @@ def recycle(df: DataFrame, by: list[str] | None = None, **aggs: Column) -> DataF
     return df.withColumn("__s", one.scalar()).select("*", *[F.col("__s")[n].alias(n) for n in aggs]).drop("__s")
 
 
-def moving(df: DataFrame, aggs: dict[str, Column], start: int, end: int, order: list[str], by: list[str] | None = None) -> DataFrame:
+def moving(df: DataFrame, aggs: dict[str, Column], start: int, end: int, order: list[str], by: list[str] | None = None, small_groups: bool = False) -> DataFrame:
     """Aggregates over a frame of a fixed number of rows around each row.
 
     At the edge of a piece the frame needs rows of the neighbouring pieces, so
     those few rows are copied over, used, and dropped again.
     """
-    lay = layout(df, by, order)
+    lay = layout(df, by, order, small_groups)
     rows = lay.df
     if lay.hot:
         split = lay.split_rows()
@@ -519,9 +527,9 @@ def w_fill(c: str, up: bool = False):
     return lambda lay, name: _carry_known(lay, {c: name}, up)
 
 
-def windows(df: DataFrame, order: list[str], by: list[str] | None = None, **specs) -> DataFrame:
+def windows(df: DataFrame, order: list[str], by: list[str] | None = None, *, small_groups: bool = False, **specs) -> DataFrame:
     """Add several window columns, ``windows(df, ["ts"], ["k"], n=w_row_number(), prev=w_lag("x"))``."""
-    lay = layout(df, by, order)
+    lay = layout(df, by, order, small_groups)
     for name, spec in specs.items():
         lay = Layout(spec(lay, name), lay.by, lay.keys, lay.bounds, lay.drop)
     return lay.done(lay.df)

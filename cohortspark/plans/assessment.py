@@ -324,7 +324,7 @@ def impute_scores(df: DataFrame) -> DataFrame:
     grid = imputation_scaffold(df)
     keys = [*STUDENT, *TERM]
     full = O.attach(grid, df.select(*keys, "score"), keys)
-    both = O.neighbours(full, "score", "__before", "__after", ["term_no"], STUDENT)
+    both = O.neighbours(full, "score", "__before", "__after", ["term_no"], STUDENT, small_groups=True)  # one row per term
     value = F.coalesce(F.col("score"), (F.col("__before") + F.col("__after")) / 2)
     return both.withColumn("imputed", F.col("score").isNull()).withColumn("score", value).drop("__before", "__after")
 

@@ -33,8 +33,9 @@ def scores(t):
 
 def status_norms(df):
     keys = ["subject", "grade", "season"]
+    # one row per whole score, and scores have an upper end, so the groups stay small
     counts = df.groupBy(*keys, "score").agg(F.count(F.lit(1)).alias("c"))
-    run = O.attach(O.cumulate(counts, "c", "sum", "upto", ["score"], keys), counts.groupBy(*keys).agg(F.sum("c").alias("total")), keys)
+    run = O.attach(O.cumulate(counts, "c", "sum", "upto", ["score"], keys, small_groups=True), counts.groupBy(*keys).agg(F.sum("c").alias("total")), keys)
     pct = F.greatest(F.least(F.expr("100 * upto div total"), F.lit(99)), F.lit(1))
     return run.select(*keys, "score", pct.alias("percentile"))
 
@@ -65,7 +66,7 @@ def school_status_norms(df):
     keys = ["subject", "grade", "season"]
     means = df.groupBy(*keys, "school").agg(F.round(F.avg("score")).alias("score"))
     table = means.groupBy(*keys, "score").agg(F.count(F.lit(1)).alias("c"))
-    run = O.attach(O.cumulate(table, "c", "sum", "upto", ["score"], keys), table.groupBy(*keys).agg(F.sum("c").alias("total")), keys)
+    run = O.attach(O.cumulate(table, "c", "sum", "upto", ["score"], keys, small_groups=True), table.groupBy(*keys).agg(F.sum("c").alias("total")), keys)
     return run.select(*keys, "score", F.expr("100 * upto div total").alias("percentile"))
 
 

@@ -35,7 +35,7 @@ def growth_quartile_table(t):
     # sum the orders per student and year before the customer join: less to shuffle
     per = t.orders.groupBy(F.col("o_custkey").alias("student_id"), D.academic_year("o_orderdate").alias("academic_year")).agg(score)
     per = per.join(t.customer.select(F.col("c_custkey").alias("student_id"), F.col("c_mktsegment").alias("grp")), "student_id")
-    growth = O.diff(per, "score", "growth", ["academic_year"], ["student_id"]).where(F.col("growth").isNotNull())
+    growth = O.diff(per, "score", "growth", ["academic_year"], ["student_id"], small_groups=True).where(F.col("growth").isNotNull())
     parts = O.ntile(growth, "quartile", 4, ["growth", "student_id"], ["academic_year"])
     wide = X.tabyl(parts, "grp", "quartile", levels=[1, 2, 3, 4])
     total = sum(F.col(str(q)) for q in (1, 2, 3, 4))

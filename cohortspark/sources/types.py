@@ -11,6 +11,10 @@ from cohortspark.functions.na import col
 NA_STRINGS = ("", "NA")
 
 _NUMBER = r"^-?(\d{1,3}(,\d{3})+|\d+)(\.\d+)?$"
+_DOUBLE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?Inf(inity)?$|^NaN$"
+_DATE = r"^\d{4}[-/]\d{1,2}[-/]\d{1,2}$"
+_DATETIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"
+_TIME = r"^\s*\d{1,2}:\d{1,2}(:\d{1,2})?\s*([AaPp][Mm])?\s*$"
 
 
 def _text(c: Column, na: tuple = NA_STRINGS) -> Column:
@@ -32,10 +36,10 @@ PARSERS = {
     "logical": _logical,
     "integer": lambda c: F.when(c.rlike(r"^[+-]?\d+$"), c).try_cast("int"),
     "long": lambda c: F.when(c.rlike(r"^[+-]?\d+$"), c).try_cast("bigint"),
-    "double": lambda c: F.when(c.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?Inf(inity)?$|^NaN$"), c).try_cast("double"),
+    "double": lambda c: F.when(c.rlike(_DOUBLE), c).try_cast("double"),
     "number": lambda c: F.when(c.rlike(_NUMBER), F.replace(c, F.lit(","), F.lit(""))).try_cast("double"),
-    "date": lambda c: F.when(c.rlike(r"^\d{4}[-/]\d{1,2}[-/]\d{1,2}$"), F.replace(c, F.lit("/"), F.lit("-"))).try_cast("date"),
-    "datetime": lambda c: F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"), c).try_cast("timestamp"),
+    "date": lambda c: F.when(c.rlike(_DATE), F.replace(c, F.lit("/"), F.lit("-"))).try_cast("date"),
+    "datetime": lambda c: F.when(c.rlike(_DATETIME), c).try_cast("timestamp"),
     "time": _time,
     "character": lambda c: c,
 }
@@ -45,8 +49,29 @@ CODES = {"l": "logical", "i": "integer", "L": "long", "d": "double", "n": "numbe
          "c": "character", "_": "skip", "-": "skip", "?": "guess"}
 
 
+# Classes of a cell, tried in this order; the pattern comes first as it is cheap.
+_SHAPES = {
+    "logical": lambda t: t.rlike(r"^(?i:T|F|TRUE|FALSE)$"),
+    "integer": lambda t: t.rlike(r"^[+-]?\d+$") & t.try_cast("int").isNotNull(),
+    "long": lambda t: t.rlike(r"^[+-]?\d+$") & t.try_cast("bigint").isNotNull(),
+    "double": lambda t: t.rlike(_DOUBLE) & t.try_cast("double").isNotNull(),
+    "number": lambda t: t.rlike(_NUMBER),
+    "date": lambda t: t.rlike(_DATE) & PARSERS["date"](t).isNotNull(),
+    "datetime": lambda t: t.rlike(_DATETIME) & PARSERS["datetime"](t).isNotNull(),
+    "time": lambda t: t.rlike(_TIME) & PARSERS["time"](t).isNotNull(),
+    "character": lambda t: F.lit(True),
+}
+# Cell classes a column of the type may hold.
+_HOLDS = {"logical": {"logical"}, "integer": {"integer"}, "long": {"integer", "long"}, "double": {"integer", "long", "double"},
+          "number": {"integer", "long", "double", "number"}, "date": {"date"}, "datetime": {"datetime"}, "time": {"time"}}
+
+
 def guess_types(df: DataFrame, cols: list[str] | None = None, na: tuple = NA_STRINGS) -> dict[str, str]:
-    """Narrowest type that fits every value, found for all columns in one aggregation."""
+    """Narrowest type that fits every value.
+
+    Each cell gets the class of its shape as one bit; one aggregation joins the
+    bits of all columns, and the bits of a column name its type.
+    """
     kinds = dict(df.dtypes)
     cols = [c for c in (df.columns if cols is None else cols) if kinds[c] == "string"]
     if not cols:
@@ -54,15 +79,15 @@ def guess_types(df: DataFrame, cols: list[str] | None = None, na: tuple = NA_STR
     aggs = []
     for i, c in enumerate(cols):
         t = _text(F.col(f"`{c}`"), na)
-        aggs.append(F.count(t).alias(f"n{i}"))
-        for kind, parse in PARSERS.items():
-            if kind != "character":
-                aggs.append(F.coalesce(F.bool_and(t.isNull() | parse(t).isNotNull()), F.lit(False)).alias(f"{kind}{i}"))
+        bit = F.when(t.isNull(), 0)
+        for j, shape in enumerate(_SHAPES.values()):
+            bit = bit.when(shape(t), 2 ** j)
+        aggs.append(F.bit_or(bit).alias(f"b{i}"))
     row = df.agg(*aggs).first()
     out = {}
     for i, c in enumerate(cols):
-        fits = [k for k in PARSERS if k != "character" and row[f"{k}{i}"]]
-        out[c] = "character" if not row[f"n{i}"] or not fits else fits[0]
+        found = {k for j, k in enumerate(_SHAPES) if (row[f"b{i}"] or 0) & 2 ** j}
+        out[c] = next((k for k, ok in _HOLDS.items() if found and found <= ok), "character")
     return out
 
 
