@@ -26,7 +26,8 @@ from cohortspark.session import hot_rows
 
 PIECE = "__piece"
 _ALL = "__all"
-_SAMPLES_PER_PIECE = 16
+_SAMPLES_PER_PIECE = 12
+_PIECES_PER_CORE = 4
 
 
 @dataclass
@@ -162,14 +163,16 @@ def layout(df: DataFrame, by: list[str] | None, order: list[str], small_groups:
     plain = Layout(df.withColumn(PIECE, F.lit(-1)), by, keys, None, drop)
     if small_groups:
         return plain
-    # at most (rows / limit) groups can come back
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit).collect()
-    if not sizes:
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)
+    hot_total = sizes.agg(F.sum("__n")).first()[0]
+    if not hot_total:
         return plain
-    target = max(limit, sum(r["__n"] for r in sizes) // (8 * spark.sparkContext.defaultParallelism))
-    cut = [(*[r[b] for b in by], math.ceil(r["__n"] / target), r["__n"]) for r in sizes if r["__n"] > target]
-    if not cut:
+    # pieces are no smaller than the limit and, in all, not many more than the tasks that run at once
+    target = max(limit, hot_total // (_PIECES_PER_CORE * spark.sparkContext.defaultParallelism))
+    large = sizes.where(F.col("__n") > target).collect()  # at most hot_total / target rows
+    if not large:
         return plain
+    cut = [(*[r[b] for b in by], math.ceil(r["__n"] / target), r["__n"]) for r in large]
     by_fields = [df.schema[b] for b in by]
     wanted = spark.createDataFrame(cut, T.StructType([
         *[T.StructField(f.name, f.dataType) for f in by_fields],

@@ -20,7 +20,8 @@ def gather(df: DataFrame, key: str, value: str, cols, na_rm: bool = False, conve
     """Measure columns to key and value rows."""
     names = resolve(df, *cols)
     ids = [c for c in df.columns if c not in names]
-    long = df.unpivot(ids, names, key, value)
+    quoted = lambda cols: [F.col(f"`{c}`") for c in cols]
+    long = df.unpivot(quoted(ids), quoted(names), key, value)
     if na_rm:
         long = long.where(~na_test(long, value))
     if convert:
@@ -241,8 +242,8 @@ def make_names(names: list[str]) -> list[str]:
     """Valid names: other characters become dots, a leading digit or sign gets an X."""
     out = []
     for n in names:
-        new = re.sub(r"[^\w.]", ".", n)
-        out.append(new if re.match(r"[^\W\d_]|\.(?!\d)", new) else "X" + new)
+        start = "" if re.match(r"[^\W\d_]|\.(?!\d)", n) else "X"
+        out.append(start + re.sub(r"[^\w.]", ".", n))
     return out
 
 

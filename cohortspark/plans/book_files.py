@@ -329,6 +329,14 @@ def stream_sliding_windows(t):
     return out.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n")
 
 
+@query("stream_session_windows", """SELECT user_id, COUNT(*) AS n FROM (SELECT user_id, s FROM (SELECT user_id, ts, event_id, SUM(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM
+(SELECT *, CASE WHEN ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 5 HOUR THEN 0 ELSE 1 END AS new FROM events)) GROUP BY 1, 2) GROUP BY 1""")
+def stream_session_windows(t):
+    agg = S.stream_window_agg(_events(t), "ts", "5 hours", by=["user_id"], session=True, n=F.count(F.lit(1)))
+    out = S.final_table(agg, "start timestamp, end timestamp, user_id bigint, n bigint")
+    return out.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("stream_dedupe", "SELECT DISTINCT event_id FROM events")
 def stream_dedupe(t):
     path = scratch_path(t.spark, "in")

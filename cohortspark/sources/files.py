@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -147,17 +148,18 @@ def read_assessment_files(spark: SparkSession, folder: str, glob: str = "*.csv")
     Files are grouped by their header so that files of one layout are one scan;
     empty files are skipped with a message.
     """
-    files = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    listed = files.format("binaryFile").load(folder).select("path", "length")  # contents are not read
+    text = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(folder)
     # the first line of the split that starts a file is its header
-    lines = files.text(folder).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+    lines = text.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
     heads = lines.where("at = 0").groupBy("path").agg(F.first("value").alias("head"))
+    found = {urlsplit(r["path"]).path: r["head"].strip() for r in heads.collect()}  # one short row per file
     by_header: dict[str, list[str]] = {}
-    for r in listed.join(heads, "path", "left").collect():  # one short row per file
-        if not r["length"] or not (r["head"] or "").strip():
-            print(f"skipped empty file {r['path']}")
+    for path in sorted(text.inputFiles()):
+        head = found.get(urlsplit(path).path)
+        if not head:
+            print(f"skipped empty file {path}")
             continue
-        by_header.setdefault(r["head"].strip(), []).append(r["path"])
+        by_header.setdefault(head, []).append(unquote(path))
     if not by_header:
         raise FileNotFoundError(folder)
     frames = [spark.read.option("header", True).csv(paths, inferSchema=False) for _, paths in sorted(by_header.items())]

@@ -86,6 +86,12 @@ def latest_table(sdf: DataFrame, schema: T.StructType | str, keys: list[str]) ->
     return last.select(*keys, "__v.*")
 
 
+def final_table(sdf: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """Run a complete-mode stream; the last chunk is the result."""
+    parts = bind_chunks(sdf, lambda chunk, _: chunk, schema, mode="complete")
+    return parts.where(F.col("chunk") == parts.agg(F.max("chunk")).scalar()).drop("chunk")
+
+
 def _timed(sdf: DataFrame, ts: str) -> DataFrame:
     """Watermarks need an instant; a time without zone is taken in the session zone."""
     return sdf.withColumn(ts, F.col(ts).cast("timestamp"))
