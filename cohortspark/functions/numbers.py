@@ -188,6 +188,103 @@ def pois_density(k, rate: float) -> Column:
     return F.exp(k * math.log(rate) - rate - lgamma(k + 1))
 
 
+def _incomplete_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Lower regularised incomplete gamma: power series below a + 1, continued fraction above."""
+    x = np.maximum(x, 0.0)
+    scale = np.exp(-x + a * np.log(np.where(x > 0, x, 1.0)) - _LGAMMA(a))
+    term = total = 1.0 / a
+    for n in range(1, 500):
+        term = term * x / (a + n)
+        total = total + term
+    low = np.where(x > 0, scale * total, 0.0)
+    frac = np.zeros_like(x)
+    for n in range(300, 0, -1):
+        frac = n * (a - n) / (x + 2 * n + 1 - a + frac)
+    high = 1.0 - scale / (x + 1 - a + frac)
+    return np.where(x < a + 1, low, high)
+
+
+def _incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Regularised incomplete beta by its continued fraction, on the side where it settles fast."""
+    x = np.clip(x, 0.0, 1.0)
+    turn = x > (a + 1) / (a + b + 2)
+    p, q, z = np.where(turn, b, a), np.where(turn, a, b), np.where(turn, 1 - x, x)
+    front = np.exp(_LGAMMA(p + q) - _LGAMMA(p) - _LGAMMA(q) + p * np.log(np.where(z > 0, z, 1.0)) + q * np.log1p(-np.where(z < 1, z, 0.0))) / p
+    frac = np.zeros_like(z)
+    for m in range(200, 0, -1):
+        even = m * (q - m) * z / ((p + 2 * m - 1) * (p + 2 * m))
+        odd = -(p + m - 1) * (p + q + m - 1) * z / ((p + 2 * m - 2) * (p + 2 * m - 1))
+        frac = odd / (1 + even / (1 + frac))
+    value = np.where(z > 0, front / (1 + frac), 0.0)
+    return np.where(turn, 1 - value, value)
+
+
+_LGAMMA = np.vectorize(math.lgamma, otypes=["float64"])
+
+
+def _distribution(fn):
+    """Column of a numpy function; missing stays missing."""
+    @F.pandas_udf("double")
+    def run(s: pd.Series) -> pd.Series:
+        x = s.to_numpy(dtype="float64", na_value=np.nan)
+        known = ~np.isnan(x)
+        out = np.full(len(x), np.nan)
+        if known.any():
+            out[known] = fn(x[known])
+        return pd.Series(out).astype("Float64").where(known)
+    return run
+
+
+def _cdf(family: str, *par: float):
+    """Distribution function of a family over a numpy array."""
+    full = lambda x, v: np.full(len(x), float(v))
+    if family == "chisq":
+        return lambda x: _incomplete_gamma(full(x, par[0] / 2), x / 2)
+    if family == "gamma":
+        return lambda x: _incomplete_gamma(full(x, par[0]), x * par[1])
+    if family == "beta":
+        return lambda x: _incomplete_beta(full(x, par[0]), full(x, par[1]), x)
+    if family == "f":
+        m, n = par
+        return lambda x: _incomplete_beta(full(x, m / 2), full(x, n / 2), m * np.maximum(x, 0) / (m * np.maximum(x, 0) + n))
+    if family == "t":
+        n = par[0]
+        half = lambda x: _incomplete_beta(full(x, n / 2), full(x, 0.5), n / (n + x * x)) / 2
+        return lambda x: np.where(x > 0, 1 - half(x), half(x))
+    if family == "binom":
+        n, p = par
+        k = lambda x: np.floor(x)
+        return lambda x: np.where(k(x) < 0, 0.0, np.where(k(x) >= n, 1.0, _incomplete_beta(np.maximum(n - k(x), 0.5), np.maximum(k(x) + 1, 0.5), full(x, 1 - p))))
+    if family == "pois":
+        return lambda x: np.where(x < 0, 0.0, 1 - _incomplete_gamma(np.maximum(np.floor(x) + 1, 0.5), full(x, par[0])))
+    raise ValueError(family)
+
+
+def dist_cdf(c, family: str, *par: float) -> Column:
+    """chisq(df), gamma(shape, rate), beta(a, b), f(df1, df2), t(df), binom(n, p), pois(rate)."""
+    return _distribution(_cdf(family, *par))(col(c).cast("double"))
+
+
+def dist_quantile(c, family: str, *par: float) -> Column:
+    """Inverse of the continuous families by halving."""
+    cdf = _cdf(family, *par)
+
+    def inverse(p: np.ndarray) -> np.ndarray:
+        lo = np.full(len(p), -1.0 if family == "t" else 0.0)
+        hi = np.full(len(p), 1.0)
+        for _ in range(0 if family == "beta" else 200):
+            short, long = cdf(hi) < p, (cdf(lo) > p) & (family == "t")
+            if not (short.any() or long.any()):
+                break
+            hi, lo = np.where(short, hi * 2, hi), np.where(long, lo * 2, lo)
+        for _ in range(100):
+            mid = (lo + hi) / 2
+            below = cdf(mid) < p
+            lo, hi = np.where(below, mid, lo), np.where(below, hi, mid)
+        return np.where((p < 0) | (p > 1), np.nan, (lo + hi) / 2)
+    return _distribution(inverse)(col(c).cast("double"))
+
+
 def lgamma(c) -> Column:
     return _elementwise(lambda v: math.inf if v <= 0 and v == int(v) else math.lgamma(v))(col(c).cast("double"))
 

@@ -115,6 +115,14 @@ def other_distributions(t):
     return t.events.select("event_id", F.round(M.exp_cdf("value", 1 / 50), 8).alias("e"), F.round(M.unif_cdf("value", 0.0, 100.0), 8).alias("u"))
 
 
+@query("distribution_families")
+def distribution_families(t):
+    v = F.col("value") / 50
+    r = lambda c: F.round(c, 6)
+    return t.events.select("event_id", r(M.dist_cdf(v, "chisq", 3)).alias("chisq"), r(M.dist_cdf(v, "t", 5)).alias("t"), r(M.dist_cdf(v, "f", 2, 9)).alias("f"),
+                           r(M.dist_cdf(v, "gamma", 2, 1)).alias("gamma"), r(M.dist_quantile(M.dist_cdf(v, "gamma", 2, 1), "gamma", 2, 1)).alias("back"))
+
+
 @query("random_columns")
 def random_columns(t):
     return t.customer.select("c_custkey", M.rbernoulli(0.3, 1).alias("b"), M.rdunif(1, 6, 2).alias("d"), M.rnorm(10.0, 2.0, 3).alias("z"))

@@ -213,3 +213,14 @@ def test_categories(spark):
     assert C.fct_relevel(["a", "b", "c"], "c") == ["c", "a", "b"] and C.fct_shift(["a", "b", "c"]) == ["b", "c", "a"]
     assert C.lvls_union(["a", "b"], ["b", "c"]) == ["a", "b", "c"]
     assert count(C.fct_anon(d, "f", 3)).keys() == {"1", "2", "3", "4", None}
+
+
+def test_distribution_families_match_known_values(spark):
+    known = [("chisq", (1,), 3.841459, 0.95), ("t", (10,), 2.228139, 0.975), ("t", (10,), -2.228139, 0.025), ("f", (1, 10), 4.964603, 0.95),
+             ("gamma", (2, 1), 1.0, 0.264241), ("gamma", (2, 1), 9.0, 0.998766), ("beta", (2, 3), 0.5, 0.6875), ("binom", (10, 0.5), 3.0, 0.171875), ("binom", (10, 0.5), 10.0, 1.0),
+             ("pois", (3,), 2.0, 0.42319), ("chisq", (50,), 67.504807, 0.95)]
+    for family, par, x, p in known:
+        assert col_of(spark, [x, None], lambda c: F.round(M.dist_cdf(c, family, *par), 5), "double") == [pytest.approx(p, abs=2e-5), None]
+    for family, par in (("chisq", (4,)), ("t", (7,)), ("beta", (2, 5)), ("f", (3, 8)), ("gamma", (3, 2))):
+        back = col_of(spark, [0.01, 0.5, 0.99], lambda c: M.dist_cdf(M.dist_quantile(c, family, *par), family, *par), "double")
+        assert back == pytest.approx([0.01, 0.5, 0.99], abs=1e-8)
