@@ -66,7 +66,7 @@ def mean_na_rules(t):
         "k", "strict", F.when(F.isnan("m"), F.col("m")).otherwise(F.round("m", 6)).alias("skipped"))
 
 
-@query("var_sd_na_rules", f"""SELECT l_returnflag, CASE WHEN COUNT(q) = COUNT(*) THEN 1.0 END AS strict, ROUND(VAR_SAMP(q), 6) AS var, ROUND(STDDEV_SAMP(q), 6) AS sd
+@query("var_sd_na_rules", f"""SELECT l_returnflag, CASE WHEN COUNT(q) = COUNT(*) THEN CAST(1 AS DOUBLE) END AS strict, ROUND(VAR_SAMP(q), 6) AS var, ROUND(STDDEV_SAMP(q), 6) AS sd
 FROM {_NA} GROUP BY 1""")
 def var_sd_na_rules(t):
     return line_na(t).groupBy("l_returnflag").agg(N.r_var("q").alias("strict"), F.round(N.r_var("q", True), 6).alias("var"), F.round(N.r_sd("q", True), 6).alias("sd"))
@@ -360,7 +360,7 @@ def run_many_functions(t):
     return P.run_many({"largest": lambda d: d.agg(F.max("o_totalprice").alias("v")), "smallest": lambda d: d.agg(F.min("o_totalprice").alias("v"))}, t.orders)
 
 
-@query("safe_apply_errors", """SELECT error, COUNT(*) AS n, SUM(result) AS total FROM (SELECT TRY_CAST(split_part(p_brand, '#', 2) || CASE WHEN p_size > 25 THEN 'x' ELSE '' END AS BIGINT) AS result,
+@query("safe_apply_errors", """SELECT error, COUNT(*) AS n, SUM(result)::BIGINT AS total FROM (SELECT TRY_CAST(split_part(p_brand, '#', 2) || CASE WHEN p_size > 25 THEN 'x' ELSE '' END AS BIGINT) AS result,
 CASE WHEN result IS NULL THEN 'failed' END AS error FROM part) GROUP BY 1""")
 def safe_apply_errors(t):
     text = F.concat(F.split_part("p_brand", F.lit("#"), F.lit(2)), F.when(F.col("p_size") > 25, "x").otherwise(""))

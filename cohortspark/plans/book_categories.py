@@ -36,7 +36,7 @@ def lump_least_frequent(t):
     return C.fct_count(C.fct_lump(t.part, "p_name", n=-3), "p_name")
 
 
-@query("lump_by_share", """SELECT k AS p_brand, SUM(w) AS n FROM (SELECT CASE WHEN w > 0.04 * SUM(w) OVER () THEN p_brand ELSE 'Other' END AS k, w FROM (SELECT p_brand, SUM(p_size)::BIGINT AS w FROM part GROUP BY 1)) GROUP BY 1""")
+@query("lump_by_share", """SELECT k AS p_brand, SUM(w)::BIGINT AS n FROM (SELECT CASE WHEN w > 0.04 * SUM(w) OVER () THEN p_brand ELSE 'Other' END AS k, w FROM (SELECT p_brand, SUM(p_size)::BIGINT AS w FROM part GROUP BY 1)) GROUP BY 1""")
 def lump_by_share(t):
     out = C.fct_lump(t.part, "p_brand", prop=0.04, w="p_size")
     return out.groupBy("p_brand").agg(F.sum("p_size").alias("n"))

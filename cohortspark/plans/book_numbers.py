@@ -29,7 +29,7 @@ def gamma_values(t):
     return t.part.select("p_partkey", M.factorial(s).alias("f"), M.choose(s + 2, F.lit(2.0)).alias("c"), M.beta(s, F.lit(2.0)).alias("b"))
 
 
-@query("rounding_modes", """SELECT p_partkey, round_even(CAST(h AS DECIMAL(18,1)), 0)::DOUBLE AS even, ROUND(CAST(h AS DECIMAL(18,1)), 0)::DOUBLE AS up, TRUNC(h) AS t FROM (SELECT p_partkey, p_size + 0.5 - 25 AS h FROM part)""")
+@query("rounding_modes", """SELECT p_partkey, round_even(CAST(h AS DECIMAL(18,1)), 0)::DOUBLE AS even, ROUND(CAST(h AS DECIMAL(18,1)), 0)::DOUBLE AS up, TRUNC(h)::DOUBLE AS t FROM (SELECT p_partkey, p_size + 0.5 - 25 AS h FROM part)""")
 def rounding_modes(t):
     h = F.col("p_size") + F.lit(0.5) - 25
     return t.part.select("p_partkey", M.r_round(h).alias("even"), M.round_half_up(h).alias("up"), M.trunc(h).cast("double").alias("t"))

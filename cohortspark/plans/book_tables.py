@@ -421,8 +421,8 @@ def overlap_interval_join(t):
 
 def _interval_sets(t):
     days = lambda status, n: t.orders.where(F.col("o_orderstatus") == status).select(
-        "o_custkey", F.datediff("o_orderdate", F.lit("1995-01-01")).alias("start"),
-        (F.datediff("o_orderdate", F.lit("1995-01-01")) + n).alias("end"))
+        "o_custkey", F.datediff("o_orderdate", F.lit("1995-01-01")).cast("bigint").alias("start"),
+        (F.datediff("o_orderdate", F.lit("1995-01-01")) + n).cast("bigint").alias("end"))
     return days("F", 20), days("O", 40)
 
 

@@ -38,6 +38,8 @@ def tune(spark: SparkSession) -> SparkSession:
 def build_session(app: str = "cohortspark", master: str | None = None,
                   shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    # checkpoints of finished loop rounds are removed once nothing refers to them
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if master:
         builder = builder.master(master)
     if shuffle_partitions:

@@ -10,7 +10,7 @@ from cohortspark.session import HOT_ROWS_CONF, build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("tests", "local[8]", 8, **{"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
+    s = build_session("tests", "local[8]", 4, **{"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
