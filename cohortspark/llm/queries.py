@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import line_dedup
+from cohortspark.llm import decontaminate, line_dedup, packing, quality_gam, simhash
 from cohortspark.session import tune
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,59 @@ def op1(spark, read):
     return line_dedup.apply_bitmaps(docs, marks).select(
         "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"),
         F.sha2(F.array_join("__lines", "\n"), 256).alias("kept_sha256"))
+
+
+@query("op7_simhash")
+def op7(spark, read):
+    prints = simhash.fingerprints(read("documents"), width=3, seed=42)
+    return simhash.groups(prints, max_bits=2).select(
+        F.col("doc").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+LEAK_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+v AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+p AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, greatest(len(w) - n + 2, 1))) AS i FROM d, (SELECT DISTINCT n FROM v))),
+h AS (SELECT DISTINCT p.doc_id, v.item_id, p.i, p.n FROM p JOIN v USING (n, s)),
+c AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
+@query("op8_decontaminate", LEAK_SQL)
+def op8(spark, read):
+    found = decontaminate.scan(read("documents"), read("benchmark"), window=10, carry=["doc_id"])
+    items = F.array_sort(F.transform("__items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id", F.col("__n_words").alias("n_words"), F.col("__n_hit").alias("n_hit"), F.size("__items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.col("__n_hit") > 0).alias("contaminated"))
+
+
+@query("op5_pack")
+def op5(spark, read):
+    import public_tokenizers
+
+    placed = packing.pack(read("documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=2048)
+    return placed.select(F.col("doc").alias("doc_id"), "piece", "start", "length", F.col("crc").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@query("op3_quality")
+def op3(spark, read):
+    docs = read("documents")
+    model = quality_gam.learn(docs, read("labels"), label_col="quality", sample=20_000)
+    return quality_gam.score(docs, model, carry=["doc_id"]).select(
+        "doc_id", quality_gam.held_out().alias("held_out"), F.col("__score").alias("score"),
+        (F.col("__score") >= 0.3).cast("int").alias("predicted"))
