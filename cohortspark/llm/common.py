@@ -23,6 +23,12 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_batches(df: DataFrame, fn, schema) -> DataFrame:
+    """mapInArrow with batches of limited bytes, so that long texts do not fill a worker's memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    return df.mapInArrow(fn, schema)
+
+
 def components(links: DataFrame) -> DataFrame:
     """Smallest member reachable, for each end of ``links`` (a, b): columns node, root.
 

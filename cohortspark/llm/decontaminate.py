@@ -29,10 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortspark.llm.common import store
+from cohortspark.llm.common import map_batches, store
 
 # Bytes 0-9, a-z and all of non-ASCII letters are kept, A-Z lower-cased, all others part words.
 _WORD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -274,7 +274,7 @@ def scan(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: st
                     table = table.set_column(table.column_names.index(name), name, col)
                 yield from table.to_batches()
 
-        out = (store(out, "scan") if n else out).mapInArrow(look, out.schema)
+        out = map_batches(store(out, "scan") if n else out, look, out.schema)
     return out.drop("__text")
 
 
@@ -296,7 +296,7 @@ def longest_matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", t
                     pa.array([tests.ids[i] for i in tests.item[k]], pa.int64()), pa.array(tests.offset[k], pa.int32()), pa.array(length[k], pa.int32()),
                     pa.array([ids[d] for d in doc[k]], pa.int64()), pa.array(start[k], pa.int32())], ["item", "item_start", "length", "doc", "doc_start"])
 
-        part = rows.mapInArrow(look, "item long, item_start int, length int, doc long, doc_start int")
+        part = map_batches(rows, look, "item long, item_start int, length int, doc long, doc_start int")
         parts = part if parts is None else parts.unionByName(part)
     best = F.max(F.struct("length", (-F.col("doc")).alias("d"), (-F.col("doc_start")).alias("s"))).alias("best")
     return parts.groupBy("item", "item_start").agg(best).select(

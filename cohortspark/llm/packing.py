@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortspark.llm.common import store
+from cohortspark.llm.common import map_batches, store
 
 SLICE_BYTES = 8 << 20
 KNOWN_WORDS = 300_000
@@ -152,8 +152,8 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 204
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("sig"), text.alias("body")).mapInArrow(
-        cut, "doc long, sig long, piece int, start long, length long, crc long" + ", ids array<int>" * with_ids)
+    return map_batches(
+        docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("sig"), text.alias("body")), cut, "doc long, sig long, piece int, start long, length long, crc long" + ", ids array<int>" * with_ids)
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
@@ -225,7 +225,7 @@ def place(parts: DataFrame, capacity: int = 2048, chunk_rows: int = 200_000) ->
             cols |= {"sequence_id": pa.array(run[:, 3] + nth // run[:, 2]), "offset": pa.array(run[:, 4] + nth % run[:, 2] * length)}
             yield pa.RecordBatch.from_pydict({n: cols[n] for n in out.names})
 
-    return ranked.mapInArrow(take, out)
+    return map_batches(ranked, take, out)
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text",

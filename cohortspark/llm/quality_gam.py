@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortspark.llm.common import map_batches
+
 FEATURES = [
     "log_bytes", "log_words", "word_length", "word_length_spread", "upper", "lower", "digit", "blank", "beyond_ascii", "exclaim", "bars", "signs",
     "stops", "byte_entropy", "distinct_words", "top_word", "next_same", "distinct_triples", "top_triple", "long_words", "log_lines", "line_length",
@@ -192,7 +194,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             x = [features(t.as_py()) for t in batch.column("__text")]
             yield pa.RecordBatch.from_arrays([batch.column("__y"), pa.array(x, pa.list_(pa.float64()))], ["y", "x"])
 
-    got = rows.mapInArrow(look, "y int, x array<double>").toPandas()
+    got = map_batches(rows, look, "y int, x array<double>").toPandas()
     # the order of rows must not matter to the sums
     x = np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES))
     y = got["y"].to_numpy(float)
@@ -214,7 +216,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str
             cols = [batch.column(c) for c in batch.schema.names[:-1]]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(model.score(x))], out.names)
 
-    return rows.mapInArrow(look, out)
+    return map_batches(rows, look, out)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import decontaminate, line_dedup, packing, quality_gam, simhash
+from cohortspark.llm import compact_windows, decontaminate, host_trust, licenses, line_dedup, packing, quality_gam, simhash, vptree, warc_bundles
 from cohortspark.session import tune
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,48 @@ def op3(spark, read):
     return quality_gam.score(docs, model, carry=["doc_id"]).select(
         "doc_id", quality_gam.held_out().alias("held_out"), F.col("__score").alias("score"),
         (F.col("__score") >= 0.3).cast("int").alias("predicted"))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT payload_digest, max(page_id) AS top FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN top <> page_id THEN top END AS refers_to
+FROM p LEFT JOIN m USING (payload_digest)
+"""
+
+
+@query("op4_warc", WARC_SQL)
+def op4(spark, read):
+    index = warc_bundles.write_bundles(read("pages"), least=1000)
+    return warc_bundles.read_bundles(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+@query("op2_url_filter")
+def op2(spark, read):
+    return host_trust.judge(read("pages"), URL_RULES).select(F.col("page").alias("page_id"), "host", "path", "rule", "verdict", "trust", "distrust")
+
+
+@query("op6_nearest")
+def op6(spark, read):
+    rows = read("embeddings")
+    shards = vptree.index(rows, k=5)
+    return vptree.nearest(shards, rows.where("vec_id % 50 = 0"), k=5, factor=1.0)
+
+
+@query("op10_license_scan")
+def op10(spark, read):
+    return licenses.licenses(read("documents")).select(
+        F.col("doc").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score")
+
+
+@query("op9_repeats")
+def op9(spark, read):
+    found, _ = compact_windows.repeated(read("documents"), words=50, similarity=0.8)
+    return found.select(
+        F.col("doc").alias("doc_id"), F.col("class").alias("class_id"), "n_links", F.size("spans").alias("n_passages"),
+        F.array_join(F.transform("spans", lambda s: F.concat(s["start"], F.lit("-"), s["stop"])), ",").alias("passages"))
