@@ -18,7 +18,7 @@ def rows():
 
 
 def brute(data, k):
-    ok = [(i, np.array(v, float)) for i, v in data if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)]
+    ok = [(i, np.array(v, np.float32).astype(float)) for i, v in data if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)]
     ok = {(i, tuple(v)): v for i, v in ok}
     out = {}
     for (i, _), q in ok.items():
