@@ -14,10 +14,10 @@ def parse_json_col(c, schema: str) -> Column:
     return F.from_json(col(c), schema)
 
 
-def json_schema(df: DataFrame, c: str, sample: int = 1000) -> str:
-    """Schema read from the merged objects of a sample of rows."""
-    rows = df.select(c).where(F.col(c).isNotNull()).limit(sample)
-    return rows.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(c))).alias("s")).first()["s"]
+def json_schema(df: DataFrame, c: str) -> str:
+    """Schema merged from the objects of all rows, in one aggregation, as ``parse_json_col`` takes it."""
+    found = df.where(F.col(c).isNotNull()).agg(F.schema_of_variant_agg(F.try_parse_json(F.col(c))).alias("s")).first()["s"]
+    return found.replace("OBJECT<", "STRUCT<")
 
 
 def flatten_struct(df: DataFrame, sep: str = ".") -> DataFrame:

@@ -188,20 +188,43 @@ def pois_density(k, rate: float) -> Column:
     return F.exp(k * math.log(rate) - rate - lgamma(k + 1))
 
 
+def _fraction(first: np.ndarray, step) -> np.ndarray:
+    """Continued fraction first + a1 / (b1 + a2 / (b2 + ...)) until it settles; ``step(n)`` gives a and b. Terms near zero are lifted."""
+    tiny = 1e-300
+    value = np.where(first == 0, tiny, first)
+    up, down, n = value, np.zeros_like(value), 0
+    while True:
+        n += 1
+        a, b = step(n)
+        down = b + a * down
+        down = 1 / np.where(np.abs(down) < tiny, tiny, down)
+        up = b + a / up
+        up = np.where(np.abs(up) < tiny, tiny, up)
+        value = value * up * down
+        if not (np.abs(up * down - 1) > 1e-15).any():
+            return value
+
+
 def _incomplete_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Lower regularised incomplete gamma: power series below a + 1, continued fraction above."""
+    """Lower regularised incomplete gamma: power series below a + 1, continued fraction above, both until they settle."""
     x = np.maximum(x, 0.0)
-    scale = np.exp(-x + a * np.log(np.where(x > 0, x, 1.0)) - _LGAMMA(a))
-    term = total = 1.0 / a
-    for n in range(1, 500):
-        term = term * x / (a + n)
-        total = total + term
-    low = np.where(x > 0, scale * total, 0.0)
-    frac = np.zeros_like(x)
-    for n in range(300, 0, -1):
-        frac = n * (a - n) / (x + 2 * n + 1 - a + frac)
-    high = 1.0 - scale / (x + 1 - a + frac)
-    return np.where(x < a + 1, low, high)
+    out = np.where(np.isinf(x), 1.0, 0.0)
+    scale = lambda a, x: np.exp(-x + a * np.log(x) - _LGAMMA(a))
+    low = (x > 0) & (x < a + 1)
+    if low.any():
+        p, z = a[low], x[low]
+        term = total = 1.0 / p
+        n = 0
+        while (term > total * 1e-17).any():
+            n += 1
+            term = term * z / (p + n)
+            total = total + term
+        out[low] = scale(p, z) * total
+    high = (x >= a + 1) & ~np.isinf(x)
+    if high.any():
+        p, z = a[high], x[high]
+        out[high] = 1.0 - scale(p, z) / _fraction(z + 1 - p, lambda n: (-n * (n - p), z + 2 * n + 1 - p))
+    return out
 
 
 def _incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -209,13 +232,19 @@ def _incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     x = np.clip(x, 0.0, 1.0)
     turn = x > (a + 1) / (a + b + 2)
     p, q, z = np.where(turn, b, a), np.where(turn, a, b), np.where(turn, 1 - x, x)
-    front = np.exp(_LGAMMA(p + q) - _LGAMMA(p) - _LGAMMA(q) + p * np.log(np.where(z > 0, z, 1.0)) + q * np.log1p(-np.where(z < 1, z, 0.0))) / p
-    frac = np.zeros_like(z)
-    for m in range(200, 0, -1):
-        even = m * (q - m) * z / ((p + 2 * m - 1) * (p + 2 * m))
-        odd = -(p + m - 1) * (p + q + m - 1) * z / ((p + 2 * m - 2) * (p + 2 * m - 1))
-        frac = odd / (1 + even / (1 + frac))
-    value = np.where(z > 0, front / (1 + frac), 0.0)
+    value = np.zeros_like(z)
+    in_ = (z > 0) & (z < 1)
+    if in_.any():
+        p, q, y = p[in_], q[in_], z[in_]
+
+        def step(n):
+            m = n // 2
+            if n % 2:
+                return -(p + m) * (p + q + m) * y / ((p + 2 * m) * (p + 2 * m + 1)), np.ones_like(y)
+            return m * (q - m) * y / ((p + 2 * m - 1) * (p + 2 * m)), np.ones_like(y)
+
+        front = np.exp(_LGAMMA(p + q) - _LGAMMA(p) - _LGAMMA(q) + p * np.log(y) + q * np.log1p(-y)) / p
+        value[in_] = front / _fraction(np.ones_like(y), step)
     return np.where(turn, 1 - value, value)
 
 

@@ -411,13 +411,15 @@ def pretty_ms(ms) -> Column:
 def time_ago(c, now) -> Column:
     """Rounded distance to ``now`` in words."""
     s = F.unix_timestamp(col(now)) - F.unix_timestamp(col(c))
-    ladder = [(45, None, "moments ago"), (90, None, "about a minute ago"), (2700, 60, "minutes ago"), (5400, None, "about an hour ago"),
-              (86_400, 3600, "hours ago"), (172_800, None, "about a day ago"), (2_592_000, 86_400, "days ago"),
-              (5_184_000, None, "about a month ago"), (31_536_000, 2_592_000, "months ago")]
+    minute, hour, day = 60, 3600, 86_400
+    # Upper end in seconds, unit of the number if there is one, text.
+    ladder = [(10, None, "moments ago"), (45, None, "less than a minute ago"), (90, None, "about a minute ago"), (45 * minute, minute, "minutes ago"),
+              (90 * minute, None, "about an hour ago"), (24 * hour, hour, "hours ago"), (42 * hour, None, "a day ago"), (30 * day, day, "days ago"),
+              (45 * day, None, "about a month ago"), (335 * day, 30 * day, "months ago"), (547.5 * day, None, "about a year ago")]
     out = F
     for top, unit, text in ladder:
         out = out.when(s < top, F.lit(text) if unit is None else F.concat(F.round(s / unit).cast("int").cast("string"), F.lit(" " + text)))
-    return out.otherwise(F.concat(F.round(s / 31_536_000).cast("int").cast("string"), F.lit(" years ago")))
+    return out.otherwise(F.concat(F.round(s / (365 * day)).cast("int").cast("string"), F.lit(" years ago")))
 
 
 def abbrev(c) -> Column:

@@ -136,11 +136,18 @@ def weighted_mean(x: str, w: str) -> Column:
     return F.sum(F.when(known, F.col(x) * F.col(w))) / F.sum(F.when(known, F.col(w)))
 
 
-def weighted_var(x: str, w: str) -> Column:
-    """Second weighted moment about the weighted mean, by sums."""
-    m2 = F.sum(F.col(x) * F.col(x) * F.col(w)) / F.sum(w)
-    m = F.sum(F.col(x) * F.col(w)) / F.sum(w)
-    return m2 - m * m
+def weighted_var(df: DataFrame, x: str, w: str, by: list[str] | None = None, name: str = "variance") -> DataFrame:
+    """Second weighted moment about the weighted mean, of the rows where value and weight are known.
+
+    Values are centred before they are squared, so a mean far from zero does not
+    cancel the digits. Groups without a known row get NA.
+    """
+    by = list(by or [])
+    mean = df.groupBy(*by).agg(weighted_mean(x, w).alias("__mean"))
+    centred = O.attach(df, mean, by) if by else df.withColumn("__mean", mean.scalar())
+    off = F.col(x) - F.col("__mean")
+    known = F.col(x).isNotNull() & F.col(w).isNotNull()
+    return centred.groupBy(*by).agg((F.sum(F.when(known, off * off * F.col(w))) / F.sum(F.when(known, F.col(w)))).alias(name))
 
 
 def weighted_quantile(df: DataFrame, x: str, w: str, p: float, by: list[str] | None = None, name: str = "quantile") -> DataFrame:

@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 from cohortspark.session import hot_rows
 
 
+# Chunks of a group that has fewer rows than so many full ones.
+CHUNKS = 4
+
+
 def _check_groups(df: DataFrame, by: list[str], limit: int) -> DataFrame | None:
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)
     return None if sizes.isEmpty() else sizes
@@ -21,21 +25,22 @@ def group_apply(df: DataFrame, by: list[str], fn: Callable[[pd.DataFrame], pd.Da
                 combine: Callable[[pd.DataFrame], pd.DataFrame] | None = None, max_rows: int | None = None) -> DataFrame:
     """Any function of a group's rows.
 
-    A group is one pandas frame in one task, so its size is checked. Pass
-    ``combine`` to also take larger groups: they are cut into chunks, ``fn``
-    runs on each chunk and ``combine`` on the stacked chunk results.
+    With ``combine`` every group, small or large, is cut into chunks: ``fn`` runs
+    on each chunk and ``combine`` on the stacked chunk results, so the answer
+    does not depend on a limit, and a ``combine`` that does not fit shows at any
+    size. Without it a group is one pandas frame in one task, and one above the
+    row limit raises.
     """
     limit = max_rows or hot_rows(df.sparkSession)
-    large = _check_groups(df, by, limit)
-    if large is None:
-        whole = (lambda p: combine(fn(p))) if combine else fn
-        return df.groupBy(*by).applyInPandas(whole, schema)
     if combine is None:
-        raise ValueError(f"a group has more than {limit} rows; pass combine")
+        if _check_groups(df, by, limit) is not None:
+            raise ValueError(f"a group has more than {limit} rows; pass combine")
+        return df.groupBy(*by).applyInPandas(fn, schema)
     from cohortspark.operators.ordered import attach
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
     # the chunk follows from the values, so a task that runs again gives the same one
-    spread = F.pmod(F.xxhash64(*df.columns), F.ceil(F.col("__n") / limit * 1.25))
-    chunks = attach(df, large, by).withColumn("__chunk", F.coalesce(spread, F.lit(0))).drop("__n")
+    spread = F.pmod(F.xxhash64(*df.columns), F.greatest(F.lit(CHUNKS).cast("bigint"), F.ceil(F.col("__n") / limit * 1.25)))
+    chunks = attach(df, sizes, by).withColumn("__chunk", spread).drop("__n")
     part = chunks.groupBy(*by, "__chunk").applyInPandas(lambda p: fn(p.drop(columns="__chunk")), schema)
     return part.groupBy(*by).applyInPandas(combine, schema)
 
@@ -73,18 +78,17 @@ def page_apply(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema
 
 
 def custom_agg(df: DataFrame, by: list[str], c: str, name: str, fn: Callable[[pd.Series], object],
-               merge: Callable[[pd.Series], object] | None = None, kind: str = "double") -> DataFrame:
+               merge: Callable[[pd.Series], object], kind: str = "double") -> DataFrame:
     """An aggregate written over pandas Series.
 
-    ``merge`` turns the results of chunks into the result of the group and is
-    needed for groups above the row limit.
+    ``merge`` turns the results of chunks into the result of the group. It always
+    runs, so ``fn`` must be one that can be merged; use ``quantiles`` for a median.
     """
     def one(p: pd.DataFrame, f, source: str) -> pd.DataFrame:
         return pd.DataFrame({**{b: [p[b].iloc[0]] for b in by}, name: [f(p[source])]})
 
     schema = T.StructType([*[df.schema[b] for b in by], T.StructField(name, T._parse_datatype_string(kind))])
-    combine = (lambda p: one(p, merge, name)) if merge else None
-    return group_apply(df.select(*by, c), by, lambda p: one(p, fn, c), schema, combine)
+    return group_apply(df.select(*by, c), by, lambda p: one(p, fn, c), schema, lambda p: one(p, merge, name))
 
 
 def iterate(df: DataFrame) -> Iterator:

@@ -105,12 +105,10 @@ def full_join(x, y, by: By = None, suffix=(".x", ".y"), na_matches: str = "na")
 
 
 def _filtering(x: DataFrame, y: DataFrame, by: By, how: str, na_matches: str) -> DataFrame:
-    """Only the keys of y matter; they are made distinct when one of them is hot."""
+    """Only the different keys of y matter: a hot key of y is one row, and their shuffle serves the join."""
     pairs = _pairs(x, y, by)
     names = {b: f"__y_{b}" for _, b in pairs}
-    keys = y.select(*[F.col(b).alias(n) for b, n in names.items()])
-    if _has_hot_key(keys, list(names.values())):
-        keys = keys.distinct()
+    keys = y.select(*[F.col(b).alias(n) for b, n in names.items()]).distinct()
     return x.join(keys, _condition(x, keys, [(a, names[b]) for a, b in pairs], na_matches), how)
 
 
@@ -171,15 +169,21 @@ def nearest_join(x: DataFrame, y: DataFrame, by: list[str], on: str, max_dist: f
     return out.select("__x.*", *[F.col(f"__best.{c}").alias(n) for c, n in zip(payload, names)])
 
 
-def asof_last(x: DataFrame, y: DataFrame, by: list[str], on: str, y_on: str | None = None) -> DataFrame:
-    """For each x row the last y row at or before it."""
+def asof_last(x: DataFrame, y: DataFrame, by: list[str], on: str, y_on: str | None = None, ties: list[str] | None = None) -> DataFrame:
+    """For each x row the last y row at or before it; none for a time that is NA.
+
+    Of y rows with one time the last by ``ties`` (default all other columns of y)
+    is taken.
+    """
     y_on = y_on or on
     payload = [c for c in y.columns if c not in by]
-    right = y.where(F.col(y_on).isNotNull()).select(*by, F.col(y_on).alias("__on"), F.lit(0).alias("__side"), F.struct(*payload).alias("__y"))
+    tie = F.struct(*(ties or [c for c in payload if c != y_on]), F.lit(0)).alias("__tie")
+    right = y.where(F.col(y_on).isNotNull()).select(*by, F.col(y_on).alias("__on"), F.lit(0).alias("__side"), tie, F.struct(*payload).alias("__y"))
     left = x.select(*by, F.col(on).alias("__on"), F.lit(1).alias("__side"), F.struct(*x.columns).alias("__x"))
     line = right.unionByName(left, allowMissingColumns=True)
-    lay = O.layout(line, by, ["__on", "__side"])
+    lay = O.layout(line, by, ["__on", "__side", "__tie"])
     out = lay.done(O._carry_known(lay, {"__y": "__lo"}, False)).where(F.col("__side") == 1)
+    out = out.withColumn("__lo", F.when(F.col("__on").isNotNull(), F.col("__lo")))
     names = [c if c not in x.columns else f"{c}.y" for c in payload]
     return out.select("__x.*", *[F.col(f"__lo.{c}").alias(n) for c, n in zip(payload, names)])
 

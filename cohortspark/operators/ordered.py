@@ -281,7 +281,9 @@ def ranks(df: DataFrame, c: str, by: list[str] | None = None, desc: bool = False
 
 
 def _plain_ranks(df: DataFrame, c: str, by: list[str], spec: str, names: dict[str, str]) -> DataFrame:
-    w = Window.partitionBy(*by, F.col(c).isNull()).orderBy(*sort_columns(df, [spec]))
+    # rows with NA get no rank, so they are dealt out: many of them are no one task
+    names_in, df = df.columns, df.withColumn("__na", F.when(F.col(c).isNull(), F.monotonically_increasing_id() % 4096))
+    w = Window.partitionBy(*by, "__na").orderBy(*sort_columns(df, [spec]))
     upto = F.count(F.lit(1)).over(w)  # the frame ends with the ties of the row
     build = {
         "min_rank": F.rank().over(w).cast("bigint"),
@@ -291,7 +293,8 @@ def _plain_ranks(df: DataFrame, c: str, by: list[str], spec: str, names: dict[st
         "percent_rank": F.percent_rank().over(w),
         "cume_dist": F.cume_dist().over(w),
     }
-    return df.withColumns({v: F.when(F.col(c).isNotNull(), build[k]) for k, v in names.items()})
+    ranked = df.withColumns({v: F.when(F.col(c).isNotNull(), build[k]) for k, v in names.items()})
+    return ranked.select(*names_in, *[v for v in names.values() if v not in names_in])
 
 
 _MERGE = {"sum": F.sum, "min": F.min, "max": F.max, "prod": F.product, "any": F.bool_or, "all": F.bool_and}

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from cohortspark.functions.na import na_test
 from cohortspark.operators import ordered as O
-from cohortspark.operators.tabyl import _name, levels_of
+from cohortspark.operators.tabyl import column_names, levels_of
 from cohortspark.operators.verbs import crossing, repair_names, resolve
 from cohortspark.session import hot_rows
 
@@ -47,9 +47,9 @@ def spread(df: DataFrame, key: str, value: str, fill=None, levels: list | None =
         F.raise_error(F.lit("duplicate rows for one cell"))) if check else F.col("__v")
     cells = cells.withColumn("__v", one.cast(df.schema[value].dataType))
     out = []
-    for v in found:
+    for v, label in zip(found, column_names(found)):
         hit = F.max(F.when(F.col(key).eqNullSafe(F.lit(v)), F.col("__v")))
-        name = _name(v) if sep is None else f"{key}{sep}{_name(v)}"
+        name = label if sep is None else f"{key}{sep}{label}"
         out.append((F.coalesce(hit, F.lit(fill).cast(df.schema[value].dataType)) if fill is not None else hit).alias(name))
     return cells.groupBy(*rest).agg(*out)
 
@@ -283,14 +283,14 @@ def dcast(df: DataFrame, rows: list[str], cols: str, value: str, fn, margins: bo
     ``fn`` takes a Column and returns an aggregate, so partial aggregation holds.
     """
     found = levels_of(df, cols, levels)
-    x = F.col(value)
-    cells = [fn(F.when(F.col(cols).eqNullSafe(F.lit(v)), x)).alias(_name(v)) for v in found]
+    x, names = F.col(value), column_names(found)
+    cells = [fn(F.when(F.col(cols).eqNullSafe(F.lit(v)), x)).alias(n) for v, n in zip(found, names)]
     if margins:
         cells.append(fn(x).alias("(all)"))
         ids = [F.grouping(r).alias(f"__g_{r}") for r in rows]
         wide = df.rollup(*rows).agg(*cells, *ids)
         wide = wide.select(*[F.when(F.col(f"__g_{r}") == 1, F.lit("(all)")).otherwise(F.col(r).cast("string")).alias(r) for r in rows],
-                           *[_name(v) for v in found], "(all)")
+                           *names, "(all)")
     else:
         wide = df.groupBy(*rows).agg(*cells)
     return wide.fillna(fill) if fill is not None else wide
@@ -300,7 +300,7 @@ def acast(df: DataFrame, row: str, cols: str, value: str, fn, levels: list | Non
     """As dcast, the cells of a row in one array."""
     found = levels_of(df, cols, levels)
     wide = dcast(df, [row], cols, value, fn, levels=found)
-    return wide.select(row, F.array(*[F.col(_name(v)) for v in found]).alias("cells"))
+    return wide.select(row, F.array(*[F.col(n) for n in column_names(found)]).alias("cells"))
 
 
 def recast(df: DataFrame, id_vars: list[str], rows: list[str], fn) -> DataFrame:

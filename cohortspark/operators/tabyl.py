@@ -26,11 +26,18 @@ def levels_of(df: DataFrame, c: str, levels: list | None = None) -> list:
 
 
 def _name(level) -> str:
-    if level is None:
-        return NA_NAME
     return str(int(level)) if isinstance(level, float) and level.is_integer() else str(level)
 
 
+def column_names(levels: list) -> list[str]:
+    """A column name for each level; NA gets one that no level has."""
+    named = [_name(v) for v in levels if v is not None]
+    na = NA_NAME
+    while na in named:
+        na += "_"
+    return [na if v is None else _name(v) for v in levels]
+
+
 def tabyl(df: DataFrame, a: str, b: str | None = None, c: str | None = None, show_na: bool = True,
           levels: list | None = None, show_missing_levels: bool = True) -> DataFrame:
     """Counts of one, two or three columns.
@@ -45,12 +52,13 @@ def tabyl(df: DataFrame, a: str, b: str | None = None, c: str | None = None, sho
         return tabyl_one(df.groupBy(a).agg(F.count(F.lit(1)).alias("n")), a)
     found = levels_of(df, b, levels)
     keys = [c, a] if c else [a]
+    names = column_names(found)
     cells = df.groupBy(*keys, b).agg(F.count(F.lit(1)).alias("__n"))
     wide = cells.groupBy(*keys).agg(*[
-        F.coalesce(F.sum(F.when(F.col(b).eqNullSafe(F.lit(v)), F.col("__n"))), F.lit(0)).alias(_name(v)) for v in found])
+        F.coalesce(F.sum(F.when(F.col(b).eqNullSafe(F.lit(v)), F.col("__n"))), F.lit(0)).alias(n) for v, n in zip(found, names)])
     if c and show_missing_levels:
         grid = crossing(df.select(c), df.select(a))
-        wide = O.attach(grid, wide, [c, a]).fillna(0, [_name(v) for v in found])
+        wide = O.attach(grid, wide, [c, a]).fillna(0, names)
     return wide
 
 

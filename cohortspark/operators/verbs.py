@@ -170,7 +170,7 @@ def is_in(c, values: list) -> Column:
 def in_table(df: DataFrame, c: str, table: DataFrame, key: str | None = None) -> DataFrame:
     """Membership in another table, for sets too large for a list."""
     key = key or c
-    right = table.select(F.col(key).alias("__key")).where(F.col("__key").isNotNull())
+    right = table.select(F.col(key).alias("__key")).where(F.col("__key").isNotNull()).distinct()
     return df.join(right, df[c] == right["__key"], "left_semi")
 
 
@@ -306,7 +306,8 @@ def distinct(df: DataFrame, cols: list[str] | None = None, keep_all: bool = Fals
 
 def match_rows(df: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``df`` that also occur in ``other`` on the given columns."""
-    return df.join(other, O.null_safe(df, other, on), "left_semi")
+    keys = other.select(*[F.col(c).alias(f"__k_{c}") for c in on]).distinct()
+    return df.join(keys, O.null_safe(df, keys, on, [f"__k_{c}" for c in on]), "left_semi")
 
 
 def sample_n(df: DataFrame, n: int, by: list[str] | None = None, weight: str | None = None,
@@ -314,6 +315,7 @@ def sample_n(df: DataFrame, n: int, by: list[str] | None = None, weight: str | N
     """Exactly n random rows per group (all rows of smaller groups).
 
     With ``replace`` a row may come back; each draw picks a position uniformly.
+    Rows whose weight is zero or NA are never drawn; a negative weight is an error.
     """
     by = list(by or [])
     if replace:
@@ -328,7 +330,11 @@ def sample_n(df: DataFrame, n: int, by: list[str] | None = None, weight: str | N
         draws = draws.withColumnsRenamed(dict(zip(by, new))).withColumnRenamed("__pos", "__dpos")
         cond = O.null_safe(pos, draws, by, new) & (pos["__pos"] == draws["__dpos"])
         return pos.join(draws, cond).select(*df.columns)
-    key = F.rand(seed) if weight is None else -F.log(F.rand(seed)) / F.col(weight)
+    key = F.rand(seed)
+    if weight is not None:
+        df = df.where(F.col(weight) != 0)
+        size = F.when(F.col(weight) < 0, F.raise_error(F.lit("negative weight")).cast("double")).otherwise(F.col(weight))
+        key = -F.log(key) / size
     return first_rows(df.withColumn("__u", key), n, ["__u"], by).drop("__u")
 
 
@@ -377,10 +383,10 @@ def repair_names(names: list[str]) -> list[str]:
 def upsert_rows(df: DataFrame, changes: DataFrame, key: str, insert: bool = True) -> DataFrame:
     """Rows with a known key are replaced; others are added, or are an error."""
     if not insert:
-        stray = changes.join(df, key, "left_anti")
+        stray = changes.join(df.select(key).distinct(), key, "left_anti")
         if not stray.isEmpty():
             raise KeyError(f"unknown {key} in changes")
-    return df.join(changes, key, "left_anti").unionByName(changes)
+    return df.join(changes.select(key).distinct(), key, "left_anti").unionByName(changes)
 
 
 def append_with_id(df: DataFrame, rows: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -391,7 +397,7 @@ def append_with_id(df: DataFrame, rows: DataFrame, key: str, order: list[str]) -
 
 
 def delete_rows(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    return df.join(keys.select(key), key, "left_anti")
+    return df.join(keys.select(key).distinct(), key, "left_anti")
 
 
 def lookup(df: DataFrame, key: str, value) -> DataFrame:

@@ -188,7 +188,7 @@ def limit_scores(df: DataFrame, students: DataFrame | None = None, subject: str
         df = df.where(F.col("subject") == subject)
     if years is not None:
         df = df.where(F.col("academic_year").between(*years))
-    return df if students is None else df.join(students.select("student_id"), "student_id", "left_semi")
+    return df if students is None else df.join(students.select("student_id").distinct(), "student_id", "left_semi")
 
 
 def limit_growth(growth: DataFrame, students: DataFrame | None = None, subject: str | None = None,

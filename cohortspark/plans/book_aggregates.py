@@ -282,8 +282,16 @@ def tail_mean_peaks(t):
 @query("weighted_statistics", """SELECT l_returnflag, ROUND(SUM(l_extendedprice * l_quantity) / SUM(l_quantity), 3) AS wmean,
 ROUND(SUM(l_discount * l_discount * l_quantity) / SUM(l_quantity) - POWER(SUM(l_discount * l_quantity) / SUM(l_quantity), 2), 7) AS wvar FROM lineitem GROUP BY 1""")
 def weighted_statistics(t):
-    return t.lineitem.groupBy("l_returnflag").agg(F.round(G.weighted_mean("l_extendedprice", "l_quantity"), 3).alias("wmean"),
-                                                  F.round(G.weighted_var("l_discount", "l_quantity"), 7).alias("wvar"))
+    mean = t.lineitem.groupBy("l_returnflag").agg(F.round(G.weighted_mean("l_extendedprice", "l_quantity"), 3).alias("wmean"))
+    var = G.weighted_var(t.lineitem, "l_discount", "l_quantity", ["l_returnflag"], "wvar")
+    return mean.join(var.withColumn("wvar", F.round("wvar", 7)), "l_returnflag")
+
+
+@query("weighted_variance_far_from_zero", """SELECT l_returnflag, ROUND(SUM(x * x * w) / SUM(w) - POWER(SUM(x * w) / SUM(w), 2), 5) AS wvar
+FROM (SELECT l_returnflag, l_linenumber AS x, l_quantity AS w FROM lineitem WHERE l_linenumber <> 3) GROUP BY 1""")
+def weighted_variance_far_from_zero(t):
+    d = t.lineitem.select("l_returnflag", F.when(F.col("l_linenumber") != 3, F.col("l_linenumber") + 1e9).alias("x"), F.col("l_quantity").alias("w"))
+    return G.weighted_var(d, "x", "w", ["l_returnflag"], "wvar").withColumn("wvar", F.round("wvar", 5))
 
 
 @query("weighted_quantile", """SELECT l_returnflag, MIN(x) AS quantile FROM (SELECT l_returnflag, x, SUM(w) OVER (PARTITION BY l_returnflag ORDER BY x) AS upto, SUM(w) OVER (PARTITION BY l_returnflag) AS total FROM
@@ -366,3 +374,10 @@ def safe_apply_errors(t):
     text = F.concat(F.split_part("p_brand", F.lit("#"), F.lit(2)), F.when(F.col("p_size") > 25, "x").otherwise(""))
     out = t.part.select(P.safe_apply(text.try_cast("bigint")).alias("r")).select("r.*")
     return out.groupBy("error").agg(F.count(F.lit(1)).alias("n"), F.sum("result").alias("total"))
+
+
+@query("tabyl_level_named_like_missing", """SELECT o_orderpriority, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS "NA_", COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS "P",
+COUNT(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'P')) AS "NA__" FROM orders GROUP BY 1""")
+def tabyl_level_named_like_missing(t):
+    status = F.when(F.col("o_orderstatus") == "F", "NA_").when(F.col("o_orderstatus") == "P", "P")
+    return X.tabyl(t.orders.select("o_orderpriority", status.alias("s")), "o_orderpriority", "s")

@@ -271,6 +271,26 @@ def rows_one_partition_at_a_time(t):
     return t.spark.createDataFrame(rows, "k bigint, n bigint")
 
 
+@query("csv_late_text_cell", "SELECT CASE WHEN event_id < 1500 THEN CAST(event_id AS VARCHAR) ELSE 'late ' || event_id END AS cell FROM events")
+def csv_late_text_cell(t):
+    cell = F.when(F.col("event_id") < 1500, F.col("event_id").cast("string")).otherwise(F.concat(F.lit("late "), "event_id"))
+    path = scratch_path(t.spark, "late")
+    t.events.select("event_id", cell.alias("cell")).repartition(1).sortWithinPartitions("event_id").write.option("header", True).csv(path)
+    return I.read_csv(t.spark, path, col_types=I.infer_schema(t.spark, path)).select("cell")
+
+
+@query("many_files_with_reader_options", """SELECT c_mktsegment AS segment, COUNT(*) AS n, SUM(c_custkey)::BIGINT AS keys, COUNT(DISTINCT c_nationkey % 2) AS files FROM customer GROUP BY 1""")
+def many_files_with_reader_options(t):
+    paths = []
+    for odd, order in ((0, ["c_custkey", "c_mktsegment"]), (1, ["c_mktsegment", "c_custkey"])):
+        paths.append(scratch_path(t.spark, "layout"))
+        t.customer.where(f"c_nationkey % 2 = {odd}").select(*order).coalesce(1).write.option("header", True).option("sep", "|").csv(paths[-1])
+    out = I.read_many(t.spark, paths, reader=I.read_delim, sep="|")
+    return out.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"), F.count_distinct("filename").alias("files"))
+
+
+
+
 # ------------------------------------------------------------------ streams
 
 def _events(t, **options):
@@ -345,3 +365,13 @@ def stream_dedupe(t):
     sdf = S.stream_files(t.spark, path, twice.schema)
     out = S.run_stream(S.stream_dedupe(sdf, ["event_id"], "ts", "60 days").select("event_id"))
     return t.spark.read.schema("event_id bigint").parquet(out)
+
+
+@query("stream_windows_in_many_chunks", _WIN.format("(SELECT time_bucket(INTERVAL 6 HOUR, ts) AS s, event_type FROM events)"))
+def stream_windows_in_many_chunks(t):
+    path = scratch_path(t.spark, "in")
+    # the latest events come in the first files, one file is one chunk
+    t.events.repartitionByRange(5, F.desc("ts")).write.parquet(path)
+    agg = S.stream_window_agg(S.stream_files(t.spark, path, t.events.schema, files_per_chunk=1), "ts", "6 hours", by=["event_type"], n=F.count(F.lit(1)))
+    out = S.latest_table(agg, "start timestamp, end timestamp, event_type string, n bigint", ["start", "event_type"])
+    return out.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n")

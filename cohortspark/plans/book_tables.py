@@ -571,3 +571,18 @@ COUNT(*) OVER (PARTITION BY user_id, event_type) > 1 AS tied FROM events""")
 def duplicated_flag(t):
     out = V.duplicated(t.events, ["user_id", "event_type"], ["ts", "event_id"])
     return V.tied(out, ["user_id", "event_type"]).select("event_id", "duplicated", "tied")
+
+
+@query("asof_missing_times_and_ties", """SELECT a.event_id, b.e AS last_purchase FROM (SELECT event_id, user_id, CASE WHEN event_id % 7 <> 0 THEN ts END AS ts FROM events WHERE event_type = 'error') a
+ASOF LEFT JOIN (SELECT user_id, date_trunc('day', ts) AS ts, MAX(event_id) AS e FROM events WHERE event_type = 'purchase' GROUP BY 1, 2) b ON a.user_id = b.user_id AND a.ts >= b.ts""")
+def asof_missing_times_and_ties(t):
+    ts = F.col("ts").cast("timestamp")
+    x = t.events.where("event_type = 'error'").select("event_id", "user_id", F.when(F.col("event_id") % 7 != 0, ts).alias("ts"))
+    y = t.events.where("event_type = 'purchase'").select("user_id", F.date_trunc("day", ts).alias("ts"), F.col("event_id").alias("last_purchase"))
+    return J.asof_last(x, y, ["user_id"], "ts", ties=["last_purchase"]).select("event_id", "last_purchase")
+
+
+@query("sample_skips_zero_weight", "SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 1")
+def sample_skips_zero_weight(t):
+    weight = F.when(F.col("o_orderkey") % 3 == 1, F.col("o_totalprice")).when(F.col("o_orderkey") % 3 == 2, 0.0)
+    return V.sample_n(t.orders.select("o_orderkey", weight.alias("w")), 10_000_000, weight="w").select("o_orderkey")

@@ -187,8 +187,10 @@ def duration_text(t):
     return t.events.select("event_id", S.pretty_ms(ms).alias("d"))
 
 
-@query("time_ago_text", """SELECT event_id, CASE WHEN s < 45 THEN 'moments ago' WHEN s < 90 THEN 'about a minute ago' WHEN s < 2700 THEN CAST(ROUND(s / 60.0) AS INT) || ' minutes ago' WHEN s < 5400 THEN 'about an hour ago'
-WHEN s < 86400 THEN CAST(ROUND(s / 3600.0) AS INT) || ' hours ago' WHEN s < 172800 THEN 'about a day ago' ELSE CAST(ROUND(s / 86400.0) AS INT) || ' days ago' END AS ago FROM (SELECT event_id, CAST(epoch(TIMESTAMP '2024-01-31') AS BIGINT) - CAST(FLOOR(epoch(ts)) AS BIGINT) AS s FROM events)""")
+@query("time_ago_text", """SELECT event_id, CASE WHEN s < 10 THEN 'moments ago' WHEN s < 45 THEN 'less than a minute ago' WHEN s < 90 THEN 'about a minute ago'
+WHEN s < 2700 THEN CAST(ROUND(s / 60.0) AS INT) || ' minutes ago' WHEN s < 5400 THEN 'about an hour ago' WHEN s < 86400 THEN CAST(ROUND(s / 3600.0) AS INT) || ' hours ago'
+WHEN s < 151200 THEN 'a day ago' WHEN s < 2592000 THEN CAST(ROUND(s / 86400.0) AS INT) || ' days ago' ELSE 'about a month ago' END AS ago
+FROM (SELECT event_id, CAST(epoch(TIMESTAMP '2024-01-31') AS BIGINT) - CAST(FLOOR(epoch(ts)) AS BIGINT) AS s FROM events)""")
 def time_ago_text(t):
     return t.events.select("event_id", S.time_ago("ts", F.lit("2024-01-31").cast("timestamp")).alias("ago"))
 

@@ -64,13 +64,16 @@ def broadcast_rows(spark: SparkSession) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see; also used as the checkpoint folder.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where nothing is set
-    (tests, one machine) a new temporary folder is taken.
+    A cluster names it in ``spark.checkpoint.dir``, and it is an error if it does
+    not. Only a ``local`` master (tests, one machine) gets a new temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.conf.get("spark.cohortspark.sharedDir", None)
     if not named:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="cohortspark-")
         spark.conf.set("spark.cohortspark.sharedDir", named)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -38,11 +38,11 @@ def read_tsv(spark, path, **kw) -> DataFrame:
     return read_delim(spark, path, "\t", **kw)
 
 
-def infer_schema(spark: SparkSession, path, sep: str = ",", guess_max: int = 1000) -> dict[str, str]:
-    """Specification guessed from the first rows, for use as ``col_types``."""
+def infer_schema(spark: SparkSession, path, sep: str = ",") -> dict[str, str]:
+    """Specification guessed from all rows, for use as ``col_types``."""
     from cohortspark.sources.types import guess_types
     raw = spark.read.option("header", True).option("sep", sep).csv(path, inferSchema=False)
-    return guess_types(raw.limit(guess_max))
+    return guess_types(raw)
 
 
 def read_lines(spark: SparkSession, path) -> DataFrame:
@@ -136,10 +136,23 @@ def count_fields(lines: DataFrame, sep: str = ",") -> Column:
 
 
 def read_many(spark: SparkSession, paths: list[str], id: str = "filename", reader=read_csv, **kw) -> DataFrame:
-    """All files with one layout in one scan, with the file name as a column."""
-    raw = spark.read.option("header", True).csv(paths, inferSchema=False).withColumn(
-        id, F.element_at(F.split(F.input_file_name(), "/"), -1))
-    return type_convert(raw)
+    """All files by ``reader`` and its options, stacked by column name, with the file name as a column.
+
+    Files with the same columns in the same order are one scan. Where the reader
+    guesses types, it does so for each layout; columns that get other types in
+    another layout are text.
+    """
+    layouts: dict[tuple, list[str]] = {}
+    for path in paths:
+        layouts.setdefault(tuple(reader(spark, path, **kw).columns), []).append(path)
+    frames = [reader(spark, same, **kw).withColumn(id, F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)) for same in layouts.values()]
+    kinds: dict[str, set] = {}
+    for f in frames:
+        for name, kind in f.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    mixed = {c for c, k in kinds.items() if len(k) > 1}
+    frames = [f.withColumns({c: F.col(c).cast("string") for c in f.columns if c in mixed}) for f in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_assessment_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:

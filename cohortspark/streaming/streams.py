@@ -97,10 +97,18 @@ def _timed(sdf: DataFrame, ts: str) -> DataFrame:
     return sdf.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def stream_window_agg(sdf: DataFrame, ts: str, size: str, slide: str | None = None, watermark: str = "1 hour",
+def stream_window_agg(sdf: DataFrame, ts: str, size: str, slide: str | None = None, watermark: str | None = None,
                       by: list[str] | None = None, session: bool = False, **aggs) -> DataFrame:
-    """Tumbling, sliding or session windows; rows later than the watermark are dropped."""
-    marked = _timed(sdf, ts).withWatermark(ts, watermark)
+    """Tumbling, sliding or session windows.
+
+    Without a watermark every row counts, however the files are cut into
+    chunks; run it in update or complete mode (``latest_table``,
+    ``final_table``). With one, state is bounded and rows later than it are
+    dropped, so what is late depends on the chunks.
+    """
+    marked = _timed(sdf, ts)
+    if watermark:
+        marked = marked.withWatermark(ts, watermark)
     win = F.session_window(ts, size) if session else (F.window(ts, size, slide) if slide else F.window(ts, size))
     out = marked.groupBy(win.alias("w"), *(by or [])).agg(*[a.alias(n) for n, a in aggs.items()])
     return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *(by or []), *aggs)

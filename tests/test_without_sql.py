@@ -1,5 +1,6 @@
 """Queries that have no SQL: checked against plain Python on small or whole tables."""
 
+import math
 import textwrap
 
 import pytest
@@ -58,3 +59,31 @@ def test_goal_rows(spark):
     link = spark.createDataFrame([("R", 115, 18), ("R", 110, 17)], "subject string, score int, linked int")
     got = A.student_goal_rows(scores, link, norms, factors).first()
     assert (got.typical_goal, got.goal, got.linked) == (110.0, 115.0, 18)
+
+
+def test_distribution_functions_of_large_parameters(spark):
+    at = lambda x, family, *par: spark.range(1).select(M.dist_cdf(F.lit(float(x)), family, *par)).first()[0]
+    # the middle of a wide distribution: one half, plus what the skewness adds
+    for n in (2e5, 2e6):
+        assert abs(at(n, "chisq", n) - 0.5 - math.sqrt(8 / n) / (6 * math.sqrt(2 * math.pi))) < 1e-6
+    assert abs(at(1e6, "pois", 1e6) - 0.5) < 5e-4 and abs(at(5e5, "binom", 10**6, .5) - 0.5) < 5e-4
+    assert abs(at(0.5, "beta", 4e5, 4e5) - 0.5) < 1e-9
+    assert abs(at(3.0, "chisq", 2) - (1 - math.exp(-1.5))) < 1e-14 and at(0.0, "gamma", 2.0, 1.0) == 0.0
+    assert abs(at(2.0, "t", 1) - (0.5 + math.atan(2.0) / math.pi)) < 1e-13
+
+
+def test_weights_of_zero_and_below(spark):
+    d = spark.createDataFrame([(1, 0.0), (2, None), (3, 1.0), (4, 5.0)], "id int, w double")
+    assert sorted(r.id for r in V.sample_n(d, 4, weight="w").collect()) == [3, 4]
+    with pytest.raises(Exception, match="negative weight"):
+        V.sample_n(d.unionByName(spark.createDataFrame([(5, -1.0)], d.schema)), 4, weight="w").collect()
+
+
+def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from cohortspark import session
+    conf = SimpleNamespace(get=lambda key, default=None: default, set=lambda *_: None)
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(RuntimeError):
+            session.shared_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master)))
