@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from cohortspark.llm.common import ascii_lower, store
 
 BLANKS = " \t\n\x0b\x0c\r"
-HOT_ROWS = 200_000
+HOT_ROWS = 5_000
 DOC = ["doc", "sig"]
 KEY = ["h1", "h2"]
 
