@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from statistics import NormalDist
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -145,18 +145,29 @@ def quantile_bin(df: DataFrame, c: str, n: int, name: str) -> DataFrame:
     return df.withColumn(name, out.otherwise(n))
 
 
-def _elementwise(fn):
-    @F.pandas_udf("double")
-    def run(s: pd.Series) -> pd.Series:
-        x = s.to_numpy(dtype="float64", na_value=np.nan)
-        return pd.Series([fn(v) if v == v else None for v in x], dtype="float64")
-    return run
+def _bind(value: Column, fn) -> Column:
+    """``fn`` of a value that is worked out once, however often ``fn`` uses it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
 
 
 def norm_cdf(c, mean: float = 0.0, sd: float = 1.0) -> Column:
-    """Normal distribution function; apply after aggregation, it leaves the JVM."""
-    d = NormalDist(mean, sd)
-    return _elementwise(d.cdf)(col(c).cast("double"))
+    """Normal distribution function: power series near the middle, continued fraction in the tails."""
+    steps = F.sequence(F.lit(1), F.lit(80))
+
+    def grow(a):
+        def step(s, k):
+            return _bind(s["term"] * a * a / (2 * k + 1), lambda term: F.struct(term.alias("term"), (s["total"] + term).alias("total")))
+        return step
+
+    def value(z):
+        a = F.abs(z)
+        phi = F.exp(-a * a / 2) / math.sqrt(2 * math.pi)
+        middle = 0.5 - phi * F.aggregate(steps, F.struct(a.alias("term"), a.alias("total")), grow(a), lambda s: s["total"])
+        tail = phi / F.aggregate(F.reverse(steps), a, lambda x, k: a + k / x)
+        upper = F.when(a < 4, middle).otherwise(tail)
+        return F.when(F.isnan(z), z).otherwise(_bind(upper, lambda u: F.when(z < 0, u).otherwise(1 - u)))
+
+    return _bind((col(c).cast("double") - mean) / sd, value)
 
 
 def norm_density(c, mean: float = 0.0, sd: float = 1.0) -> Column:
@@ -164,9 +175,38 @@ def norm_density(c, mean: float = 0.0, sd: float = 1.0) -> Column:
     return F.exp(-z * z / 2) / (sd * math.sqrt(2 * math.pi))
 
 
+# Coefficients of algorithm AS 241 for normal quantiles, numerators and denominators, highest power first.
+_MIDDLE = ([2.5090809287301226727e+3, 3.3430575583588128105e+4, 6.7265770927008700853e+4, 4.5921953931549871457e+4, 1.3731693765509461125e+4,
+            1.9715909503065514427e+3, 1.3314166789178437745e+2, 3.3871328727963666080e+0],
+           [5.2264952788528545610e+3, 2.8729085735721942674e+4, 3.9307895800092710610e+4, 2.1213794301586595867e+4, 5.3941960214247511077e+3,
+            6.8718700749205790830e+2, 4.2313330701600911252e+1, 1.0])
+_NEAR = ([7.74545014278341407640e-4, 2.27238449892691845833e-2, 2.41780725177450611770e-1, 1.27045825245236838258e+0, 3.64784832476320460504e+0,
+          5.76949722146069140550e+0, 4.63033784615654529590e+0, 1.42343711074968357734e+0],
+         [1.05075007164441684324e-9, 5.47593808499534494600e-4, 1.51986665636164571966e-2, 1.48103976427480074590e-1, 6.89767334985100004550e-1,
+          1.67638483018380384940e+0, 2.05319162663775882187e+0, 1.0])
+_FAR = ([2.01033439929228813265e-7, 2.71155556874348757815e-5, 1.24266094738807843860e-3, 2.65321895265761230930e-2, 2.96560571828504891230e-1,
+         1.78482653991729133580e+0, 5.46378491116411436990e+0, 6.65790464350110377720e+0],
+        [2.04426310338993978564e-15, 1.42151175831644588870e-7, 1.84631831751005468180e-5, 7.86869131145613259100e-4, 1.48753612908506148525e-2,
+         1.36929880922735805310e-1, 5.99832206555887937690e-1, 1.0])
+
+
+def _ratio(x: Column, parts: tuple[list[float], list[float]]) -> Column:
+    top, bottom = (reduce(lambda acc, k: acc * x + k, p[1:], F.lit(p[0])) for p in parts)
+    return top / bottom
+
+
 def norm_quantile(c, mean: float = 0.0, sd: float = 1.0) -> Column:
-    d = NormalDist(mean, sd)
-    return _elementwise(lambda p: d.inv_cdf(p) if 0 < p < 1 else (math.copysign(math.inf, p - 0.5) if p in (0, 1) else math.nan))(col(c).cast("double"))
+    """Inverse of ``norm_cdf``; infinite at 0 and 1, NaN outside."""
+    def tail(p):
+        return _bind(F.sqrt(-F.log(F.least(p, 1 - p))), lambda r: F.signum(p - 0.5) * F.when(r <= 5, _bind(r - 1.6, lambda x: _ratio(x, _NEAR))).otherwise(
+            _bind(r - 5, lambda x: _ratio(x, _FAR))))
+
+    def value(p):
+        middle = (p - 0.5) * _bind(0.180625 - (p - 0.5) * (p - 0.5), lambda x: _ratio(x, _MIDDLE))
+        z = F.when(F.abs(p - 0.5) <= 0.425, middle).otherwise(tail(p))
+        return F.when(p.isNull(), None).when((p > 0) & (p < 1), z).when(p == 0, float("-inf")).when(p == 1, float("inf")).otherwise(float("nan"))
+
+    return _bind(col(c).cast("double"), value) * sd + mean
 
 
 def exp_cdf(c, rate: float = 1.0) -> Column:
@@ -314,12 +354,37 @@ def dist_quantile(c, family: str, *par: float) -> Column:
     return _distribution(inverse)(col(c).cast("double"))
 
 
+# Lanczos coefficients for g = 7.
+_LANCZOS = [0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313, -176.61502916214059, 12.507343278686905,
+            -0.13857109526572012, 9.9843695780195716e-6, 1.5056327351493116e-7]
+
+
+def _lanczos(x: Column) -> Column:
+    """Log of gamma for x of 0.5 or more."""
+    total = reduce(lambda acc, k: acc + F.lit(_LANCZOS[k]) / (x + (k - 1.0)), range(1, 9), F.lit(_LANCZOS[0]))
+    t = x + 6.5
+    return F.lit(math.log(2 * math.pi) / 2) + (x - 0.5) * F.log(t) - t + F.log(total)
+
+
 def lgamma(c) -> Column:
-    return _elementwise(lambda v: math.inf if v <= 0 and v == int(v) else math.lgamma(v))(col(c).cast("double"))
+    """Log of the absolute gamma function, by reflection below 0.5; infinite at 0, -1, -2 and so on."""
+    def value(x):
+        low = F.log(F.lit(math.pi)) - F.log(F.abs(F.sin(F.lit(math.pi) * x))) - _bind(1 - x, _lanczos)
+        pole = (x <= 0) & (x == F.floor(x))
+        return F.when(pole, float("inf")).when(x < 0.5, low).otherwise(_lanczos(x))
+
+    return _bind(col(c).cast("double"), value)
 
 
 def gamma(c) -> Column:
-    return _elementwise(lambda v: math.nan if v <= 0 and v == int(v) else math.gamma(v))(col(c).cast("double"))
+    """Products for whole numbers, else by ``lgamma``; NaN at 0, -1, -2 and so on."""
+    x = col(c).cast("double")
+    whole = (x == F.floor(x)) & x.between(1, 171)
+    product = F.aggregate(F.sequence(F.lit(1), F.greatest(F.least(x, F.lit(171.0)), F.lit(1.0)).cast("int")), F.lit(1.0),
+                          lambda acc, k: F.when(k < x, acc * k).otherwise(acc))
+    sign = F.when((x < 0) & (F.pmod(F.floor(x), F.lit(2)) == 1), -1.0).otherwise(1.0)
+    pole = (x <= 0) & (x == F.floor(x))
+    return F.when(pole, float("nan")).when(whole, product).otherwise(sign * F.exp(lgamma(x)))
 
 
 def factorial(c) -> Column:

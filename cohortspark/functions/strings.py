@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import textwrap
 import unicodedata
 
 import pandas as pd
@@ -95,12 +94,17 @@ def str_squish(c) -> Column:
 
 
 def str_wrap(c, width: int = 80, indent: int = 0, exdent: int = 0) -> Column:
-    @F.pandas_udf("string")
-    def wrap(s: pd.Series) -> pd.Series:
-        tool = textwrap.TextWrapper(width, initial_indent=" " * indent, subsequent_indent=" " * exdent,
-                                    break_long_words=False, break_on_hyphens=False)
-        return s.map(lambda t: None if t is None else tool.fill(t))
-    return wrap(col(c))
+    """Lines of at most ``width`` characters, filled word by word; longer words stand alone. White space between words is one blank."""
+    words = F.filter(F.split(col(c), r"\s+"), lambda w: w != "")
+    state = F.struct(F.array().cast("array<string>").alias("lines"), F.lit(None).cast("string").alias("line"))
+
+    def add(s, w):
+        fits = F.char_length(s["line"]) + 1 + F.char_length(w) <= width
+        return F.when(s["line"].isNull(), F.struct(s["lines"].alias("lines"), F.concat(F.lit(" " * indent), w).alias("line"))).when(
+            fits, F.struct(s["lines"].alias("lines"), F.concat_ws(" ", s["line"], w).alias("line"))).otherwise(
+            F.struct(F.concat(s["lines"], F.array(s["line"])).alias("lines"), F.concat(F.lit(" " * exdent), w).alias("line")))
+
+    return F.aggregate(words, state, add, lambda s: F.array_join(F.concat(s["lines"], F.array(F.coalesce(s["line"], F.lit("")))), "\n"))
 
 
 def _turkic(locale: str) -> bool:

@@ -161,19 +161,22 @@ def link_components(comp: DataFrame) -> DataFrame:
     return O.lead(reps, "src", "dst", ["src"]).where(F.col("dst").isNotNull())
 
 
-def topo_levels(edges: DataFrame, max_iter: int = 10_000) -> DataFrame:
-    """Level of each vertex: all edges go to a higher level. A loop in the graph is an error."""
+def topo_levels(edges: DataFrame) -> DataFrame:
+    """Level of each vertex: all edges go to a higher level. A loop in the graph is an error.
+
+    One table holds the levels found so far; every round stores it once. The
+    plan of a round does not depend on the rounds before it.
+    """
     e = cut_lineage(edges.select("src", "dst").distinct())
-    left = cut_lineage(vertices_of(edges))
-    done = None
-    for level in range(max_iter):
-        blocked = e.select(F.col("dst").alias("id")).distinct()
-        layer = cut_lineage(left.join(blocked, "id", "left_anti").withColumn("level", F.lit(level)))
-        if layer.isEmpty():
-            if left.isEmpty():
-                return done
+    state = cut_lineage(vertices_of(edges).withColumn("level", F.lit(None).cast("int")))
+    left, level = state.count(), 0
+    while left:
+        open_ = state.where(F.col("level").isNull()).select(F.col("id").alias("src"))
+        blocked = e.join(open_, "src", "left_semi").select(F.col("dst").alias("id")).distinct().withColumn("__wait", F.lit(True))
+        here = F.when(F.col("__wait").isNull(), F.lit(level))
+        state = cut_lineage(state.join(blocked, "id", "left").select("id", F.coalesce("level", here).alias("level")))
+        before, left = left, state.where(F.col("level").isNull()).count()
+        if left == before:
             raise ValueError("the graph has a loop")
-        done = layer if done is None else done.unionByName(layer)
-        left = cut_lineage(left.join(layer, "id", "left_anti"))
-        e = cut_lineage(e.join(layer.select(F.col("id").alias("src")), "src", "left_anti"))
-    raise RuntimeError("too few rounds")
+        level += 1
+    return state

@@ -254,10 +254,11 @@ def recast_means(t):
 # -------------------------------------------------------------- statistics
 
 @query("describe_moments", """SELECT l_returnflag, COUNT(l_quantity) AS n, ROUND(AVG(l_quantity), 5) AS mean, ROUND(VAR_SAMP(l_quantity), 5) AS variance,
-ROUND(STDDEV_SAMP(l_quantity) / SQRT(COUNT(l_quantity)), 5) AS error_of_mean, ROUND(kurtosis_pop(l_quantity), 5) AS kurtosis, MIN(l_quantity) AS min, MAX(l_quantity) AS max FROM lineitem GROUP BY 1""")
+ROUND(STDDEV_SAMP(l_quantity) / SQRT(COUNT(l_quantity)), 5) AS error_of_mean, ROUND(kurtosis_pop(l_quantity), 5) AS kurtosis,
+ROUND((AVG(l_quantity * l_quantity * l_quantity) - 3 * AVG(l_quantity) * AVG(l_quantity * l_quantity) + 2 * POWER(AVG(l_quantity), 3)) / POWER(VAR_POP(l_quantity), 1.5), 5) AS skewness, MIN(l_quantity) AS min, MAX(l_quantity) AS max FROM lineitem GROUP BY 1""")
 def describe_moments(t):
-    out = G.describe_ext(t.lineitem, "l_quantity", ["l_returnflag"]).drop("skewness")
-    return out.withColumns({c: F.round(c, 5) for c in ("mean", "variance", "error_of_mean", "kurtosis")})
+    out = G.describe_ext(t.lineitem, "l_quantity", ["l_returnflag"])
+    return out.withColumns({c: F.round(c, 5) for c in ("mean", "variance", "error_of_mean", "kurtosis", "skewness")})
 
 
 @query("covariance_by_group", "SELECT l_returnflag, ROUND(COVAR_SAMP(l_quantity, l_extendedprice), 2) AS cov FROM lineitem GROUP BY 1")

@@ -180,12 +180,11 @@ def bound_pages(t):
 
 # ------------------------------------------------------------------- tables
 
-@query("named_source", "SELECT c_custkey, o_orderkey FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_totalprice > 480000")
+@query("named_source", "SELECT c_custkey, o_orderkey FROM customer JOIN orders ON c_custkey = o_custkey")
 def named_source(t):
     W.register_source("school_files", "parquet", {"path": t.folder + "/{table}.parquet"})
     get = W.source_loader("school_files")
-    big = get(t.spark, "orders").where("o_totalprice > 480000")
-    return get(t.spark, "customer").join(big, F.col("c_custkey") == F.col("o_custkey")).select("c_custkey", "o_orderkey")
+    return get(t.spark, "customer").join(get(t.spark, "orders"), F.col("c_custkey") == F.col("o_custkey")).select("c_custkey", "o_orderkey")
 
 
 @query("warehouse_read_write", "SELECT n_nationkey::BIGINT AS n_nationkey, n_name FROM nation")
@@ -201,23 +200,30 @@ def table_metadata(t):
     return _big(W.table_meta(t.customer), "n_cols")
 
 
-@query("column_metadata", "SELECT * FROM (VALUES (1, 'n_nationkey', 'int'), (2, 'n_name', 'string'), (3, 'n_regionkey', 'int')) v(position, name, type)")
+@query("column_metadata", """SELECT v.*, n_known FROM (VALUES (1, 'event_id', 'bigint'), (2, 'ts', 'timestamp_ntz'), (3, 'user_id', 'bigint'), (4, 'event_type', 'string'), (5, 'value', 'double'), (6, 'props', 'string')) v(position, name, type)
+JOIN (UNPIVOT (SELECT COUNT(event_id) AS event_id, COUNT(ts) AS ts, COUNT(user_id) AS user_id, COUNT(event_type) AS event_type, COUNT(value) AS value, COUNT(props) AS props FROM events) ON COLUMNS(*) INTO NAME name VALUE n_known) USING (name)""")
 def column_metadata(t):
-    return W.catalog_fields(t.nation)
+    known = t.events.agg(*[F.count(c).alias(c) for c in t.events.columns]).unpivot([], t.events.columns, "name", "n_known")
+    return W.catalog_fields(t.events).join(known, "name")
 
 
-@query("catalog_listing", "SELECT 'customer_listed' AS name, TRUE AS temporary, TRUE AS found, FALSE AS after_drop")
+@query("catalog_listing", "SELECT 'customer_listed' AS name, TRUE AS temporary, TRUE AS found, COUNT(*) AS n_rows, FALSE AS after_drop FROM customer")
 def catalog_listing(t):
     t.customer.createOrReplaceTempView("customer_listed")
-    out = W.catalog_tables(t.spark).where("name = 'customer_listed'").select("name", "temporary", F.lit(W.table_exists(t.spark, "customer_listed")).alias("found"))
+    out = W.catalog_tables(t.spark).where("name = 'customer_listed'").select("name", "temporary", F.lit(W.table_exists(t.spark, "customer_listed")).alias("found"),
+                                                                              t.spark.table("customer_listed").agg(F.count(F.lit(1))).scalar().alias("n_rows"))
     W.drop_table(t.spark, "customer_listed")
     return out.withColumn("after_drop", F.lit(W.table_exists(t.spark, "customer_listed")))
 
 
-@query("object_listing", "SELECT 14::BIGINT AS n, TRUE AS sized")
+@query("object_listing", "SELECT 'customer' AS name, COUNT(*) AS n_rows, TRUE AS sized FROM customer UNION ALL SELECT 'orders', COUNT(*), TRUE FROM orders")
 def object_listing(t):
     found = W.list_objects(t.spark, t.folder, "*.parquet")
-    return found.agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.col("length") > 0).alias("sized"))
+    # the rows that each listed object of two tables holds
+    held = lambda name: getattr(t, name).groupBy(F.col("_metadata.file_path").alias("at")).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("name", F.lit(name))
+    rows = held("customer").unionByName(held("orders"))
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    return rows.join(found, plain("at") == plain("path")).groupBy("name").agg(F.sum("n_rows").alias("n_rows"), F.bool_and(F.col("length") > 0).alias("sized"))
 
 
 @query("object_read_write", "SELECT s_suppkey, s_name FROM supplier")
@@ -271,9 +277,9 @@ def rows_one_partition_at_a_time(t):
     return t.spark.createDataFrame(rows, "k bigint, n bigint")
 
 
-@query("csv_late_text_cell", "SELECT CASE WHEN event_id < 1500 THEN CAST(event_id AS VARCHAR) ELSE 'late ' || event_id END AS cell FROM events")
+@query("csv_late_text_cell", """SELECT CASE WHEN event_id < 0.9 * (SELECT MAX(event_id) FROM events) THEN CAST(event_id AS VARCHAR) ELSE 'late ' || event_id END AS cell FROM events""")
 def csv_late_text_cell(t):
-    cell = F.when(F.col("event_id") < 1500, F.col("event_id").cast("string")).otherwise(F.concat(F.lit("late "), "event_id"))
+    cell = F.when(F.col("event_id") < 0.9 * t.events.agg(F.max("event_id")).scalar(), F.col("event_id").cast("string")).otherwise(F.concat(F.lit("late "), "event_id"))
     path = scratch_path(t.spark, "late")
     t.events.select("event_id", cell.alias("cell")).repartition(1).sortWithinPartitions("event_id").write.option("header", True).csv(path)
     return I.read_csv(t.spark, path, col_types=I.infer_schema(t.spark, path)).select("cell")

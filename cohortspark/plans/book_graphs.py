@@ -1,5 +1,6 @@
 """Queries: graphs. Edges run from customers to suppliers by their orders."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortspark.operators import graph as G
@@ -81,53 +82,59 @@ def graph_components(t):
     return G.components(trade(t))
 
 
-def large_order_links(t):
-    """Customers linked to the days of their very large orders."""
-    day = F.datediff("o_orderdate", F.lit("1990-01-01")).cast("bigint") + 2000000000
-    return t.orders.where("o_totalprice > 450000").select(F.col("o_custkey").alias("src"), day.alias("dst"))
+def text_links(t):
+    """Each document linked to the one before it with the same text."""
+    w = Window.partitionBy("sig", "text").orderBy("doc_id")
+    d = t.documents.select("doc_id", F.xxhash64("text").alias("sig"), "text")
+    return d.select(F.col("doc_id").alias("src"), F.lag("doc_id").over(w).alias("dst")).where(F.col("dst").isNotNull())
 
 
-_LINKS = """e AS (SELECT DISTINCT o_custkey AS a, date_diff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) + 2000000000 AS b FROM orders WHERE o_totalprice > 450000),
-b AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(id, m) AS (SELECT a, a FROM b UNION SELECT b.b, r.m FROM r JOIN b ON b.a = r.id WHERE r.m < b.b)"""
-
-
-@query("graph_sparse_components", f"WITH RECURSIVE {_LINKS} SELECT id, MIN(m) AS component FROM r GROUP BY 1")
+@query("graph_sparse_components", "SELECT doc_id AS id, MIN(doc_id) OVER (PARTITION BY text) AS component FROM documents")
 def graph_sparse_components(t):
-    return G.components(large_order_links(t))
+    return G.components(text_links(t), t.documents.select(F.col("doc_id").alias("id")))
 
 
-@query("graph_link_components", f"""WITH RECURSIVE {_LINKS}, c AS (SELECT DISTINCT MIN(m) AS k FROM r GROUP BY id)
-SELECT k AS src, dst FROM (SELECT k, LEAD(k) OVER (ORDER BY k) AS dst FROM c) WHERE dst IS NOT NULL""")
+@query("graph_link_components", """SELECT k AS src, dst FROM (SELECT k, LEAD(k) OVER (ORDER BY k) AS dst FROM (SELECT MIN(doc_id) AS k FROM documents GROUP BY text)) WHERE dst IS NOT NULL""")
 def graph_link_components(t):
-    return G.link_components(G.components(large_order_links(t))).select("src", "dst")
+    return G.link_components(G.components(text_links(t), t.documents.select(F.col("doc_id").alias("id")))).select("src", "dst")
+
+
+def sales_tree(t):
+    """Region to nation to customer to order, over the whole tables; an order weighs its price, a customer 1.5, a nation 1."""
+    key = lambda c, base: (F.col(c).cast("bigint") + base)
+    link = lambda df, a, a0, b, b0, w: df.select(key(a, a0).alias("src"), key(b, b0).alias("dst"), w.cast("double").alias("weight"))
+    return (link(t.nation, "n_regionkey", 0, "n_nationkey", 100, F.lit(1.0))
+            .unionByName(link(t.customer, "c_nationkey", 100, "c_custkey", 10**9, F.lit(1.5)))
+            .unionByName(link(t.orders, "o_custkey", 10**9, "o_orderkey", 10**12, F.col("o_totalprice"))))
+
+
+_TREE = """a AS (SELECT CAST(r_regionkey AS BIGINT) AS id, r_regionkey AS r, 0 AS hops, 0.0::DOUBLE AS d FROM region
+UNION ALL SELECT n_nationkey + 100, n_regionkey, 1, 1.0 FROM nation
+UNION ALL SELECT c_custkey + 1000000000, n_regionkey, 2, 2.5 FROM customer JOIN nation ON n_nationkey = c_nationkey
+UNION ALL SELECT o_orderkey + 1000000000000, n_regionkey, 3, 2.5 + o_totalprice FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey)"""
 
 
-@query("graph_shortest_paths", f"""WITH RECURSIVE {_NATIONS}, e AS (SELECT src, dst, weight FROM n WHERE src <> dst),
-r(id, d, hops) AS (SELECT 0::BIGINT, 0.0::DOUBLE, 0 UNION SELECT id, d, hops FROM (SELECT dst AS id, MIN(d + weight) AS d, hops + 1 AS hops FROM r JOIN e ON src = id WHERE hops < 8 GROUP BY dst, hops))
-SELECT id, MIN(d) AS distance FROM r GROUP BY 1""")
+@query("graph_shortest_paths", f"WITH {_TREE} SELECT id, CASE WHEN r = 0 THEN ROUND(d, 2) ELSE CAST('inf' AS DOUBLE) END AS distance FROM a")
 def graph_shortest_paths(t):
-    return G.shortest_paths(nations(t).where("src <> dst"), 0)
+    return G.shortest_paths(sales_tree(t), 0).withColumn("distance", F.round("distance", 2))
 
 
-@query("graph_hops", f"""WITH RECURSIVE {_NATIONS}, e AS (SELECT src, dst FROM n WHERE dst = src + 1 OR dst = src + 3), r(id, h) AS (SELECT 0::BIGINT, 0 UNION SELECT dst, h + 1 FROM r JOIN e ON src = id WHERE h < 30)
-SELECT v.id, COALESCE(MIN(h)::DOUBLE, CAST('inf' AS DOUBLE)) AS distance FROM (SELECT src AS id FROM e UNION SELECT dst FROM e) v LEFT JOIN r ON r.id = v.id GROUP BY 1""")
+@query("graph_hops", f"WITH {_TREE} SELECT id, CASE WHEN r = 0 THEN hops::DOUBLE ELSE CAST('inf' AS DOUBLE) END AS distance FROM a")
 def graph_hops(t):
-    e = nations(t).where("dst = src + 1 OR dst = src + 3")
-    return G.shortest_paths(e, 0, weight=None)
+    return G.shortest_paths(sales_tree(t), 0, weight=None)
 
 
-@query("graph_reachable", f"""WITH RECURSIVE {_NATIONS}, e AS (SELECT src, dst FROM n WHERE dst = src + 1 OR dst = src + 3), r(id) AS (SELECT 0::BIGINT UNION SELECT dst FROM r JOIN e ON src = id)
-SELECT EXISTS (SELECT 1 FROM r WHERE id = 20) AS ahead, FALSE AS back, COUNT(*) AS n_edges FROM e""")
+@query("graph_reachable", """SELECT (SELECT n_regionkey = 0 FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey = 7) AS ahead, FALSE AS back,
+(SELECT COUNT(*) FROM nation) + (SELECT COUNT(*) FROM customer) + (SELECT COUNT(*) FROM orders) AS n_edges""")
 def graph_reachable(t):
-    e = nations(t).where("dst = src + 1 OR dst = src + 3")
-    there, back = G.st_connected(e, 0, 20), G.st_connected(e, 20, 0)
+    e = sales_tree(t)
+    there, back = G.st_connected(e, 0, 10**9 + 7), G.st_connected(e, 10**9 + 7, 0)
     return e.agg(F.lit(there).alias("ahead"), F.lit(back).alias("back"), F.count(F.lit(1)).alias("n_edges"))
 
 
-@query("graph_topological_levels", f"""WITH RECURSIVE {_NATIONS}, e AS (SELECT src, dst FROM n WHERE dst > src), r(id, l) AS (SELECT src, 0 FROM e WHERE src NOT IN (SELECT dst FROM e) UNION SELECT dst, l + 1 FROM r JOIN e ON src = id)
-SELECT id, MAX(l)::BIGINT AS level FROM r GROUP BY 1""")
+@query("graph_topological_levels", f"WITH {_TREE} SELECT id, hops::BIGINT AS level FROM a")
 def graph_topological_levels(t):
-    return G.topo_levels(nations(t).where("dst > src")).select("id", F.col("level").cast("bigint").alias("level"))
+    return G.topo_levels(sales_tree(t)).select("id", F.col("level").cast("bigint").alias("level"))
 
 
 @query("graph_eccentricity", f"WITH {_NATIONS} SELECT src AS id, MAX(weight) AS eccentricity FROM n GROUP BY 1")

@@ -17,10 +17,10 @@ def elementwise_math(t):
                          F.floor(p).alias("f"), F.ceil(p).alias("c"), F.abs(s - 25).cast("bigint").alias("a"), F.signum(s - 25).cast("bigint").alias("sg"))
 
 
-@query("gamma_family", "SELECT p_partkey, ROUND(lgamma(p_size), 5) AS lg, ROUND(lgamma(p_size + 1) - lgamma(3) - lgamma(p_size - 1), 5) AS lch FROM part WHERE p_size > 1")
+@query("gamma_family", "SELECT p_partkey, ROUND(lgamma(p_size), 5) AS lg, ROUND(lgamma(p_size + 1) - lgamma(p_size), 5) AS lch FROM part")
 def gamma_family(t):
     s = F.col("p_size").cast("double")
-    return t.part.where("p_size > 1").select("p_partkey", F.round(M.lgamma(s), 5).alias("lg"), F.round(M.lchoose(s, F.lit(2.0)), 5).alias("lch"))
+    return t.part.select("p_partkey", F.round(M.lgamma(s), 5).alias("lg"), F.round(M.lchoose(s, F.lit(1.0)), 5).alias("lch"))
 
 
 @query("gamma_values")

@@ -12,6 +12,7 @@ from cohortspark.operators import ordered as O
 from cohortspark.operators import verbs as V
 from cohortspark.plans import assessment as A
 from cohortspark.plans.registry import query
+from cohortspark.sources import warehouse as W
 
 # ------------------------------------------------------------ derived input
 
@@ -31,6 +32,11 @@ def scores(t):
     return A.dedupe_scores(raw_scores(t), method="highest", ties=["o_orderkey"])
 
 
+def score_pairs(t):
+    """Scores of two terms side by side, stored: norm tables and joins below read them several times."""
+    return W.compute(A.growth_pairs(W.compute(scores(t)), WINDOWS))
+
+
 def status_norms(df):
     keys = ["subject", "grade", "season"]
     # one row per whole score, and scores have an upper end, so the groups stay small
@@ -41,7 +47,7 @@ def status_norms(df):
 
 
 def ranked_scores(t):
-    s = scores(t)
+    s = W.compute(scores(t))
     return O.attach(s, status_norms(s), ["subject", "grade", "season", "score"])
 
 
@@ -58,7 +64,7 @@ def growth_norms(pairs):
 
 
 def growth(t):
-    pairs = A.growth_pairs(scores(t), WINDOWS)
+    pairs = score_pairs(t)
     return A.normed_growth(pairs, growth_norms(pairs))
 
 
@@ -157,7 +163,7 @@ def roster_attached(t):
 @query("roster_attached_growth", PAIRS_SQL + """SELECT student_id, subject, start_season, start_year, end_season, n_tests FROM pairs LEFT JOIN (SELECT student_id, academic_year AS end_year, season AS end_season, COUNT(*) AS n_tests FROM raw GROUP BY ALL) USING (student_id, end_year, end_season)""")
 def roster_attached_growth(t):
     roster = raw_scores(t).groupBy("student_id", "academic_year", "season").agg(F.count(F.lit(1)).alias("n_tests"))
-    pairs = A.growth_pairs(scores(t), WINDOWS)
+    pairs = score_pairs(t)
     return A.attach_roster_growth(pairs, roster).select("student_id", "subject", "start_season", "start_year", "end_season", "n_tests")
 
 
@@ -194,7 +200,7 @@ def limited_scores(t):
 
 @query("limited_growth", PAIRS_SQL + "SELECT student_id, start_year, end_score FROM pairs WHERE subject = 'Mathematics' AND start_season = 'Fall' AND end_season = 'Spring'")
 def limited_growth(t):
-    return A.limit_growth(A.growth_pairs(scores(t), WINDOWS), subject="Mathematics", window=("Fall", "Spring")).select("student_id", "start_year", "end_score")
+    return A.limit_growth(score_pairs(t), subject="Mathematics", window=("Fall", "Spring")).select("student_id", "start_year", "end_score")
 
 
 @query("students_with_terms", SCORES_SQL + "SELECT o_orderkey FROM scores WHERE (student_id, subject) IN (SELECT (student_id, subject) FROM scores GROUP BY student_id, subject HAVING COUNT(DISTINCT (academic_year, season)) >= 5)")
@@ -222,7 +228,7 @@ def baseline_with_fallback(t):
 
 @query("growth_pairs", PAIRS_SQL + "SELECT student_id, subject, start_season, start_year, start_score, end_season, end_year, end_score, start_grade, end_grade FROM pairs")
 def growth_pairs(t):
-    return A.growth_pairs(scores(t), WINDOWS)
+    return score_pairs(t)
 
 
 @query("normed_growth", GROWTH_SQL + "SELECT student_id, subject, start_season, start_year, end_season, growth, expected_growth, met, ROUND((growth - expected_growth) / sd_growth, 4) AS z FROM growth")
@@ -303,21 +309,21 @@ def cohort_percentiles(t):
 
 @query("cohort_expectations", SCHOOL_SQL + "SELECT school, subject, start_grade, start_season, end_season, n, ROUND(start_mean, 6) AS start_mean, ROUND(start_mean + expected_growth, 3) AS expected_end FROM per JOIN sn USING (subject, start_grade, start_season, end_season)")
 def cohort_expectations(t):
-    school, norms = school_growth_norms(t, A.growth_pairs(scores(t), WINDOWS))
+    school, norms = school_growth_norms(t, score_pairs(t))
     out = A.cohort_expectation(school, norms, ["school"])
     return out.select("school", *GROWTH_KEYS, "n", F.round("start_mean", 6).alias("start_mean"), F.round("expected_end", 3).alias("expected_end"))
 
 
 @query("cohort_growth_z", SCHOOL_SQL + "SELECT school, subject, start_grade, start_season, end_season, n, ROUND((end_mean - start_mean - expected_growth) / sd_growth, 3) AS z, (end_mean - start_mean - expected_growth) / sd_growth > 0 AS above FROM per JOIN sn USING (subject, start_grade, start_season, end_season)")
 def cohort_growth_z(t):
-    school, norms = school_growth_norms(t, A.growth_pairs(scores(t), WINDOWS))
+    school, norms = school_growth_norms(t, score_pairs(t))
     out = A.cohort_growth_percentile(school, norms, ["school"])
     return out.select("school", *GROWTH_KEYS, "n", F.round("z", 3).alias("z"), F.when(F.col("z").isNotNull(), F.col("cgp") > 50).alias("above"))
 
 
 @query("cohort_growth_targets")
 def cohort_growth_targets(t):
-    school, norms = school_growth_norms(t, A.growth_pairs(scores(t), WINDOWS))
+    school, norms = school_growth_norms(t, score_pairs(t))
     return A.cohort_targets(school, norms, ["school"], [50, 75, 90]).select("school", *GROWTH_KEYS, "cgp", F.round("target_mean", 4).alias("target_mean"))
 
 

@@ -101,9 +101,9 @@ def membership_never_na(t):
     return line_na(t).select(*LINE[:4], V.is_in("q", [1, 2, 3]).alias("hit"))
 
 
-@query("membership_in_table", "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000)")
+@query("membership_in_table", "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
 def membership_in_table(t):
-    return V.in_table(t.customer, "c_custkey", t.orders.where("o_totalprice > 450000"), "o_custkey").select("c_custkey")
+    return V.in_table(t.customer, "c_custkey", t.orders, "o_custkey").select("c_custkey")
 
 
 @query("between_near", """SELECT l_orderkey, l_quantity BETWEEN 10 AND 20 AS mid,
@@ -262,10 +262,10 @@ def append_next_ids(t):
     return V.append_with_id(t.customer.select("c_custkey", "c_name"), rows, "c_custkey", ["s_suppkey"])
 
 
-@query("delete_by_key", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)")
+@query("delete_by_key", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
 def delete_by_key(t):
-    keys = t.orders.where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
-    return V.delete_rows(t.customer.select("c_custkey"), keys, "c_custkey")
+    keys = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"))
+    return V.delete_rows(t.orders.select("o_orderkey"), keys, "o_orderkey")
 
 
 @query("keyed_lookup", "SELECT n_nationkey::BIGINT AS n_nationkey, n_name FROM nation WHERE n_name = 'NATION_7'")
@@ -287,32 +287,32 @@ def inner_join(t):
     return J.inner_join(t.orders, t.customer, {"o_custkey": "c_custkey"}).select("o_orderkey", "c_name")
 
 
-@query("left_join", """SELECT c_custkey, o_orderkey FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 300000) ON o_custkey = c_custkey""")
+@query("left_join", """SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON o_custkey = c_custkey""")
 def left_join(t):
-    return J.left_join(t.customer, t.orders.where("o_totalprice > 300000"), {"c_custkey": "o_custkey"}).select("c_custkey", "o_orderkey")
+    return J.left_join(t.customer, t.orders, {"c_custkey": "o_custkey"}).select("c_custkey", "o_orderkey")
 
 
-@query("right_join", """SELECT c_custkey, s_suppkey FROM (SELECT * FROM customer WHERE c_acctbal > 9000) RIGHT JOIN supplier ON c_nationkey = s_nationkey""")
+@query("right_join", "SELECT l_linenumber, o_orderkey FROM lineitem RIGHT JOIN orders ON l_orderkey = o_orderkey")
 def right_join(t):
-    return J.right_join(t.customer.where("c_acctbal > 9000"), t.supplier, {"c_nationkey": "s_nationkey"}).select("c_custkey", "s_suppkey")
+    return J.right_join(t.lineitem, t.orders, {"l_orderkey": "o_orderkey"}).select("l_linenumber", F.col("l_orderkey").alias("o_orderkey"))
 
 
 @query("full_join", """SELECT COALESCE(a.k, b.k) AS k, a.n AS "n.x", b.n AS "n.y" FROM
-(SELECT l_partkey AS k, COUNT(*) AS n FROM lineitem WHERE l_quantity > 45 GROUP BY 1) a FULL JOIN
-(SELECT l_partkey AS k, COUNT(*) AS n FROM lineitem WHERE l_quantity < 5 GROUP BY 1) b ON a.k = b.k""")
+(SELECT l_orderkey AS k, COUNT(*) AS n FROM lineitem GROUP BY 1) a FULL JOIN
+(SELECT o_custkey AS k, COUNT(*) AS n FROM orders GROUP BY 1) b ON a.k = b.k""")
 def full_join(t):
-    side = lambda cond: t.lineitem.where(cond).groupBy(F.col("l_partkey").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    return J.full_join(side("l_quantity > 45"), side("l_quantity < 5"), ["k"])
+    side = lambda df, c: df.groupBy(F.col(c).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    return J.full_join(side(t.lineitem, "l_orderkey"), side(t.orders, "o_custkey"), ["k"])
 
 
-@query("semi_join", "SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 350000)")
+@query("semi_join", "SELECT o_orderkey FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
 def semi_join(t):
-    return J.semi_join(t.customer, t.orders.where("o_totalprice > 350000"), {"c_custkey": "o_custkey"}).select("c_custkey")
+    return J.semi_join(t.orders, t.lineitem, {"o_orderkey": "l_orderkey"}).select("o_orderkey")
 
 
-@query("anti_join", "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 350000)")
+@query("anti_join", "SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
 def anti_join(t):
-    return J.anti_join(t.customer, t.orders.where("o_totalprice > 350000"), {"c_custkey": "o_custkey"}).select("c_custkey")
+    return J.anti_join(t.orders, t.lineitem, {"o_orderkey": "l_orderkey"}).select("o_orderkey")
 
 
 @query("natural_join", """SELECT label::BIGINT AS label, COUNT(*) AS n FROM (SELECT label, vec_id AS doc_id FROM embeddings) JOIN labels USING (doc_id) GROUP BY 1""")
@@ -338,12 +338,12 @@ def join_na_never_matches(t):
     return J.left_join(a, a, ["q"], na_matches="never")
 
 
-@query("join_factor_with_string", "SELECT p_partkey, s AS type_no FROM part JOIN (SELECT p_type AS ty, COUNT(*) AS s FROM part GROUP BY 1) ON ty = p_type")
+@query("join_factor_with_string", "SELECT p_partkey, s AS type_n, level FROM part JOIN (SELECT p_type AS ty, COUNT(*) AS s, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, p_type) AS level FROM part GROUP BY 1) ON ty = p_type")
 def join_factor_with_string(t):
     from cohortspark.operators import factors as C
     typed = C.level_number(t.part, "p_type", C.levels_infreq(t.part, "p_type"))
-    counts = C.fct_count(t.part, "p_type").withColumnRenamed("n", "type_no")
-    return J.inner_join(typed, counts, ["p_type"]).select("p_partkey", "type_no")
+    counts = C.fct_count(t.part, "p_type").withColumnRenamed("n", "type_n")
+    return J.inner_join(typed, counts, ["p_type"]).select("p_partkey", "type_n", F.col("p_type_level").alias("level"))
 
 
 @query("crossing_values", """SELECT * FROM (SELECT DISTINCT l_returnflag FROM lineitem) CROSS JOIN (SELECT DISTINCT o_orderpriority FROM orders)

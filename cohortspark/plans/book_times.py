@@ -104,10 +104,13 @@ def quarters(t):
     return t.orders.select("o_orderkey", D.quarter(d).cast("bigint").alias("q"), D.quarter(d, 7).cast("bigint").alias("fq"), D.semester(d).cast("bigint").alias("sem"), F.round(D.quarter(d, 7, True), 1).alias("yq"))
 
 
-@query("date_flags", """SELECT event_id, hour(ts) < 12 AS am, hour(ts) >= 12 AS pm, TRUE AS leap, 31::BIGINT AS days, FALSE AS dst FROM events""")
+@query("date_flags", """SELECT o_orderkey, hour(ts) < 12 AS am, hour(ts) >= 12 AS pm, year(ts) % 4 = 0 AS leap, day(last_day(ts))::BIGINT AS days,
+local >= april + CAST((7 - dayofweek(april)) % 7 AS INT) AND local < october - CAST(dayofweek(october) AS INT) AS dst
+FROM (SELECT *, CAST(ts AS DATE) - 1 AS local, make_date(year(CAST(ts AS DATE) - 1), 4, 1) AS april, make_date(year(CAST(ts AS DATE) - 1), 10, 31) AS october
+FROM (SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS ts FROM orders))""")
 def date_flags(t):
-    return t.events.select("event_id", D.am("ts").alias("am"), D.pm("ts").alias("pm"), D.leap_year("ts").alias("leap"), D.days_in_month("ts").cast("bigint").alias("days"),
-                           D.dst(F.col("ts").cast("timestamp"), "America/Chicago").alias("dst"))
+    return t.orders.select("o_orderkey", D.am("o_orderdate").alias("am"), D.pm("o_orderdate").alias("pm"), D.leap_year("o_orderdate").alias("leap"),
+                           D.days_in_month("o_orderdate").cast("bigint").alias("days"), D.dst(F.col("o_orderdate").cast("timestamp"), "America/Chicago").alias("dst"))
 
 
 @query("daylight_saving", """SELECT o_orderkey, epoch(timezone('America/Chicago', timezone('UTC', o_orderdate))) - epoch(o_orderdate) = -18000 AS dst FROM orders""")
