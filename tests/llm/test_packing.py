@@ -17,8 +17,11 @@ TEXTS = [None, "", " ", "  ", "a", " a", "a ", "a  b", "a\n b", "a\nb c", "it's
          "<|endoftext|> a b<|endoftext|>", "a <| b", "日本 語 text", "é ​ x", "\x1f a \x85 b", "trail \n", "🙂 🙂🙂 ok", "x\x0b y", "a\r\n b"]
 
 
+TOKENIZER = Tokenizer.from_file(PATH)
+
+
 def slow(text):
-    return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids
 
 
 def test_ids_equal_the_tokenizer(monkeypatch):
