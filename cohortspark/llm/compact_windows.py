@@ -65,42 +65,73 @@ def shingles(text: bytes | None) -> np.ndarray:
     return out
 
 
-def windows(v: np.ndarray, least: int, ties: bool) -> list[tuple[int, int, int]]:
-    """(start, place of the smallest, stop) of every Cartesian tree node of at least ``least`` tokens; one for each equal smallest token."""
-    out, todo = [], [(0, len(v))]
-    while todo:
-        a, b = todo.pop()
-        if b - a < least:
-            continue
-        c = a + int(v[a:b].argmin())
-        if not ties:
-            out.append((a, c, b))
-            todo += [(a, c), (c + 1, b)]
-            continue
-        at = a + np.flatnonzero(v[a:b] == v[c])
-        out += [(a, int(c), b) for c in at]
-        edges = np.concatenate(([a - 1], at, [b]))
-        wide = np.flatnonzero(np.diff(edges) > least)
-        todo += [(int(edges[k]) + 1, int(edges[k + 1])) for k in wide]
-    return out
+def sliding(v: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
+    """Smallest or largest of every ``width`` neighbours in a row, from running ones of blocks, forward and backward."""
+    k, n = v.shape
+    blocks = np.pad(v, ((0, 0), (0, -n % width))).reshape(k, -1, width)
+    ahead = best.accumulate(blocks, axis=2).reshape(k, -1)
+    back = best.accumulate(blocks[:, :, ::-1], axis=2)[:, :, ::-1].reshape(k, -1)
+    return best(back[:, :n - width + 1], ahead[:, width - 1:n])
+
+
+def windows(v: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, place of the smallest, stop) of every Cartesian tree node of at least ``least`` tokens, for each row; one for each equal smallest token.
+
+    A node of at least ``least`` tokens has a smallest token that is the smallest
+    of some stretch of that length, and so have its two borders, the next smaller
+    tokens. So the tree is built over these few tokens only.
+    """
+    k, n = v.shape
+    low = sliding(v, least, np.minimum)
+    # a token is the smallest of some stretch around it if the largest of their smallest ones is itself
+    high = sliding(np.pad(low, ((0, 0), (least - 1, least - 1))), least, np.maximum)
+    at = np.flatnonzero(high == v)
+    starts, stops = [], [0] * len(at)
+    open_: list[tuple[int, int, int]] = []  # number, place and value of the nodes on the right edge of the tree
+    before = -1
+    places, rows = (at % n).tolist(), (at // n).tolist()
+    for i, (row, place, value) in enumerate(zip(rows, places, v.ravel()[at].tolist())):
+        if row != before:
+            for j, _, _ in open_:
+                stops[j] = n
+            open_, before = [], row
+        while open_ and open_[-1][2] > value:
+            stops[open_.pop()[0]] = place
+        if open_ and open_[-1][2] == value:
+            starts.append(starts[open_[-1][0]])
+        else:
+            starts.append(open_[-1][1] + 1 if open_ else 0)
+        open_.append((i, place, value))
+    for j, _, _ in open_:
+        stops[j] = n
+    return np.array(rows, np.int64), np.array(starts, np.int64), np.array(places, np.int64), np.array(stops, np.int64)
+
+
+WIDE = (1 << 20) - 1
+
+
+def spans_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Start and width in one number; a width that does not fit means to the end of the text."""
+    return a << 20 | np.minimum(b - a, WIDE)
 
 
 def window_keys(text: bytes | None, words: int, hashes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and spans (start << 32 | stop, in shingles) of a text's windows, each key once."""
+    """Keys and spans (see ``spans_of``, in shingles) of a text's windows, each key once."""
     s, least = shingles(text), words - SHINGLE + 1
     if len(s) < least:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     side = (least - 1) // 2
     # smallest of the ``side`` tokens from each place on, under a function of its own
-    low = np.lib.stride_tricks.sliding_window_view(mix(s ^ np.uint64(0xA5A5A5A5)), side).min(axis=1)
-    ties = len(np.unique(s)) < len(s)
+    low = sliding(mix(s ^ np.uint64(0xA5A5A5A5))[None], side, np.minimum)[0]
+    seeds = mix(np.arange(1, hashes + 1, dtype=np.uint64))
+    step = max(1, 400_000 // len(s))  # rows at a time, for bounded memory
     keys, spans = [], []
-    for k in range(hashes):
-        v = mix(s + mix(np.array([k + 1], np.uint64)))
-        a, c, b = np.array(windows(v, least, ties), np.int64).reshape(-1, 3).T
-        span = a << 32 | b
+    for k in range(0, hashes, step):
+        v = mix(s + seeds[k:k + step, None])
+        row, a, c, b = windows(v, least)
+        span, value, side_no = spans_of(a, b), v[row, c], (2 * (row + k)).astype(np.uint64)
         left, right = c >= side, c + side < len(s)
-        keys += [mix(v[c[left]] ^ low[c[left] - side] + np.uint64(2 * k)), mix(v[c[right]] ^ low[c[right] + 1] + np.uint64(2 * k + 1))]
+        keys += [mix(value[left] ^ low[c[left] - side] + side_no[left]), mix(value[right] ^ low[c[right] + 1] + side_no[right] + np.uint64(1))]
         spans += [span[left], span[right]]
     keys, first = np.unique(np.concatenate(keys).view(np.int64), return_index=True)
     return keys, np.concatenate(spans)[first]
@@ -142,7 +173,8 @@ def candidate_rows(docs: DataFrame, words: int, hashes: int) -> DataFrame:
 def covered(spans: list[int], enough: int) -> np.ndarray:
     """Intervals that at least ``enough`` of the spans cover."""
     s = np.array(spans, np.int64)
-    at = np.concatenate((s >> 32, s & 0xFFFFFFFF))
+    start, width = s >> 20, s & WIDE
+    at = np.concatenate((start, np.where(width == WIDE, np.iinfo(np.int64).max, start + width)))
     step = np.concatenate((np.ones(len(s), np.int64), -np.ones(len(s), np.int64)))
     by = np.lexsort((-step, at))
     depth = np.cumsum(step[by])

@@ -9,12 +9,27 @@ from cohortspark.llm import compact_windows as C
 from cohortspark.llm.decontaminate import words_of
 
 
+def tree_nodes(v: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """Nodes by definition: take the smallest token, go on to its left and right."""
+    out, todo = [], [(0, len(v))]
+    while todo:
+        a, b = todo.pop()
+        if b - a < least:
+            continue
+        c = a + int(v[a:b].argmin())
+        at = a + np.flatnonzero(v[a:b] == v[c])
+        out += [(a, int(c), b) for c in at]
+        edges = np.concatenate(([a - 1], at, [b]))
+        wide = np.flatnonzero(np.diff(edges) > least)
+        todo += [(int(edges[k]) + 1, int(edges[k + 1])) for k in wide]
+    return out
+
+
 def test_windows_cover_each_run_once():
     rng = np.random.default_rng(0)
     for n, top in ((40, 10**6), (60, 5), (7, 3), (0, 2)):
         v = rng.integers(0, top, n).astype(np.uint64)
-        ties = len(np.unique(v)) < n
-        found = C.windows(v, 4, ties)
+        found = tree_nodes(v, 4)
         for a in range(n):
             for b in range(a + 4, n + 1):
                 low = v[a:b].min()
@@ -22,6 +37,20 @@ def test_windows_cover_each_run_once():
                 assert len(holds) == 1
 
 
+def test_windows_are_the_tree_nodes():
+    rng = np.random.default_rng(5)
+    for n in (4, 5, 8, 13, 100, 1003):
+        for top, least in ((2**63, 1), (2**63, 4), (4, 1), (4, 2), (30, 4), (2, 3)):
+            v = rng.integers(1, top, (3, n)).astype(np.uint64)
+            got = sorted(zip(*(x.tolist() for x in C.windows(v, least))))
+            assert got == sorted((k, *w) for k in range(3) for w in tree_nodes(v[k], least))
+
+
+def test_wide_spans_reach_to_the_end():
+    spans = C.spans_of(np.array([3, 5]), np.array([10, 5 + 2**21]))
+    assert C.covered(spans.tolist(), 1).tolist() == [[3, np.iinfo(np.int64).max]] and C.covered(spans.tolist(), 2).tolist() == [[5, 10]]
+
+
 def vocabulary(rng, n, tag):
     return [f"{tag}{rng.randrange(5000)}" for _ in range(n)]
 
