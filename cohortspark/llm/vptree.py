@@ -84,10 +84,14 @@ class Search:
         """Distances of queries to points [a, b); the nearest k are kept."""
         d = np.sqrt(np.maximum(0, 2 - 2 * (self.q[who] @ self.x[a:b].T)))
         self.measured += d.size
-        both = np.concatenate((self.near[who], d), axis=1)
-        at = np.concatenate((self.found[who], np.broadcast_to(np.arange(a, b), d.shape)), axis=1)
-        best = np.argsort(both, axis=1, kind="stable")[:, :self.k]
-        self.near[who], self.found[who] = np.take_along_axis(both, best, 1), np.take_along_axis(at, best, 1)
+        # most leaves hold nothing nearer than what is known
+        nearer = np.flatnonzero(d.min(axis=1) < self.near[who, -1])
+        if len(nearer):
+            who, closer = who[nearer], d[nearer]
+            both = np.concatenate((self.near[who], closer), axis=1)
+            at = np.concatenate((self.found[who], np.broadcast_to(np.arange(a, b), closer.shape)), axis=1)
+            best = np.argsort(both, axis=1, kind="stable")[:, :self.k]
+            self.near[who], self.found[who] = np.take_along_axis(both, best, 1), np.take_along_axis(at, best, 1)
         return d
 
     def walk(self, who: np.ndarray, a: int, b: int) -> None:
