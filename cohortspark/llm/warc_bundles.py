@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import struct
 import uuid
 from collections.abc import Iterator
@@ -39,6 +40,7 @@ from pyspark.sql import functions as F
 from cohortspark.llm.common import map_batches, store
 from cohortspark.session import scratch_path
 
+TASK_FRAMES = 16
 # Fixed values of the seekable format: skippable frame, its footer, size of an entry and of the footer.
 SKIPPABLE, SEEKABLE, ENTRY, FOOTER = 0x184D2A5E, 0x8F92EAB1, 8, 9
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -192,8 +194,9 @@ def rows_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 def read_bundles(index: DataFrame, with_payload: bool = False) -> DataFrame:
     """All records of the bundles that an index lists, read frame by frame; see RECORD."""
     schema = RECORD if with_payload else RECORD.removesuffix(", payload binary")
-    # one row for each frame, so that large bundles are read by several tasks
+    # one row for each frame; a fixed number of them for each task, as their rows are too small to be dealt by size
     frames = index.select("bundle", "frame").distinct()
+    frames = frames.repartition(max(1, math.ceil(frames.count() / TASK_FRAMES)), "bundle", "frame")
 
     def read(batches):
         for uri, frame in pairs(batches):
