@@ -17,7 +17,9 @@ have it; there it is linked to the first one of all. No pairs are built.
 For every candidate pair of texts the windows of all functions are joined as
 intervals: where at least ``enough`` cover a place, on both sides, the shingles are
 compared. What stays are passages of at least ``words`` words on both sides whose
-shingle sets have a similarity of ``similarity`` or more.
+shingle sets have a similarity of ``similarity`` or more. Common shingles are followed from
+one to the next by their places in both texts, so other shared text beside a
+passage, or elsewhere, does not count against it.
 
 An exact repeat is met under every function; one with similarity s under each
 with a probability of about s * s. Equal texts are one text until the end.
@@ -40,6 +42,7 @@ from cohortspark.llm.common import components, map_batches, store
 from cohortspark.llm.decontaminate import words_of
 
 SHINGLE = 5
+GAP = 2 * SHINGLE
 PART_ROWS = 400_000
 ROW = "key long, text long, span long, first long, first_span long"
 LINK = "one long, one_start int, one_stop int, other long, other_start int, other_stop int, similarity double"
@@ -185,45 +188,103 @@ def covered(spans: list[int], enough: int) -> np.ndarray:
     return at[by][edge].reshape(-1, 2)
 
 
-def runs(hit: np.ndarray, gap: int, least: int) -> list[tuple[int, int]]:
-    """Stretches of hits with at most ``gap`` misses in a row between them, of at least ``least`` places."""
-    at = np.flatnonzero(hit)
-    if not len(at):
-        return []
-    cut = np.flatnonzero(np.diff(at) > gap + 1)
-    starts, stops = at[np.append(0, cut + 1)], at[np.append(cut, len(at) - 1)] + 1
-    return [(int(a), int(b)) for a, b in zip(starts, stops) if b - a >= least]
+def same(a: np.ndarray, b: np.ndarray) -> int:
+    """How many shingles two texts have in common from their starts on."""
+    n, at, step = min(len(a), len(b)), 0, 64
+    while at < n:
+        stop = min(n, at + step)
+        differ = a[at:stop] != b[at:stop]
+        k = int(differ.argmax())
+        if differ[k]:
+            return at + k
+        at, step = stop, 4 * step
+    return n
+
+
+def follow(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
+    """Start in a, start in b and length of the common runs met one after the other, with at most GAP places skipped in each between them."""
+    out, i, j = [], 0, 0
+    while True:
+        n = same(a[i:], b[j:])
+        if n:
+            out.append((i, j, n))
+        i, j = i + n, j + n
+        u, w = np.nonzero(a[i:i + GAP + 1, None] == b[None, j:j + GAP + 1])
+        if not len(u):
+            return out
+        # the fewest places skipped, then the least drift
+        best = np.lexsort((abs(u - w), u + w))[0]
+        i, j = i + int(u[best]), j + int(w[best])
+
+
+def chain(a: np.ndarray, b: np.ndarray, p: int, q: int) -> np.ndarray:
+    """The common runs before and after the place p of ``a`` and q of ``b``, which are equal; runs that meet there are one."""
+    after = [(p + i, q + j, n) for i, j, n in follow(a[p:], b[q:])]
+    before = [(p - i - n, q - j - n, n) for i, j, n in follow(a[:p][::-1], b[:q][::-1])][::-1]
+    if before and before[-1][0] + before[-1][2] == p and before[-1][1] + before[-1][2] == q:
+        i, j, n = before.pop()
+        after[0] = (i, j, n + after[0][2])
+    return np.array(before + after, np.int64)
+
+
+def stretches(blocks: np.ndarray, least: int, similarity: float) -> list[tuple[int, int]]:
+    """First and last run of the longest stretch that is similar enough, then of what lies before and behind it."""
+    i, j, n = blocks.T
+    total = np.cumsum(n)
+    # common >= similarity * all together, as a difference of a value at the end and one at the start
+    end = (1 + similarity) * total - similarity * (i + j + 2 * n) + 1e-9
+    start = (1 + similarity) * (total - n) - similarity * (i + j)
+    out, todo = [], [(0, len(n))]
+    while todo:
+        lo, hi = todo.pop()
+        if lo >= hi:
+            continue
+        top = np.maximum.accumulate(end[lo:hi][::-1])  # rises towards the front
+        last = hi - 1 - np.searchsorted(top, start[lo:hi])
+        size = np.maximum(i[last] + n[last] - i[lo:hi], j[last] + n[last] - j[lo:hi])
+        k = int(size.argmax())
+        if size[k] >= least:
+            out.append((lo + k, int(last[k])))
+            todo += [(lo, lo + k), (int(last[k]) + 1, hi)]
+    return out
+
+
+def align(a: np.ndarray, b: np.ndarray, least: int, similarity: float, seeds: list[tuple[int, int]]) -> tuple[list[tuple[int, int, int, int, float]], list[tuple[int, int]]]:
+    """Near-duplicate stretches around ``seeds`` (places of equal shingles), and the common run around each seed: places before and behind it."""
+    found, around, known = set(), [], {}
+    for p, q in seeds:
+        at = next((r for r in known.get(q - p, ()) if r[0] <= p < r[1]), None)
+        if at is None:
+            blocks = chain(a, b, p, q)
+            for i, j, n in blocks.tolist():
+                known.setdefault(j - i, []).append((i, i + n))
+            at = next(r for r in reversed(known[q - p]) if r[0] <= p < r[1])
+            for x, y in stretches(blocks, least, similarity):
+                (i, j, _), (u, w, m) = blocks[x].tolist(), blocks[y].tolist()
+                parts = [(i, u + m, j, w + m)]
+                if jaccard(a, b, *parts[0]) < similarity:  # places that repeat count once
+                    parts = [(i, i + n, j, j + n) for i, j, n in blocks[x:y + 1].tolist() if n >= least]
+                found.update((*part, jaccard(a, b, *part)) for part in parts)
+        around.append((p - at[0], at[1] - 1 - p))
+    # in repetitive texts a passage shows again inside a longer one, shifted
+    kept: list[tuple[int, int, int, int, float]] = []
+    for r in sorted(found, key=lambda r: (r[0] - r[1] + r[2] - r[3], r)):
+        if not any(k[0] <= r[0] and r[1] <= k[1] and k[2] <= r[2] and r[3] <= k[3] for k in kept):
+            kept.append(r)
+    return sorted(kept), around
+
+
+def jaccard(a: np.ndarray, b: np.ndarray, s: int, e: int, x: int, y: int) -> float:
+    own, their = set(a[s:e].tolist()), set(b[x:y].tolist())
+    return len(own & their) / len(own | their)
 
 
 def passages(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> list[tuple[int, int, int, int, float]]:
     """Stretches of ``a`` and ``b`` that are near-duplicates: start and stop in each, and the similarity of their sets."""
-    in_a, in_b = np.isin(a, b), np.isin(b, a)
-    out: list[tuple[int, int, int, int, float]] = []
-    # wide stretches first; what they miss is tried with smaller gaps
-    for gap in (2 * SHINGLE, SHINGLE, 0):
-        # a side may be shorter by what the other one has more
-        short = int(np.ceil(least * similarity))
-        theirs = runs(in_b, gap, short)
-        for s, e in runs(in_a, gap, short):
-            if any(s < f and x < e for x, f, *_ in out):
-                continue
-            mine = set(a[s:e].tolist())
-            for x, y in theirs:
-                other = set(b[x:y].tolist())
-                both = len(mine & other)
-                if both and both / len(mine | other) >= similarity and max(e - s, y - x) >= least:
-                    out.append((s, e, x, y, both / len(mine | other)))
-                elif both and gap == 0:
-                    # the longest of them may lie inside a longer stretch on one side
-                    part = runs(np.isin(a[s:e], b[x:y]), 0, least)
-                    for p, q in part:
-                        inside = runs(np.isin(b[x:y], a[s + p:s + q]), 0, least)
-                        for u, w in inside:
-                            own, their = set(a[s + p:s + q].tolist()), set(b[x + u:x + w].tolist())
-                            j = len(own & their) / len(own | their)
-                            if j >= similarity:
-                                out.append((s + p, s + q, x + u, x + w, j))
-    return out
+    where: dict[int, list[int]] = {}
+    for q, v in enumerate(b.tolist()):
+        where.setdefault(v, []).append(q)
+    return align(a, b, least, similarity, [(p, q) for p, v in enumerate(a.tolist()) for q in where.get(v, ())])[0]
 
 
 def verify(pairs: DataFrame, texts: DataFrame, words: int, similarity: float, enough: int) -> DataFrame:

@@ -137,3 +137,37 @@ def test_passages():
     (s, e, x, y, j), = C.passages(a, b, 46, .8)
     assert (s, e, x, y) == (100, 170, 20, 90) and j == pytest.approx(65 / 71, abs=.01)
     assert C.passages(a, b[:40], 46, .8) == []
+
+
+def test_passages_that_lie_apart_in_the_other_text():
+    rng = np.random.default_rng(6)
+    new = lambda n: rng.integers(0, 2**60, n).astype(np.uint64)
+    parts = [new(56), new(56)]
+    changed = [p.copy() for p in parts]
+    for p in changed:
+        p[26:31] = new(5)  # the middle word
+    # in a side by side, four shingles span the border
+    a, b = np.concatenate((new(30), parts[0], new(4), parts[1], new(30))), np.concatenate((new(9), changed[0], new(24), changed[1], new(9)))
+    assert [r[:4] for r in C.passages(a, b, 46, .8)] == [(30, 86, 9, 65), (90, 146, 89, 145)]
+    # an exact copy beside other shared text that lies elsewhere
+    c = np.concatenate((parts[1], new(40), parts[0]))
+    assert [r[:4] for r in C.passages(a, c, 46, .8)] == [(30, 86, 96, 152), (90, 146, 0, 56)]
+
+
+def test_passages_hold_all_planted_near_copies():
+    rng = np.random.default_rng(7)
+    for _ in range(40):
+        parts = [rng.integers(0, 2**60, rng.integers(56, 90)).astype(np.uint64) for _ in range(4)]
+        a, b, want = [], [], []
+        for k in rng.permutation(4):
+            a += [parts[k], rng.integers(0, 2**60, rng.choice([0, 4, 20])).astype(np.uint64)]
+        for k in rng.permutation(4):
+            near = parts[k].copy()
+            near[25:30] = 7
+            b += [near, rng.integers(0, 2**60, rng.choice([0, 4, 20])).astype(np.uint64)]
+        a, b = np.concatenate(a), np.concatenate(b)
+        got = C.passages(a, b, 46, .8)
+        for p in parts:
+            s, x = int(np.flatnonzero(a == p[0])[0]), int(np.flatnonzero(b == p[0])[0])
+            assert any(i <= s and s + len(p) <= e and j <= x and x + len(p) <= y for i, e, j, y, _ in got)
+        assert all(r[4] >= .8 for r in got)
