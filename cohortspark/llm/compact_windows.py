@@ -8,21 +8,29 @@ about two for each passage length, and this for each of ``hashes`` functions.
 
 A passage that occurs again has the same smallest token there, and on one side of
 it at least half a passage of the same neighbours. So a window gets a key for
-each side: its smallest token and the smallest of the neighbours there. Windows
-with a key in common are candidates. A task first links its own windows of a key
-to the first document among them and passes on that one alone, so that a key
-meets again with at most one row from each task part, however many documents
-have it; there it is linked to the first one of all. No pairs are built.
-
-For every candidate pair of texts the windows of all functions are joined as
-intervals: where at least ``enough`` cover a place, on both sides, the shingles are
-compared. What stays are passages of at least ``words`` words on both sides whose
-shingle sets have a similarity of ``similarity`` or more. Common shingles are followed from
-one to the next by their places in both texts, so other shared text beside a
-passage, or elsewhere, does not count against it.
+each side: its smallest token and the smallest of the neighbours there. A task
+first links its own windows of a key to the first text among them and passes on
+that one alone, so that a key meets again with at most one row from each task
+part, however many documents have it; then all are linked to the first one of all.
+No pairs are built.
+
+Each linked text is compared with the first one around the place of the key:
+common shingles are followed from one to the next by their places in both texts,
+so other shared text beside a passage, or elsewhere, does not count against it. What
+stays are passages of at least ``words`` words on one side, not more than
+``similarity`` shorter on the other, whose shingle sets have a similarity of
+``similarity`` or more.
+
+The first text may share only a line with the others, which share more with each
+other. A text meets again, round by round, under the run it shares with the first
+one made longer by the next shingle on each side, up to the length of a passage:
+two texts with the same passage leave the first one's at the same place, or have
+all of it in common with it. So every exact repeat is compared, whatever else shares its keys,
+at two rows for each row of a round.
 
 An exact repeat is met under every function; one with similarity s under each
-with a probability of about s * s. Equal texts are one text until the end.
+with a probability of about s * s, and again only if the changed words leave the
+longer run whole. Equal texts are one text until the end.
 
 Defined cases: null, empty and short texts have no passage. Texts are known by a
 64-bit hash. Rows that repeat an id and text count once; rows without id are
@@ -44,7 +52,9 @@ from cohortspark.llm.decontaminate import words_of
 SHINGLE = 5
 GAP = 2 * SHINGLE
 PART_ROWS = 400_000
-ROW = "key long, text long, span long, first long, first_span long"
+ROW = "key long, own long, text long, places long, first long"
+MET = "grp long, one long, one_at int, other long, other_at int, ahead int, behind int"
+SEEN = "one long, one_start int, one_stop int, other long, other_start int, other_stop int, similarity double, grp long, at int, ahead int, behind int"
 LINK = "one long, one_start int, one_stop int, other long, other_start int, other_stop int, similarity double"
 
 
@@ -119,7 +129,7 @@ def spans_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def window_keys(text: bytes | None, words: int, hashes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and spans (see ``spans_of``, in shingles) of a text's windows, each key once."""
+    """Keys of a text's windows, each key once, and the places of their smallest tokens."""
     s, least = shingles(text), words - SHINGLE + 1
     if len(s) < least:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -128,32 +138,31 @@ def window_keys(text: bytes | None, words: int, hashes: int) -> tuple[np.ndarray
     low = sliding(mix(s ^ np.uint64(0xA5A5A5A5))[None], side, np.minimum)[0]
     seeds = mix(np.arange(1, hashes + 1, dtype=np.uint64))
     step = max(1, 400_000 // len(s))  # rows at a time, for bounded memory
-    keys, spans = [], []
+    keys, places = [], []
     for k in range(0, hashes, step):
         v = mix(s + seeds[k:k + step, None])
         row, a, c, b = windows(v, least)
-        span, value, side_no = spans_of(a, b), v[row, c], (2 * (row + k)).astype(np.uint64)
+        value, side_no = v[row, c], (2 * (row + k)).astype(np.uint64)
         left, right = c >= side, c + side < len(s)
         keys += [mix(value[left] ^ low[c[left] - side] + side_no[left]), mix(value[right] ^ low[c[right] + 1] + side_no[right] + np.uint64(1))]
-        spans += [span[left], span[right]]
+        places += [c[left], c[right]]
     keys, first = np.unique(np.concatenate(keys).view(np.int64), return_index=True)
-    return keys, np.concatenate(spans)[first]
+    return keys, np.concatenate(places)[first]
 
 
-def link_part(keys: np.ndarray, texts: np.ndarray, spans: np.ndarray) -> pa.RecordBatch:
-    """Rows of one part: the first text of a key goes on, the others are linked to it here."""
-    by = np.lexsort((texts, keys))
-    keys, texts, spans = keys[by], texts[by], spans[by]
-    fresh = np.append(True, (keys[1:] != keys[:-1]) | (texts[1:] != texts[:-1]))
-    keys, texts, spans = keys[fresh], texts[fresh], spans[fresh]
+def link_part(keys: np.ndarray, texts: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+    """Rows of one part: the first row of a key goes on, the others are linked to it here."""
+    by = np.lexsort((places, texts, keys))
+    keys, texts, places = keys[by], texts[by], places[by]
     head = np.append(True, keys[1:] != keys[:-1])
     first = np.flatnonzero(head)[np.cumsum(head) - 1]
     # a linked row needs no meeting place: it is spread by its text
     key = np.where(head, keys, mix(texts.view(np.uint64)).view(np.int64))
-    lead, lead_span = texts[first], spans[first]
+    both = places << 32 | np.where(head, 0, places[first])
+    lead = texts[first]
     by = np.argsort(texts, kind="stable")  # rows of a text side by side make smaller shuffle files
-    return pa.RecordBatch.from_arrays([pa.array(key[by]), pa.array(texts[by]), pa.array(spans[by]), pa.array(lead[by], mask=head[by]),
-                                       pa.array(lead_span[by], mask=head[by])], ["key", "text", "span", "first", "first_span"])
+    return pa.RecordBatch.from_arrays([pa.array(key[by]), pa.array(keys[by], mask=head[by]), pa.array(texts[by]), pa.array(both[by]), pa.array(lead[by], mask=head[by])],
+                                      ["key", "own", "text", "places", "first"])
 
 
 def candidate_rows(docs: DataFrame, words: int, hashes: int) -> DataFrame:
@@ -162,9 +171,9 @@ def candidate_rows(docs: DataFrame, words: int, hashes: int) -> DataFrame:
         held, size = [], 0
         for batch in batches:
             for sig, body in zip(batch.column("sig").to_pylist(), batch.column("body")):
-                keys, spans = window_keys(body.as_py(), words, hashes)
+                keys, places = window_keys(body.as_py(), words, hashes)
                 if len(keys):
-                    held.append((keys, np.full(len(keys), sig, np.int64), spans))
+                    held.append((keys, np.full(len(keys), sig, np.int64), places))
                     size += len(keys)
                 if size >= PART_ROWS:
                     yield link_part(*map(np.concatenate, zip(*held)))
@@ -175,6 +184,34 @@ def candidate_rows(docs: DataFrame, words: int, hashes: int) -> DataFrame:
     return map_batches(docs, scan, ROW)
 
 
+def first_meetings(rows: DataFrame) -> DataFrame:
+    """MET: every row of a key that two texts have, with the key's first text and place."""
+    top = F.min(F.when(F.col("first").isNull(), F.struct("text", "places"))).over(Window.partitionBy("key"))
+    linked = store(rows.withColumn("top", top).where("first IS NOT NULL OR text <> top.text").select(
+        F.coalesce("own", "key").alias("key"), "text", "places", "first", F.when(F.col("first").isNull(), F.col("top")).alias("top")), "linked")
+    # the first text of a part may not be the first of all
+    heads = linked.where("first IS NULL").select(F.col("key").alias("k"), F.col("text").alias("t"), F.col("top").alias("above")).distinct()
+    low = F.col("places").bitwiseAND(0xFFFFFFFF)
+    met = linked.where("first IS NOT NULL").join(heads, (F.col("key") == F.col("k")) & (F.col("first") == F.col("t")), "left").select(
+        "key", F.coalesce("above.text", "first").alias("one"), F.coalesce(F.shiftright("above.places", 32), low).alias("one_at"),
+        F.col("text").alias("other"), F.shiftright("places", 32).alias("other_at"))
+    met = met.unionByName(linked.where("first IS NULL").select(
+        "key", F.col("top.text").alias("one"), F.shiftright("top.places", 32).alias("one_at"), F.col("text").alias("other"), F.shiftright("places", 32).alias("other_at")))
+    met = met.distinct().where("one <> other OR one_at <> other_at")
+    # other places of the first text itself count where a second text has the key
+    met = store(met, "met")
+    alone = met.where("one = other").join(met.where("one <> other").select("key").distinct(), "key", "left_semi")
+    return met.where("one <> other").unionByName(alone).select(
+        F.col("key").alias("grp"), "one", F.col("one_at").cast("int"), "other", F.col("other_at").cast("int"), F.lit(0).alias("ahead"), F.lit(0).alias("behind"))
+
+
+def meet_again(rows: DataFrame) -> DataFrame:
+    """MET: the rows (grp, text, at, ahead, behind) of a group that two texts have, with its first text and place."""
+    first = rows.groupBy("grp").agg(F.min(F.struct("text", "at")).alias("top"), F.max("text").alias("last")).where("top.text <> last").drop("last")
+    return rows.join(first, "grp").where("text <> top.text OR at <> top.at").select(
+        "grp", F.col("top.text").alias("one"), F.col("top.at").alias("one_at"), F.col("text").alias("other"), F.col("at").alias("other_at"), "ahead", "behind")
+
+
 def covered(spans: list[int], enough: int) -> np.ndarray:
     """Intervals that at least ``enough`` of the spans cover."""
     s = np.array(spans, np.int64)
@@ -287,35 +324,53 @@ def passages(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> lis
     return align(a, b, least, similarity, [(p, q) for p, v in enumerate(a.tolist()) for q in where.get(v, ())])[0]
 
 
-def verify(pairs: DataFrame, texts: DataFrame, words: int, similarity: float, enough: int) -> DataFrame:
-    """LINK for every near-duplicate passage of ``pairs`` (one, other, spans), with the texts from ``texts`` (sig, body)."""
+def run_key(s: np.ndarray, place: int, ahead: int, behind: int) -> int:
+    """Key of the run of shingles from ``ahead`` places before a place to ``behind`` places after it."""
+    run = s[place - ahead:place + behind + 1] + mix(np.arange(1 - ahead, behind + 2, dtype=np.int64).view(np.uint64))
+    return int(mix(np.array([mix(run).sum()])).view(np.int64)[0])
+
+
+def verify(met: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """SEEN for the near-duplicate passages around the places of MET, and for the groups in which its rows meet again; with the texts from ``texts`` (sig, body).
+
+    Two texts with an exact passage around their places may both differ from the
+    first one inside it. They do so at the same place, at the end of the run they
+    share with it, and meet again under the run that is one shingle longer.
+    """
     least = words - SHINGLE + 1
+    pairs = met.groupBy("one", "other").agg(F.sort_array(F.collect_list(F.struct("one_at", "other_at", "ahead", "behind"))).alias("seeds"))
     t1, t2 = texts.selectExpr("sig AS one", "body AS body1"), texts.selectExpr("sig AS other", "body AS body2")
-    rows = pairs.join(t2, "other").join(t1, "one").select("one", "other", "spans1", "spans2", "body1", "body2")
+    rows = pairs.join(t2, "other").join(t1, "one").select("one", "other", "seeds", "body1", "body2")
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    names = [x.split()[0] for x in SEEN.split(", ")]
 
     def look(batches):
+        last, kept = None, None
         for batch in batches:
-            got, last, kept = [], None, None
-            for one, other, s1, s2, b1, b2 in zip(*(c.to_pylist() for c in batch.columns)):
+            got = []
+            for one, other, seeds, b1, b2 in zip(*(batch.column(c).to_pylist() for c in ("one", "other", "seeds", "body1", "body2"))):
                 if one != last:
                     last, kept = one, shingles(b1)
-                a, b = kept, shingles(b2)
-                mine, theirs = covered(s1, enough), covered(s2, enough)
-                done = set()
-                for p, q in mine.tolist():
-                    for u, w in theirs.tolist():
-                        for s, e, x, y, j in passages(a[p:q], b[u:w], least, similarity):
-                            done.add((one, p + s, p + e + SHINGLE - 1, other, u + x, u + y + SHINGLE - 1, j))
-                got += sorted(done)
+                a, b = kept, kept if one == other else shingles(b2)
+                found, around = align(a, b, least, similarity, [(x["one_at"], x["other_at"]) for x in seeds])
+                if one != other:
+                    got += [(one, s, e + SHINGLE - 1, other, x, y + SHINGLE - 1, j, None, None, None, None) for s, e, x, y, j in found]
+                again = set()
+                for x, (before, after) in zip(seeds, around):
+                    at, ahead, behind = x["other_at"], x["ahead"], x["behind"]
+                    # a passage around the place reaches no farther than ``least`` - 1 places
+                    if before + 1 < least and before < at:
+                        again.add((at, before + 1, behind))
+                    if after + 1 < least and at + after + 1 < len(b):
+                        again.add((at, ahead, after + 1))
+                got += [(None, None, None, other, None, None, None, run_key(b, *x), *x) for x in again]
             if got:
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*got), kinds)], [x.split()[0] for x in LINK.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*got), kinds)], names)
 
-    return map_batches(rows, look, LINK)
+    return map_batches(rows, look, SEEN)
 
 
-def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 50, similarity: float = 0.8, hashes: int = 6,
-             enough: int = 2) -> tuple[DataFrame, DataFrame]:
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 50, similarity: float = 0.8, hashes: int = 6) -> tuple[DataFrame, DataFrame]:
     """Documents with repeated passages, and the verified links between texts.
 
     The first has doc, sig, class (the smallest id reachable), n_links (links of
@@ -324,19 +379,21 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("sig"), text.alias("body"))
-    met = candidate_rows(rows.select("sig", "body"), words, hashes)
-    top = F.min(F.when(F.col("first").isNull(), F.struct("text", "span"))).over(Window.partitionBy("key"))
-    linked = met.withColumn("top", top).select(
-        F.coalesce("first", "top.text").alias("one"), F.when(F.col("first").isNotNull(), F.col("first_span")).otherwise(F.col("top.span")).alias("span1"),
-        F.col("text").alias("other"), F.col("span").alias("span2")).where("one <> other")
-    pairs = store(linked.groupBy("one", "other").agg(F.collect_list("span1").alias("spans1"), F.collect_list("span2").alias("spans2")).where(
-        F.size("spans1") >= enough), "candidates")
+    met = first_meetings(candidate_rows(rows.select("sig", "body"), words, hashes))
 
     owners = store(rows.select("doc", "sig", F.octet_length("body").alias("size")).distinct(), "owners")
     one_of = owners.groupBy("sig").agg(F.min(F.struct(F.col("doc").isNull(), "doc")).alias("m")).select("sig", F.col("m.doc").alias("doc"))
-    asked = pairs.select(F.explode(F.array("one", "other")).alias("sig")).distinct().join(one_of, "sig").select(F.col("sig").alias("s"), F.col("doc").alias("d"))
+    asked = met.select(F.explode(F.array("one", "other")).alias("sig")).distinct().join(one_of, "sig").select(F.col("sig").alias("s"), F.col("doc").alias("d"))
     texts = store(rows.join(asked, rows.doc.eqNullSafe(asked.d) & (rows.sig == asked.s)).select("sig", "body").dropDuplicates(["sig"]), "texts")
-    links = store(verify(pairs, texts, words, similarity, enough), "passages")
+    links = None
+    while True:
+        seen = store(verify(met, texts, words, similarity), "passages")
+        part = seen.where("grp IS NULL").select(*(x.split()[0] for x in LINK.split(", ")))
+        links = part if links is None else links.unionByName(part)
+        met = store(meet_again(seen.where("grp IS NOT NULL").select("grp", F.col("other").alias("text"), "at", "ahead", "behind").distinct()), "met")
+        if met.isEmpty():
+            break
+    links = store(links.distinct(), "links-found")
 
     roots = components(links.select(F.col("one").alias("a"), F.col("other").alias("b")))
     spans = links.select(F.col("one").alias("sig"), F.struct(F.col("one_start").alias("start"), F.col("one_stop").alias("stop")).alias("span"), F.col("other").alias("to")).unionByName(

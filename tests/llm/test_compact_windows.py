@@ -171,3 +171,28 @@ def test_passages_hold_all_planted_near_copies():
             s, x = int(np.flatnonzero(a == p[0])[0]), int(np.flatnonzero(b == p[0])[0])
             assert any(i <= s and s + len(p) <= e and j <= x and x + len(p) <= y for i, e, j, y, _ in got)
         assert all(r[4] >= .8 for r in got)
+
+
+@pytest.mark.parametrize("common, others", [(45, 40), (48, 12)])
+def test_repeats_around_a_frequent_line(spark, common, others):
+    rng = random.Random(common)
+    for _ in range(3):
+        whole = vocabulary(rng, 52, "p")
+        docs = [(i, " ".join(vocabulary(rng, 30, f"l{i}") + whole[2:2 + common] + vocabulary(rng, 30, f"r{i}"))) for i in range(others)]
+        docs += [(others + i, " ".join(vocabulary(rng, 40, f"x{i}") + whole + vocabulary(rng, 40, f"y{i}"))) for i in range(2)]
+        found, _ = C.repeated(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+        got = {r.doc: {k for s in r.spans for k in range(s.start, s.stop)} for r in found.collect()}
+        assert set(got) == {others, others + 1}
+        assert all(set(range(40, 92)) <= spans for spans in got.values())
+
+
+def test_partly_shared_with_the_first_text(spark):
+    """Whichever text comes first, it shares 50 words with each other one, and those share 60 with each other."""
+    rng = random.Random(9)
+    for n in range(3):
+        middle, left, right = vocabulary(rng, 30, "m"), vocabulary(rng, 30, "l"), vocabulary(rng, 30, "r")
+        docs = [left + middle + vocabulary(rng, 60, "a"), vocabulary(rng, 60, "b") + middle + right, left + middle + right]
+        df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+        found, _ = C.repeated(df)
+        got = {r.doc: {k for s in r.spans for k in range(s.start, s.stop)} for r in found.collect()}
+        assert all(words <= got[i] for i, words in repeats([(i, " ".join(w)) for i, w in enumerate(docs)], 50).items())
