@@ -129,7 +129,7 @@ def spans_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def window_keys(text: bytes | None, words: int, hashes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a text's windows, each key once, and the places of their smallest tokens."""
+    """Keys of a text's windows and the places of their smallest tokens; of places side by side with one key the first and the last."""
     s, least = shingles(text), words - SHINGLE + 1
     if len(s) < least:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -146,8 +146,13 @@ def window_keys(text: bytes | None, words: int, hashes: int) -> tuple[np.ndarray
         left, right = c >= side, c + side < len(s)
         keys += [mix(value[left] ^ low[c[left] - side] + side_no[left]), mix(value[right] ^ low[c[right] + 1] + side_no[right] + np.uint64(1))]
         places += [c[left], c[right]]
-    keys, first = np.unique(np.concatenate(keys).view(np.int64), return_index=True)
-    return keys, np.concatenate(places)[first]
+    keys, places = np.concatenate(keys).view(np.int64), np.concatenate(places)
+    by = np.lexsort((places, keys))
+    keys, places = keys[by], places[by]
+    # a stretch of one repeated shingle is met at its ends
+    joined = (keys[1:] == keys[:-1]) & (places[1:] <= places[:-1] + 1)
+    ends = ~(np.append(False, joined) & np.append(joined, False))
+    return keys[ends], places[ends]
 
 
 def link_part(keys: np.ndarray, texts: np.ndarray, places: np.ndarray) -> pa.RecordBatch:

@@ -196,3 +196,14 @@ def test_partly_shared_with_the_first_text(spark):
         found, _ = C.repeated(df)
         got = {r.doc: {k for s in r.spans for k in range(s.start, s.stop)} for r in found.collect()}
         assert all(words <= got[i] for i, words in repeats([(i, " ".join(w)) for i, w in enumerate(docs)], 50).items())
+
+
+def test_every_place_of_a_key_counts():
+    """A line that stands alone and again in a passage has its keys at both places."""
+    rng = random.Random(12)
+    line, inner = vocabulary(rng, 60, "l"), vocabulary(rng, 60, "i")
+    alone = dict.fromkeys(C.window_keys(" ".join(line).encode(), 50, 6)[0].tolist())
+    keys, places = C.window_keys(" ".join(line + inner + line).encode(), 50, 6)
+    both = {k: places[keys == k].tolist() for k in alone if k in keys}
+    assert both and all(len(p) >= 2 and p[-1] - p[0] == 120 for p in both.values())
+    assert len(C.window_keys(b"again " * 5000, 50, 6)[0]) < 100
