@@ -375,11 +375,59 @@ def verify(met: DataFrame, texts: DataFrame, words: int, similarity: float) -> D
     return map_batches(rows, look, SEEN)
 
 
+def shared_parts(spans: list[tuple[int, int]], words: int) -> list[tuple[int, int, int]]:
+    """(start, stop, point): the largest sets of spans that have ``words`` places in common, named by a point, for each span."""
+    start = np.array([s for s, _ in spans], np.int64)
+    end = np.maximum(start, np.array([e for _, e in spans], np.int64) - words)
+    at, is_end = np.concatenate((start, end)), np.repeat([0, 1], len(start))
+    by = np.lexsort((is_end, at))
+    at, is_end = at[by], is_end[by]
+    points = at[1:][(is_end[1:] == 1) & (is_end[:-1] == 0)]
+    low, high = np.searchsorted(points, start), np.searchsorted(points, end, "right")
+    return [(*span, int(p)) for span, a, b in zip(spans, low, high) for p in points[a:b]]
+
+
+def count_links(links: DataFrame, copies: DataFrame, words: int) -> DataFrame:
+    """sig, others: documents of other texts in the passage classes of a text; ``copies`` (sig, copies) has the documents of each.
+
+    A class is a passage of a first text with all texts that have it. Classes with
+    the same texts are one, and texts with the same classes are counted together.
+    Documents that share several classes are taken off again by pairs of classes.
+    """
+    def cut(batches):
+        for batch in batches:
+            got = [(one, *r) for one, spans in zip(batch.column("one").to_pylist(), batch.column("spans").to_pylist())
+                   for r in shared_parts([(x["one_start"], x["one_stop"]) for x in spans], words)]
+            if got:
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*got), kinds)], ["one", "one_start", "one_stop", "point"])
+
+    spans = links.groupBy("one").agg(F.sort_array(F.collect_set(F.struct("one_start", "one_stop"))).alias("spans"))
+    parts = map_batches(spans, cut, "one long, one_start int, one_stop int, point int")
+    held = links.select("one", "one_start", "one_stop", "other").join(parts, ["one", "one_start", "one_stop"]).select(
+        F.xxhash64("one", "point").alias("part"), F.explode(F.array("one", "other")).alias("sig"))
+    held = store(held.distinct(), "held")
+    alike = held.groupBy("part").agg(F.xxhash64(F.count(F.lit(1)), F.bit_xor(F.xxhash64("sig")), F.bit_xor(F.xxhash64("sig", F.lit(1)))).alias("set"))
+    held = held.join(alike, "part").select("sig", F.col("set").alias("part")).distinct().join(copies, "sig")
+    kinds = held.groupBy("sig", "copies").agg(F.sort_array(F.collect_list("part")).alias("parts")).withColumn("kind", F.xxhash64("parts"))
+    kinds = store(kinds, "kinds")
+    kind = store(kinds.groupBy("kind").agg(F.first("parts").alias("parts"), F.sum("copies").alias("n")), "kind")
+    each = kind.select("kind", "n", F.explode("parts").alias("part"))
+    total = each.join(each.groupBy("part").agg(F.sum("n").alias("size")), "part").groupBy("kind").agg(F.sum("size").alias("total"))
+    two = F.transform("parts", lambda x: F.transform(F.filter("parts", lambda y: y > x), lambda y: F.struct(x.alias("x"), y.alias("y"))))
+    two = store(kind.select("kind", "n", F.explode(F.flatten(two)).alias("two")).select("kind", "n", F.xxhash64("two.x", "two.y").alias("two")), "two")
+    twice = two.select("kind", "two").join(two.select(F.col("kind").alias("with"), "n", "two"), "two").groupBy("kind", "with", "n").agg(F.count(F.lit(1)).alias("m"))
+    # m pairs of shared classes come from (1 + sqrt(1 + 8 m)) / 2 classes
+    twice = twice.groupBy("kind").agg(F.sum(F.col("n") * F.round((F.sqrt(1 + 8 * F.col("m")) - 1) / 2).cast("long")).alias("twice"))
+    found = total.join(twice, "kind", "left").select("kind", (F.col("total") - F.coalesce("twice", F.lit(0))).alias("all"))
+    return kinds.join(found, "kind").select("sig", (F.col("all") - F.col("copies")).alias("others"))
+
+
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 50, similarity: float = 0.8, hashes: int = 6) -> tuple[DataFrame, DataFrame]:
     """Documents with repeated passages, and the verified links between texts.
 
-    The first has doc, sig, class (the smallest id reachable), n_links (links of
-    its text, copies included), spans (words from, to): only documents that repeat
+    The first has doc, sig, class (the smallest id reachable), n_links (other
+    documents in the same passage classes, copies included), spans (words from, to): only documents that repeat
     something. The second is LINK, in words, between text hashes.
     """
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
@@ -401,18 +449,19 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     links = store(links.distinct(), "links-found")
 
     roots = components(links.select(F.col("one").alias("a"), F.col("other").alias("b")))
-    spans = links.select(F.col("one").alias("sig"), F.struct(F.col("one_start").alias("start"), F.col("one_stop").alias("stop")).alias("span"), F.col("other").alias("to")).unionByName(
-        links.select(F.col("other").alias("sig"), F.struct(F.col("other_start").alias("start"), F.col("other_stop").alias("stop")).alias("span"), F.col("one").alias("to")))
-    spans = spans.groupBy("sig").agg(F.sort_array(F.collect_set("span")).alias("spans"), F.count_distinct("to").alias("partners"))
+    spans = links.select(F.col("one").alias("sig"), F.struct(F.col("one_start").alias("start"), F.col("one_stop").alias("stop")).alias("span")).unionByName(
+        links.select(F.col("other").alias("sig"), F.struct(F.col("other_start").alias("start"), F.col("other_stop").alias("stop")).alias("span")))
+    spans = spans.groupBy("sig").agg(F.sort_array(F.collect_set("span")).alias("spans"))
     # equal texts repeat each other as a whole, if they are long enough
     copies = owners.groupBy("sig").agg(F.count(F.lit(1)).alias("copies"), F.min("doc").alias("low"))
+    others = count_links(links, copies.select("sig", "copies"), words)
     long = owners.where(F.col("size") >= 2 * words - 1).join(copies.where("copies > 1").select("sig"), "sig", "left_semi")
     few = rows.join(long.select(F.col("doc").alias("d"), F.col("sig").alias("s")), F.col("doc").eqNullSafe(F.col("d")) & (F.col("sig") == F.col("s")), "left_semi")
     whole = map_batches(few.select("sig", "body"), count_words, "sig long, n int").distinct().where(F.col("n") >= words)
-    state = copies.join(spans, "sig", "left").join(whole, "sig", "left").join(roots.withColumnRenamed("node", "sig"), "sig", "left")
+    state = copies.join(spans, "sig", "left").join(others, "sig", "left").join(whole, "sig", "left").join(roots.withColumnRenamed("node", "sig"), "sig", "left")
     state = state.where("spans IS NOT NULL OR n IS NOT NULL").select(
         "sig", "low", F.coalesce("root", "sig").alias("root"),
-        (F.coalesce("partners", F.lit(0)) + F.when(F.col("n").isNotNull(), F.col("copies") - 1).otherwise(0)).alias("n_links"),
+        (F.coalesce("others", F.lit(0)) + F.when(F.col("n").isNotNull(), F.col("copies") - 1).otherwise(0)).alias("n_links"),
         F.when(F.col("n").isNotNull(), F.array(F.struct(F.lit(0).alias("start"), F.col("n").alias("stop")))).otherwise(F.col("spans")).alias("spans"))
     state = store(state, "repeats")
     names = state.groupBy("root").agg(F.min("low").alias("class"))

@@ -207,3 +207,29 @@ def test_every_place_of_a_key_counts():
     both = {k: places[keys == k].tolist() for k in alone if k in keys}
     assert both and all(len(p) >= 2 and p[-1] - p[0] == 120 for p in both.values())
     assert len(C.window_keys(b"again " * 5000, 50, 6)[0]) < 100
+
+
+def test_links_are_the_documents_with_the_same_passages(spark):
+    rng = random.Random(21)
+    shared = [vocabulary(rng, 60, f"s{k}x") for k in range(4)]
+    docs = []
+    for i in range(60):
+        held = rng.sample(range(4), rng.choice([0, 1, 1, 1, 2, 3]))
+        docs.append((i, " ".join(sum((shared[k] + vocabulary(rng, 40, f"d{i}x") for k in held), vocabulary(rng, 40, f"e{i}x")))))
+    docs += [(60 + i, docs[i][1]) for i in range(5)]  # copies, all long enough or alone
+    want, grams = {}, {}
+    for i, t in docs:
+        w = words_of(t.encode())
+        for k in range(len(w) - 49):
+            grams.setdefault(tuple(w[k:k + 50]), set()).add(i)
+    for at in grams.values():
+        for i in at:
+            want.setdefault(i, set()).update(at - {i})
+    found, _ = C.repeated(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    assert {r.doc: r.n_links for r in found.collect()} == {i: len(o) for i, o in want.items() if o}
+
+
+def test_spans_that_have_a_passage_in_common():
+    assert C.shared_parts([(0, 60), (5, 70), (100, 160)], 50) == [(0, 60, 10), (5, 70, 10), (100, 160, 110)]
+    got = C.shared_parts([(0, 60), (40, 100), (0, 100)], 50)
+    assert sorted(p for _, _, p in got) == [10, 10, 50, 50]
