@@ -16,7 +16,8 @@ are shuffled.
 
 Defined cases: vectors that are null, empty, zero, or hold a null, NaN or
 infinity, and rows without id, take no part. Vectors of other lengths are no
-candidates of a query. Equal vectors of a shard are one point with its smallest
+candidates of a query. Every vector that rounding cannot tell from the k-th is
+scored in doubles before the cut, however many there are. Equal vectors of a shard are one point with its smallest
 ids, k + 1 of them, as more can never be among the k nearest. Rows that repeat id
 and vector count once, and no row finds its own id. Extra columns are not read.
 """
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 from cohortspark.llm.common import map_batches, store
 
 LEAF = 48
+WALK = 2048  # queries that walk a tree together
+PAIRS = 50_000  # scored at a time
 SHARD = "dim int, n long, ids binary, starts binary, vectors binary, inner binary, outer binary"
 
 
@@ -71,6 +74,10 @@ def build(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, inner, outer
 
 
+#: More than what rounding moves a cosine of unit vectors, for each dimension and besides.
+ROUNDING = 1e-15
+
+
 class Search:
     """All queries of a block in one tree."""
 
@@ -78,22 +85,46 @@ class Search:
         self.x, self.q, self.inner, self.outer, self.k, self.factor = points, queries, inner, outer, k, factor
         self.near = np.full((len(queries), k), np.inf)
         self.found = np.full((len(queries), k), -1)
+        self.margin = 16 * ROUNDING * (points.shape[1] + 8)  # of squared distances
+        self.close: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # query, point and squared distance of all that may be among the nearest
+        self.held = self.limit = 0
         self.measured = 0
 
     def look(self, who: np.ndarray, a: int, b: int) -> np.ndarray:
-        """Distances of queries to points [a, b); the nearest k are kept."""
-        d = np.sqrt(np.maximum(0, 2 - 2 * (self.q[who] @ self.x[a:b].T)))
+        """Distances of queries to points [a, b); the nearest k are kept, and all that rounding cannot tell from the last of them."""
+        square = np.maximum(0, 2 - 2 * (self.q[who] @ self.x[a:b].T))
+        d = np.sqrt(square)
         self.measured += d.size
         # most leaves hold nothing nearer than what is known
         nearer = np.flatnonzero(d.min(axis=1) < self.near[who, -1])
         if len(nearer):
-            who, closer = who[nearer], d[nearer]
-            both = np.concatenate((self.near[who], closer), axis=1)
-            at = np.concatenate((self.found[who], np.broadcast_to(np.arange(a, b), closer.shape)), axis=1)
+            some, closer = who[nearer], d[nearer]
+            both = np.concatenate((self.near[some], closer), axis=1)
+            at = np.concatenate((self.found[some], np.broadcast_to(np.arange(a, b), closer.shape)), axis=1)
             best = np.argsort(both, axis=1, kind="stable")[:, :self.k]
-            self.near[who], self.found[who] = np.take_along_axis(both, best, 1), np.take_along_axis(at, best, 1)
+            self.near[some], self.found[some] = np.take_along_axis(both, best, 1), np.take_along_axis(at, best, 1)
+        row, place = np.nonzero(square <= self.reach2(who)[:, None])
+        if len(row):
+            self.close.append((who[row], a + place, square[row, place]))
+            self.held += len(row)
+            if self.held > self.limit:
+                self.shrink()
         return d
 
+    def reach2(self, who: np.ndarray) -> np.ndarray:
+        return self.near[who, -1] ** 2 + self.margin
+
+    def shrink(self) -> tuple[np.ndarray, np.ndarray]:
+        """Queries and points that may still be among the nearest."""
+        if self.close:
+            who, point, square = map(np.concatenate, zip(*self.close))
+            keep = square <= self.reach2(who)
+            self.close = [(who[keep], point[keep], square[keep])]
+            self.held = int(keep.sum())
+            self.limit = 2 * self.held + 1_000_000
+            return self.close[0][:2]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+
     def walk(self, who: np.ndarray, a: int, b: int) -> None:
         if not len(who) or a >= b:
             return
@@ -105,7 +136,9 @@ class Search:
         first = d <= (inner + outer) / 2
         self.walk(who[first], a + 1, m)
         self.walk(who[~first], m, b)
-        reach = self.near[who, -1] / self.factor + 1e-7  # rounding of distances
+        # rounding: a squared distance is off by the margin, so a short distance by its root
+        off = np.sqrt(self.margin)
+        reach = np.sqrt(self.reach2(who)) / self.factor + 2 * off
         self.walk(who[first & (outer - d <= reach)], m, b)
         self.walk(who[~first & (d - inner <= reach)], a + 1, m)
 
@@ -126,6 +159,27 @@ def cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return c
 
 
+def score(who: np.ndarray, point: np.ndarray, own: np.ndarray, q: np.ndarray, x: np.ndarray, ids: np.ndarray, starts: np.ndarray, k: int):
+    """The k best rows of each query among its close points, a limited number of pairs at a time and no query cut in two."""
+    by = np.argsort(who, kind="stable")
+    who, point = who[by], point[by]
+    a = 0
+    while a < len(who):
+        b = int(np.searchsorted(who, who[min(a + PAIRS, len(who)) - 1], "right"))
+        one, p = who[a:b], point[a:b]
+        a = b
+        value = cosine(q[one], x[p])
+        size = starts[p + 1] - starts[p]
+        at = np.repeat(starts[p] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        one, value, vec = np.repeat(one, size), np.repeat(value, size), ids[at]
+        other = vec != own[one]
+        one, value, vec = one[other], value[other], vec[other]
+        order = np.lexsort((vec, -value, one))
+        one, value, vec = one[order], value[order], vec[order]
+        keep = np.arange(len(one)) - np.searchsorted(one, one) < k
+        yield pa.RecordBatch.from_arrays([pa.array(own[one[keep]]), pa.array(vec[keep]), pa.array(value[keep])], ["query_id", "vec_id", "score"])
+
+
 def pack_shard(ids: np.ndarray, vectors: np.ndarray, k: int) -> pa.RecordBatch:
     # equal vectors become one point with its smallest ids
     order = np.lexsort((ids, *vectors.T[::-1]))
@@ -197,21 +251,13 @@ def nearest(shards: DataFrame, queries: DataFrame, id_col: str = "vec_id", vecto
                     own, q = asked[shard["dim"]]
                     x = np.frombuffer(shard["vectors"], "<f8").reshape(-1, shard["dim"])
                     ids, starts = np.frombuffer(shard["ids"], "<i8"), np.frombuffer(shard["starts"], "<i8")
-                    # one point may be the query itself; some more, as close scores are compared exactly below
-                    s = Search(unit(x), np.frombuffer(shard["inner"]), np.frombuffer(shard["outer"]), unit(q), min(k + 3, len(x)), factor)
-                    s.walk(np.arange(len(q)), 0, len(x))
-                    who, slot = np.nonzero(s.found >= 0)
-                    point = s.found[who, slot]
-                    score = cosine(q[who], x[point])
-                    size = starts[point + 1] - starts[point]
-                    at = np.repeat(starts[point] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                    who, score, vec = np.repeat(who, size), np.repeat(score, size), ids[at]
-                    other = vec != own[who]
-                    who, score, vec = who[other], score[other], vec[other]
-                    by = np.lexsort((vec, -score, who))
-                    who, score, vec = who[by], score[by], vec[by]
-                    keep = np.arange(len(who)) - np.searchsorted(who, who) < k
-                    yield pa.RecordBatch.from_arrays([pa.array(own[who[keep]]), pa.array(vec[keep]), pa.array(score[keep])], ["query_id", "vec_id", "score"])
+                    inner, outer = np.frombuffer(shard["inner"]), np.frombuffer(shard["outer"])
+                    near = unit(x)
+                    for at in range(0, len(q), WALK):
+                        # one point may be the query itself; all that rounding cannot tell from the last are compared exactly
+                        s = Search(near, inner, outer, unit(q[at:at + WALK]), min(k + 1, len(x)), factor)
+                        s.walk(np.arange(len(s.q)), 0, len(x))
+                        yield from score(*s.shrink(), own[at:at + WALK], q[at:at + WALK], x, ids, starts, k)
 
         part = store(map_batches(shards, look, "query_id long, vec_id long, score double"), "vp-found")
         found = part if found is None else found.unionByName(part)

@@ -75,3 +75,15 @@ def test_empty_and_single(spark):
     assert run(spark, [], 5, 1.0) == {}
     assert run(spark, [(50, [1.0, 0.0])], 5, 1.0) == {}
     assert run(spark, [(50, [1.0, 0.0]), (1, [1.0, 1.0])], 5, 1.0) == {50: [(1, pytest.approx(.5 ** .5))]}
+
+
+def test_ties_and_noisy_copies_have_exact_ids(spark):
+    rng = np.random.default_rng(11)
+    signs = [(i, rng.choice([-1.0, 1.0], 8).tolist()) for i in rng.permutation(600).tolist()]
+    assert run(spark, signs, 5, 1.0, shard_rows=700) == brute(signs, 5)
+    # float32 copies of one direction with noise in the last bit, and of several lengths
+    base = rng.normal(size=16).astype(np.float32)
+    noisy = [(i, np.nextafter(base, np.float32(rng.choice([-9, 9])) * np.ones(16, np.float32)).tolist() if i % 3 else
+              (base * np.float32(2.0 ** rng.integers(-3, 4))).tolist()) for i in range(300)]
+    noisy += [(1000 + i, (base * (1 + 1e-7 * rng.integers(-1, 2, 16))).astype(np.float32).tolist()) for i in range(400)]
+    assert run(spark, noisy, 5, 1.0, shard_rows=1000) == brute(noisy, 5)
