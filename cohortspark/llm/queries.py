@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import compact_windows, decontaminate, host_trust, licenses, line_dedup, packing, quality_gam, simhash, vptree, warc_bundles
+from cohortspark.llm import alignment, compact_windows, decontaminate, host_trust, licenses, line_dedup, packing, quality_gam, simhash, vptree, warc_bundles
 from cohortspark.session import tune
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,11 @@ def op9(spark, read):
     return found.select(
         F.col("doc").alias("doc_id"), F.col("class").alias("class_id"), "n_links", F.size("spans").alias("n_passages"),
         F.array_join(F.transform("spans", lambda s: F.concat(s["start"], F.lit("-"), s["stop"])), ",").alias("passages"))
+
+
+@query("op11_align")
+def op11(spark, read):
+    import public_tokenizers
+
+    found, _ = alignment.align(read("documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select(F.col("doc").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
