@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import alignment, compact_windows, decontaminate, host_trust, licenses, line_dedup, packing, quality_gam, simhash, vptree, warc_bundles
+from cohortspark.llm import alignment, compact_windows, decontaminate, host_trust, lexical, licenses, line_dedup, packing, quality_gam, simhash, vptree, warc_bundles
 from cohortspark.session import tune
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,28 @@ def op11(spark, read):
 
     found, _ = alignment.align(read("documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
     return found.select(F.col("doc").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+SEARCH_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+s AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+p AS (SELECT doc_id, size, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS size, unnest(w) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+i AS (
+  SELECT doc_id, term, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * size * n) // l)))) AS impact
+  FROM p JOIN f USING (term), s),
+r AS (SELECT item_id, doc_id, CAST(sum(impact) AS BIGINT) AS score FROM q JOIN i USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
+@query("op12_search", SEARCH_SQL)
+def op12(spark, read):
+    return lexical.search(read("documents"), read("benchmark"), k=50).select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
