@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.llm import alignment, compact_windows, decontaminate, host_trust, lexical, licenses, line_dedup, packing, quality_gam, simhash, vptree, warc_bundles
+from cohortspark.llm import alignment, compact_windows, decontaminate, host_trust, lexical, licenses, line_dedup, packing, quality_gam, simhash, suffixes, vptree, warc_bundles
 from cohortspark.session import tune
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +189,10 @@ FROM r WHERE score > 0 QUALIFY rank <= 50
 @query("op12_search", SEARCH_SQL)
 def op12(spark, read):
     return lexical.search(read("documents"), read("benchmark"), k=50).select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
+@query("op13_suffix_dedup")
+def op13(spark, read):
+    return suffixes.remove_repeats(read("documents"), length=200, carry=["doc_id"]).select(
+        "doc_id", F.col("__n_bytes").alias("n_bytes"), F.col("__n_removed").alias("n_removed"), F.size("__spans").cast("long").alias("n_spans"),
+        F.sha2("__kept", 256).alias("kept_sha256"))
