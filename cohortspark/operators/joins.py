@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortspark.operators import ordered as O
+from cohortspark.operators import sweep
 from cohortspark.operators.verbs import first_rows
 from cohortspark.session import hot_rows
 
@@ -216,86 +217,49 @@ def intervals_meet(a0: Column, a1: Column, b0: Column, b1: Column, bounds: str =
     return (a0 < b1) & (b0 < a1)
 
 
-def _seconds(c: Column) -> Column:
-    return F.floor(F.unix_micros(c.cast("timestamp")) / 1_000_000)
-
-
-def _level(start: str, end: str) -> Column:
-    """Smallest power of two of seconds that holds the interval."""
-    length = F.greatest(_seconds(F.col(end)) - _seconds(F.col(start)), F.lit(1))
-    return F.ceil(F.log2(length.cast("double"))).cast("int")
-
-
-def _bucket(seconds: Column, level: Column) -> Column:
-    return F.floor(seconds / F.pow(F.lit(2.0), level)).cast("bigint")
+def _pairs_of(both: DataFrame, x: DataFrame, y: DataFrame, by: list[str], test: Column) -> DataFrame:
+    """Columns of x, then those of y without the keys (``.y`` behind names that x has), of the pairs that pass the test."""
+    same = [F.col(f"x.`{c}`").eqNullSafe(F.col(f"y.`{c}`")) for c in by]  # equal hashes are not yet equal keys
+    kept = both.where(reduce(lambda a, b: a & b, same, test))
+    return kept.select(*[F.col(f"x.`{c}`").alias(c) for c in x.columns],
+                       *[F.col(f"y.`{c}`").alias(f"{c}.y" if c in x.columns else c) for c in y.columns if c not in by])
 
 
 def within_join(x: DataFrame, y: DataFrame, ts: str, start: str, end: str, by: list[str] | None = None,
                 bounds: str = "[]") -> DataFrame:
-    """Rows of x whose time lies in an interval of y.
-
-    An interval goes to the buckets of a power-of-two width between an eighth of
-    its length and all of it, so it meets nine buckets at most however long it
-    is. Only every fourth width is used; a point is looked up once per width in
-    use (16 at most). An equi join on the bucket finds the candidates, the exact
-    test follows.
-    """
+    """Rows of x whose time lies in an interval of y; see operators/sweep.py."""
     by = list(by or [])
-    names = {c: f"__r_{c}" for c in [*by, start, end]}
-    right = (y.where(F.col(start) <= F.col(end)).withColumn("__level", F.floor(_level(start, end) / 4) * 4)
-             .withColumn("__bucket", F.explode(F.sequence(
-                 _bucket(_seconds(F.col(start)), F.col("__level")), _bucket(_seconds(F.col(end)), F.col("__level")))))
-             .withColumnsRenamed(names))
-    levels = sorted(r[0] for r in right.select("__level").distinct().collect())
-    if not levels:
-        levels = [0]
-    left = (x.withColumn("__lv", F.explode(F.array(*[F.lit(v) for v in levels])))
-            .withColumn("__bk", _bucket(_seconds(F.col(ts)), F.col("__lv"))))
-    cond = O.null_safe(left, right, by, [names[c] for c in by])
-    cond = cond & (left["__lv"] == right["__level"]) & (left["__bk"] == right["__bucket"])
-    cond = cond & in_bounds(left[ts], right[names[start]], right[names[end]], bounds)
-    out = left.join(right, cond).drop("__lv", "__bk", "__level", "__bucket", *[names[c] for c in by])
-    return out.withColumnsRenamed({names[c]: c if c not in x.columns else f"{c}.y" for c in (start, end)})
+    both = sweep.overlapping(x, y, (ts, ts), (start, end), by)
+    return _pairs_of(both, x, y, by, in_bounds(F.col(f"x.`{ts}`"), F.col(f"y.`{start}`"), F.col(f"y.`{end}`"), bounds))
 
 
 def overlap_join(x: DataFrame, y: DataFrame, start: tuple[str, str], end: tuple[str, str],
                  by: list[str] | None = None, bounds: str = "[]") -> DataFrame:
-    """Pairs of overlapping intervals, each once.
+    """Pairs of overlapping intervals, each once; see operators/sweep.py."""
+    by = list(by or [])
+    both = sweep.overlapping(x, y, (start[0], end[0]), (start[1], end[1]), by)
+    ends = [F.col(f"{side}.`{c}`") for side, c in (("x", start[0]), ("x", end[0]), ("y", start[1]), ("y", end[1]))]
+    return _pairs_of(both, x, y, by, intervals_meet(*ends, bounds))
 
-    Two intervals overlap when y starts inside x, or x starts inside y and
-    after its start. Both are point-in-interval joins with no pair in common.
-    The interval columns of x and y need different names.
-    """
-    columns = [*x.columns, *[c for c in y.columns if c not in (by or [])]]
-    a = within_join(y, x, start[1], start[0], end[0], by, "[" + bounds[1] if bounds == "[]" else "[)")
-    b = within_join(x, y, start[0], start[1], end[1], by, "(]" if bounds == "[]" else "()")
-    return a.select(*columns).unionByName(b.select(*columns))
 
+def _interval_algebra(x: DataFrame, y: DataFrame, by: list[str], start: str, end: str, keep: Column) -> DataFrame:
+    """Stretches over which ``keep``, a test of __in_x and __in_y (the intervals open there), holds.
 
-def _coverage(x: DataFrame, y: DataFrame, by: list[str], start: str, end: str) -> DataFrame:
-    """Stretches between neighbouring boundaries with the number of x and y intervals over each."""
+    One sorted line per group: running counts of open intervals, and where the
+    test changes from one boundary to the next a stretch starts or stops.
+    """
     parts = []
     for df, side in ((x, "x"), (y, "y")):
-        for c, step in ((start, 1), (end, -1)):
-            parts.append(df.where(F.col(start) < F.col(end)).select(
-                *by, F.col(c).alias("__at"), F.lit(step if side == "x" else 0).alias("__x"), F.lit(step if side == "y" else 0).alias("__y")))
-    marks = reduce(lambda a, b: a.unionByName(b), parts).groupBy(*by, "__at").agg(F.sum("__x").alias("__x"), F.sum("__y").alias("__y"))
-    run = O.windows(marks, ["__at"], by, __in_x=O.w_cum("__x", "sum"), __in_y=O.w_cum("__y", "sum"), __next=O.w_lead("__at"))
-    return run.where(F.col("__next").isNotNull())
-
-
-def _merge_runs(df: DataFrame, by: list[str], start: str, end: str) -> DataFrame:
-    """Join stretches that touch."""
-    def starts_run(lay: O.Layout, name: str) -> DataFrame:
-        prev = O._shift(lay, end, 1, "__prev")
-        return prev.withColumn(name, F.when(F.col("__prev").eqNullSafe(F.col(start)), 0).otherwise(1)).drop("__prev")
-    runs = O.windows(df, [start], by, __new=starts_run, __run=O.w_cum("__new", "sum"))
-    return runs.groupBy(*by, "__run").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__run")
-
-
-def _interval_algebra(x, y, by, start, end, keep: Column) -> DataFrame:
-    part = _coverage(x, y, by, start, end).where(keep).select(*by, F.col("__at").alias(start), F.col("__next").alias(end))
-    return _merge_runs(part, by, start, end)
+        ends = F.explode(F.array(F.struct(F.col(start).alias("at"), F.lit(1).alias("step")), F.struct(F.col(end).alias("at"), F.lit(-1).alias("step"))))
+        part = df.where(F.col(start) < F.col(end)).select(*by, ends.alias("__e"))
+        step, zero = F.col("__e.step"), F.lit(0)
+        parts.append(part.select(*by, F.col("__e.at").alias("__at"), (step if side == "x" else zero).alias("__x"), (step if side == "y" else zero).alias("__y")))
+    marks = parts[0].unionByName(parts[1]).groupBy(*by, "__at").agg(F.sum("__x").alias("__x"), F.sum("__y").alias("__y"))
+    stop = F.when(~F.col("__keep") & F.col("__was"), F.col("__at"))
+    line = O.windows(
+        marks, ["__at"], by, __in_x=O.w_cum("__x", "sum"), __in_y=O.w_cum("__y", "sum"), __keep=lambda lay, name: lay.df.withColumn(name, keep),
+        __was=O.w_lag("__keep", 1, False), __stop=lambda lay, name: lay.df.withColumn(name, stop), __end=O.w_fill("__stop", up=True))
+    return line.where("__keep AND NOT __was").select(*by, F.col("__at").alias(start), F.col("__end").alias(end))
 
 
 def interval_setdiff(x, y, by: list[str], start: str = "start", end: str = "end") -> DataFrame:

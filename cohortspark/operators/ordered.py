@@ -146,9 +146,17 @@ def _piece_of(splits: Column, row: list[Column], keys: list[Key], longest: int)
     return F.reduce(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
 
 
-def layout(df: DataFrame, by: list[str] | None, order: list[str], small_groups: bool = False) -> Layout:
+def piece_of(splits: Column, df: DataFrame, c: str, longest: int) -> Column:
+    """The piece a value of column ``c`` falls in, by the split points of a layout ordered by such a value; 0 without split points."""
+    return F.coalesce(F.when(splits.isNotNull(), _piece_of(splits, [k.expr for k in order_keys(df, [c])], order_keys(df, [c]), longest)), F.lit(0))
+
+
+def layout(df: DataFrame, by: list[str] | None, order: list[str], small_groups: bool = False, bounded: bool = False) -> Layout:
     """Count the groups and cut those above the row limit.
 
+    Pieces are as many as the tasks that run at once, or, if ``bounded``, as many
+    as it takes for a piece to hold about the row limit.
+
     ``small_groups`` saves the counting pass where the size of a group is bound
     by construction, such as one row per school year.
     """
@@ -167,8 +175,8 @@ def layout(df: DataFrame, by: list[str] | None, order: list[str], small_groups:
     hot_total = sizes.agg(F.sum("__n")).first()[0]
     if not hot_total:
         return plain
-    # pieces are no smaller than the limit and, in all, not many more than the tasks that run at once
-    target = max(limit, hot_total // (_PIECES_PER_CORE * spark.sparkContext.defaultParallelism))
+    # pieces are no smaller than the limit and, in all, not many more than the tasks that run at once, unless bounded
+    target = limit if bounded else max(limit, hot_total // (_PIECES_PER_CORE * spark.sparkContext.defaultParallelism))
     large = sizes.where(F.col("__n") > target).collect()  # at most hot_total / target rows
     if not large:
         return plain
