@@ -19,176 +19,16 @@ neither read nor returned.
 
 from __future__ import annotations
 
-import json
-import math
-import re
 import zlib
 from bisect import bisect_left, insort
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortspark.llm.common import map_batches, store
-
-SLICE_BYTES = 4 << 20
-KNOWN_WORDS = 300_000
-CALL_WORDS = 20_000
-# A space or line end, then no white space, a letter, digit or ASCII sign at the end: the next word cuts such a word off.
-ROW_WORD = re.compile(r"[ \n]\S*[!-~\w]")
-SIGNS = ".,;:!?"
-# A space or line end behind one of these, or a bracket that may open a special token: such texts are encoded as a whole.
-RISKY = r"[\x{0000}-\x{0020}\x{007f}-\x{00a0}\p{Z}\p{C}][ \n]|<\|"
-
-
-# Fixed values of byte-level vocabularies: these bytes stand for themselves, the others for the letters from 256 on, in order.
-_OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_LETTER = {b: n for n, b in enumerate((b for b in range(256) if b not in _OWN), 256)}
-SPACE = chr(_LETTER[32])
-
-
-def byte_letters(text: str) -> str:
-    return text if text.isascii() else text.encode().decode("latin-1").translate(_LETTER)
-
-
-class Encoder:
-    """Token ids of texts; words that come again are looked up.
-
-    A byte-level pattern always ends a token before a space or a single line end
-    that follows a visible character; a space starts the next token, a line end is
-    one of its own, and so is a run of signs behind a letter or digit. So where
-    the tokenizer is of that kind, a text is cut there and each different part is
-    encoded once. New words are put in a row for one call, as a call costs more
-    than a word, and the ids are cut where the bytes of a word end. Words without
-    a space in front stand behind a line end there.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        with open(path, encoding="utf-8") as f:
-            kind = json.load(f)
-        pre = kind.get("pre_tokenizer") or {}
-        self.by_word = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-                        and not kind.get("normalizer") and not kind.get("truncation") and not kind.get("padding")
-                        and all(t["content"].startswith("<|") and " " not in t["content"] for t in kind.get("added_tokens", [])))
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        # a character of a byte-level token stands for a byte
-        vocabulary = self.tokenizer.get_vocab()
-        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        self.bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.values, self.starts, self.sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        self.used = 0
-        self.keep([""], np.zeros(0, np.uint32), np.zeros(1, np.int64))
-
-    def keep(self, words: list[str], values: np.ndarray, sizes: np.ndarray) -> None:
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
-        self.starts.append(self.used + np.cumsum(sizes) - sizes)
-        self.values.append(values)
-        self.sizes.append(sizes)
-        self.used += len(values)
-
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def learn(self, words: list[str]) -> None:
-        """Encode words that begin with a space, or with a line end that does not count."""
-        letters = [w for w in words if w[1:].isalpha() and w[0] in " \n"]  # one run of letters needs no pattern
-        if letters:
-            ids = [[t.id for t in self.model.tokenize((SPACE if w[0] == " " else "") + byte_letters(w[1:]))] for w in letters]
-            self.keep(letters, np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)))
-            words = [w for w in words if not (w[1:].isalpha() and w[0] in " \n")]
-        row = [w for w in words if ROW_WORD.fullmatch(w)]
-        for i in range(0, len(row), CALL_WORDS):
-            part = row[i:i + CALL_WORDS]
-            values = np.array(self.tokenizer.encode("".join(part), add_special_tokens=False).ids, np.uint32)
-            ends = np.searchsorted(np.cumsum(self.bytes[values]), np.cumsum([len(w.encode()) for w in part])) + 1
-            sizes = np.diff(ends, prepend=0)
-            first = np.fromiter((w[0] == "\n" for w in part), bool, len(part))
-            drop = (ends - sizes)[first]
-            self.keep(part, np.delete(values, drop), sizes - first)
-        alone = [w for w in words if not ROW_WORD.fullmatch(w)]
-        if alone:
-            ids = self.ids([w.removeprefix("\n") for w in alone])
-            self.keep(alone, np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64))
-
-    def split(self, word: str, lead: str) -> tuple[str, str, str]:
-        """Keys of the line end, the stem and the signs behind it; ``lead`` stands before the stem."""
-        line = ""
-        if word[:1] == "\n":
-            line, word, lead = "\n\n", word[1:], "\n"
-        stem = word.rstrip(SIGNS)
-        if not stem[-1:].isalnum():
-            stem = word
-        return line, lead + stem if stem or lead == " " else "", word[len(stem):]
-
-    def words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and the bounds of the texts in them."""
-        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
-        bounds = parts.offsets.to_numpy().astype(np.int64)
-        bounds, flat = bounds - bounds[0], parts.flatten()
-        first = bounds[:-1]
-        coded = flat.dictionary_encode()
-        code = coded.indices.to_numpy().astype(np.int64)
-        code[first] = len(coded.dictionary) + np.arange(len(first))
-        keys = [k for w in coded.dictionary.to_pylist() for k in self.split(w, " ")]
-        keys += [k for w in flat.take(pa.array(first)).to_pylist() for k in self.split(w, "\n")]
-        new = [w for w in dict.fromkeys(keys) if w not in self.known]
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.forget()
-            new = [w for w in dict.fromkeys(keys) if w]
-        self.learn(new)
-        self.values, self.starts, self.sizes = ([np.concatenate(x)] for x in (self.values, self.starts, self.sizes))
-        at = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys)).reshape(-1, 3)[code].ravel()
-        size = self.sizes[0][at]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        taken = self.values[0][np.repeat(self.starts[0][at] - (ends - size), size) + np.arange(total)]
-        return taken, np.concatenate(([0], ends))[3 * bounds]
-
-    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of each text; null is empty."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        risky = pc.match_substring_regex(texts, RISKY).to_numpy(zero_copy_only=False) if self.by_word else np.ones(len(texts), bool)
-        out: list = [None] * len(texts)
-        plain = np.flatnonzero(~risky)
-        if len(plain):
-            ids, bounds = self.words(texts.take(pa.array(plain)))
-            for k, i in enumerate(plain):
-                out[i] = ids[bounds[k]:bounds[k + 1]]
-        for i in np.flatnonzero(risky):
-            out[i] = np.array(self.ids([texts[int(i)].as_py()])[0], np.uint32)
-        return out
-
-
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """One for each worker process."""
-    if path not in _ENCODERS:
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
-def slices(batch: pa.RecordBatch, column: str):
-    """A batch in runs of rows of about SLICE_BYTES of text."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES, prepend=0))
-    for a, b in zip([0, *cuts], [*cuts, len(sizes)]):
-        if b > a:
-            yield batch.slice(a, b - a)
+from cohortspark.llm.tokens import byte_bpe
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text",
@@ -203,17 +43,17 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 204
     types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.list_(pa.int32())] * with_ids
 
     def cut(batches):
-        encode, last = encoder(tokenizer), np.array([end_id], "<u4")
+        bpe = byte_bpe(tokenizer, special=True)
         for batch in batches:
-            for part in slices(batch, "body"):
-                rows: list[tuple] = []
-                for doc, sig, ids in zip(part.column("doc").to_pylist(), part.column("sig").to_pylist(), encode(part.column("body")), strict=True):
-                    ids = np.concatenate((ids.astype("<u4"), last))
-                    head = (len(ids) - 1) % capacity + 1
-                    for k, stop in enumerate(range(head, len(ids) + 1, capacity)):
-                        start = max(0, stop - capacity) if k else 0
-                        own = ids[start:stop]
-                        rows.append((doc, sig, k, start, stop - start, zlib.crc32(own.tobytes())) + ((own.astype(np.int32),) if with_ids else ()))
+            rows: list[tuple] = []
+            for doc, sig, body in zip(batch.column("doc").to_pylist(), batch.column("sig").to_pylist(), batch.column("body"), strict=True):
+                ids = np.array([*bpe.ids(body.as_py()), end_id], "<u4")
+                head = (len(ids) - 1) % capacity + 1
+                for k, stop in enumerate(range(head, len(ids) + 1, capacity)):
+                    start = max(0, stop - capacity) if k else 0
+                    own = ids[start:stop]
+                    rows.append((doc, sig, k, start, stop - start, zlib.crc32(own.tobytes())) + ((own.astype(np.int32),) if with_ids else ()))
+            if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -264,10 +104,12 @@ def best_fit(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int
 
 def place(parts: DataFrame, capacity: int = 2048, chunk_rows: int = 200_000) -> DataFrame:
     """``parts`` (doc, sig, piece, length, ...) plus sequence_id and offset: as few sequences as best fit gives, without gaps."""
-    chunks = max(1, math.ceil(parts.count() / chunk_rows))
-    parts = parts.withColumn("chunk", F.pmod(F.xxhash64("doc", "sig", "piece"), F.lit(chunks)))
+    histogram = {r.length: r.n for r in parts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # some 4,096 chunks for all, so that a frequent length has many; more where these get too large
+    size = min(chunk_rows, max(1, sum(histogram.values()) // 4096))
+    chunks = parts.sparkSession.createDataFrame([(k, -(-n // size)) for k, n in histogram.items()], "length long, chunks long")
+    parts = parts.join(F.broadcast(chunks), "length").withColumn("chunk", F.pmod(F.xxhash64("doc", "sig", "piece"), "chunks")).drop("chunks")
     counts = store(parts.groupBy("length", "chunk").agg(F.count(F.lit(1)).alias("n")), "lengths")
-    histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     runs, _ = best_fit(histogram, capacity)
     table = np.array(runs, np.int64).reshape(-1, 5)
     shared = parts.sparkSession.sparkContext.broadcast(table)

@@ -6,11 +6,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
-import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from cohortspark.llm import packing as P
+from cohortspark.llm import tokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = [None, "", " ", "  ", "a", " a", "a ", "a  b", "a\n b", "a\nb c", "it's we'll 'tis", "x  y", "x y z", "tab\t x\ty", "é è 12 3.5 -- !!",
@@ -24,14 +24,24 @@ def slow(text):
     return TOKENIZER.encode(text or "", add_special_tokens=False).ids
 
 
-def test_ids_equal_the_tokenizer(monkeypatch):
+def test_ids_equal_the_tokenizer():
     rng = random.Random(4)
-    texts = TEXTS + ["".join(rng.choice([*"abZé1.'  \n\t", "'s", " the", "　", "ß"]) for _ in range(rng.choice([3, 30, 300]))) for _ in range(200)]
-    encode = P.Encoder(PATH)
-    assert encode.by_word
-    for _ in range(2):
-        assert [x.tolist() for x in encode(pa.array(texts, pa.string()))] == [slow(t) for t in texts]
-        monkeypatch.setattr(P, "KNOWN_WORDS", 10)
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choice([*"abZé1.'  \n\t", "'s", " the", "　", "ß"]) for _ in range(rng.choice([3, 30, 300]))) for _ in range(200)]
+    texts += ["".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(1, 0x3000), rng.randrange(0xE000, 0x11000)])) for _ in range(50)) for _ in range(300)]
+    counts, plain = tokens.ByteBpe(PATH, special=True), tokens.ByteBpe(PATH, special=False)
+    assert counts.quick and plain.quick
+    assert [counts.ids(t) for t in texts] == [slow(t) for t in texts]
+    strict = Tokenizer.from_file(PATH)
+    strict.encode_special_tokens = True
+    assert [plain.ids(t) for t in texts] == [strict.encode(t, add_special_tokens=False).ids for t in texts]
+    assert all(counts.vocabulary.text(np.array(counts.ids(t), np.int64)).tobytes() == t.encode() for t in texts)
+
+
+def test_other_vocabularies_use_their_own_tokenizer():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    bpe = tokens.ByteBpe(path, special=True)
+    assert bpe.quick is None
+    assert bpe.ids("Some Text") == Tokenizer.from_file(path).encode("Some Text", add_special_tokens=False).ids
 
 
 def first_fit(lengths, capacity):
