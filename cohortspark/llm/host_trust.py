@@ -48,10 +48,9 @@ def rule_table(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows))) if rows else none
 
 
-def rules_of_hosts(hosts: DataFrame, rules: DataFrame) -> DataFrame:
-    """host, fits: the rules for each host and its parents, longest first."""
-    labels = F.split("host", r"\.")
-    tails = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def rules_of_hosts(hosts: DataFrame, rules: DataFrame, labels: int) -> DataFrame:
+    """host, fits: the rules for each host and its parents, longest first, then by name; no rule's host has more than ``labels`` labels."""
+    tails = F.array(*[F.substring_index("host", ".", -n) for n in range(1, labels + 1)])
     held = hosts.select("host", F.explode(F.array_distinct(tails)).alias("rule_host")).join(rules, "rule_host")
     return held.groupBy("host").agg(F.sort_array(F.collect_set(F.struct(
         (-F.char_length("rule")).alias("size"), "rule", "rule_path", "decides"))).alias("fits"))
@@ -65,11 +64,13 @@ def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
         F.count(F.lit(1)).alias("n"))
 
 
-def spread(seeds: DataFrame, links: DataFrame, damping: float = 0.85, rounds: int = 30, tolerance: float = 1e-6) -> DataFrame:
+def spread(seeds: DataFrame, links: DataFrame, damping: float = 0.85, rounds: int = 10_000, tolerance: float = 1e-6) -> DataFrame:
     """host, trust, distrust from ``seeds`` (host, t0, d0, each summing to 1 or 0) and ``links`` (src, dst, n).
 
-    Power iteration until the total change of a round is below ``tolerance``,
-    ``rounds`` at most; the change shrinks by ``damping`` at least each round.
+    Power iteration until the total change of a round is below ``tolerance`` and
+    the round has reached no host for the first time. The change shrinks by
+    ``damping`` at least each round, so only chains of links longer than
+    ``rounds`` go on beyond that; they are an error.
     """
     out = links.groupBy("src").agg(F.sum("n").alias("n_out"))
     into = links.groupBy("dst").agg(F.sum("n").alias("n_in"))
@@ -90,18 +91,24 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float = 0.85, rounds: in
 
         trust, distrust = step("t0", "trust", "won", "end"), step("d0", "distrust", "lost", "start")
         state = store(moved.select("host", "t0", "d0", "end", "start", trust.alias("trust"), distrust.alias("distrust"),
-                                   (F.abs(trust - F.col("trust")) + F.abs(distrust - F.col("distrust"))).alias("change")), "host-state")
-        if (state.agg(F.sum("change")).first()[0] or 0.0) < tolerance:
+                                   (F.abs(trust - F.col("trust")) + F.abs(distrust - F.col("distrust"))).alias("change"),
+                                   (F.col("trust").cast("boolean") != trust.cast("boolean")).alias("new_trust"),
+                                   (F.col("distrust").cast("boolean") != distrust.cast("boolean")).alias("new_distrust")), "host-state")
+        change, new = state.agg(F.coalesce(F.sum("change"), F.lit(0.0)), F.coalesce(F.bool_or(F.col("new_trust") | F.col("new_distrust")), F.lit(False))).first()
+        if change < tolerance and not new:
             break
-        state = state.drop("change")
+        state = state.drop("change", "new_trust", "new_distrust")
+    else:
+        raise RuntimeError(f"trust has not settled after {rounds} rounds")
     return state.select("host", "trust", "distrust")
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", html_col: str = "html", threshold: float = 0.5,
-          otherwise: str = "allow", damping: float = 0.85, rounds: int = 30) -> DataFrame:
+          otherwise: str = "allow", damping: float = 0.85, rounds: int = 10_000, tolerance: float = 1e-6) -> DataFrame:
     """page, host, path, rule, verdict, trust, distrust for every row; rules are (allow or block, "host/path") pairs."""
     at = store(locate(pages, id_col, url_col), "hosts")
-    fits = rules_of_hosts(at.select("host").distinct(), rule_table(pages.sparkSession, rules))
+    labels = max([1, *(r[:r.index("/")].count(".") + 1 for _, r in rules)])
+    fits = rules_of_hosts(at.select("host").distinct(), rule_table(pages.sparkSession, rules), labels)
     ruled = at.join(fits, "host", "left")
     # the longest rule whose path the page's path starts with; the list is sorted
     first = F.get(F.filter("fits", lambda r: F.col("path").startswith(r["rule_path"])), F.lit(0))
@@ -111,7 +118,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id
     total = raw.agg(F.sum("t").alias("t_all"), F.sum("d").alias("d_all"))  # one row
     part = lambda c, all_: F.coalesce(F.try_divide(c, all_), F.lit(0.0))
     seeds = raw.join(F.broadcast(total)).select("host", part("t", "t_all").alias("t0"), part("d", "d_all").alias("d0"))
-    reach = spread(seeds, store(host_links(pages, url_col, html_col), "host-pairs"), damping, rounds)
+    reach = spread(seeds, store(host_links(pages, url_col, html_col), "host-pairs"), damping, rounds, tolerance)
     hosts = reach.withColumn("by_host", F.when(F.col("trust") + F.col("distrust") > 0, F.when(
         F.col("distrust") / (F.col("trust") + F.col("distrust")) > threshold, "block").otherwise("allow")).otherwise(otherwise))
     return ruled.join(hosts, "host", "left").select(

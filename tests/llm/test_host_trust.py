@@ -1,6 +1,7 @@
 """Rules and spread trust against a plain version."""
 
 import re
+import time
 from collections import defaultdict
 
 import pytest
@@ -23,7 +24,7 @@ def split(url):
     return ("".join(c.lower() if "A" <= c <= "Z" else c for c in m[1]), m[2]) if m else ("", "")
 
 
-def brute(pages, rules, rounds=30, damping=.85):
+def brute(pages, rules, rounds=300, damping=.85):
     out, own, edges = [], defaultdict(list), defaultdict(int)
     for page, url, html in pages:
         host, path = split(url)
@@ -86,3 +87,30 @@ def test_native_plan(spark):
 def test_host_and_path(spark, url):
     h, p = H.host_and_path(__import__("pyspark.sql.functions", fromlist=["lit"]).lit(url))
     assert tuple(spark.range(1).select(h, p).first()) == split(url)
+
+
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    link = '<a href="http://{}/">x</a>'
+    pages = [(i, f"http://h{i}.org/", link.format(f"h{i + 1}.org")) for i in range(39)] + [(39, "http://h39.org/", link.format("b.net"))]
+    pages.append((40, "http://b.net/fr/", None))
+    got = H.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), RULES, tolerance=.01).collect()
+    assert [r.verdict for r in sorted(got, key=lambda r: r.page)] == ["block"] * 41
+
+
+def test_unsettled_walk_is_an_error(spark):
+    seeds = spark.createDataFrame([("a", 1.0, 0.0)], "host string, t0 double, d0 double")
+    links = spark.createDataFrame([(x, y, 1) for x, y in zip("abcdefgh", "bcdefghi")], "src string, dst string, n long")
+    with pytest.raises(RuntimeError):
+        H.spread(seeds, links, rounds=3)
+
+
+def test_host_of_many_labels(spark):
+    pages = [(1, "http://" + "x." * 16_000 + "example.com/en/", None), (2, "http://" + "a." * 500_000, None)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    H.judge(df.limit(1), RULES).collect()
+    start = time.time()
+    rules = H.rule_table(spark, RULES)
+    hosts = H.locate(df, "page_id", "url").select("host")
+    got = H.rules_of_hosts(hosts, rules, 3).collect()
+    assert time.time() - start < 5
+    assert [[f.rule for f in r.fits] for r in got] == [["example.com/en/", "com/"]]
