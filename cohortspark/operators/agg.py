@@ -160,6 +160,27 @@ def weighted_quantile(df: DataFrame, x: str, w: str, p: float, by: list[str] | N
     return run.where(F.col("__upto") >= F.col("__t") * p).groupBy(*by).agg(F.min(x).alias(name))
 
 
+def weighted_shape(df: DataFrame, x: str, w: str, by: list[str] | None = None) -> DataFrame:
+    """Weighted mean, variance, skewness and excess kurtosis of the rows where value and weight are known, about the weighted mean."""
+    by = list(by or [])
+    known = df.where(F.col(x).isNotNull() & F.col(w).isNotNull())
+    centred = O.recycle(known, by, __mean=weighted_mean(x, w))
+    off, total = F.col(x) - F.col("__mean"), F.sum(w)
+    power = lambda n: F.sum(F.pow(off, F.lit(n)) * F.col(w)) / total
+    table = centred.groupBy(*by).agg(F.max("__mean").alias("mean"), power(2).alias("variance"), power(3).alias("__m3"), power(4).alias("__m4"))
+    spread = F.col("variance") > 0
+    return table.select(*by, "mean", "variance", F.when(spread, F.col("__m3") / F.pow("variance", F.lit(1.5))).alias("skewness"),
+                        F.when(spread, F.col("__m4") / (F.col("variance") * F.col("variance")) - 3).alias("kurtosis"))
+
+
+def weighted_tail_mean(df: DataFrame, x: str, w: str, p: float, by: list[str] | None = None, name: str = "tail_mean") -> DataFrame:
+    """Weighted mean of the values at or above the weighted p quantile."""
+    by = list(by or [])
+    cut = weighted_quantile(df, x, w, p, by, "__q")
+    marked = O.attach(df, cut, by) if by else df.withColumn("__q", cut.scalar())
+    return marked.where(F.col(x) >= F.col("__q")).groupBy(*by).agg(weighted_mean(x, w).alias(name))
+
+
 def describe_ext(df: DataFrame, c: str, by: list[str] | None = None) -> DataFrame:
     """Count, moments and error of the mean in one pass of mergeable states."""
     x = F.col(c)

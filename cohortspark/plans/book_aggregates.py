@@ -8,6 +8,7 @@ from cohortspark.operators import agg as G
 from cohortspark.operators import apply as P
 from cohortspark.operators import ordered as O
 from cohortspark.operators import reshape as R
+from cohortspark.operators import states as S
 from cohortspark.operators import tabyl as X
 from cohortspark.operators import verbs as V
 from cohortspark.plans.book_tables import LINE, Q_NA, line_na
@@ -261,6 +262,45 @@ def describe_moments(t):
     return out.withColumns({c: F.round(c, 5) for c in ("mean", "variance", "error_of_mean", "kurtosis", "skewness")})
 
 
+_CHUNKS = 3
+_PROBS = {"q10": 0.1, "q50": 0.5, "q99": 0.99}
+
+
+def _order_states(t):
+    """States of the order prices in chunks, merged."""
+    chunks = [t.orders.where(F.col("o_orderkey") % _CHUNKS == i) for i in range(_CHUNKS)]
+    return S.merge([S.state(c, "o_totalprice", ["o_orderpriority"]) for c in chunks], ["o_orderpriority"])
+
+
+@query("merged_states", """SELECT o_orderpriority, COUNT(*) AS n, ROUND(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE), 2) AS "sum", ROUND(AVG(o_totalprice), 4) AS mean,
+ROUND(VAR_SAMP(o_totalprice) / 1e6, 3) AS variance, ROUND(kurtosis_pop(o_totalprice), 5) AS kurtosis, MIN(o_totalprice) AS min, MAX(o_totalprice) AS max FROM orders GROUP BY 1""")
+def merged_states(t):
+    out = S.describe(_order_states(t), ["o_orderpriority"])
+    return out.select("o_orderpriority", "n", F.round("sum", 2).alias("sum"), F.round("mean", 4).alias("mean"), F.round(F.col("variance") / 1e6, 3).alias("variance"),
+                      F.round("kurtosis", 5).alias("kurtosis"), "min", "max")
+
+
+@query("quantile_states", """SELECT o_orderpriority, name, TRUE AS holds FROM (SELECT DISTINCT o_orderpriority FROM orders), (VALUES ('q10'), ('q50'), ('q99')) v(name)""")
+def quantile_states(t):
+    """Whether the share of rows below each merged quantile is the asked one, give or take the stated error (twice, so that 99 % becomes certainty)."""
+    found = S.describe(_order_states(t), ["o_orderpriority"], _PROBS)
+    long = found.select("o_orderpriority", "rank_error", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("name"), F.lit(p).alias("p"), F.col(n).alias("q")) for n, p in _PROBS.items()])).alias("s")).select(
+        "o_orderpriority", "rank_error", "s.*")
+    price = F.col("o_totalprice")
+    shares = t.orders.join(long, "o_orderpriority").groupBy("o_orderpriority", "name", "p", "rank_error").agg(
+        F.avg((price < F.col("q")).cast("double")).alias("below"), F.avg((price <= F.col("q")).cast("double")).alias("upto"))
+    off = 2 * F.col("rank_error")
+    return shares.select("o_orderpriority", "name", ((F.col("below") <= F.col("p") + off) & (F.col("upto") >= F.col("p") - off)).alias("holds"))
+
+
+@query("sum_without_cancelling", """SELECT l_returnflag, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS "sum" FROM lineitem GROUP BY 1""")
+def sum_without_cancelling(t):
+    """Every price between two large values that cancel: a plain running sum would lose all digits of the prices."""
+    x = t.lineitem.select("l_returnflag", F.explode(F.array(F.lit(1e17), F.col("l_extendedprice").cast("double"), F.lit(-1e17))).alias("x"))
+    return S.describe(S.state(x, "x", ["l_returnflag"]), ["l_returnflag"]).select("l_returnflag", F.round("sum", 2).alias("sum"))
+
+
 @query("covariance_by_group", "SELECT l_returnflag, ROUND(COVAR_SAMP(l_quantity, l_extendedprice), 2) AS cov FROM lineitem GROUP BY 1")
 def covariance_by_group(t):
     return t.lineitem.groupBy("l_returnflag").agg(F.round(G.covariance("l_quantity", "l_extendedprice"), 2).alias("cov"))
@@ -288,6 +328,20 @@ def weighted_statistics(t):
     return mean.join(var.withColumn("wvar", F.round("wvar", 7)), "l_returnflag")
 
 
+@query("weighted_shape_tail", """WITH b AS (SELECT l_returnflag AS f, l_extendedprice AS x, l_quantity AS w, SUM(l_extendedprice * l_quantity) OVER (PARTITION BY l_returnflag) / SUM(l_quantity) OVER (PARTITION BY l_returnflag) AS m FROM lineitem),
+s AS (SELECT f, MAX(m) AS mean, SUM(POWER(x - m, 2) * w) / SUM(w) AS v, SUM(POWER(x - m, 3) * w) / SUM(w) AS m3, SUM(POWER(x - m, 4) * w) / SUM(w) AS m4 FROM b GROUP BY 1),
+u AS (SELECT f, x, SUM(w) OVER (PARTITION BY f ORDER BY x) AS upto, SUM(w) OVER (PARTITION BY f) AS total FROM (SELECT f, x, SUM(w) AS w FROM b GROUP BY 1, 2)),
+c AS (SELECT f, MIN(x) AS cut FROM u WHERE upto >= total * 0.9 GROUP BY 1)
+SELECT f AS l_returnflag, ROUND(mean, 4) AS mean, ROUND(v / 1e6, 4) AS variance, ROUND(m3 / POWER(v, 1.5), 6) AS skewness, ROUND(m4 / v / v - 3, 6) AS kurtosis, ROUND(tail, 3) AS tail_mean
+FROM s JOIN (SELECT f, SUM(x * w) / SUM(w) AS tail FROM b JOIN c USING (f) WHERE x >= cut GROUP BY 1) USING (f)""")
+def weighted_shape_tail(t):
+    shape = G.weighted_shape(t.lineitem, "l_extendedprice", "l_quantity", ["l_returnflag"])
+    tail = G.weighted_tail_mean(t.lineitem, "l_extendedprice", "l_quantity", 0.9, ["l_returnflag"])
+    return shape.join(tail, "l_returnflag").select(
+        "l_returnflag", F.round("mean", 4).alias("mean"), F.round(F.col("variance") / 1e6, 4).alias("variance"), F.round("skewness", 6).alias("skewness"),
+        F.round("kurtosis", 6).alias("kurtosis"), F.round("tail_mean", 3).alias("tail_mean"))
+
+
 @query("weighted_variance_far_from_zero", """SELECT l_returnflag, ROUND(SUM(x * x * w) / SUM(w) - POWER(SUM(x * w) / SUM(w), 2), 5) AS wvar
 FROM (SELECT l_returnflag, l_linenumber AS x, l_quantity AS w FROM lineitem WHERE l_linenumber <> 3) GROUP BY 1""")
 def weighted_variance_far_from_zero(t):
