@@ -83,10 +83,10 @@ def graph_components(t):
 
 
 def text_links(t):
-    """Each document linked to the one before it with the same text."""
-    w = Window.partitionBy("sig", "text").orderBy("doc_id")
-    d = t.documents.select("doc_id", F.xxhash64("text").alias("sig"), "text")
-    return d.select(F.col("doc_id").alias("src"), F.lag("doc_id").over(w).alias("dst")).where(F.col("dst").isNotNull())
+    """Each document linked to the first one with the same text."""
+    d = t.documents.select("doc_id", F.sha2("text", 256).alias("sig"))
+    first = d.groupBy("sig").agg(F.min("doc_id").alias("dst"))
+    return d.join(first, "sig").where("doc_id <> dst").select(F.col("doc_id").alias("src"), "dst")
 
 
 @query("graph_sparse_components", "SELECT doc_id AS id, MIN(doc_id) OVER (PARTITION BY text) AS component FROM documents")
@@ -137,11 +137,35 @@ def graph_topological_levels(t):
     return G.topo_levels(sales_tree(t)).select("id", F.col("level").cast("bigint").alias("level"))
 
 
-@query("graph_eccentricity", f"WITH {_NATIONS} SELECT src AS id, MAX(weight) AS eccentricity FROM n GROUP BY 1")
+# farthest vertex of the sales tree, edges both ways: down its own branches (h), or up and into another branch (u)
+_FAR = """c AS (SELECT c_custkey, n_regionkey AS r, n_nationkey AS n, CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) THEN 1 ELSE 0 END AS h
+  FROM customer JOIN nation ON n_nationkey = c_nationkey),
+n AS (SELECT n_nationkey AS n, n_regionkey AS r, COALESCE(MAX(1 + h), 0) AS h FROM nation LEFT JOIN c ON c.n = n_nationkey GROUP BY 1, 2),
+nu AS (SELECT *, 1 + COALESCE(MAX(1 + h) OVER (PARTITION BY r ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING EXCLUDE CURRENT ROW), 0) AS u FROM n),
+cu AS (SELECT c.*, 1 + GREATEST(nu.u, COALESCE(MAX(1 + c.h) OVER (PARTITION BY c.n ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING EXCLUDE CURRENT ROW), 0)) AS u FROM c JOIN nu USING (n)),
+far AS (SELECT CAST(r_regionkey AS BIGINT) AS id, r_regionkey AS r, COALESCE((SELECT MAX(1 + h) FROM n WHERE n.r = r_regionkey), 0) AS e FROM region WHERE EXISTS (SELECT 1 FROM nation WHERE n_regionkey = r_regionkey)
+UNION ALL SELECT n + 100, r, GREATEST(h, u) FROM nu
+UNION ALL SELECT c_custkey + 1000000000, r, GREATEST(h, u) FROM cu
+UNION ALL SELECT o_orderkey + 1000000000000, r, 1 + GREATEST(u, CASE WHEN COUNT(*) OVER (PARTITION BY o_custkey) > 1 THEN 1 ELSE 0 END) FROM orders JOIN cu ON c_custkey = o_custkey)"""
+
+
+@query("graph_eccentricity", f"WITH {_FAR} SELECT id, e::BIGINT AS eccentricity FROM far")
 def graph_eccentricity(t):
-    return G.eccentricity(nations(t).select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("weight").alias("distance")))
+    return G.eccentricities(sales_tree(t)).select("id", "eccentricity")
 
 
-@query("graph_radius_diameter", f"WITH {_NATIONS} SELECT MIN(w) AS radius, MAX(w) AS diameter FROM (SELECT MAX(weight) AS w FROM n GROUP BY src)")
+@query("graph_radius_diameter", f"WITH {_FAR} SELECT r::BIGINT AS component, MIN(e)::BIGINT AS radius, MAX(e)::BIGINT AS diameter FROM far GROUP BY 1")
 def graph_radius_diameter(t):
-    return G.radius_diameter(nations(t).select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("weight").alias("distance")))
+    found = G.eccentricities(sales_tree(t))
+    return found.groupBy("component").agg(F.min("eccentricity").alias("radius"), F.max("eccentricity").alias("diameter"))
+
+
+@query("graph_distance_table", f"WITH {_TREE} SELECT MIN(e) AS radius, MAX(e) AS diameter FROM (SELECT r, MAX(d) AS e FROM a GROUP BY r)")
+def graph_distance_table(t):
+    """Eccentricity from a table of distances: from each region to all that is sold in it."""
+    down = sales_tree(t)
+    nations = down.where("weight = 1.0 AND src < 100").select(F.col("src").alias("a"), F.col("dst").alias("n"))
+    customers = down.where("src >= 100 AND src < 1000000000").select(F.col("src").alias("n"), F.col("dst").alias("c"), F.col("weight").alias("w1"))
+    orders = down.where("src >= 1000000000").select(F.col("src").alias("c"), F.col("dst").alias("b"), F.col("weight").alias("w2"))
+    dist = nations.join(customers, "n").join(orders, "c").select("a", "b", (F.col("w1") + F.col("w2") + 1.0).alias("distance"))
+    return G.radius_diameter(dist)
