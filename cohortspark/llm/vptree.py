@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from cohortspark.llm.common import map_batches, store
 
-LEAF = 48
+LEAF = 256
 WALK = 2048  # queries that walk a tree together
 PAIRS = 50_000  # scored at a time
 SHARD = "dim int, n long, ids binary, starts binary, vectors binary, inner binary, outer binary"
