@@ -7,7 +7,8 @@ of features that explain most of the rest get tables of their own, by trees
 with one cut on each of the two. A score is a sum of looked-up values.
 
 The tables are fitted on at most ``sample`` labelled rows, those with the
-smallest hash of their id; only their features come to the driver. Features and
+smallest hash of their id and text; only their features come to the driver. An
+id that repeats in the documents brings no more rows than that. Features and
 scores of all rows are made in one pass over the whole texts, without a shuffle.
 
 Defined cases: null text is empty text; empty texts have all features 0 and a
@@ -185,16 +186,18 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           sample: int = 20_000, **how) -> Model:
     """Fit on at most ``sample`` labelled rows outside the held-out fifth."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).select(
-        F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y"))
+        F.col(id_col).cast("long").alias("__id"), F.col(label_col).cast("int").alias("__y"))
     known = known.orderBy(F.xxhash64("__id"), "__id", "__y").limit(sample)
-    rows = docs.join(F.broadcast(known), docs[id_col] == known["__id"]).select("__y", F.col(text_col).cast("binary").alias("__text"))
+    rows = docs.join(F.broadcast(known), docs[id_col] == known["__id"]).select(
+        "__id", "__y", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("__sig"), F.col(text_col).cast("binary").alias("__text"))
 
     def look(batches):
         for batch in batches:
             x = [features(t.as_py()) for t in batch.column("__text")]
-            yield pa.RecordBatch.from_arrays([batch.column("__y"), pa.array(x, pa.list_(pa.float64()))], ["y", "x"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("__id", "__sig", "__y")), pa.array(x, pa.list_(pa.float64()))], ["id", "sig", "y", "x"])
 
-    got = map_batches(rows, look, "y int, x array<double>").toPandas()
+    got = map_batches(rows, look, "id long, sig long, y int, x array<double>")
+    got = got.orderBy(F.xxhash64("id"), "id", "sig", "y").limit(sample).select("y", "x").toPandas()
     # the order of rows must not matter to the sums
     x = np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES))
     y = got["y"].to_numpy(float)

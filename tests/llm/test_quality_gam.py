@@ -54,6 +54,15 @@ def test_held_out_accuracy_and_columns(spark):
     assert flags == {d: zlib.crc32(str(d).encode()) % 5 == 0 for d in rows}
 
 
+def test_an_id_that_repeats_brings_no_more_rows_than_the_sample(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("1L AS doc_id", "concat('text ', id) AS text").unionByName(spark.createDataFrame([(2, "a b")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(Q, "fit", lambda x, y: seen.append((len(x), len(y))) or Q.Model(0.0, [], []))
+    Q.learn(docs, labels, sample=50)
+    assert seen == [(50, 50)]
+
+
 def test_nulls_repeats_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, None, 1), (2, "", 2), (None, "a b", 3), (3, "A! " * 9, 4), (3, "A! " * 9, 4)], "doc_id long, text string, y int")
     labels = spark.createDataFrame([(1, 1), (3, 0), (3, None), (None, 1), (9, 1)], "doc_id long, quality int")
