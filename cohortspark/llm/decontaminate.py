@@ -193,10 +193,11 @@ class Shard:
             return
         pairs = np.unique(np.concatenate(pairs), axis=0)
         edge = np.flatnonzero(np.diff((np.cumsum(cover) > 0).astype(np.int8), prepend=0))
-        for d in np.unique(pairs[:, 0]):
-            a, b = np.searchsorted(edge, (self.starts[d], self.starts[d + 1]))
+        hit, first = np.unique(pairs[:, 0], return_index=True)
+        cut = np.searchsorted(edge, np.stack([self.starts[hit], self.starts[hit + 1]]))
+        for d, p, q, a, b in zip(hit.tolist(), first.tolist(), [*first[1:].tolist(), len(pairs)], *cut.tolist()):
             spans = (edge[a:b] - self.starts[d]).reshape(-1, 2)
-            yield int(d), [(int(x), int(y)) for x, y in spans], pairs[pairs[:, 0] == d, 1].tolist()
+            yield d, [(x, y) for x, y in spans.tolist()], pairs[p:q, 1].tolist()
 
     def longest(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each test suffix: words of the longest match, document number, position."""

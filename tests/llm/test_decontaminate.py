@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -90,3 +91,12 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.clean(df, none).count() == 1
     assert D.scan(df.limit(0), spark.createDataFrame([(1, "a")], "item_id long, text string")).count() == 0
+
+
+def test_many_tiny_documents_that_are_hit():
+    tests = D.Tests([(7, b"word")], 10)
+    texts = [np.array([1], np.int64)] * 80_000
+    start = time.time()
+    hits = list(D.Shard(tests, texts).hits())
+    assert time.time() - start < 3
+    assert hits == [(i, [(0, 1)], [0]) for i in range(80_000)]
