@@ -1,8 +1,10 @@
 """Registered queries and pipeline stages on the smallest tables, against SQL or plain Python."""
 
+import math
 import os
 import sys
 import zlib
+from bisect import bisect_right
 from collections import Counter, defaultdict
 
 import duckdb
@@ -12,6 +14,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import corpus_pipeline  # noqa: E402
+import test_alignment as alignment  # noqa: E402
 import test_compact_windows as windows  # noqa: E402
 import test_decontaminate as leaks  # noqa: E402
 import test_host_trust as hosts  # noqa: E402
@@ -19,6 +22,7 @@ import test_licenses as licenses  # noqa: E402
 import test_line_dedup as lines  # noqa: E402
 import test_packing as packing  # noqa: E402
 import test_simhash as simhash  # noqa: E402
+import test_suffixes as suffixes  # noqa: E402
 import test_vptree as vptree  # noqa: E402
 
 from cohortspark.llm import quality_gam, queries  # noqa: E402
@@ -63,6 +67,17 @@ def test_quality(spark):
     assert len(rows) == len(table("documents"))
     for d, r in rows.items():
         assert r.held_out == (zlib.crc32(str(d).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= .3)
+    # the learned tables, looked up one by one
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = quality_gam.learn(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"), label_col="quality", sample=20_000)
+    for d, text in ((r[0], r[1]) for r in table("documents")):
+        x = quality_gam.features((text or "").encode())
+        total = model.base
+        for v, edges, values in zip(x, model.edges, model.tables):
+            total += values[bisect_right(edges.tolist(), v)]
+        for (i, j), values in model.pairs.items():
+            total += values[bisect_right(model.pair_edges[i].tolist(), x[i])][bisect_right(model.pair_edges[j].tolist(), x[j])]
+        assert rows[d].score == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, total)))), abs=1e-12)
 
 
 def check_packed(rows, docs, capacity=2048):
@@ -114,6 +129,18 @@ def test_licenses(spark, docs):
     assert out == sorted(((i, *licenses.brute(t)) for i, t in docs), key=repr)
 
 
+def test_align(spark, docs):
+    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    out = got(spark, "op11_align").select(*names).collect()
+    assert sorted(map(tuple, out), key=repr) == sorted(alignment.brute(docs)[0], key=repr)
+
+
+def test_suffix_dedup(spark, docs):
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    out = got(spark, "op13_suffix_dedup").select(*names).collect()
+    assert sorted(map(tuple, out), key=repr) == suffixes.brute(docs)
+
+
 def test_pipeline_stages(spark, docs):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality", "lines", "near_copies", "leaks", "sequences"]
