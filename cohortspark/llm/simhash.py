@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortspark.llm.common import components, store
+from cohortspark.llm.common import components, map_batches, store
 
 STEP = 1 << 16
 
@@ -67,8 +67,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [batch.column("doc"), batch.column("sig"), pa.array(np.array(got, np.uint64).view(np.int64))], ["doc", "sig", "fp"])
 
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("sig"), text.cast("binary").alias("body")).mapInArrow(
-        scan, "doc long, sig long, fp long")
+    return map_batches(docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("sig"), text.cast("binary").alias("body")), scan, "doc long, sig long, fp long")
 
 
 def block_masks(max_bits: int, blocks: int) -> list[int]:
