@@ -11,15 +11,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortspark.functions import dates as D
 from cohortspark.functions.numbers import norm_cdf, norm_quantile
 from cohortspark.operators import ordered as O
 from cohortspark.operators import verbs as V
-from cohortspark.operators.joins import nearest_join, norm_lookup
+from cohortspark.operators.joins import nearest_join, norm_lookup, overlap_join, within_join
 from cohortspark.operators.reshape import clean_names
+from cohortspark.session import cut_lineage
 
 STUDENT = ["student_id", "subject"]
 TERM = ["academic_year", "season"]
@@ -409,23 +410,35 @@ def subgroup_stats(df: DataFrame, cols: list[str], measures: dict[str, Column])
 def permutation_stats(df: DataFrame, group: str, measure: str, id_col: str, n: int = 100, seed: int = 0) -> DataFrame:
     """Difference of each group's mean from the whole, with a p-value from n shuffles of the labels.
 
-    A shuffle orders the rows by a hash and gives the first labels to the first
-    group and so on, so group sizes stay as they are.
+    A shuffle puts the rows in the order of an MD5 hash of seed, shuffle number
+    and id, and gives the first labels to the first group and so on, so group
+    sizes stay as they are. No copy of the table is sorted: rows are counted and
+    added up by the first digits of their hash while they are read. Where the next
+    group starts inside such a bin, and only there, rows are put in order.
     """
     known = df.where(F.col(group).isNotNull() & F.col(measure).isNotNull()).select(group, F.col(measure).cast("double").alias("__m"), id_col)
-    sizes = known.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg("__m").alias("mean"))
-    bands = O.cumulate(sizes, "n", "sum", "__hi", [group]).withColumn("__lo", F.col("__hi") - F.col("n"))
-    spread = V.collect_list_bounded(bands.select(F.struct(group, "__lo", "__hi").alias("v")), "v")
-    whole = known.agg(F.avg("__m")).scalar()
-    runs = known.select("__m", id_col).withColumn("__p", F.explode(F.sequence(F.lit(1), F.lit(n))))
-    runs = runs.withColumn("__h", F.xxhash64(F.lit(seed), "__p", id_col))
-    placed = O.row_number(runs, "__pos", ["__h", id_col], ["__p"]).withColumn("__l", spread)
-    label = F.get(F.filter("__l", lambda v: (F.col("__pos") > v["__lo"]) & (F.col("__pos") <= v["__hi"])), F.lit(0))[group]
-    means = placed.withColumn(group, label).groupBy("__p", group).agg(F.avg("__m").alias("__pm"))
-    seen = sizes.withColumn("diff", F.col("mean") - whole)
-    joined = means.join(seen.select(group, "diff"), group).withColumn("__pd", F.col("__pm") - whole)
-    p = joined.groupBy(group).agg(((F.count_if(F.abs("__pd") >= F.abs("diff")) + 1) / (n + 1)).alias("p_value"))
-    return O.attach(seen, p, [group])
+    sizes = known.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum("__m").alias("__s")).withColumn("mean", F.col("__s") / F.col("n"))
+    bands = O.cumulate(sizes, "n", "sum", "__hi", [group]).select(F.col(group).alias("__g"), (F.col("__hi") - F.col("n") + 1).alias("__lo"), "__hi")
+    bands = cut_lineage(bands)  # one row per group
+    runs = known.select("__m", id_col, F.explode(F.sequence(F.lit(1), F.lit(n))).alias("__p"))
+    runs = runs.withColumn("__h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__p").cast("string"), F.col(id_col).cast("string"))))
+    runs = runs.withColumn("__bin", F.substring("__h", 1, 3))  # 4,096 bins a shuffle
+    bins = runs.groupBy("__p", "__bin").agg(F.count(F.lit(1)).alias("__n"), F.sum("__m").alias("__s"))
+    upto = F.sum("__n").over(Window.partitionBy("__p").orderBy("__bin"))
+    bins = bins.withColumn("__to", upto).withColumn("__from", F.col("__to") - F.col("__n") + 1)
+    met = cut_lineage(overlap_join(bins, bands, ("__from", "__lo"), ("__to", "__hi")))
+    whole = (F.col("__from") >= F.col("__lo")) & (F.col("__to") <= F.col("__hi"))
+    inside = met.where(whole).select("__p", "__g", "__n", "__s")
+    cut = met.where(~whole).select("__p", "__bin", "__from").distinct()
+    place = F.col("__from") - 1 + F.row_number().over(Window.partitionBy("__p", "__bin").orderBy("__h", id_col))
+    edge = runs.join(cut, ["__p", "__bin"]).withColumn("__pos", place)
+    edge = within_join(edge, bands, "__pos", "__lo", "__hi").groupBy("__p", "__g").agg(
+        F.count(F.lit(1)).alias("__n"), F.sum("__m").alias("__s"))
+    means = inside.unionByName(edge).groupBy("__p", F.col("__g").alias(group)).agg((F.sum("__s") / F.sum("__n")).alias("__pm"))
+    seen = O.recycle(sizes, None, __whole=F.sum("__s") / F.sum("n")).withColumn("diff", F.col("mean") - F.col("__whole"))
+    joined = means.join(seen.select(group, "diff", "__whole"), group)
+    p = joined.groupBy(group).agg(((F.count_if(F.abs(F.col("__pm") - F.col("__whole")) >= F.abs("diff")) + 1) / (n + 1)).alias("p_value"))
+    return O.attach(seen.drop("__s", "__whole"), p, [group])
 
 
 def summary_1d(df: DataFrame, by: list[str], above: int = 50) -> DataFrame:
