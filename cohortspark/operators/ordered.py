@@ -491,26 +491,90 @@ def recycle(df: DataFrame, by: list[str] | None = None, **aggs: Column) -> DataF
     return df.withColumn("__s", one.scalar()).select("*", *[F.col("__s")[n].alias(n) for n in aggs]).drop("__s")
 
 
+_FRAME = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+
+
+def _join_frames(kind: str, a: Column, b: Column) -> Column:
+    """Aggregate of two neighbouring stretches of rows; one without a known value is null (0 for a count)."""
+    if kind == "min":
+        return F.least(a, b)
+    if kind == "max":
+        return F.greatest(a, b)
+    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
+
+
+def moving_frames(df: DataFrame, frames: dict[str, tuple[str, str]], start: int, end: int, order: list[str], by: list[str] | None = None,
+                  small_groups: bool = False) -> DataFrame:
+    """Sums, counts, means, minima and maxima, {name: (kind, column)}, of the rows from ``start`` to ``end`` places away.
+
+    Rows are numbered and cut into blocks as long as the frame. A frame then lies
+    in one block, or is the end of one and the beginning of the next: each row
+    gets the aggregate up to it and from it on inside its block, and a frame is
+    put together from the two rows at its ends, looked up by their numbers. So the
+    work does not grow with the length of the frame, a block is the largest group
+    of a task, and no row is copied. NA is left out; a frame without a known value
+    gives NA (count 0). Sums of doubles may differ in the last digits.
+    """
+    if start > end:
+        raise ValueError("the frame is empty")
+    by, width = list(by or []), end - start + 1
+    lay = layout(df, by, order, small_groups)
+    rows = lay.done(_position(lay, "__pos", "__all_rows"))
+    need = {}
+    for kind, c in frames.values():
+        for k in (("sum", "count") if kind == "mean" else (kind,)):
+            need[k, c] = f"__{k}_{df.columns.index(c)}"
+    rows = rows.withColumn("__block", F.floor((F.col("__pos") - 1) / width))
+    block = Window.partitionBy(*by, "__block")
+    ahead = block.orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)
+    back = block.orderBy(F.desc("__pos")).rowsBetween(Window.unboundedPreceding, 0)
+    keyed = rows.select(*by, "__pos", "__block", *[_FRAME[k](c).over(ahead).alias(f"{n}_a") for (k, c), n in need.items()],
+                        *[_FRAME[k](c).over(back).alias(f"{n}_b") for (k, c), n in need.items()])
+    low, high = F.greatest(F.col("__pos") + start, F.lit(1)), F.least(F.col("__pos") + end, F.col("__all_rows"))
+    rows = rows.drop("__block").withColumns({"__low": low, "__high": high})
+    first = keyed.select(*by, F.col("__pos").alias("__low"), F.col("__block").alias("__low_block"), *[f"{n}_b" for n in need.values()])
+    last = keyed.select(*by, F.col("__pos").alias("__high"), F.col("__block").alias("__high_block"), *[f"{n}_a" for n in need.values()])
+    both = attach(attach(rows, first, [*by, "__low"]), last, [*by, "__high"])
+    some = F.col("__low") <= F.col("__high")
+    whole = F.col("__low_block") == F.col("__high_block")
+    at_start = (F.col("__low") - 1) % width == 0
+    value = {}
+    for (k, c), n in need.items():
+        a, b = F.col(f"{n}_a"), F.col(f"{n}_b")
+        joined = F.when(whole & at_start, a).when(whole, b).otherwise(_join_frames(k, b, a))
+        value[k, c] = F.coalesce(F.when(some, joined), F.lit(0)) if k == "count" else F.when(some, joined)
+    mean = lambda c: F.when(value["count", c] > 0, value["sum", c] / value["count", c])
+    out = both.withColumns({n: mean(c) if kind == "mean" else value[kind, c] for n, (kind, c) in frames.items()})
+    return out.select(*[c for c in df.columns if c not in frames], *frames)
+
+
 def moving(df: DataFrame, aggs: dict[str, Column], start: int, end: int, order: list[str], by: list[str] | None = None, small_groups: bool = False) -> DataFrame:
-    """Aggregates over a frame of a fixed number of rows around each row.
+    """Any aggregates over a frame of a fixed number of rows around each row; for long frames see ``moving_frames``.
 
     At the edge of a piece the frame needs rows of the neighbouring pieces, so
-    those few rows are copied over, used, and dropped again.
+    those few rows are copied over, used, and dropped again: no more than the
+    frame reaches, for each piece.
     """
     lay = layout(df, by, order, small_groups)
     rows = lay.df
     if lay.hot:
         split = lay.split_rows()
         parts = [rows.withColumn("__copy", F.lit(False))]
-        top = lay.bounds.select(*lay.by, F.size("__splits").alias("__last"))
+        counts = split.groupBy(*lay.by, PIECE).agg(F.count(F.lit(1)).alias("__c"))
         for reach, flip, step in ((-min(start, 0), True, 1), (max(end, 0), False, -1)):
             if reach:
-                near = (split.withColumn("__rn", F.row_number().over(lay.window(flip))).where(F.col("__rn") <= reach))
-                # a piece may hold fewer rows than the reach, so copies go to as many pieces as that
-                near = attach(near, top, lay.by, small=True).withColumn("__to", F.explode(F.sequence(F.lit(1), F.lit(reach))))
-                near = near.withColumn(PIECE, F.col(PIECE) + F.col("__to") * step)
-                near = near.where((F.col(PIECE) >= 0) & (F.col(PIECE) <= F.col("__last")))
-                parts.append(near.drop("__rn", "__to", "__last").withColumn("__copy", F.lit(True)))
+                # pieces that begin within the reach behind (or before) a piece: 0, 1, 2 ... of them and the rows that lie between
+                line = Window.partitionBy(*lay.by).orderBy(F.col(PIECE) * step)
+                upto = counts.withColumn("__after", F.sum("__c").over(line))
+                other = upto.select(*[F.col(b).alias(f"__r_{b}") for b in lay.by], F.col(PIECE).alias("__to"), (F.col("__after") - F.col("__c")).alias("__before"))
+                near_by = null_safe(upto, other, lay.by, [f"__r_{b}" for b in lay.by])
+                reached = upto.join(other, near_by & (F.col("__before") >= F.col("__after")) & (F.col("__before") - F.col("__after") < reach)).select(
+                    *lay.by, PIECE, "__to", (F.col("__before") - F.col("__after")).alias("__between"))
+                gaps = reached.groupBy(*lay.by, PIECE).agg(F.collect_list(F.struct("__to", "__between")).alias("__gaps"))
+                near = split.withColumn("__rn", F.row_number().over(lay.window(flip))).where(F.col("__rn") <= reach)
+                near = attach(near, gaps, [*lay.by, PIECE], "inner", small=True).withColumn("__g", F.explode("__gaps"))
+                near = near.where(F.col("__rn") + F.col("__g.__between") <= reach).withColumn(PIECE, F.col("__g.__to"))
+                parts.append(near.drop("__rn", "__gaps", "__g").withColumn("__copy", F.lit(True)))
         rows = parts[0]
         for p in parts[1:]:
             rows = rows.unionByName(p)

@@ -90,6 +90,15 @@ def moving_frame(t):
     return O.moving(o, {"last3": F.sum("price")}, -2, 0, ["o_orderdate", "o_orderkey"], ["o_custkey"]).select("o_orderkey", F.col("last3").cast("double").alias("last3"))
 
 
+@query("moving_long_frames", """SELECT event_id, COUNT(value) OVER w AS n, CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) OVER w AS BIGINT) AS cents, MIN(value) OVER w AS low, MAX(value) OVER (ORDER BY ts, event_id ROWS BETWEEN 2000 PRECEDING AND 3000 FOLLOWING) AS high
+FROM events WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN 5000 PRECEDING AND 1 PRECEDING)""")
+def moving_long_frames(t):
+    e = t.events.select("event_id", "ts", "value", F.round(F.col("value") * 100).cast("bigint").alias("c"))
+    back = O.moving_frames(e, {"n": ("count", "value"), "cents": ("sum", "c"), "low": ("min", "value")}, -5000, -1, ["ts", "event_id"])
+    both = O.moving_frames(back, {"high": ("max", "value")}, -2000, 3000, ["ts", "event_id"])
+    return both.select("event_id", "n", "cents", "low", "high")
+
+
 @query("group_statistics_recycled", """SELECT event_id, ROUND((value - AVG(value) OVER w) / STDDEV_SAMP(value) OVER w, 6) AS z, ROUND(value - MIN(value) OVER w, 6) AS above FROM events WINDOW w AS (PARTITION BY event_type)""")
 def group_statistics_recycled(t):
     v = F.col("value")

@@ -140,3 +140,39 @@ def test_several_windows_on_one_layout(spark, data):
     split = run()
     spark.conf.unset(HOT_ROWS_CONF)
     assert plain == split
+
+
+@pytest.mark.parametrize("start, end", [(-5, 0), (-60, 75), (3, 7), (-9, -2), (-1000, 1000), (0, 0), (500, 600)])
+def test_moving_frames_equal_plain_windows(spark, data, start, end):
+    from pyspark.sql import Window
+
+    frames = {"total": ("sum", "h"), "n": ("count", "x"), "low": ("min", "h"), "high": ("max", "x"), "m": ("mean", "h")}
+    w = Window.partitionBy("k").orderBy(*O.sort_columns(data, ORDER)).rowsBetween(start, end)
+    d = data.withColumn("h", F.col("h").cast("bigint"))
+    fn = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "mean": F.avg}
+    want = repr(rows(d.withColumns({n: fn[kind](c).over(w) for n, (kind, c) in frames.items()}).drop("x")))  # NaN equals itself
+    for limit in (None, "40"):
+        if limit:
+            spark.conf.set(HOT_ROWS_CONF, limit)
+        try:
+            assert repr(rows(O.moving_frames(d, frames, start, end, ORDER, ["k"]).drop("x"))) == want
+        finally:
+            spark.conf.unset(HOT_ROWS_CONF)
+
+
+def test_moving_copies_no_more_than_the_reach(spark, small_limit):
+    from pyspark.sql import Window
+
+    d = spark.range(600).select(F.lit("g").alias("k"), "id")
+    got = O.moving(d, {"n": F.count(F.lit(1)), "s": F.sum("id")}, -150, 90, ["id"], ["k"])
+    w = Window.partitionBy("k").orderBy("id").rowsBetween(-150, 90)
+    assert rows(got) == rows(d.withColumns({"n": F.count(F.lit(1)).over(w), "s": F.sum("id").over(w)}))
+
+
+def test_moving_frames_without_groups_and_empty(spark):
+    d = spark.range(10).select("id")
+    got = O.moving_frames(d, {"s": ("sum", "id")}, -3, 0, ["id"])
+    assert rows(got) == [(i, sum(range(max(0, i - 3), i + 1))) for i in range(10)]
+    assert O.moving_frames(d.limit(0), {"s": ("sum", "id")}, -3, 0, ["id"]).count() == 0
+    with pytest.raises(ValueError):
+        O.moving_frames(d, {"s": ("sum", "id")}, 2, 1, ["id"])
