@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortspark.operators import ordered as O
 from cohortspark.session import hot_rows
 
 
@@ -36,11 +39,10 @@ def group_apply(df: DataFrame, by: list[str], fn: Callable[[pd.DataFrame], pd.Da
         if _check_groups(df, by, limit) is not None:
             raise ValueError(f"a group has more than {limit} rows; pass combine")
         return df.groupBy(*by).applyInPandas(fn, schema)
-    from cohortspark.operators.ordered import attach
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
     # the chunk follows from the values, so a task that runs again gives the same one
     spread = F.pmod(F.xxhash64(*df.columns), F.greatest(F.lit(CHUNKS).cast("bigint"), F.ceil(F.col("__n") / limit * 1.25)))
-    chunks = attach(df, sizes, by).withColumn("__chunk", spread).drop("__n")
+    chunks = O.attach(df, sizes, by).withColumn("__chunk", spread).drop("__n")
     part = chunks.groupBy(*by, "__chunk").applyInPandas(lambda p: fn(p.drop(columns="__chunk")), schema)
     return part.groupBy(*by).applyInPandas(combine, schema)
 
@@ -53,9 +55,61 @@ def group_pairs_apply(x: DataFrame, y: DataFrame, by: list[str], fn, schema: str
     return x.groupBy(*by).cogroup(y.groupBy(*by)).applyInPandas(fn, schema)
 
 
-def window_apply(df: DataFrame, by: list[str], order: list[str], fn: Callable[[pd.DataFrame], pd.Series], name: str,
-                 kind: str, max_rows: int | None = None) -> DataFrame:
-    """A custom window function: the ordered rows of a group to one value per row."""
+@dataclass(frozen=True)
+class Carry:
+    """What a piece of a long group hands on: ``summarise(rows)`` gives its state, ``merge(before, piece)`` the state behind both."""
+
+    summarise: Callable[[pd.DataFrame], object]
+    merge: Callable[[object, object], object]
+
+
+def _carried_window(df: DataFrame, by: list[str], order: list[str], fn: Callable, name: str, schema: T.StructType, carry: Carry) -> DataFrame:
+    """Groups above the row limit in pieces: their states first, merged in order, then every piece with the state before it."""
+    lay = O.layout(df, by, order, bounded=True)
+    keys, up = [o.removeprefix("-") for o in order], [not o.startswith("-") for o in order]
+    rows, key = lay.df, [*lay.by, O.PIECE]
+    in_order = lambda p: p.sort_values(keys, ascending=up).reset_index(drop=True)
+    columns = df.columns
+
+    if lay.hot:
+        state_schema = T.StructType([*rows.select(*key).schema.fields, T.StructField("__state", T.BinaryType())])
+
+        def summary(p: pd.DataFrame) -> pd.DataFrame:
+            return p[key].head(1).assign(__state=[pickle.dumps(carry.summarise(in_order(p)[columns]))])
+
+        def add_up(p: pd.DataFrame) -> pd.DataFrame:
+            p, before = p.sort_values(O.PIECE).reset_index(drop=True), []
+            state = None
+            for own in map(pickle.loads, p["__state"]):
+                before.append(None if state is None else pickle.dumps(state))
+                state = own if state is None else carry.merge(state, own)
+            return p.assign(__state=before)
+
+        states = lay.split_rows().groupBy(*key).applyInPandas(summary, state_schema)
+        states = states.groupBy(*lay.by).applyInPandas(add_up, state_schema)  # a row per piece
+        rows = O.attach(rows, states, key)
+    else:
+        rows = rows.withColumn("__state", F.lit(None).cast("binary"))
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        p = in_order(p)
+        state, own = p["__state"].iloc[0], p[columns]
+        return own.assign(**{name: fn(own, None if state is None else pickle.loads(state))})
+
+    return rows.groupBy(*key).applyInPandas(run, schema)
+
+
+def window_apply(df: DataFrame, by: list[str], order: list[str], fn: Callable[..., pd.Series], name: str,
+                 kind: str, max_rows: int | None = None, carry: Carry | None = None) -> DataFrame:
+    """A custom window function: the ordered rows of a group to one value per row.
+
+    With ``carry`` a group of any size is handled: ``fn(rows, state)`` gets a piece
+    of the group and the state of all rows before it (None if there are none).
+    Without it ``fn(rows)`` gets the whole group, and one above the limit raises.
+    """
+    if carry:
+        schema = T.StructType([*df.schema.fields, T.StructField(name, T._parse_datatype_string(kind))])
+        return _carried_window(df, by, order, fn, name, schema, carry)
     limit = max_rows or hot_rows(df.sparkSession)
     if _check_groups(df, by, limit) is not None:
         raise ValueError(f"a group has more than {limit} rows")

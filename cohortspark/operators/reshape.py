@@ -54,6 +54,16 @@ def spread(df: DataFrame, key: str, value: str, fill=None, levels: list | None =
     return cells.groupBy(*rest).agg(*out)
 
 
+def spread_map(df: DataFrame, key: str, value: str, name: str = "cells", check: bool = True) -> DataFrame:
+    """As ``spread``, the cells of a row in one map, for any number of keys; cells without a row are not in it."""
+    rest = [c for c in df.columns if c not in (key, value)]
+    cells = df.where(F.col(key).isNotNull()).groupBy(*rest, key).agg(F.max(value).alias("__v"), F.count(F.lit(1)).alias("__n"))
+    if check:
+        one = F.when(F.col("__n") == 1, F.col("__v")).otherwise(F.raise_error(F.lit("duplicate rows for one cell")))
+        cells = cells.withColumn("__v", one.cast(df.schema[value].dataType))
+    return cells.groupBy(*rest).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(key).alias("key"), F.col("__v").alias("value"))))).alias(name))
+
+
 def separate(df: DataFrame, c: str, into: list[str], sep: str | list[int] = "[^0-9A-Za-z]+", convert: bool = False,
              remove: bool = True) -> DataFrame:
     """One column to several, by a regex or at positions (negative ones count from the right).
@@ -296,6 +306,12 @@ def dcast(df: DataFrame, rows: list[str], cols: str, value: str, fn, margins: bo
     return wide.fillna(fill) if fill is not None else wide
 
 
+def dcast_map(df: DataFrame, rows: list[str], cols: str, value: str, fn, name: str = "cells") -> DataFrame:
+    """As ``dcast``, the cells of a row in one map, for any number of columns."""
+    cells = df.where(F.col(cols).isNotNull()).groupBy(*rows, cols).agg(fn(F.col(value)).alias("__v"))
+    return cells.groupBy(*rows).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(cols).alias("key"), F.col("__v").alias("value"))))).alias(name))
+
+
 def acast(df: DataFrame, row: str, cols: str, value: str, fn, levels: list | None = None) -> DataFrame:
     """As dcast, the cells of a row in one array."""
     found = levels_of(df, cols, levels)

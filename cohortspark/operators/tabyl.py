@@ -70,6 +70,24 @@ def tabyl_one(counts: DataFrame, a: str) -> DataFrame:
                       F.when(F.col(a).isNotNull(), F.col("n") / F.col("__v")).alias("valid_percent"))
 
 
+def tabyl_long(df: DataFrame, a: str, b: str, c: str | None = None, show_na: bool = True, share: str | None = None) -> DataFrame:
+    """The cross table with a row per cell that occurs, for any number of levels.
+
+    ``share`` adds the cell's part of its row (a), column (b) or of the whole table,
+    three ways within each ``c``. Cells that do not occur are not listed.
+    """
+    keys = [k for k in (c, a, b) if k]
+    if not show_na:
+        for k in keys:
+            df = df.where(F.col(k).isNotNull())
+    cells = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    if share is None:
+        return cells
+    outer = [c] if c else []
+    by = {"row": [*outer, a], "col": [*outer, b], "all": outer}[share]
+    return O.recycle(cells, by, __t=F.sum("n")).withColumn("share", F.col("n") / F.col("__t")).drop("__t")
+
+
 def crosstab(df: DataFrame, a: str, b: str, levels: list | None = None) -> DataFrame:
     return tabyl(df, a, b, levels=levels)
 

@@ -376,6 +376,25 @@ def custom_window_function(t):
     return out.select("user_id", "event_type", "over_first")
 
 
+def _since_large(p: pd.DataFrame, state: int | None = None) -> pd.Series:
+    """Rows since the last value of 100 or more, that row included; ``state`` is the number before the first row."""
+    large = p["value"].ge(100)
+    run = large.cumsum()
+    place = p.groupby(run).cumcount()
+    return (place + (run > 0)).where(run > 0, place + 1 + (state or 0))
+
+
+@query("custom_window_with_state", """SELECT event_id, ROW_NUMBER() OVER (PARTITION BY event_type, r ORDER BY ts, event_id) AS since FROM
+(SELECT *, COUNT(*) FILTER (value >= 100) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS r FROM events)""")
+def custom_window_with_state(t):
+    # a piece hands on its last number, and whether a large value was in it
+    carry = P.Carry(lambda p: (int(_since_large(p).iloc[-1]), bool(p["value"].ge(100).any())),
+                    lambda a, b: b if b[1] else (a[0] + b[0], a[1]))
+    e = t.events.select("event_id", "event_type", "ts", "value")
+    out = P.window_apply(e, ["event_type"], ["ts", "event_id"], lambda p, s: _since_large(p, s and s[0]), "since", "bigint", carry=carry)
+    return out.select("event_id", "since")
+
+
 @query("page_apply_rows", "SELECT event_id, event_type || '-' || user_id AS tag FROM events")
 def page_apply_rows(t):
     return P.page_apply(t.events.select("event_id", "event_type", "user_id"),

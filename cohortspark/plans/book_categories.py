@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from cohortspark.operators import factors as C
+from cohortspark.operators import reshape as R
+from cohortspark.operators import tabyl as X
 from cohortspark.plans.registry import query
 
 
@@ -89,3 +91,41 @@ def combine_categories(t):
 def anonymous_levels(t):
     hidden = C.fct_anon(t.part, "p_brand", 7, "g")
     return C.fct_count(hidden, "p_brand").groupBy("n").agg(F.count(F.lit(1)).alias("groups"))
+
+
+# ------------------------------------------------- categories with many levels
+
+@query("many_levels_by_frequency", "SELECT o_orderkey, l AS o_custkey_level FROM orders JOIN (SELECT o_custkey AS k, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, o_custkey) AS l FROM orders GROUP BY 1) ON k = o_custkey")
+def many_levels_by_frequency(t):
+    """Every customer is a level."""
+    return C.level_number(t.orders, "o_custkey", C.table_infreq(t.orders, "o_custkey")).select("o_orderkey", "o_custkey_level")
+
+
+@query("many_levels_reordered", """WITH a AS (SELECT k, ROW_NUMBER() OVER (ORDER BY f, k) AS l, COUNT(*) OVER () AS t FROM (SELECT o_custkey AS k, MIN(o_orderkey) AS f FROM orders GROUP BY 1)),
+b AS (SELECT k, (t - l - 3) % t + CASE WHEN (t - l - 3) % t < 0 THEN t ELSE 0 END + 1 AS l FROM a),
+u AS (SELECT k, ROW_NUMBER() OVER (ORDER BY i, l) AS level FROM (SELECT k, MIN(i) AS i, MIN(l) AS l FROM (SELECT k, 0 AS i, l FROM b UNION ALL SELECT c_custkey, 1, c_custkey FROM customer WHERE c_custkey NOT IN (SELECT k FROM b)) GROUP BY 1))
+SELECT k AS o_custkey, level FROM u""")
+def many_levels_reordered(t):
+    """Order of first appearance, reversed, shifted by three, with the customers that have no order behind."""
+    levels = C.fct_shift(C.fct_rev(C.table_inorder(t.orders, "o_custkey", "o_orderkey")), 3)
+    return C.lvls_union(levels, C.table_sorted(t.customer.select(F.col("c_custkey").alias("o_custkey")), "o_custkey"))
+
+
+@query("long_cross_table", """SELECT o_custkey, o_orderpriority, COUNT(*) AS n, ROUND(COUNT(*) / SUM(COUNT(*)) OVER (PARTITION BY o_custkey), 9) AS "share" FROM orders GROUP BY 1, 2""")
+def long_cross_table(t):
+    return X.tabyl_long(t.orders, "o_custkey", "o_orderpriority", share="row").withColumn("share", F.round("share", 9))
+
+
+@query("many_columns_as_map", """SELECT o_orderpriority, COUNT(*) AS n_cells, SUM(k * n)::BIGINT AS mark, MAX(n) AS top FROM (SELECT o_orderpriority, o_custkey AS k, COUNT(*) AS n FROM orders GROUP BY 1, 2) GROUP BY 1""")
+def many_columns_as_map(t):
+    """A cross table with a column for every customer: the columns are the keys of a map."""
+    wide = R.dcast_map(t.orders, ["o_orderpriority"], "o_custkey", "o_orderkey", F.count)
+    cells = F.map_entries("cells")
+    total = F.aggregate(cells, F.lit(0).cast("bigint"), lambda a, e: a + e["key"].cast("bigint") * e["value"])
+    return wide.select("o_orderpriority", F.size("cells").cast("bigint").alias("n_cells"), total.alias("mark"), F.array_max(F.map_values("cells")).alias("top"))
+
+
+@query("keys_spread_to_map", """SELECT l_orderkey, COUNT(DISTINCT l_linenumber) AS n_cells, MAX(l_quantity) FILTER (l_linenumber = 2) AS second FROM lineitem GROUP BY 1""")
+def keys_spread_to_map(t):
+    wide = R.spread_map(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity"), "l_linenumber", "l_quantity", check=False)
+    return wide.select("l_orderkey", F.size("cells").cast("bigint").alias("n_cells"), F.try_element_at("cells", F.lit(2)).alias("second"))

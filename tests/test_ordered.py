@@ -176,3 +176,31 @@ def test_moving_frames_without_groups_and_empty(spark):
     assert O.moving_frames(d.limit(0), {"s": ("sum", "id")}, -3, 0, ["id"]).count() == 0
     with pytest.raises(ValueError):
         O.moving_frames(d, {"s": ("sum", "id")}, 2, 1, ["id"])
+
+
+def test_window_function_with_carried_state(spark, data):
+    import pandas as pd
+
+    d = data.select("id", "k", "h").withColumn("h", F.col("h").cast("double"))
+
+    def smooth(p, state=None):
+        """Exponential smoothing: half of the value before, half of the own."""
+        out, last = [], state[1] if state else 0.0
+        for v in p["h"]:
+            last = last / 2 + v / 2
+            out.append(last)
+        return pd.Series(out)
+
+    carry = P.Carry(lambda p: (.5 ** len(p), smooth(p).iloc[-1]), lambda a, b: (a[0] * b[0], a[1] * b[0] + b[1]))
+    run = lambda: {r.id: r.s for r in P.window_apply(d, ["k"], ["id"], smooth, "s", "double", carry=carry).collect()}
+    plain = run()
+    whole = {r.id: r.s for r in P.window_apply(d, ["k"], ["id"], smooth, "s", "double").collect()}
+    spark.conf.set(HOT_ROWS_CONF, "40")
+    try:
+        split = run()
+        with pytest.raises(ValueError):
+            P.window_apply(d, ["k"], ["id"], smooth, "s", "double")
+    finally:
+        spark.conf.unset(HOT_ROWS_CONF)
+    assert plain == whole and split == pytest.approx(whole)
+    assert P.window_apply(d.limit(0), ["k"], ["id"], smooth, "s", "double", carry=carry).count() == 0
