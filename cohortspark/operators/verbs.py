@@ -314,22 +314,12 @@ def sample_n(df: DataFrame, n: int, by: list[str] | None = None, weight: str | N
              seed: int = 0, replace: bool = False) -> DataFrame:
     """Exactly n random rows per group (all rows of smaller groups).
 
-    With ``replace`` a row may come back; each draw picks a position uniformly.
     Rows whose weight is zero or NA are never drawn; a negative weight is an error.
+    With ``replace`` a row may come back, see ``draw_rows``.
     """
     by = list(by or [])
     if replace:
-        keyed = df.withColumn("__u", F.rand(seed)).withColumn("__id", F.monotonically_increasing_id())
-        from cohortspark.session import cut_lineage
-        keyed = cut_lineage(keyed)  # random columns must not change between uses
-        pos = O.row_number(keyed, "__pos", ["__u", "__id"], by)
-        sizes = keyed.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-        draws = sizes.select(*by, "__n", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("__draw"))
-        draws = draws.withColumn("__pos", F.floor(F.rand(seed + 1) * F.col("__n")) + 1).drop("__n")
-        new = [f"__d_{b}" for b in by]
-        draws = draws.withColumnsRenamed(dict(zip(by, new))).withColumnRenamed("__pos", "__dpos")
-        cond = O.null_safe(pos, draws, by, new) & (pos["__pos"] == draws["__dpos"])
-        return pos.join(draws, cond).select(*df.columns)
+        return draw_rows(df, n, by, weight, seed)
     key = F.rand(seed)
     if weight is not None:
         df = df.where(F.col(weight) != 0)
@@ -338,6 +328,38 @@ def sample_n(df: DataFrame, n: int, by: list[str] | None = None, weight: str | N
     return first_rows(df.withColumn("__u", key), n, ["__u"], by).drop("__u")
 
 
+DRAWS_PER_ROW = 10_000
+
+
+def draw_rows(df: DataFrame, n: int, by: list[str] | None = None, weight: str | None = None, seed: int = 0) -> DataFrame:
+    """n independent draws per group, each row with a chance in proportion to its weight (all equal without one).
+
+    The rows of a group lie one behind the other on a line, each as long as its
+    weight, and a draw is a point on it. Points follow from the seed, the group and
+    the number of the draw. They are made in blocks on many tasks and find
+    their rows by a sweep along the line, so neither many draws nor a long line is
+    one task's work.
+    """
+    from cohortspark.operators.joins import within_join
+    from cohortspark.session import cut_lineage
+
+    by = list(by or [])
+    size = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    sized = df.withColumn("__w", F.when(size < 0, F.raise_error(F.lit("negative weight")).cast("double")).otherwise(size)).where("__w > 0")
+    # numbers of rows must not change between uses
+    line = cut_lineage(sized.withColumn("__id", F.monotonically_increasing_id()))
+    line = O.windows(line, ["__id"], by, __hi=O.w_cum("__w", "sum"), __lo=O.w_lag("__hi", 1, 0.0))
+    line = cut_lineage(line.drop("__w", "__id"))
+    ends = line.groupBy(*by).agg(F.max("__hi").alias("__end")).where(F.col("__end").isNotNull())
+    blocks = F.sequence(F.lit(0), F.lit(max(0, (n - 1) // DRAWS_PER_ROW)))
+    draws = ends.select(*by, "__end", F.explode(blocks).alias("__block")).repartition(*by, "__block")
+    first = F.col("__block") * DRAWS_PER_ROW
+    draws = draws.withColumn("__draw", F.explode(F.sequence(first, F.least(first + DRAWS_PER_ROW, F.lit(n)) - 1)))
+    share = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("draw"), *by, "__draw"), 11) / F.lit(float(1 << 53))
+    points = draws.select(*by, (share * F.col("__end")).alias("__at")) if n > 0 else draws.limit(0).select(*by, F.lit(0.0).alias("__at"))
+    return within_join(points, line, "__at", "__lo", "__hi", by, "[)").select(*df.columns)
+
+
 def sample_frac(df: DataFrame, frac: float, by: list[str] | None = None, seed: int = 0) -> DataFrame:
     """The given share of the rows of each group, exactly, in a hashed order."""
     lay = O.layout(df.withColumn("__u", F.xxhash64(F.lit(seed), *df.columns)), by, ["__u"])

@@ -218,6 +218,20 @@ def sample_replace(t):
     return V.sample_n(t.customer, 40, ["c_mktsegment"], seed=3, replace=True).select("c_mktsegment", "c_custkey")
 
 
+@query("sample_draw_shares", """SELECT o_orderstatus, o_orderpriority, 30000 AS draws, TRUE AS holds FROM orders GROUP BY 1, 2""")
+def sample_draw_shares(t):
+    """Whether weighted draws give each priority its share of the price, give or take five standard errors."""
+    n = 30_000
+    drawn = V.sample_n(t.orders, n, ["o_orderstatus"], weight="o_totalprice", seed=11, replace=True)
+    group = ["o_orderstatus", "o_orderpriority"]
+    got = drawn.groupBy(*group).agg(F.count(F.lit(1)).alias("got"))
+    got = O.recycle(got, ["o_orderstatus"], draws=F.sum("got"))
+    want = t.orders.groupBy(*group).agg(F.sum("o_totalprice").alias("w"))
+    want = O.recycle(want, ["o_orderstatus"], all=F.sum("w")).withColumn("p", F.col("w") / F.col("all"))
+    off = 5 * F.sqrt(F.col("p") * (1 - F.col("p")) / n)
+    return want.join(got, group, "left").select(*group, F.col("draws").cast("int").alias("draws"), (F.abs(F.col("got") / n - F.col("p")) <= off).alias("holds"))
+
+
 @query("sample_fraction", "SELECT o_orderpriority, CAST(ROUND(COUNT(*) * 0.1) AS BIGINT) AS n FROM orders GROUP BY 1")
 def sample_fraction(t):
     return V.sample_frac(t.orders, 0.1, ["o_orderpriority"], seed=3).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))

@@ -258,3 +258,26 @@ def test_large_first_rows_and_exact_fraction(spark):
     assert rows(V.first_rows(d, 1200, ["id"], ["g"]).groupBy("g").count()) == [(0, 1200), (1, 1200)]
     assert V.top_n(d, 1100, "id").count() == 1100
     assert rows(V.sample_frac(d, 0.25, ["g"]).groupBy("g").count()) == [(0, 375), (1, 375)]
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_draws_with_replacement(spark, hot):
+    from cohortspark.session import HOT_ROWS_CONF
+
+    d = spark.createDataFrame([(g, i, w) for g in ("a", "b", None) for i, w in enumerate([1.0, 3.0, 0.0, None, 6.0] + [0.0] * 60)], "g string, i int, w double")
+    if hot:
+        spark.conf.set(HOT_ROWS_CONF, "40")
+    try:
+        got = V.sample_n(d, 25_000, ["g"], weight="w", seed=5, replace=True)
+        assert got.columns == d.columns
+        counts = {(r.g, r.i): r["count"] for r in got.groupBy("g", "i").count().collect()}
+        equal = {r.i: r["count"] for r in V.sample_n(d.where("i < 5"), 20_000, seed=6, replace=True).groupBy("i").count().collect()}
+    finally:
+        spark.conf.unset(HOT_ROWS_CONF)
+    for g in ("a", "b", None):
+        assert {i for h, i in counts if h == g} == {0, 1, 4} and sum(n for (h, _), n in counts.items() if h == g) == 25_000
+        assert all(abs(counts[g, i] / 25_000 - p) < .015 for i, p in ((0, .1), (1, .3), (4, .6)))
+    assert sum(equal.values()) == 20_000 and all(abs(n / 20_000 - .2) < .015 for n in equal.values())
+    assert V.sample_n(d, 0, ["g"], replace=True).count() == 0 and V.sample_n(d.limit(0), 3, replace=True).count() == 0
+    with pytest.raises(Exception, match="negative"):
+        V.sample_n(d.withColumn("w", F.lit(-1.0)), 3, weight="w", replace=True).collect()
