@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from cohortspark.llm.common import map_batches, store
 from cohortspark.llm.tokens import byte_bpe, piece_bpe
 
-SLICE_BYTES = 1 << 20
-SHARD_LINKS = 6_000_000
+SLICE_BYTES = 1 << 19
+SHARD_LINKS = 3_000_000
 SHARD = ("shard long, doc array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups array<string>, "
          "n_pairs array<long>, steps binary, pairs array<long>, counts array<long>")
 

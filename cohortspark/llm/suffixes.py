@@ -16,8 +16,9 @@ A bucket sorts its suffixes by multikey quicksort over eight bytes at a time and
 takes the common prefixes of neighbours: suffixes that share enough bytes are
 neighbours, and of them those that also share the bytes in front, checked for each
 distance, are repeats. A bucket's first and last beginning may go on in the next
-bucket; strings there that have not met another one are compared across the
-boundaries by 128-bit hashes.
+bucket. What the strings of BLOCK neighbouring distances have in common is
+compared across the boundaries by 128-bit hashes, and where it occurs twice the
+strings themselves.
 
 All strings are judged on the input, and every byte that a repeated one covers is
 marked. Defined cases: null text is empty text; texts shorter than ``length`` lose
@@ -41,15 +42,16 @@ from cohortspark.llm.common import map_batches, store
 from cohortspark.llm.compact_windows import mix, sliding
 
 GRAM = 32
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 PLACE_BITS = 22
-BUCKET_ROWS = 60_000
+BUCKET_ROWS = 30_000
 HOT_ROWS = 5_000
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]  # any odd numbers
 PLACE = "gram long, around long, doc long, sig long, at long, lo short, hi short"
 SPAN = "doc long, sig long, start long, stop long"
 SUFFIX = "doc long, sig long, at long, lo short, hi short, lead binary, tie long, ahead binary, behind binary"
-EDGE = "w1 long, w2 long, " + SPAN
+BLOCK = 32
+FOUND = SPAN + ", c1 long, c2 long, strings array<struct<w1:long,w2:long,open:boolean>>"
 
 
 def grams(data: bytes) -> np.ndarray:
@@ -99,7 +101,7 @@ def slices_of(batches: Iterator[pa.RecordBatch], length: int):
 
 def text_runs(texts: list[bytes], length: int):
     """(text numbers, places, first strings, last strings, grams), places counted in each text; long texts in parts that overlap."""
-    part = 3 << 20
+    part = 1 << 20
     if len(texts) > 1 or len(texts[0]) <= part:
         bounds = np.cumsum([0, *map(len, texts)])
         place, first, last, gram = runs_of(b"".join(texts), bounds, length)
@@ -203,21 +205,32 @@ class Bucket:
             if distance < left.shape[1]:
                 state = spread(state, left[:, distance])
 
-    def edges(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """(row, distance, two hashes) of the strings whose beginning may go on in the next bucket; of those met twice, one each may be enough."""
+    def edges(self) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Rows whose beginning may go on in the next bucket, by blocks of distances.
+
+        Rows, first distance, two hashes of what the strings of the block have in common, and two of each string.
+        """
         lead = self.text[:, :GRAM]
         edge = np.flatnonzero((lead == lead[0]).all(axis=1) | (lead == lead[-1]).all(axis=1))
-        for part in range(0, len(edge), 4096):
-            rows = edge[part:part + 4096]
+        for part in range(0, len(edge), 1024):
+            rows = edge[part:part + 1024]
             right = np.zeros((len(rows), self.length + 1), np.uint64)
+            left = np.zeros((len(rows), self.length + 1), np.uint64)
             for k in range(self.length):
                 right[:, k + 1] = spread(right[:, k], self.text[rows, k])
-            state = np.zeros(len(rows), np.uint64)
-            for distance in range(int(self.hi[rows].max()) + 1):
-                some = np.flatnonzero((self.lo[rows] <= distance) & (self.hi[rows] >= distance))
-                one = state[some] + np.uint64(distance)
-                yield rows[some], np.full(len(some), distance), mix(one ^ ODD[2]), mix(right[some, self.length - distance] + one * ODD[3])
-                state = spread(state, self.left[rows, distance])
+                left[:, k + 1] = spread(left[:, k], self.left[rows, k])
+
+            def hashes(some, behind, ahead, kind):
+                one = left[some, behind] + np.uint64(behind + kind)
+                return mix(one ^ ODD[2]), mix(right[some, ahead] + one * ODD[3])
+
+            for first in range(0, int(self.hi[rows].max()) + 1, BLOCK):
+                last = min(first + BLOCK, self.length) - 1
+                some = np.flatnonzero((self.lo[rows] <= last) & (self.hi[rows] >= first))
+                if len(some):
+                    both = [hashes(some, d, self.length - d, 0) for d in range(first, last + 1)]
+                    yield (rows[some], first, *hashes(some, first, self.length - last, 1 << 20),
+                           np.stack([x for x, _ in both], axis=1), np.stack([x for _, x in both], axis=1))
 
 
 def bit_runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -230,8 +243,9 @@ def bit_runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def sort_buckets(suffixes: DataFrame, length: int, buckets: int) -> DataFrame:
-    """EDGE rows: repeats found in a bucket (w1 null), and strings at the bounds of a bucket (w1, w2 not null; stop null if already found)."""
-    names = [x.split()[0] for x in EDGE.split(", ")]
+    """FOUND rows: repeats found in a bucket (c1 null); and for places at its bounds the strings of a block of distances, ``start`` that of the first string and stop null."""
+    names = [x.split()[0] for x in FOUND.split(", ")]
+    pair = pa.struct([("w1", pa.int64()), ("w2", pa.int64()), ("open", pa.bool_())])
 
     def look(batches):
         cols: dict[str, list] = {c: [] for c in ("doc", "sig", "at", "lo", "hi", "ahead", "behind")}
@@ -244,24 +258,36 @@ def sort_buckets(suffixes: DataFrame, length: int, buckets: int) -> DataFrame:
         bucket = Bucket(cols["ahead"], cols["behind"], lo, hi, length)
         docs, sigs = pa.array(cols["doc"], pa.int64()).take(pa.array(bucket.order)), np.array(cols["sig"], np.int64)[bucket.order]
         at = np.array(cols["at"], np.int64)[bucket.order]
-
-        def out(row, start, stop, w1=None, w2=None):
-            blank = pa.nulls(len(row), pa.int64())
-            hashes = [blank, blank] if w1 is None else [pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64))]
-            return pa.RecordBatch.from_arrays([*hashes, docs.take(pa.array(row)), pa.array(sigs[row]), pa.array(start), stop], names)
-
         row, near, far = bit_runs(bucket.repeats)
-        yield out(row, at[row] - far, pa.array(at[row] - near + length))
-        if buckets > 1:
-            for row, distance, w1, w2 in bucket.edges():
-                known = bucket.repeats[row, distance]
-                # one of those that have met is enough for the next bucket
-                _, first = np.unique(np.stack([w1, w2], axis=1)[known], axis=0, return_index=True)
-                keep = np.sort(np.concatenate((np.flatnonzero(~known), np.flatnonzero(known)[first])))
-                start = (at[row] - distance)[keep]
-                yield out(row[keep], start, pa.array(start + length, mask=known[keep]), w1[keep], w2[keep])
-
-    return map_batches(suffixes.repartitionByRange(buckets, "lead", "tie"), look, EDGE)
+        blank = pa.nulls(len(row), pa.int64())
+        yield pa.RecordBatch.from_arrays([docs.take(pa.array(row)), pa.array(sigs[row]), pa.array(at[row] - far), pa.array(at[row] - near + length),
+                                          blank, blank, pa.nulls(len(row), pa.list_(pair))], names)
+        for row, first, c1, c2, w1, w2 in bucket.edges():
+            distance = np.arange(first, first + w1.shape[1])
+            # null: distances that are not the row's own, and strings met in this bucket but for one of each
+            own = (distance >= bucket.lo[row][:, None]) & (distance <= bucket.hi[row][:, None])
+            known = bucket.repeats[row[:, None], distance]
+            met = np.flatnonzero(own & known)
+            own &= ~known
+            own.ravel()[met[np.unique(w1.ravel()[met], return_index=True)[1]]] = True
+            some = own.any(axis=1)
+            row, c1, c2, w1, w2, own, known = (v[some] for v in (row, c1, c2, w1, w2, own, known))
+            flat = pa.StructArray.from_arrays([*(pa.array(w.ravel().view(np.int64)) for w in (w1, w2)), pa.array(~known.ravel())], fields=list(pair), mask=pa.array(~own.ravel()))
+            strings = pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1, dtype=np.int32) * w1.shape[1]), flat)
+            yield pa.RecordBatch.from_arrays([docs.take(pa.array(row)), pa.array(sigs[row]), pa.array(at[row] - first), pa.nulls(len(row), pa.int64()),
+                                              pa.array(c1.view(np.int64)), pa.array(c2.view(np.int64)), strings], names)
+
+    return map_batches(suffixes.repartitionByRange(buckets, "lead", "tie"), look, FOUND)
+
+
+def across_buckets(edges: DataFrame, length: int) -> DataFrame:
+    """SPAN of the strings at the bounds of buckets that occur twice; from FOUND rows."""
+    common = edges.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c1", "c2")
+    each = edges.join(common, ["c1", "c2"], "left_semi").select("doc", "sig", "start", F.posexplode("strings").alias("k", "w")).where("w IS NOT NULL").select(
+        "doc", "sig", (F.col("start") - F.col("k")).alias("start"), "w.w1", "w.w2", "w.open")
+    each = store(each, "edges")
+    twice = each.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
+    return each.where("open").join(twice, ["w1", "w2"], "left_semi").select("doc", "sig", "start", (F.col("start") + length).alias("stop"))
 
 
 def cut_suffixes(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -284,31 +310,33 @@ def cut_suffixes(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return map_batches(both.select("doc", "sig", "body", "places"), cut, SUFFIX)
 
 
+def repeated_keys(rows: DataFrame, counts: DataFrame, key: list[str], limit: int) -> DataFrame:
+    """The rows whose key is in ``counts`` (key, n); keys with more rows than ``limit`` are few and reach the rows where they lie."""
+    hot = F.broadcast(counts.where(F.col("n") > limit).select(*key))
+    cold = counts.where(F.col("n") <= limit).select(*key)
+    return rows.join(hot, key, "left_semi").unionByName(rows.join(hot, key, "left_anti").join(cold, key, "left_semi"))
+
+
 def repeated_spans(rows: DataFrame, length: int = 200, hot_rows: int = HOT_ROWS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """SPAN (bytes of a text): spans of ``rows`` (doc, sig, body) that repeated strings of ``length`` bytes cover, not merged."""
     if length < 2 * GRAM:
         raise ValueError(f"length must be {2 * GRAM} or more")
     found = store(places(rows, length), "places")
-    one = found.groupBy("gram", "around").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "sig", "at", "lo", "hi")).alias("one"))
-    one = store(one, "surroundings")
+    # at most 10,000 grams have more places than the limit, the others are joined
+    limit = max(hot_rows, found.count() // 10_000)
+    counts = store(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "grams")
+    found = store(repeated_keys(found, counts, ["gram"], limit), "places-again")
+    one = store(found.groupBy("gram", "around").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "sig", "at", "lo", "hi")).alias("one")), "surroundings")
     # a gram with several surroundings has to be sorted
     many = one.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("gram")
     wanted = one.join(many, "gram", "left_semi").select("one.*")
-    # surroundings that repeat as a whole: at most 10,000 have more rows than the limit, the others are joined
-    limit = max(hot_rows, found.count() // 10_000)
-    hot = F.broadcast(one.where(F.col("n") > limit).select("gram", "around"))
-    cold = one.where(F.col("n").between(2, limit)).select("gram", "around")
-    whole = found.join(hot, ["gram", "around"], "left_semi").unionByName(found.join(hot, ["gram", "around"], "left_anti").join(cold, ["gram", "around"], "left_semi"))
-    whole = whole.select("doc", "sig", (F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + length).alias("stop"))
+    whole = repeated_keys(found, one.where("n > 1"), ["gram", "around"], limit).select(
+        "doc", "sig", (F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + length).alias("stop"))
     suffixes = store(cut_suffixes(rows, wanted, length).dropDuplicates(["doc", "sig", "at"]), "suffixes")
     buckets = max(1, -(-suffixes.count() // bucket_rows))
     sorted_ = store(sort_buckets(suffixes, length, buckets), "buckets")
-    spans = whole.unionByName(sorted_.where("w1 IS NULL").select("doc", "sig", "start", "stop"))
-    if buckets > 1:
-        edges = sorted_.where("w1 IS NOT NULL")
-        twice = edges.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
-        spans = spans.unionByName(edges.where("stop IS NOT NULL").join(twice, ["w1", "w2"], "left_semi").select("doc", "sig", "start", "stop"))
-    return spans
+    inside = sorted_.where("c1 IS NULL").select("doc", "sig", "start", "stop")
+    return whole.unionByName(inside).unionByName(across_buckets(sorted_.where("c1 IS NOT NULL"), length))
 
 
 def joined(starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int]]:
