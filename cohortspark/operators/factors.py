@@ -230,8 +230,8 @@ def fct_c(dfs: list[DataFrame], c: str, levels: list[list[str]]) -> tuple[DataFr
 
 
 def fct_anon(df: DataFrame, c: str, seed: int = 0, prefix: str = "") -> DataFrame:
-    """Replace the levels by numbers in a hashed order."""
-    values = df.select(c).where(F.col(c).isNotNull()).distinct().withColumn("__h", F.xxhash64(F.lit(seed), F.col(c)))
+    """Replace the levels by numbers, in the order of an MD5 hash of seed and level."""
+    values = df.select(c).where(F.col(c).isNotNull()).distinct().withColumn("__h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(c).cast("string"))))
     numbered = O.row_number(values, "__n", ["__h", c]).drop("__h")
     return O.attach(df, numbered, [c]).withColumn(
         c, F.when(F.col("__n").isNotNull(), F.concat(F.lit(prefix), F.col("__n").cast("string")))).drop("__n")

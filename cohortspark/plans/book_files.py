@@ -247,9 +247,13 @@ def computed_table(t):
     return t.spark.table("line_counts").groupBy("l_returnflag").agg(F.sum("n").alias("n")) if stored.columns else stored
 
 
-@query("glimpse_columns", """SELECT * FROM (VALUES (1, 'c_custkey', 'bigint'), (2, 'c_name', 'string'), (3, 'c_nationkey', 'int'), (4, 'c_acctbal', 'double'), (5, 'c_mktsegment', 'string')) v(position, "column", type)""")
+@query("glimpse_columns", """WITH h AS (SELECT * FROM customer ORDER BY c_custkey LIMIT 5)
+SELECT position, "column", type, "values" FROM (VALUES (1, 'c_custkey', 'bigint'), (2, 'c_name', 'string'), (3, 'c_nationkey', 'int'), (4, 'c_acctbal', 'double'), (5, 'c_mktsegment', 'string')) v(position, "column", type)
+JOIN (SELECT 1 AS p, string_agg(c_custkey::VARCHAR, ', ' ORDER BY c_custkey) AS "values" FROM h UNION ALL SELECT 2, string_agg(c_name, ', ' ORDER BY c_custkey) FROM h
+UNION ALL SELECT 3, string_agg(c_nationkey::VARCHAR, ', ' ORDER BY c_custkey) FROM h UNION ALL SELECT 4, string_agg(c_acctbal::VARCHAR, ', ' ORDER BY c_custkey) FROM h
+UNION ALL SELECT 5, string_agg(c_mktsegment, ', ' ORDER BY c_custkey) FROM h) ON p = position""")
 def glimpse_columns(t):
-    return W.glimpse(t.customer).drop("values")
+    return W.glimpse(t.customer, order=["c_custkey"])
 
 
 @query("frame_summary", "SELECT COUNT(c_acctbal)::VARCHAR AS n, MIN(c_acctbal)::VARCHAR AS lo, MAX(c_acctbal)::VARCHAR AS hi FROM customer")
@@ -281,7 +285,8 @@ def rows_one_partition_at_a_time(t):
 def csv_late_text_cell(t):
     cell = F.when(F.col("event_id") < 0.9 * t.events.agg(F.max("event_id")).scalar(), F.col("event_id").cast("string")).otherwise(F.concat(F.lit("late "), "event_id"))
     path = scratch_path(t.spark, "late")
-    t.events.select("event_id", cell.alias("cell")).repartition(1).sortWithinPartitions("event_id").write.option("header", True).csv(path)
+    # sorted over all files, so the late cells lie in the last ones
+    t.events.select("event_id", cell.alias("cell")).repartitionByRange("event_id").sortWithinPartitions("event_id").write.option("header", True).csv(path)
     return I.read_csv(t.spark, path, col_types=I.infer_schema(t.spark, path)).select("cell")
 
 
@@ -290,9 +295,9 @@ def many_files_with_reader_options(t):
     paths = []
     for odd, order in ((0, ["c_custkey", "c_mktsegment"]), (1, ["c_mktsegment", "c_custkey"])):
         paths.append(scratch_path(t.spark, "layout"))
-        t.customer.where(f"c_nationkey % 2 = {odd}").select(*order).coalesce(1).write.option("header", True).option("sep", "|").csv(paths[-1])
+        t.customer.where(f"c_nationkey % 2 = {odd}").select(*order).write.option("header", True).option("sep", "|").csv(paths[-1])
     out = I.read_many(t.spark, paths, reader=I.read_delim, sep="|")
-    return out.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"), F.count_distinct("filename").alias("files"))
+    return out.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"), F.count_distinct(F.regexp_replace("filename", "/[^/]*$", "")).alias("files"))
 
 
 

@@ -122,11 +122,13 @@ def json_parse_column(t):
     return t.events.select("event_id", Z.parse_json_col("props", "k bigint, absent bigint").alias("p")).select("event_id", "p.k", "p.absent")
 
 
-@query("json_matrix", "SELECT vec_id, ROUND(embedding[1]::DOUBLE, 6) AS a, ROUND(embedding[4]::DOUBLE, 6) AS b FROM embeddings")
+@query("json_matrix", "SELECT vec_id, (i // 8)::INT AS i, (i % 8)::INT AS j, ROUND(embedding[i + 1]::DOUBLE, 6) AS cell FROM embeddings, range(0, 64) r(i)")
 def json_matrix(t):
-    text = F.to_json(F.array(F.slice(F.col("embedding").cast("array<double>"), 1, 2), F.slice(F.col("embedding").cast("array<double>"), 3, 2)))
+    v = F.col("embedding").cast("array<double>")
+    text = F.to_json(F.array(*[F.slice(v, 8 * i + 1, 8) for i in range(8)]))
     m = t.embeddings.select("vec_id", Z.parse_json_col(text, "array<array<double>>").alias("m"))
-    return m.select("vec_id", F.round(F.col("m")[0][0], 6).alias("a"), F.round(F.col("m")[1][1], 6).alias("b"))
+    rows = m.select("vec_id", F.posexplode("m").alias("i", "row"))
+    return rows.select("vec_id", "i", F.posexplode("row").alias("j", "cell")).withColumn("cell", F.round("cell", 6))
 
 
 @query("json_flatten", """SELECT event_id, event_type AS "row.type", value AS "row.at.value", user_id AS "row.at.user_id" FROM events""")

@@ -128,8 +128,11 @@ def random_columns(t):
     return t.customer.select("c_custkey", M.rbernoulli(0.3, 1).alias("b"), M.rdunif(1, 6, 2).alias("d"), M.rnorm(10.0, 2.0, 3).alias("z"))
 
 
-@query("centroids", "SELECT label::BIGINT AS label, ROUND(AVG(embedding[1]::DOUBLE), 6) AS x, ROUND(AVG(embedding[2]::DOUBLE), 6) AS y FROM embeddings GROUP BY 1")
+@query("centroids", """SELECT label::BIGINT AS label, i::BIGINT AS pair, ROUND(AVG(embedding[2 * i + 1]::DOUBLE), 6) AS x, ROUND(AVG(embedding[2 * i + 2]::DOUBLE), 6) AS y
+FROM embeddings, range(0, 32) r(i) GROUP BY 1, 2""")
 def centroids(t):
-    pts = t.embeddings.select(F.col("label").cast("bigint").alias("label"), F.get("embedding", F.lit(0)).cast("double").alias("x"), F.get("embedding", F.lit(1)).cast("double").alias("y"))
-    out = M.centroid(pts, "x", "y", ["label"])
+    pair = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(31).cast("bigint"))).alias("pair")
+    at = lambda k: F.get("embedding", (2 * F.col("pair") + k).cast("int")).cast("double")
+    pts = t.embeddings.select(F.col("label").cast("bigint").alias("label"), "embedding", pair).select("label", "pair", at(0).alias("x"), at(1).alias("y"))
+    out = M.centroid(pts, "x", "y", ["label", "pair"])
     return out.withColumns({c: F.round(c, 6) for c in ("x", "y")})

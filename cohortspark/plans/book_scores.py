@@ -321,10 +321,12 @@ def cohort_growth_z(t):
     return out.select("school", *GROWTH_KEYS, "n", F.round("z", 3).alias("z"), F.when(F.col("z").isNotNull(), F.col("cgp") > 50).alias("above"))
 
 
-@query("cohort_growth_targets")
+# the normal quantiles of 0.5, 0.75 and 0.9
+@query("cohort_growth_targets", SCHOOL_SQL + """SELECT school, subject, start_grade, start_season, end_season, cgp::DOUBLE AS cgp, ROUND(start_mean + expected_growth + q * sd_growth, 3) AS target_mean
+FROM per JOIN sn USING (subject, start_grade, start_season, end_season), (VALUES (50, 0.0::DOUBLE), (75, 0.6744897501960817::DOUBLE), (90, 1.2815515655446004::DOUBLE)) v(cgp, q)""")
 def cohort_growth_targets(t):
     school, norms = school_growth_norms(t, score_pairs(t))
-    return A.cohort_targets(school, norms, ["school"], [50, 75, 90]).select("school", *GROWTH_KEYS, "cgp", F.round("target_mean", 4).alias("target_mean"))
+    return A.cohort_targets(school, norms, ["school"], [50, 75, 90]).select("school", *GROWTH_KEYS, "cgp", F.round("target_mean", 3).alias("target_mean"))
 
 
 @query("score_summary", RANKED_SQL + """SELECT school, subject, academic_year, COUNT(DISTINCT student_id) AS n_students, ROUND(AVG(score), 6) AS mean_score, ROUND(AVG(percentile), 6) AS mean_percentile, ROUND(MEDIAN(score), 6) AS median_score FROM ranked GROUP BY ALL""")

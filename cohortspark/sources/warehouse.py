@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortspark.operators.ordered import sort_columns
+
 # --------------------------------------------------------- named sources
 
 
@@ -228,11 +230,12 @@ def explain(df: DataFrame) -> str:
     return out.getvalue()
 
 
-def glimpse(df: DataFrame, n: int = 5) -> DataFrame:
-    """One row per column: type and the first values found."""
-    head = df.limit(n)
-    cells = [F.struct(F.lit(i + 1).alias("position"), F.lit(c).alias("column"), F.lit(t).alias("type"),
-                      F.array_join(F.collect_list(F.col(f"`{c}`").cast("string")), ", ").alias("values"))
+def glimpse(df: DataFrame, n: int = 5, order: list[str] | None = None) -> DataFrame:
+    """One row per column: type and the first values, in ``order`` or as found; NA is left out."""
+    head = df.orderBy(*sort_columns(df, order)).limit(n) if order else df.limit(n)
+    place = F.struct(*[F.col(f"`{o.removeprefix('-')}`") for o in order]) if order else F.lit(0)
+    listed = lambda c: F.transform(F.sort_array(F.collect_list(F.struct(place.alias("at"), F.col(f"`{c}`").cast("string").alias("v")))), lambda s: s["v"])
+    cells = [F.struct(F.lit(i + 1).alias("position"), F.lit(c).alias("column"), F.lit(t).alias("type"), F.array_join(listed(c), ", ").alias("values"))
              for i, (c, t) in enumerate(df.dtypes)]
     return head.agg(F.array(*cells).alias("a")).select(F.inline("a"))
 
