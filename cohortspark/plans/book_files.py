@@ -378,6 +378,17 @@ def stream_dedupe(t):
     return t.spark.read.schema("event_id bigint").parquet(out)
 
 
+@query("stream_dedupe_with_late_rows", "SELECT event_id, TRUE AS once FROM events GROUP BY 1")
+def stream_dedupe_with_late_rows(t):
+    """Every event twice, the latest in the first files: most rows come late, and no key is lost."""
+    path = scratch_path(t.spark, "in")
+    events = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    events.unionByName(events).repartitionByRange(5, F.desc("ts")).write.parquet(path)
+    kept, late = S.dedupe_with_late(S.stream_files(t.spark, path, events.schema, files_per_chunk=1), ["event_id"], "ts", "1 day")
+    both = kept.select("event_id", F.lit(1).alias("n")).unionByName(late.select("event_id", F.lit(0).alias("n")))
+    return both.groupBy("event_id").agg((F.sum("n") <= 1).alias("once"))
+
+
 @query("stream_windows_in_many_chunks", _WIN.format("(SELECT time_bucket(INTERVAL 6 HOUR, ts) AS s, event_type FROM events)"))
 def stream_windows_in_many_chunks(t):
     path = scratch_path(t.spark, "in")

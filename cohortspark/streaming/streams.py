@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortspark.operators import ordered as O
+from cohortspark.operators.verbs import first_rows
 from cohortspark.session import scratch_path
 
 Chunk = Callable[[DataFrame, int], DataFrame | None]
@@ -117,3 +120,45 @@ def stream_window_agg(sdf: DataFrame, ts: str, size: str, slide: str | None = No
 def stream_dedupe(sdf: DataFrame, keys: list[str], ts: str, watermark: str) -> DataFrame:
     """First row seen per key; state is dropped after the watermark."""
     return _timed(sdf, ts).withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
+
+
+def dedupe_with_late(sdf: DataFrame, keys: list[str], ts: str, delay: str) -> tuple[DataFrame, DataFrame]:
+    """First row of each key, and the rows that came too late to tell; both with the number of their chunk.
+
+    A row is late if its time lies more than ``delay`` before the latest time of
+    the chunks before its own, or is missing. Late rows are not dropped but handed
+    back, so no key is lost in whatever order the files come. Keys are remembered
+    until a row as late as their latest one would be late, so the state is bounded by the delay.
+    It is a table per chunk in the shared folder: a chunk that runs again after a
+    failure reads the state of the one before and writes the same rows.
+    """
+    spark = sdf.sparkSession
+    base = scratch_path(spark, "dedupe")
+    kind = T.StructType([*sdf.schema.fields, T.StructField("chunk", T.IntegerType())])
+    known = T.StructType([*[sdf.schema[k] for k in keys], T.StructField("__at", T.TimestampType())])
+
+    def step(chunk: DataFrame, number: int) -> None:
+        rows = chunk.withColumn("__at", F.col(ts).cast("timestamp"))
+        seen = spark.read.schema(known).parquet(f"{base}/seen/{number - 1}") if number else spark.createDataFrame([], known)
+        mark = spark.read.parquet(f"{base}/mark/{number - 1}").first()["mark"] if number else None
+        on_time = F.col("__at").isNotNull() if mark is None else F.coalesce(F.col("__at") >= F.lit(mark), F.lit(False))
+        rows.where(~on_time).drop("__at").write.mode("overwrite").parquet(f"{base}/late/chunk={number}")
+        first = first_rows(rows.where(on_time), 1, ["__at"], keys)
+        other = seen.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
+        new = first.join(other, O.null_safe(first, other, keys, [f"__k_{k}" for k in keys]), "left_anti")
+        new.drop("__at").write.mode("overwrite").parquet(f"{base}/kept/chunk={number}")
+        latest = rows.agg(F.greatest(F.max("__at") - F.expr(f"INTERVAL {delay}"), F.lit(mark).cast("timestamp")).alias("mark"))
+        latest.write.mode("overwrite").parquet(f"{base}/mark/{number}")
+        after = spark.read.parquet(f"{base}/mark/{number}").first()["mark"]
+        both = seen.unionByName(rows.where(on_time).select(*keys, "__at")).groupBy(*keys).agg(F.max("__at").alias("__at"))
+        both.where(F.col("__at") >= F.lit(after)).write.mode("overwrite").parquet(f"{base}/seen/{number}")
+
+    each_chunk(sdf, step)
+
+    def read(part: str) -> DataFrame:
+        try:
+            return spark.read.schema(kind).parquet(f"{base}/{part}")
+        except AnalysisException:  # no chunk, no folder
+            return spark.createDataFrame([], kind)
+
+    return read("kept"), read("late")
