@@ -4,7 +4,7 @@ Every string of ``length`` bytes that starts at two places is found. Sorting the
 suffix of every byte would move each text ``length`` times, so a string is stood
 for by one place inside it: of its grams of GRAM bytes the one with the smallest
 hash, the leftmost of equals. Equal strings have this place at the same distance
-from their start, so only suffixes that start at such places, about one in 85
+from their start, so only suffixes that start at such places, about one in 70
 bytes, have to meet. A place stands for a run of strings, those that start between
 ``hi`` and ``lo`` bytes before it.
 
