@@ -88,20 +88,38 @@ def _probit(p: Column) -> Column:
     return norm_quantile(p)
 
 
-# Forward and inverse of each scale.
+def _float_log(fn, pole: float = 0.0):
+    """A logarithm that is -Inf at its pole and NaN below it, where Spark's gives NA."""
+    return lambda c: F.when(c < pole, float("nan")).when(c == pole, float("-inf")).otherwise(fn(c))
+
+
+_log = _float_log(F.log)
+
+
+def _reciprocal(c: Column) -> Column:
+    """1 / c, infinite at 0, where Spark's division is an error."""
+    c = c.cast("double")
+    return F.when(c == 0, F.pow(c, F.lit(-1.0))).otherwise(F.try_divide(F.lit(1.0), c))
+
+
+def _logit(c: Column) -> Column:
+    return F.when(c == 1, float("inf")).otherwise(_log(F.try_divide(c, 1 - c)))
+
+
+# Forward and inverse of each scale; outside its range a scale gives Inf or NaN, as floating-point numbers do.
 _SCALES = {
     "identity": (lambda c: c, lambda c: c),
-    "log": (F.log, F.exp),
-    "log2": (F.log2, lambda c: F.pow(F.lit(2.0), c)),
-    "log10": (F.log10, lambda c: F.pow(F.lit(10.0), c)),
-    "log1p": (F.log1p, F.expm1),
-    "exp": (F.exp, F.log),
+    "log": (_log, F.exp),
+    "log2": (_float_log(F.log2), lambda c: F.pow(F.lit(2.0), c)),
+    "log10": (_float_log(F.log10), lambda c: F.pow(F.lit(10.0), c)),
+    "log1p": (_float_log(F.log1p, -1.0), F.expm1),
+    "exp": (F.exp, _log),
     "sqrt": (F.sqrt, lambda c: c * c),
     "asn": (lambda c: 2 * F.asin(F.sqrt(c)), lambda c: F.pow(F.sin(c / 2), 2)),
     "atanh": (F.atanh, F.tanh),
-    "reciprocal": (lambda c: 1 / c, lambda c: 1 / c),
+    "reciprocal": (_reciprocal, _reciprocal),
     "reverse": (lambda c: -c, lambda c: -c),
-    "logit": (lambda c: F.log(c / (1 - c)), lambda c: 1 / (1 + F.exp(-c))),
+    "logit": (_logit, lambda c: 1 / (1 + F.exp(-c))),
     "probit": (lambda c: norm_quantile(c), lambda c: norm_cdf(c)),
 }
 
@@ -112,7 +130,7 @@ def transform_scale(c, name: str, inverse: bool = False) -> Column:
 
 def boxcox(c, p: float) -> Column:
     c = col(c)
-    return F.log(c) if p == 0 else (F.pow(c, p) - 1) / p
+    return _log(c) if p == 0 else (F.pow(c, p) - 1) / p
 
 
 def bin(c, breaks: list[float], right: bool = False) -> Column:
