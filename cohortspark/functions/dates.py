@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortspark.functions.na import col
+from cohortspark.functions.na import bind, col
 
 _SEP = r"[^0-9A-Za-z]*"
 _PART = {"y": r"(\d{4}|\d{2})", "m": r"(\d{1,2}|[A-Za-z]{3,9}\.?)", "d": r"(\d{1,2})"}
+_CUT = "\u001f"  # between the groups of a match, which hold digits and letters only
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 # Month names of further locales: fixed values.
@@ -24,16 +25,24 @@ def _month_number(text: Column) -> Column:
     return F.when(text.rlike(r"^\d"), text.try_cast("int")).when((at > 0) & (at % 3 == 1), ((at + 2) / 3).cast("int"))
 
 
-def _date_text(c: Column, order: str, tail: str) -> Column:
+def _matched(c: Column, order: str, tail: str, clock: int, fn) -> Column:
+    """``fn`` of the groups of a text that fits the order, NA for others; the text is made and matched once, however often ``fn`` uses its groups."""
     rx = r"^\s*" + _SEP.join(_PART[p] for p in order) + tail
-    part = {p: F.regexp_extract(c, rx, i + 1) for i, p in enumerate(order)}
+    groups = _CUT.join(f"${i + 1}" for i in range(len(order) + clock))
+    # the rest after the end is taken along: $ also stands before a last line break
+    split = lambda text: F.when(text.rlike(rx), F.split(F.regexp_replace(text, rx + r"[\s\S]*", groups), _CUT))
+    return bind(bind(c, split), lambda g: fn({p: F.get(g, i) for i, p in enumerate(order)}, [F.get(g, len(order) + i) for i in range(clock)]))
+
+
+def _date_text(part: dict[str, Column]) -> Column:
     year = part["y"].try_cast("int")
     year = F.when(F.length(part["y"]) == 4, year).when(year < 69, year + 2000).otherwise(year + 1900)
-    return F.when(c.rlike(rx), F.format_string("%04d-%02d-%02d", year, _month_number(part["m"]), part["d"].try_cast("int")))
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    return F.concat(F.lpad(year.cast("string"), 4, "0"), F.lit("-"), two(_month_number(part["m"])), F.lit("-"), two(part["d"].try_cast("int")))
 
 
 def _parse(c, order: str) -> Column:
-    return _date_text(col(c), order, r"\s*$").try_cast("date")
+    return _matched(col(c), order, r"\s*$", 0, lambda part, _: _date_text(part).try_cast("date"))
 
 
 def ymd(c) -> Column:
@@ -61,17 +70,17 @@ def dym(c) -> Column:
 
 
 def _parse_hms(c, order: str, fields: int, tz: str) -> Column:
-    c = col(c)
     clock = [r"(\d{1,2})", r"(\d{1,2})", r"(\d{1,2}(?:\.\d+)?)"][:fields]
     tail = r"[^0-9A-Za-z]*[T ]?\s*" + r"[^0-9]*".join(clock) + r"\s*Z?\s*$"
-    rx = r"^\s*" + _SEP.join(_PART[p] for p in order) + tail
-    date = _date_text(c, order, tail)
-    hms = [F.regexp_extract(c, rx, 4 + i) for i in range(fields)]
-    pad = [F.lpad(h, 2, "0") for h in hms[:2]]
-    second = F.when(F.locate(".", hms[2]) == 2, F.concat(F.lit("0"), hms[2])).otherwise(
-        F.lpad(hms[2], F.greatest(F.length(hms[2]), F.lit(2)), "0")) if fields == 3 else F.lit("00")
-    text = F.concat(date, F.lit(" "), F.concat_ws(":", pad[0], pad[1] if fields > 1 else F.lit("00"), second))
-    return F.to_utc_timestamp(text.try_cast("timestamp"), tz)
+
+    def moment(part: dict[str, Column], hms: list[Column]) -> Column:
+        pad = [F.lpad(h, 2, "0") for h in hms[:2]]
+        second = F.when(F.locate(".", hms[2]) == 2, F.concat(F.lit("0"), hms[2])).otherwise(
+            F.lpad(hms[2], F.greatest(F.length(hms[2]), F.lit(2)), "0")) if fields == 3 else F.lit("00")
+        text = F.concat(_date_text(part), F.lit(" "), F.concat_ws(":", pad[0], pad[1] if fields > 1 else F.lit("00"), second))
+        return F.to_utc_timestamp(text.try_cast("timestamp"), tz)
+
+    return _matched(col(c), order, tail, fields, moment)
 
 
 def ymd_hms(c, tz: str = "UTC") -> Column:

@@ -19,6 +19,11 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, fn) -> Column:
+    """``fn`` of a value that is worked out once, however often ``fn`` uses it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def _over(c: Column, w) -> Column:
     return c if w is None else c.over(w)
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortspark.functions.na import col
+from cohortspark.functions.na import bind, col
 from cohortspark.operators import ordered as O
 
 
@@ -163,18 +163,13 @@ def quantile_bin(df: DataFrame, c: str, n: int, name: str) -> DataFrame:
     return df.withColumn(name, out.otherwise(n))
 
 
-def _bind(value: Column, fn) -> Column:
-    """``fn`` of a value that is worked out once, however often ``fn`` uses it."""
-    return F.get(F.transform(F.array(value), fn), F.lit(0))
-
-
 def norm_cdf(c, mean: float = 0.0, sd: float = 1.0) -> Column:
     """Normal distribution function: power series near the middle, continued fraction in the tails."""
     steps = F.sequence(F.lit(1), F.lit(80))
 
     def grow(a):
         def step(s, k):
-            return _bind(s["term"] * a * a / (2 * k + 1), lambda term: F.struct(term.alias("term"), (s["total"] + term).alias("total")))
+            return bind(s["term"] * a * a / (2 * k + 1), lambda term: F.struct(term.alias("term"), (s["total"] + term).alias("total")))
         return step
 
     def value(z):
@@ -183,9 +178,9 @@ def norm_cdf(c, mean: float = 0.0, sd: float = 1.0) -> Column:
         middle = 0.5 - phi * F.aggregate(steps, F.struct(a.alias("term"), a.alias("total")), grow(a), lambda s: s["total"])
         tail = phi / F.aggregate(F.reverse(steps), a, lambda x, k: a + k / x)
         upper = F.when(a < 4, middle).otherwise(tail)
-        return F.when(F.isnan(z), z).otherwise(_bind(upper, lambda u: F.when(z < 0, u).otherwise(1 - u)))
+        return F.when(F.isnan(z), z).otherwise(bind(upper, lambda u: F.when(z < 0, u).otherwise(1 - u)))
 
-    return _bind((col(c).cast("double") - mean) / sd, value)
+    return bind((col(c).cast("double") - mean) / sd, value)
 
 
 def norm_density(c, mean: float = 0.0, sd: float = 1.0) -> Column:
@@ -216,15 +211,15 @@ def _ratio(x: Column, parts: tuple[list[float], list[float]]) -> Column:
 def norm_quantile(c, mean: float = 0.0, sd: float = 1.0) -> Column:
     """Inverse of ``norm_cdf``; infinite at 0 and 1, NaN outside."""
     def tail(p):
-        return _bind(F.sqrt(-F.log(F.least(p, 1 - p))), lambda r: F.signum(p - 0.5) * F.when(r <= 5, _bind(r - 1.6, lambda x: _ratio(x, _NEAR))).otherwise(
-            _bind(r - 5, lambda x: _ratio(x, _FAR))))
+        return bind(F.sqrt(-F.log(F.least(p, 1 - p))), lambda r: F.signum(p - 0.5) * F.when(r <= 5, bind(r - 1.6, lambda x: _ratio(x, _NEAR))).otherwise(
+            bind(r - 5, lambda x: _ratio(x, _FAR))))
 
     def value(p):
-        middle = (p - 0.5) * _bind(0.180625 - (p - 0.5) * (p - 0.5), lambda x: _ratio(x, _MIDDLE))
+        middle = (p - 0.5) * bind(0.180625 - (p - 0.5) * (p - 0.5), lambda x: _ratio(x, _MIDDLE))
         z = F.when(F.abs(p - 0.5) <= 0.425, middle).otherwise(tail(p))
         return F.when(p.isNull(), None).when((p > 0) & (p < 1), z).when(p == 0, float("-inf")).when(p == 1, float("inf")).otherwise(float("nan"))
 
-    return _bind(col(c).cast("double"), value) * sd + mean
+    return bind(col(c).cast("double"), value) * sd + mean
 
 
 def exp_cdf(c, rate: float = 1.0) -> Column:
@@ -387,11 +382,11 @@ def _lanczos(x: Column) -> Column:
 def lgamma(c) -> Column:
     """Log of the absolute gamma function, by reflection below 0.5; infinite at 0, -1, -2 and so on."""
     def value(x):
-        low = F.log(F.lit(math.pi)) - F.log(F.abs(F.sin(F.lit(math.pi) * x))) - _bind(1 - x, _lanczos)
+        low = F.log(F.lit(math.pi)) - F.log(F.abs(F.sin(F.lit(math.pi) * x))) - bind(1 - x, _lanczos)
         pole = (x <= 0) & (x == F.floor(x))
         return F.when(pole, float("inf")).when(x < 0.5, low).otherwise(_lanczos(x))
 
-    return _bind(col(c).cast("double"), value)
+    return bind(col(c).cast("double"), value)
 
 
 def gamma(c) -> Column:
