@@ -34,22 +34,16 @@ def rank_error(k: int) -> float:
     return 2.296 / k ** 0.9021
 
 
-def _digits(x: Column) -> Column:
-    """The digits of a finite value, as (place, digit): the value is the sum of digit * 2 ** (DIGIT * place)."""
-    def scale(place: Column) -> Column:
-        return F.pow(F.lit(2.0), place * DIGIT)
-
-    top = F.greatest(F.floor(F.log2(F.abs(x)) / DIGIT).cast("int"), F.lit(_LOWEST + _DIGITS - 1))
-
-    def cut(acc: Column, n: Column) -> Column:
-        place = top - n
-        digit = (acc["rest"] / scale(place)).cast("bigint")
-        return F.struct((acc["rest"] - digit * scale(place)).alias("rest"), F.concat(acc["out"], F.array(F.struct(place.alias("place"), digit.alias("digit")))).alias("out"))
-
-    empty = F.array().cast("array<struct<place:int,digit:bigint>>")
-    start = F.struct(x.alias("rest"), empty.alias("out"))
-    found = F.reduce(F.array(*[F.lit(n) for n in range(_DIGITS)]), start, cut, lambda acc: acc["out"])
-    return F.when(x == 0, empty).otherwise(F.filter(found, lambda d: d["digit"] != 0))
+def _digits(df: DataFrame, x: str) -> DataFrame:
+    """__top, __d0, __d1, ... of the finite values but 0 of a column: the value is the sum of d_n * 2 ** (DIGIT * (top - n))."""
+    size = F.floor(F.log2(F.abs(x)) / DIGIT).cast("int")
+    df = df.withColumn("__top", F.greatest(size, F.lit(_LOWEST + _DIGITS - 1)))
+    df = df.withColumns({"__scale": F.pow(F.lit(2.0), F.col("__top") * DIGIT), "__rest": F.col(x)})
+    for n in range(_DIGITS):
+        unit = F.col("__scale") * 2.0 ** (-DIGIT * n)  # powers of two: no rounding
+        df = df.withColumn(f"__d{n}", (F.col("__rest") / unit).cast("bigint"))
+        df = df.withColumn("__rest", F.col("__rest") - F.col(f"__d{n}") * unit)
+    return df.drop("__scale", "__rest")
 
 
 def _total(digits: Column) -> Column:
@@ -76,8 +70,13 @@ def _attach(x: DataFrame, y: DataFrame, by: list[str]) -> DataFrame:
 def exact_digits(df: DataFrame, c: str, by: list[str]) -> DataFrame:
     """by, digits: the sum of a column without rounding, as (place, total)."""
     x = F.col(c).cast("double")
-    each = df.where(x.isNotNull() & (F.abs(x) < float("inf"))).select(*by, F.explode(_digits(x)).alias("__d"))
-    totals = each.groupBy(*by, F.col("__d.place").alias("place")).agg(F.sum("__d.digit").alias("total"))
+    # a column per digit: a value stays one row, and few rows per group are left to be dealt out by place
+    each = _digits(df.where((x != 0) & (F.abs(x) < float("inf"))).select(*by, x.alias("__x")), "__x")
+    names = [f"__d{n}" for n in range(_DIGITS)]
+    tops = each.groupBy(*by, "__top").agg(*[F.sum(d).alias(d) for d in names], *[F.bool_or(F.col(d) != 0).alias(f"{d}_some") for d in names])
+    parts = F.array(*[F.struct((F.col("__top") - n).alias("place"), F.col(d).alias("total"), F.col(f"{d}_some").alias("some")) for n, d in enumerate(names)])
+    places = tops.select(*by, F.explode(parts).alias("__d")).where("__d.some")
+    totals = places.groupBy(*by, F.col("__d.place").alias("place")).agg(F.sum("__d.total").alias("total"))
     # some 100 places at most
     return totals.groupBy(*by).agg(F.collect_list(F.struct("place", "total")).alias("digits"))
 

@@ -57,3 +57,14 @@ def test_dates_are_matched_once(spark):
     assert plan_of(out).count("concat(x") <= 1
     t = d.limit(0).union(spark.createDataFrame([("2020-01-02 3:4:5.25",), ("2020-01-02T13:04:05Z",), ("2020-01-02",)], "x string"))
     assert [str(r.d) for r in t.select(F.date_format(D.ymd_hms("x"), "yyyy-MM-dd HH:mm:ss.SS").alias("d")).collect()] == ["2020-01-02 03:04:05.25", "2020-01-02 13:04:05.00", "None"]
+
+
+def test_digits_of_a_value_stay_one_row(spark):
+    values = [1e17, 0.1, -1e17, 0.0, -0.0, 2.0 ** -990, -3.5, 1e300, -1e300, math.nan, math.inf, None]
+    d = spark.createDataFrame([(g, v) for g in ("a", "b", None) for v in values], "top string, x double")
+    found = S.exact_digits(d, "x", ["top"])
+    for r in found.collect():
+        total = sum(Fraction(p.total) * Fraction(2) ** (S.DIGIT * p.place) for p in r.digits)
+        assert total == sum(map(Fraction, [0.1, 2.0 ** -990, -3.5]))
+    assert found.count() == 3 and S.exact_digits(d.where("x = 0"), "x", ["top"]).count() == 0
+    assert "lambda" not in plan_of(found)
