@@ -268,19 +268,60 @@ def topo_levels(edges: DataFrame) -> DataFrame:
 SOURCES = 64  # bits of a long
 
 
+def _without_leaves(both: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Core vertices (id, h, first), core edges (src, dst), leaves (id, parent) of edges given in both directions.
+
+    A leaf hangs on one vertex, which has other edges too. Core vertices with a
+    leaf have h = 1 and the smallest of their leaves as ``first``.
+    """
+    sizes = both.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.min("dst").alias("other"))
+    single = sizes.where("n = 1").select(F.col("id").alias("leaf"), "other")
+    kids = single.groupBy(F.col("other").alias("id")).agg(F.min("leaf").alias("first"))
+    # two vertices with one edge are no leaves: each of them has the other
+    info = cut_lineage(sizes.join(kids, "id", "left").select(
+        "id", "other", "first", F.expr("n = 1 AND first IS NULL").alias("leaf"), F.expr("IF(n > 1 AND first IS NOT NULL, 1L, 0L)").alias("h")))
+    core = info.where("NOT leaf").select("id", "h", "first")
+    # an edge between core vertices is met from both ends
+    links = both.join(core.select(F.col("id").alias("src")), "src", "left_semi").groupBy(
+        F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).agg(F.count(F.lit(1)).alias("n")).where("n = 2")
+    return core, cut_lineage(links.select(F.col("u").alias("src"), F.col("v").alias("dst"))), info.where("leaf").select("id", F.col("other").alias("parent"))
+
+
 def eccentricities(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
     """id, component, eccentricity: the largest number of hops to another vertex of the component, edges taken both ways.
 
+    Leaves are one hop further out than the vertex they hang on, so the searches
+    leave them out: most vertices of a tree are never stored or passed on again.
+    """
+    both_ways = lambda e: e.select("src", "dst").unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    ends = edges.where("src <> dst")
+    if vertices is not None:
+        comp = components(edges, vertices).withColumn("h", F.lit(0).cast("long"))
+        return _search_far(cut_lineage(comp), cut_lineage(both_ways(ends).distinct()))
+    both = cut_lineage(both_ways(ends).distinct())
+    core, links, leaves = _without_leaves(both)
+    comp = cut_lineage(components(links, core.select("id")).join(core, "id"))
+    found = _search_far(comp.select("id", "component", "h"), cut_lineage(both_ways(links)))
+    # a component is named by the smallest id, be it a leaf
+    names = comp.groupBy("component").agg(F.min(F.least("id", "first")).alias("name"))
+    found = cut_lineage(O.attach(found, names, ["component"]).select("id", F.col("name").alias("component"), "eccentricity"))
+    outer = leaves.join(found.withColumnRenamed("id", "parent"), "parent").select("id", "component", F.col("eccentricity") + 1)
+    # an end without an edge to another vertex is alone
+    alone = vertices_of(edges.where("NOT coalesce(src <> dst, false)")).where("id IS NOT NULL")
+    alone = alone.join(both.select(F.col("src").alias("id")), "id", "left_anti").select("id", F.col("id").alias("component"), F.lit(0).cast("long"))
+    return found.union(outer).union(alone)
+
+
+def _search_far(comp: DataFrame, both: DataFrame) -> DataFrame:
+    """Eccentricities of the vertices (id, component, h), ``h`` the number of hops from a vertex to what hangs on it.
+
     Searches start from up to 64 vertices of each component at once; a vertex holds
     one bit for each that has reached it, so a round passes on one number per
     vertex, whatever the number of searches. A search from s gives bounds for all:
-    the eccentricity of v lies between max(e(s) - d, d) and e(s) + d for their
+    the eccentricity of v lies between max(e(s) - d, d + h(s)) and e(s) + d for their
     distance d. The next searches start where the bounds are widest apart, at both
     ends; most vertices are settled by bounds and never searched from.
     """
-    comp = cut_lineage(components(edges, vertices))
-    ends = edges.where("src <> dst")
-    both = cut_lineage(ends.select("src", "dst").unionByName(ends.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
     bounds = cut_lineage(comp.select("id", "component", F.lit(0).cast("long").alias("low"), F.lit(1 << 40).alias("high")))
     while True:
         open_ = bounds.where("low < high")
@@ -309,9 +350,9 @@ def eccentricities(edges: DataFrame, vertices: DataFrame | None = None) -> DataF
                 reached = [cut_lineage(reduce(DataFrame.unionByName, reached))]
         bits = F.filter(F.sequence(F.lit(0), F.lit(SOURCES - 1)), lambda b: F.getbit("fresh", b) == 1)
         each = cut_lineage(reduce(DataFrame.unionByName, reached).select("id", "d", F.explode(bits).alias("bit")).join(comp, "id"))
-        own = each.groupBy("component", "bit").agg(F.max("d").alias("e"))
+        own = each.groupBy("component", "bit").agg(F.max(F.col("d") + F.col("h")).alias("e"), F.max(F.when(F.col("d") == 0, F.col("h"))).alias("hs"))
         told = each.join(own, ["component", "bit"]).groupBy("id").agg(
-            F.max(F.greatest(F.col("e") - F.col("d"), F.col("d"), F.when(F.col("d") == 0, F.col("e")))).alias("lo"), F.min(F.col("e") + F.col("d")).alias("hi"))
+            F.max(F.greatest(F.col("e") - F.col("d"), F.col("d") + F.col("hs"), F.when(F.col("d") == 0, F.col("e")))).alias("lo"), F.min(F.col("e") + F.col("d")).alias("hi"))
         bounds = cut_lineage(bounds.join(told, "id", "left").select(
             "id", "component", F.greatest("low", "lo").alias("low"), F.least("high", "hi").alias("high")))
     return bounds.select("id", "component", F.col("low").alias("eccentricity"))

@@ -46,6 +46,44 @@ def test_scales_at_their_poles(spark):
     assert at(0, "reciprocal") == math.inf and at(4, "reciprocal") == 0.25
 
 
+def plain_eccentricities(edges, more=()):
+    near = {v: set() for e in edges for v in e if v is not None} | {v: set() for v in more}
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            near[a].add(b)
+            near[b].add(a)
+    out = []
+    for s in near:
+        d, todo = {s: 0}, [s]
+        for v in todo:
+            for w in near[v]:
+                if w not in d:
+                    d[w] = d[v] + 1
+                    todo.append(w)
+        out.append((s, min(d), max(d.values())))
+    return sorted(out, key=repr)
+
+
+def test_eccentricities_with_leaves(spark):
+    rng = random.Random(3)
+    tree = [(rng.randrange(max(0, v - 9), v), v) for v in range(1, 90)] + [(3, 40), (7, 61)]
+    star, pair, path = [(200, v) for v in range(190, 210) if v != 200], [(301, 300), (300, 301)], [(400 + i, 401 + i) for i in range(7)]
+    loop, alone, missing = [(500 + i, 500 + (i + 1) % 5) for i in range(5)] + [(502, 509)], [(600, 600), (400, 400)], [(700, None), (None, 3)]
+    edges = tree + star + pair + path + loop + alone + missing
+    got = rows(G.eccentricities(spark.createDataFrame(edges, "src bigint, dst bigint")))
+    assert got == plain_eccentricities(edges)
+    listed = spark.createDataFrame([(v,) for v in [*range(90), 999]], "id bigint")
+    assert rows(G.eccentricities(spark.createDataFrame(tree, "src bigint, dst bigint"), listed)) == plain_eccentricities(tree, [999])
+
+
+def test_searches_leave_the_leaves_out(spark, monkeypatch):
+    seen, search = [], G._search_far
+    monkeypatch.setattr(G, "_search_far", lambda comp, both: seen.append((comp.count(), both.count())) or search(comp, both))
+    edges = [(0, b) for b in range(1, 6)] + [(b, 100 * b + i) for b in range(1, 6) for i in range(30)]
+    assert rows(G.eccentricities(spark.createDataFrame(edges, "src bigint, dst bigint"))) == plain_eccentricities(edges)
+    assert seen == [(6, 10)]
+
+
 def plan_of(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
