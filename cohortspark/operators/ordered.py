@@ -123,7 +123,7 @@ class Layout:
         return df.drop(PIECE, *self.drop)
 
 
-def _not_after(split, row: list[Column], keys: list[Key]) -> Column:
+def not_after(split, row: list[Column], keys: list[Key]) -> Column:
     """True when the split point sorts before the row or level with it."""
     verdict = F.lit(True)
     for i in reversed(range(len(keys))):
@@ -140,7 +140,7 @@ def _piece_of(splits: Column, row: list[Column], keys: list[Key], longest: int)
 
     def step(acc, s):
         at = acc + s
-        ok = (at <= F.size(splits)) & _not_after(F.get(splits, at - 1), row, keys)
+        ok = (at <= F.size(splits)) & not_after(F.get(splits, at - 1), row, keys)
         return F.when(F.coalesce(ok, F.lit(False)), at).otherwise(acc)
 
     return F.reduce(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)

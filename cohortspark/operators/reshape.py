@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -196,14 +197,48 @@ def uncount(df: DataFrame, n: str, remove: bool = True, id: str | None = None) -
     return out.drop(n) if remove else out
 
 
+HEAD_ROWS = 10_000  # a header further down is looked up by its number
+
+
 def row_to_names(df: DataFrame, row: int, order: list[str]) -> DataFrame:
-    """Take one row as header and drop it and the rows above."""
+    """Take one row as header and drop it and the rows above; rows level in the order are told apart by their values."""
     order_cols = [o.removeprefix("-") for o in order]
-    pos = O.row_number(df, "__pos", order)
-    header = pos.where(F.col("__pos") == row).first()
     body = [c for c in df.columns if c not in order_cols]
+    nested = any(isinstance(df.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType)) for c in order_cols)
+    if nested or row > HEAD_ROWS or "map<" in df.schema.simpleString():
+        pos = O.row_number(df, "__pos", order)
+        header, rest = pos.where(F.col("__pos") == row).first(), pos.where(F.col("__pos") > row)
+    else:
+        header, rest = _below(df, row, order)
     names = repair_names([str(header[c]) if header[c] is not None else "" for c in body])
-    return pos.where(F.col("__pos") > row).select(*order_cols, *[F.col(c).alias(n) for c, n in zip(body, names)])
+    return rest.select(*order_cols, *[F.col(c).alias(n) for c, n in zip(body, names)])
+
+
+def _below(df: DataFrame, row: int, order: list[str]) -> tuple[Row, DataFrame]:
+    """The row at a place and the rows after it. Only the first rows are sorted; the others sort after the header by their values."""
+    keys = [*O.order_keys(df, order), O.Key(F.xxhash64(*df.columns))]
+    named = [k.expr.alias(f"k{i}") for i, k in enumerate(keys)]
+    head = df.select(F.struct(*named).alias("__key"), F.struct(*df.columns).alias("__row"))
+    kinds = [f.dataType for f in head.schema["__key"].dataType.fields]
+    first = [O.Key(F.col(f"__key.k{i}"), k.desc, k.nulls_last).sort() for i, k in enumerate(keys)]
+    found = head.orderBy(*first).limit(row + 1).collect()
+    if not 0 < row <= len(found):
+        raise ValueError(f"there is no row {row}")
+    at = found[row - 1]["__key"]
+    split = {f"k{i}": F.lit(v).cast(kind) for i, (v, kind) in enumerate(zip(at, kinds))}
+    own = [k.expr for k in keys]
+    level = reduce(lambda a, b: a & b, [o.eqNullSafe(v) for o, v in zip(own, split.values())])
+    rest = df.where(O.not_after(split, own, keys) & ~level)
+    if len(found) > row and _same(found[row]["__key"], at):
+        # copies of the header go on below it
+        above = sum(_same(r["__key"], at) for r in found[:row])
+        copies = O.row_number(df.where(level), "__pos", order).where(F.col("__pos") > above).drop("__pos")
+        rest = rest.unionByName(copies)
+    return found[row - 1]["__row"], rest
+
+
+def _same(a: Row, b: Row) -> bool:
+    return all(x == y or (x != x and y != y) for x, y in zip(a, b))
 
 
 def remove_empty(df: DataFrame, which: tuple = ("rows", "cols")) -> DataFrame:

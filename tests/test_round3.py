@@ -106,3 +106,17 @@ def test_digits_of_a_value_stay_one_row(spark):
         assert total == sum(map(Fraction, [0.1, 2.0 ** -990, -3.5]))
     assert found.count() == 3 and S.exact_digits(d.where("x = 0"), "x", ["top"]).count() == 0
     assert "lambda" not in plan_of(found)
+
+
+def test_row_to_names_with_ties_and_copies(spark):
+    table = [(1, "p", 1), (1, "p", 1), (1, "p", 1), (2, "q", None), (None, "z", 5)]
+    d = spark.createDataFrame(table, "k bigint, a string, b bigint")
+    out = R.row_to_names(d, 2, ["k"])
+    assert out.columns == ["k", "p", "1"] and rows(out) == sorted([(1, "p", 1), (2, "q", None), (None, "z", 5)], key=repr)
+    assert rows(R.row_to_names(d, 1, ["-k"])) == sorted([(1, "p", 1)] * 3 + [(None, "z", 5)], key=repr)
+    tied = spark.createDataFrame([(1, f"v{i}", i) for i in range(20)], "k bigint, a string, b bigint")
+    out = R.row_to_names(tied, 7, ["k"])
+    assert out.count() == 13 and out.where(F.col(out.columns[1]) == out.columns[1]).isEmpty()
+    assert "Window" not in plan_of(out)  # only the first rows are sorted
+    with pytest.raises(ValueError):
+        R.row_to_names(d, 6, ["k"])
