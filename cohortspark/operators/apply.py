@@ -6,6 +6,7 @@ import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,9 @@ from cohortspark.session import hot_rows
 # Chunks of a group that has fewer rows than so many full ones.
 CHUNKS = 4
 
+# Rows that go to Python at a time when many small groups share a trip.
+BUCKET_ROWS = 20_000
+
 
 def _check_groups(df: DataFrame, by: list[str], limit: int) -> DataFrame | None:
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)
@@ -47,12 +51,77 @@ def group_apply(df: DataFrame, by: list[str], fn: Callable[[pd.DataFrame], pd.Da
     return part.groupBy(*by).applyInPandas(combine, schema)
 
 
+# Kinds of columns of which a stretch of a frame is the frame that Spark makes of those rows, but for missing whole numbers and booleans.
+_PLAIN = (T.IntegralType, T.BooleanType, T.FloatType, T.DoubleType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_FLAG = "__null_"
+
+
+def _stretches(p: pd.DataFrame, code: np.ndarray, flags: list[str]) -> dict[int, pd.DataFrame]:
+    """The rows of each key code; columns with missing values in these rows as Spark hands them over for these rows alone."""
+    order = np.argsort(code, kind="stable")
+    p, code = p.take(order).reset_index(drop=True), code[order]
+    found, missing = {}, {f: p.pop(f).to_numpy(bool) for f in flags}
+    missing = {f.removeprefix(_FLAG): m for f, m in missing.items() if m.any()}
+    edges = np.append(np.flatnonzero(np.append(True, code[1:] != code[:-1])), len(code)) if len(code) else np.array([0])
+    for a, b in zip(edges[:-1], edges[1:]):
+        own = p.iloc[a:b].reset_index(drop=True)
+        for c, m in missing.items():
+            if m[a:b].any():
+                kind = "object" if own[c].dtype == bool else "float64"
+                own[c] = own[c].astype(kind).mask(m[a:b], None if kind == "object" else np.nan)
+        found[int(code[a])] = own
+    return found
+
+
+def _stack(frames: list[pd.DataFrame]) -> pd.DataFrame:
+    """Results of many keys as one frame; a column that has not one kind throughout keeps its values as they are."""
+    some = [f for f in frames if len(f)]
+    if not some:
+        return next((f for f in frames if len(f.columns)), pd.DataFrame())
+    kinds: dict = {}
+    for f in some:
+        for c, kind in zip(f.columns, f.dtypes):
+            kinds.setdefault(c, set()).add(kind)
+    mixed = [c for c, k in kinds.items() if len(k) > 1]
+    return pd.concat([f.astype({c: "object" for c in mixed if c in f}) for f in some] if mixed else some, ignore_index=True)
+
+
 def group_pairs_apply(x: DataFrame, y: DataFrame, by: list[str], fn, schema: str, max_rows: int | None = None) -> DataFrame:
-    """A function of the two frames that share a key."""
+    """A function of the two frames that share a key.
+
+    ``fn`` runs once per key. Keys go to Python by the bucket, some ten thousand
+    rows at a time, since a trip of its own for each of many small groups would
+    take longer than the work on it.
+    """
     limit = max_rows or hot_rows(x.sparkSession)
-    if _check_groups(x, by, limit) is not None or _check_groups(y, by, limit) is not None:
-        raise ValueError(f"a group has more than {limit} rows")
-    return x.groupBy(*by).cogroup(y.groupBy(*by)).applyInPandas(fn, schema)
+    total = 0
+    for df in (x, y):
+        rows, largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).agg(F.sum("__n"), F.max("__n")).first()
+        if (largest or 0) > limit:
+            raise ValueError(f"a group has more than {limit} rows")
+        total += rows or 0
+    if not all(isinstance(f.dataType, _PLAIN) for df in (x, y) for f in df.schema) or [x.schema[b].dataType for b in by] != [y.schema[b].dataType for b in by]:
+        return x.groupBy(*by).cogroup(y.groupBy(*by)).applyInPandas(fn, schema)
+    buckets = total // BUCKET_ROWS + 1
+
+    def ready(df: DataFrame) -> tuple[DataFrame, list[str]]:
+        whole = [f.name for f in df.schema if isinstance(f.dataType, (T.IntegralType, T.BooleanType))]
+        flags = [c for c in dict.fromkeys([*whole, *by])]
+        fill = lambda c: F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)).alias(c) if c in whole else F.col(c)
+        return df.select(*[fill(c) for c in df.columns], *[F.col(c).isNull().alias(_FLAG + c) for c in flags],
+                         F.pmod(F.xxhash64(*by), F.lit(buckets)).alias("__bucket")), [_FLAG + c for c in flags]
+
+    (left, left_flags), (right, right_flags) = ready(x), ready(y)
+    ids = [*by, *[_FLAG + b for b in by]]
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        a, b = a.drop(columns="__bucket"), b.drop(columns="__bucket")
+        code = pd.concat([a[ids], b[ids]], ignore_index=True).groupby(ids, dropna=False, sort=False).ngroup().to_numpy()
+        ones, others = _stretches(a, code[:len(a)], left_flags), _stretches(b, code[len(a):], right_flags)
+        none, nothing = (p.drop(columns=f).iloc[:0] for p, f in ((a, left_flags), (b, right_flags)))
+        return _stack([fn(ones.get(k, none), others.get(k, nothing)) for k in dict.fromkeys([*ones, *others])])
+
+    return left.groupBy("__bucket").cogroup(right.groupBy("__bucket")).applyInPandas(run, schema)
 
 
 @dataclass(frozen=True)

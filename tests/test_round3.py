@@ -120,3 +120,22 @@ def test_row_to_names_with_ties_and_copies(spark):
     assert "Window" not in plan_of(out)  # only the first rows are sorted
     with pytest.raises(ValueError):
         R.row_to_names(d, 6, ["k"])
+
+
+def test_pairs_share_trips_and_see_their_own_kinds(spark):
+    big = 2 ** 60 + 1
+    x = spark.createDataFrame([(1, big, True), (1, big + 2, False), (2, None, None), (2, 5, True), (None, 7, True)], "k bigint, v bigint, f boolean")
+    y = spark.createDataFrame([(1, 0.5, "a"), (3, None, None), (None, 2.0, "n")], "k bigint, w double, s string")
+
+    def look(a, b):
+        return pd.DataFrame({"text": [f"{a.k.tolist()} {sorted(a.v.tolist(), key=repr)} {a.v.dtype} {a.f.dtype} {b.k.tolist()} {b.w.tolist()} {b.s.tolist()}"], "pid": [1]})
+    plain = x.groupBy("k").cogroup(y.groupBy("k")).applyInPandas(look, "text string, pid bigint")
+    out = P.group_pairs_apply(x, y, ["k"], look, "text string, pid bigint")
+    # an empty side has the kinds of its bucket
+    cut = lambda d: sorted(r.text for r in d.collect() if "[] " not in r.text)
+    assert cut(out) == cut(plain) and out.count() == 4
+    assert "__bucket" in plan_of(out)
+    nothing = P.group_pairs_apply(x, y, ["k"], lambda a, b: pd.DataFrame({"n": []}).astype("int64"), "n bigint")
+    assert nothing.count() == 0
+    kinds = P.group_pairs_apply(x, y, ["k"], lambda a, b: pd.DataFrame({"n": [None if b.empty else big]}), "n bigint")
+    assert sorted((r.n for r in kinds.collect()), key=repr) == [big, big, big, None] or sorted((str(r.n) for r in kinds.collect())) == sorted([str(big)] * 3 + ["None"])
