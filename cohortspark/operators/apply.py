@@ -19,6 +19,9 @@ from cohortspark.session import hot_rows
 # Chunks of a group that has fewer rows than so many full ones.
 CHUNKS = 4
 
+# A long group that may be cut comes in frames of about so many rows: several Python workers of an executor hold one each.
+FRAME_ROWS = 100_000
+
 # Rows that go to Python at a time when many small groups share a trip.
 BUCKET_ROWS = 20_000
 
@@ -43,6 +46,7 @@ def group_apply(df: DataFrame, by: list[str], fn: Callable[[pd.DataFrame], pd.Da
         if _check_groups(df, by, limit) is not None:
             raise ValueError(f"a group has more than {limit} rows; pass combine")
         return df.groupBy(*by).applyInPandas(fn, schema)
+    limit = min(limit, FRAME_ROWS)
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
     # the chunk follows from the values, so a task that runs again gives the same one
     spread = F.pmod(F.xxhash64(*df.columns), F.greatest(F.lit(CHUNKS).cast("bigint"), F.ceil(F.col("__n") / limit * 1.25)))
@@ -133,8 +137,8 @@ class Carry:
 
 
 def _carried_window(df: DataFrame, by: list[str], order: list[str], fn: Callable, name: str, schema: T.StructType, carry: Carry) -> DataFrame:
-    """Groups above the row limit in pieces: their states first, merged in order, then every piece with the state before it."""
-    lay = O.layout(df, by, order, bounded=True)
+    """Groups of more rows than a frame should have in pieces: their states first, merged in order, then every piece with the state before it."""
+    lay = O.layout(df, by, order, bounded=True, limit=min(hot_rows(df.sparkSession), FRAME_ROWS))
     keys, up = [o.removeprefix("-") for o in order], [not o.startswith("-") for o in order]
     rows, key = lay.df, [*lay.by, O.PIECE]
     in_order = lambda p: p.sort_values(keys, ascending=up).reset_index(drop=True)

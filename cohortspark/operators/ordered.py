@@ -151,11 +151,11 @@ def piece_of(splits: Column, df: DataFrame, c: str, longest: int) -> Column:
     return F.coalesce(F.when(splits.isNotNull(), _piece_of(splits, [k.expr for k in order_keys(df, [c])], order_keys(df, [c]), longest)), F.lit(0))
 
 
-def layout(df: DataFrame, by: list[str] | None, order: list[str], small_groups: bool = False, bounded: bool = False) -> Layout:
+def layout(df: DataFrame, by: list[str] | None, order: list[str], small_groups: bool = False, bounded: bool = False, limit: int | None = None) -> Layout:
     """Count the groups and cut those above the row limit.
 
     Pieces are as many as the tasks that run at once, or, if ``bounded``, as many
-    as it takes for a piece to hold about the row limit.
+    as it takes for a piece to hold about the row limit (``limit``, if given).
 
     ``small_groups`` saves the counting pass where the size of a group is bound
     by construction, such as one row per school year.
@@ -167,7 +167,7 @@ def layout(df: DataFrame, by: list[str] | None, order: list[str], small_groups:
     if not by:
         df, by, drop = df.withColumn(_ALL, F.lit(1)), [_ALL], [_ALL]
     keys = order_keys(df, order)
-    limit = hot_rows(spark)
+    limit = limit or hot_rows(spark)
     plain = Layout(df.withColumn(PIECE, F.lit(-1)), by, keys, None, drop)
     if small_groups:
         return plain

@@ -139,3 +139,13 @@ def test_pairs_share_trips_and_see_their_own_kinds(spark):
     assert nothing.count() == 0
     kinds = P.group_pairs_apply(x, y, ["k"], lambda a, b: pd.DataFrame({"n": [None if b.empty else big]}), "n bigint")
     assert sorted((r.n for r in kinds.collect()), key=repr) == [big, big, big, None] or sorted((str(r.n) for r in kinds.collect())) == sorted([str(big)] * 3 + ["None"])
+
+
+def test_long_groups_come_in_small_frames(spark):
+    n = 3 * P.FRAME_ROWS
+    d = spark.range(n).select(F.col("id"), F.lit("a").alias("g"))
+    carry = P.Carry(len, lambda a, b: a + b)
+    out = P.window_apply(d, ["g"], ["id"], lambda p, s: pd.Series(range(len(p))) + (s or 0), "at", "bigint", carry=carry)
+    assert out.where("at <> id").isEmpty() and out.count() == n
+    size = P.window_apply(d, ["g"], ["id"], lambda p, s: pd.Series([len(p)] * len(p)), "n", "bigint", carry=carry)
+    assert size.agg(F.max("n")).first()[0] < 2 * P.FRAME_ROWS
