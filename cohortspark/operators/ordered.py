@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortspark.session import hot_rows
+from cohortspark.session import cut_lineage, hot_rows
 
 PIECE = "__piece"
 _ALL = "__all"
@@ -518,8 +518,9 @@ def moving_frames(df: DataFrame, frames: dict[str, tuple[str, str]], start: int,
     if start > end:
         raise ValueError("the frame is empty")
     by, width = list(by or []), end - start + 1
-    lay = layout(df, by, order, small_groups)
-    rows = lay.done(_position(lay, "__pos", "__all_rows"))
+    # stored twice: what makes the rows would run again for the counts, the cuts and the places, and the numbering for the rows and both ends
+    lay = layout(cut_lineage(df), by, order, small_groups)
+    rows = cut_lineage(lay.done(_position(lay, "__pos", "__all_rows")))
     need = {}
     for kind, c in frames.values():
         for k in (("sum", "count") if kind == "mean" else (kind,)):

@@ -149,3 +149,16 @@ def test_long_groups_come_in_small_frames(spark):
     assert out.where("at <> id").isEmpty() and out.count() == n
     size = P.window_apply(d, ["g"], ["id"], lambda p, s: pd.Series([len(p)] * len(p)), "n", "bigint", carry=carry)
     assert size.agg(F.max("n")).first()[0] < 2 * P.FRAME_ROWS
+
+
+def test_moving_frames_make_their_rows_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(pages):
+        for page in pages:
+            made.add(len(page))
+            yield page
+    d = spark.range(500).mapInPandas(count, "id bigint")
+    out = O.moving_frames(d, {"s": ("sum", "id")}, -3, 0, ["id"])
+    assert {r.id: r.s for r in out.collect()} == {i: sum(range(max(0, i - 3), i + 1)) for i in range(500)}
+    assert made.value == 500
