@@ -17,8 +17,9 @@ takes the common prefixes of neighbours: suffixes that share enough bytes are
 neighbours, and of them those that also share the bytes in front, checked for each
 distance, are repeats. A bucket's first and last beginning may go on in the next
 bucket. What the strings of BLOCK neighbouring distances have in common is
-compared across the boundaries by 128-bit hashes, and where it occurs twice the
-strings themselves.
+compared across the boundaries by 128-bit hashes, where it occurs twice that of
+the parts of the block, and so on down to the strings themselves: a place has a
+few rows in each step, not one for each string.
 
 All strings are judged on the input, and every byte that a repeated one covers is
 marked. Defined cases: null text is empty text; texts shorter than ``length`` lose
@@ -50,8 +51,9 @@ ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B1
 PLACE = "gram long, around long, doc long, sig long, at long, lo short, hi short"
 SPAN = "doc long, sig long, start long, stop long"
 SUFFIX = "doc long, sig long, at long, lo short, hi short, lead binary, tie long, ahead binary, behind binary"
-BLOCK = 32
-FOUND = SPAN + ", c1 long, c2 long, strings array<struct<w1:long,w2:long,open:boolean>>"
+BLOCK = 32  # not more than GRAM, so that the strings of a block all reach over their place
+PARTS = (8, 2, 1)  # distances in a part of a block, of a part of that, and so on
+FOUND = SPAN + ", c1 long, c2 long, parts array<struct<w1:long,w2:long,open:boolean>>"
 
 
 def grams(data: bytes) -> np.ndarray:
@@ -208,7 +210,7 @@ class Bucket:
     def edges(self) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """Rows whose beginning may go on in the next bucket, by blocks of distances.
 
-        Rows, first distance, two hashes of what the strings of the block have in common, and two of each string.
+        Rows, first distance, two hashes of what the strings of the block have in common, and two for each of its parts, those of one string last.
         """
         lead = self.text[:, :GRAM]
         edge = np.flatnonzero((lead == lead[0]).all(axis=1) | (lead == lead[-1]).all(axis=1))
@@ -225,11 +227,11 @@ class Bucket:
                 return mix(one ^ ODD[2]), mix(right[some, ahead] + one * ODD[3])
 
             for first in range(0, int(self.hi[rows].max()) + 1, BLOCK):
-                last = min(first + BLOCK, self.length) - 1
-                some = np.flatnonzero((self.lo[rows] <= last) & (self.hi[rows] >= first))
+                stop = first + BLOCK
+                some = np.flatnonzero((self.lo[rows] < stop) & (self.hi[rows] >= first))
                 if len(some):
-                    both = [hashes(some, d, self.length - d, 0) for d in range(first, last + 1)]
-                    yield (rows[some], first, *hashes(some, first, self.length - last, 1 << 20),
+                    both = [hashes(some, d, self.length - d - n + 1, n << 20) for n in PARTS for d in range(first, stop, n)]
+                    yield (rows[some], first, *hashes(some, first, self.length - stop + 1, BLOCK << 20),
                            np.stack([x for x, _ in both], axis=1), np.stack([x for _, x in both], axis=1))
 
 
@@ -243,7 +245,7 @@ def bit_runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def sort_buckets(suffixes: DataFrame, length: int, buckets: int) -> DataFrame:
-    """FOUND rows: repeats found in a bucket (c1 null); and for places at its bounds the strings of a block of distances, ``start`` that of the first string and stop null."""
+    """FOUND rows: repeats found in a bucket (c1 null); and for places at its bounds the parts of a block of distances, ``start`` that of the first string and stop null."""
     names = [x.split()[0] for x in FOUND.split(", ")]
     pair = pa.struct([("w1", pa.int64()), ("w2", pa.int64()), ("open", pa.bool_())])
 
@@ -263,31 +265,43 @@ def sort_buckets(suffixes: DataFrame, length: int, buckets: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([docs.take(pa.array(row)), pa.array(sigs[row]), pa.array(at[row] - far), pa.array(at[row] - near + length),
                                           blank, blank, pa.nulls(len(row), pa.list_(pair))], names)
         for row, first, c1, c2, w1, w2 in bucket.edges():
-            distance = np.arange(first, first + w1.shape[1])
+            distance = np.arange(first, first + BLOCK)
             # null: distances that are not the row's own, and strings met in this bucket but for one of each
             own = (distance >= bucket.lo[row][:, None]) & (distance <= bucket.hi[row][:, None])
             known = bucket.repeats[row[:, None], distance]
             met = np.flatnonzero(own & known)
+            one, two = (w[:, -BLOCK:].ravel()[met] for w in (w1, w2))
+            by = np.lexsort((two, one))
+            new = np.append(True, (np.diff(one[by]) != 0) | (np.diff(two[by]) != 0))[:len(met)]
             own &= ~known
-            own.ravel()[met[np.unique(w1.ravel()[met], return_index=True)[1]]] = True
+            own.ravel()[met[by[new]]] = True
             some = own.any(axis=1)
             row, c1, c2, w1, w2, own, known = (v[some] for v in (row, c1, c2, w1, w2, own, known))
+            # a part counts if one of its strings does
+            own = np.concatenate([own.reshape(len(row), -1, n).any(axis=2) for n in PARTS], axis=1)
+            known = np.concatenate((np.ones((len(row), own.shape[1] - BLOCK), bool), known), axis=1)
             flat = pa.StructArray.from_arrays([*(pa.array(w.ravel().view(np.int64)) for w in (w1, w2)), pa.array(~known.ravel())], fields=list(pair), mask=pa.array(~own.ravel()))
-            strings = pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1, dtype=np.int32) * w1.shape[1]), flat)
+            parts = pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1, dtype=np.int32) * w1.shape[1]), flat)
             yield pa.RecordBatch.from_arrays([docs.take(pa.array(row)), pa.array(sigs[row]), pa.array(at[row] - first), pa.nulls(len(row), pa.int64()),
-                                              pa.array(c1.view(np.int64)), pa.array(c2.view(np.int64)), strings], names)
+                                              pa.array(c1.view(np.int64)), pa.array(c2.view(np.int64)), parts], names)
 
     return map_batches(suffixes.repartitionByRange(buckets, "lead", "tie"), look, FOUND)
 
 
 def across_buckets(edges: DataFrame, length: int) -> DataFrame:
     """SPAN of the strings at the bounds of buckets that occur twice; from FOUND rows."""
-    common = edges.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c1", "c2")
-    each = edges.join(common, ["c1", "c2"], "left_semi").select("doc", "sig", "start", F.posexplode("strings").alias("k", "w")).where("w IS NOT NULL").select(
-        "doc", "sig", (F.col("start") - F.col("k")).alias("start"), "w.w1", "w.w2", "w.open")
-    each = store(each, "edges")
-    twice = each.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
-    return each.where("open").join(twice, ["w1", "w2"], "left_semi").select("doc", "sig", "start", (F.col("start") + length).alias("stop"))
+    def twice(rows, key):
+        return rows.join(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key), key, "left_semi")
+
+    rows, before, above = twice(edges, ["c1", "c2"]).withColumn("part", F.lit(0)), 0, BLOCK
+    for n in PARTS:
+        own = F.transform(F.sequence(F.lit(0), F.lit(above // n - 1)), lambda k: F.col("part") * (above // n) + k)
+        own = F.transform(own, lambda p: F.struct(p.alias("part"), F.get("parts", p + before).alias("w")))
+        rows = rows.select("doc", "sig", "start", "parts", F.explode(F.filter(own, lambda x: x["w"].isNotNull())).alias("x"))
+        rows = store(rows.select("doc", "sig", "start", *(["parts"] if n > 1 else []), "x.part", "x.w.w1", "x.w.w2", "x.w.open"), "edges")
+        rows, before, above = twice(rows, ["w1", "w2"]), before + BLOCK // n, n
+    start = F.col("start") - F.col("part")
+    return rows.where("open").select("doc", "sig", start.alias("start"), (start + length).alias("stop"))
 
 
 def cut_suffixes(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:

@@ -67,6 +67,25 @@ def test_frequent_beginning_over_many_buckets(spark):
     assert run(spark, docs, bucket_rows=10) == brute(docs)
 
 
+def test_a_place_at_the_bounds_has_few_rows(spark, monkeypatch):
+    """Many texts share one passage over many buckets: no step has a row for each string of a place."""
+    rng = random.Random(11)
+    shared = words(rng, 90)[:420]
+    docs = [(i, words(rng, 40) + " " + shared + " " + words(rng, 40)) for i in range(120)]
+    steps, store = [], suffixes.store
+
+    def counted(df, label):
+        out = store(df, label)
+        if label in ("buckets", "edges"):
+            steps.append(out.where("c1 IS NOT NULL").count() if label == "buckets" else out.count())
+        return out
+
+    monkeypatch.setattr(suffixes, "store", counted)
+    got = run(spark, docs, bucket_rows=20)
+    assert len(steps) >= 2 and steps[0] >= 100 and max(steps[1:]) <= 5 * steps[0]
+    assert got == brute(docs)
+
+
 def test_empty_tables(spark):
     assert run(spark, []) == []
     assert run(spark, [(1, None), (2, "short")]) == brute([(1, None), (2, "short")])
