@@ -30,7 +30,9 @@ at two rows for each row of a round.
 
 An exact repeat is met under every function; one with similarity s under each
 with a probability of about s * s, and again only if the changed words leave the
-longer run whole. Equal texts are one text until the end.
+longer run whole. Equal texts are one text until the end. Groups of up to
+GROUP_ROWS rows go through all their rounds in one task, with the shingles around
+their places only, and the texts that met there are compared at the end.
 
 Defined cases: null, empty and short texts have no passage. Texts are known by a
 64-bit hash. Rows that repeat an id and text count once; rows without id are
@@ -52,9 +54,12 @@ from cohortspark.llm.decontaminate import words_of
 SHINGLE = 5
 GAP = 2 * SHINGLE
 PART_ROWS = 400_000
+GROUP_ROWS = 20_000  # rows of a group that go through its rounds in one task
+RUN_WORDS = 1 << 15  # words of texts that are scanned at once
 ROW = "key long, own long, text long, places long, first long"
 MET = "grp long, one long, one_at int, other long, other_at int, ahead int, behind int"
 SEEN = "one long, one_start int, one_stop int, other long, other_start int, other_stop int, similarity double, grp long, at int, ahead int, behind int"
+NEAR = "grp long, text long, at int, ahead int, behind int, round int, left int, right int, near binary"
 LINK = "one long, one_start int, one_stop int, other long, other_start int, other_stop int, similarity double"
 
 
@@ -65,9 +70,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: bytes | None) -> np.ndarray:
+def shingles_of(words: list[bytes]) -> np.ndarray:
     """A 64-bit hash for every run of SHINGLE words."""
-    words = words_of(text)
     if len(words) < SHINGLE:
         return np.zeros(0, np.uint64)
     one = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
@@ -78,6 +82,10 @@ def shingles(text: bytes | None) -> np.ndarray:
     return out
 
 
+def shingles(text: bytes | None) -> np.ndarray:
+    return shingles_of(words_of(text))
+
+
 def sliding(v: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
     """Smallest or largest of every ``width`` neighbours in a row, from running ones of blocks, forward and backward."""
     k, n = v.shape
@@ -87,6 +95,14 @@ def sliding(v: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
     return best(back[:, :n - width + 1], ahead[:, width - 1:n])
 
 
+def smallest(v: np.ndarray, least: int) -> np.ndarray:
+    """Places, all rows in one, of the tokens that are the smallest of some stretch of ``least`` tokens: one for each window."""
+    low = sliding(v, least, np.minimum)
+    # a token is the smallest of some stretch around it if the largest of their smallest ones is itself
+    high = sliding(np.pad(low, ((0, 0), (least - 1, least - 1))), least, np.maximum)
+    return np.flatnonzero(high == v)
+
+
 def windows(v: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, start, place of the smallest, stop) of every Cartesian tree node of at least ``least`` tokens, for each row; one for each equal smallest token.
 
@@ -95,10 +111,7 @@ def windows(v: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     tokens. So the tree is built over these few tokens only.
     """
     k, n = v.shape
-    low = sliding(v, least, np.minimum)
-    # a token is the smallest of some stretch around it if the largest of their smallest ones is itself
-    high = sliding(np.pad(low, ((0, 0), (least - 1, least - 1))), least, np.maximum)
-    at = np.flatnonzero(high == v)
+    at = smallest(v, least)
     starts, stops = [], [0] * len(at)
     open_: list[tuple[int, int, int]] = []  # number, place and value of the nodes on the right edge of the tree
     before = -1
@@ -128,36 +141,57 @@ def spans_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a << 20 | np.minimum(b - a, WIDE)
 
 
-def window_keys(text: bytes | None, words: int, hashes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a text's windows and the places of their smallest tokens; of places side by side with one key the first and the last."""
-    s, least = shingles(text), words - SHINGLE + 1
-    if len(s) < least:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+def text_keys(texts: list[list[bytes]], words: int, hashes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, number of the text, place of the smallest token) for both sides of the windows of some texts, given as words; all in one array."""
+    least = words - SHINGLE + 1
     side = (least - 1) // 2
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    s = shingles_of([w for t in texts for w in t])
+    if len(s) < least:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    start = np.concatenate(([0], np.cumsum(size)))
+    text = np.repeat(np.arange(len(texts)), size)[:len(s)]
+    place = np.arange(len(s)) - start[text]
+    left_of = size[text] - SHINGLE - place  # shingles behind the place; those that go on in the next text have less than none
+    border = left_of < 0
     # smallest of the ``side`` tokens from each place on, under a function of its own
     low = sliding(mix(s ^ np.uint64(0xA5A5A5A5))[None], side, np.minimum)[0]
-    seeds = mix(np.arange(1, hashes + 1, dtype=np.uint64))
-    step = max(1, 400_000 // len(s))  # rows at a time, for bounded memory
-    keys, places = [], []
-    for k in range(0, hashes, step):
-        v = mix(s + seeds[k:k + step, None])
-        row, a, c, b = windows(v, least)
-        value, side_no = v[row, c], (2 * (row + k)).astype(np.uint64)
-        left, right = c >= side, c + side < len(s)
-        keys += [mix(value[left] ^ low[c[left] - side] + side_no[left]), mix(value[right] ^ low[c[right] + 1] + side_no[right] + np.uint64(1))]
-        places += [c[left], c[right]]
-    keys, places = np.concatenate(keys).view(np.int64), np.concatenate(places)
+    keys, found = [], []
+    for k, seed in enumerate(mix(np.arange(1, hashes + 1, dtype=np.uint64))):
+        v = mix(s + seed)
+        v[border] = 0  # less than any other: no window goes beyond
+        c = smallest(v[None], least)
+        c = c[~border[c]]
+        side_no = np.uint64(2 * k)
+        left, right = c[place[c] >= side], c[left_of[c] >= side]
+        keys += [mix(v[left] ^ low[left - side] + side_no), mix(v[right] ^ low[right + 1] + side_no + np.uint64(1))]
+        found += [left, right]
+    at = np.concatenate(found)
+    return np.concatenate(keys).view(np.int64), text[at], place[at]
+
+
+def ends_of(keys: np.ndarray, texts: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Of rows sorted by key, text and place those that differ; of a stretch of one repeated shingle, places side by side, the ends."""
+    new = np.append(True, (keys[1:] != keys[:-1]) | (texts[1:] != texts[:-1]) | (places[1:] != places[:-1]))[:len(keys)]
+    kept = np.flatnonzero(new)
+    k, t, p = keys[kept], texts[kept], places[kept]
+    joined = (k[1:] == k[:-1]) & (t[1:] == t[:-1]) & (p[1:] == p[:-1] + 1)
+    return kept[~(np.append(False, joined) & np.append(joined, False))[:len(kept)]]
+
+
+def window_keys(text: bytes | None, words: int, hashes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a text's windows and the places of their smallest tokens; of places side by side with one key the first and the last."""
+    split = words_of(text)
+    keys, own, places = text_keys([split] if len(split) >= words else [], words, hashes)
     by = np.lexsort((places, keys))
-    keys, places = keys[by], places[by]
-    # a stretch of one repeated shingle is met at its ends
-    joined = (keys[1:] == keys[:-1]) & (places[1:] <= places[:-1] + 1)
-    ends = ~(np.append(False, joined) & np.append(joined, False))
-    return keys[ends], places[ends]
+    by = by[ends_of(keys[by], own[by], places[by])]
+    return keys[by], places[by]
 
 
 def link_part(keys: np.ndarray, texts: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
     """Rows of one part: the first row of a key goes on, the others are linked to it here."""
     by = np.lexsort((places, texts, keys))
+    by = by[ends_of(keys[by], texts[by], places[by])]
     keys, texts, places = keys[by], texts[by], places[by]
     head = np.append(True, keys[1:] != keys[:-1])
     first = np.flatnonzero(head)[np.cumsum(head) - 1]
@@ -174,21 +208,40 @@ def candidate_rows(docs: DataFrame, words: int, hashes: int) -> DataFrame:
     """ROW for each window key of ``docs`` (sig, body)."""
     def scan(batches):
         held, size = [], 0
-        for batch in batches:
-            for sig, body in zip(batch.column("sig").to_pylist(), batch.column("body")):
-                keys, places = window_keys(body.as_py(), words, hashes)
-                if len(keys):
-                    held.append((keys, np.full(len(keys), sig, np.int64), places))
-                    size += len(keys)
-                if size >= PART_ROWS:
-                    yield link_part(*map(np.concatenate, zip(*held)))
-                    held, size = [], 0
+        for sigs, texts in texts_of(batches, words):
+            keys, own, places = text_keys(texts, words, hashes)
+            if len(keys):
+                held.append((keys, np.array(sigs, np.int64)[own], places))
+                size += len(keys)
+            if size >= PART_ROWS:
+                yield link_part(*map(np.concatenate, zip(*held)))
+                held, size = [], 0
         if held:
             yield link_part(*map(np.concatenate, zip(*held)))
 
     return map_batches(docs, scan, ROW)
 
 
+def texts_of(batches, words: int):
+    """(sigs, texts as words) in runs of about RUN_WORDS words; without those too short for a passage."""
+    sigs, texts, size = {}, [], 0
+    for batch in batches:
+        for sig, body in zip(batch.column("sig").to_pylist(), batch.column("body")):
+            if sig in sigs:
+                continue
+            split = words_of(body.as_py())
+            if len(split) < words:
+                continue
+            sigs[sig] = None
+            texts.append(split)
+            size += len(split)
+            if size >= RUN_WORDS:
+                yield list(sigs), texts
+                sigs, texts, size = {}, [], 0
+    if texts:
+        yield list(sigs), texts
+
+
 def first_meetings(rows: DataFrame) -> DataFrame:
     """MET: every row of a key that two texts have, with the key's first text and place."""
     top = F.min(F.when(F.col("first").isNull(), F.struct("text", "places"))).over(Window.partitionBy("key"))
@@ -212,7 +265,7 @@ def first_meetings(rows: DataFrame) -> DataFrame:
 
 def meet_again(rows: DataFrame) -> DataFrame:
     """MET: the rows (grp, text, at, ahead, behind) of a group that two texts have, with its first text and place."""
-    first = rows.groupBy("grp").agg(F.min(F.struct("text", "at")).alias("top"), F.max("text").alias("last")).where("top.text <> last").drop("last")
+    first = rows.groupBy("grp").agg(F.min(F.struct("text", "at")).alias("top"))
     return rows.join(first, "grp").where("text <> top.text OR at <> top.at").select(
         "grp", F.col("top.text").alias("one"), F.col("top.at").alias("one_at"), F.col("text").alias("other"), F.col("at").alias("other_at"), "ahead", "behind")
 
@@ -317,6 +370,8 @@ def align(a: np.ndarray, b: np.ndarray, least: int, similarity: float, seeds: li
 
 
 def jaccard(a: np.ndarray, b: np.ndarray, s: int, e: int, x: int, y: int) -> float:
+    if np.array_equal(a[s:e], b[x:y]):
+        return 1.0
     own, their = set(a[s:e].tolist()), set(b[x:y].tolist())
     return len(own & their) / len(own | their)
 
@@ -329,21 +384,25 @@ def passages(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> lis
     return align(a, b, least, similarity, [(p, q) for p, v in enumerate(a.tolist()) for q in where.get(v, ())])[0]
 
 
-def run_key(s: np.ndarray, place: int, ahead: int, behind: int) -> int:
-    """Key of the run of shingles from ``ahead`` places before a place to ``behind`` places after it."""
-    run = s[place - ahead:place + behind + 1] + mix(np.arange(1 - ahead, behind + 2, dtype=np.int64).view(np.uint64))
-    return int(mix(np.array([mix(run).sum()])).view(np.int64)[0])
+def run_keys(s: np.ndarray, place: np.ndarray, ahead: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    """Keys of the runs of shingles from ``ahead`` places before some places to ``behind`` places after them."""
+    factor = 0x9E3779B97F4A7C15  # any odd number
+    power, back = (np.cumprod(np.full(len(s), f, np.uint64)) for f in (factor, pow(factor, -1, 1 << 64)))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(s * power)))
+    run = (total[place + behind + 1] - total[place - ahead]) * back[place - ahead]
+    return mix(mix(run) + (ahead << 32 | behind).astype(np.uint64)).view(np.int64)
 
 
-def verify(met: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """SEEN for the near-duplicate passages around the places of MET, and for the groups in which its rows meet again; with the texts from ``texts`` (sig, body).
+def verify(met: DataFrame, texts: DataFrame, words: int, similarity: float, longer: bool = True) -> DataFrame:
+    """SEEN for the near-duplicate passages around the places of MET, and if ``longer`` for the groups in which its rows meet again; with the texts from ``texts`` (sig, body).
 
     Two texts with an exact passage around their places may both differ from the
     first one inside it. They do so at the same place, at the end of the run they
     share with it, and meet again under the run that is one shingle longer.
     """
     least = words - SHINGLE + 1
-    pairs = met.groupBy("one", "other").agg(F.sort_array(F.collect_list(F.struct("one_at", "other_at", "ahead", "behind"))).alias("seeds"))
+    # passages of a round are found for themselves
+    pairs = met.groupBy("one", "other").agg(F.sort_array(F.collect_list(F.struct("round", "one_at", "other_at", "ahead", "behind"))).alias("seeds"))
     t1, t2 = texts.selectExpr("sig AS one", "body AS body1"), texts.selectExpr("sig AS other", "body AS body2")
     rows = pairs.join(t2, "other").join(t1, "one").select("one", "other", "seeds", "body1", "body2")
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
@@ -352,29 +411,127 @@ def verify(met: DataFrame, texts: DataFrame, words: int, similarity: float) -> D
     def look(batches):
         last, kept = None, None
         for batch in batches:
-            got = []
-            for one, other, seeds, b1, b2 in zip(*(batch.column(c).to_pylist() for c in ("one", "other", "seeds", "body1", "body2"))):
+            got, again = [], []
+            seeds, ends = batch.column("seeds").flatten(), np.append(0, np.cumsum(batch.column("seeds").value_lengths().to_numpy()))
+            turns, one_at, other_at, aheads, behinds = (seeds.field(k).to_numpy() for k in range(5))
+            cuts = np.unique(np.concatenate((ends, np.flatnonzero(np.diff(turns)) + 1)))
+            at_end = np.searchsorted(cuts, ends).tolist()
+            for k, (one, other, b1, b2) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("one", "other", "body1", "body2")))):
                 if one != last:
                     last, kept = one, shingles(b1)
                 a, b = kept, kept if one == other else shingles(b2)
-                found, around = align(a, b, least, similarity, [(x["one_at"], x["other_at"]) for x in seeds])
-                if one != other:
-                    got += [(one, s, e + SHINGLE - 1, other, x, y + SHINGLE - 1, j, None, None, None, None) for s, e, x, y, j in found]
-                again = set()
-                for x, (before, after) in zip(seeds, around):
-                    at, ahead, behind = x["other_at"], x["ahead"], x["behind"]
-                    # a passage around the place reaches no farther than ``least`` - 1 places
-                    if before + 1 < least and before < at:
-                        again.add((at, before + 1, behind))
-                    if after + 1 < least and at + after + 1 < len(b):
-                        again.add((at, ahead, after + 1))
-                got += [(None, None, None, other, None, None, None, run_key(b, *x), *x) for x in again]
+                own, around = slice(ends[k], ends[k + 1]), []
+                for lo, hi in zip(cuts[at_end[k]:at_end[k + 1]], cuts[at_end[k] + 1:]):
+                    found, part = align(a, b, least, similarity, list(zip(one_at[lo:hi].tolist(), other_at[lo:hi].tolist())))
+                    around += part
+                    if one != other:
+                        got += [(one, s, e + SHINGLE - 1, other, x, y + SHINGLE - 1, j, None, None, None, None) for s, e, x, y, j in found]
+                if not longer:
+                    continue
+                at, (before, after) = other_at[own].astype(np.int64), np.array(around, np.int64).T
+                # a passage around the place reaches no farther than ``least`` - 1 places
+                left, right = (before + 1 < least) & (before < at), (after + 1 < least) & (at + after + 1 < len(b))
+                runs = np.unique(np.concatenate((np.stack((at, before + 1, behinds[own]))[:, left], np.stack((at, aheads[own], after + 1))[:, right]), axis=1), axis=1)
+                again.append((np.full(runs.shape[1], other), run_keys(b, *runs), *runs))
             if got:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*got), kinds)], names)
+            if again:
+                other, *rest = (np.concatenate(c) for c in zip(*again))
+                none = [pa.nulls(len(other), k) for k in kinds[:7]]
+                none[3] = pa.array(other, kinds[3])
+                yield pa.RecordBatch.from_arrays([*none, *(pa.array(c, k) for c, k in zip(rest, kinds[7:]))], names)
 
     return map_batches(rows, look, SEEN)
 
 
+def near_places(rows: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """NEAR: the rows (grp, text, at, ahead, behind) with the shingles up to a passage before and behind the place, 32 bits of each."""
+    reach = words - SHINGLE
+    lists = rows.groupBy("text").agg(F.collect_list(F.struct("grp", "at", "ahead", "behind", "round")).alias("places"))
+    both = lists.join(texts.selectExpr("sig AS text", "body"), "text").select("text", "body", "places")
+
+    def look(batches):
+        for batch in batches:
+            lists = batch.column("places")
+            grp, at, ahead, behind, turn = (lists.flatten().field(k) for k in range(5))
+            size = lists.value_lengths().to_numpy()
+            ends, near, right = np.append(0, np.cumsum(size)), [], []
+            for k, body in enumerate(batch.column("body")):
+                s, own = shingles(body.as_py()), at.to_numpy()[ends[k]:ends[k + 1]]
+                wide = np.pad(s.astype(np.uint32), reach)
+                near += [x.tobytes() for x in np.lib.stride_tricks.sliding_window_view(wide, 2 * reach + 1)[own]]
+                right.append(np.minimum(len(s) - 1 - own, reach))
+            yield pa.RecordBatch.from_arrays([grp, pa.array(np.repeat(batch.column("text").to_numpy(), size)), at, ahead, behind, turn,
+                                              pa.array(np.minimum(at.to_numpy(), reach), pa.int32()), pa.array(np.concatenate(right), pa.int32()), pa.array(near, pa.binary())],
+                                             [x.split()[0] for x in NEAR.split(", ")])
+
+    return map_batches(both, look, NEAR)
+
+
+def meet_longer(grp: np.ndarray, text: np.ndarray, at: np.ndarray, ahead: np.ndarray, behind: np.ndarray, turn: np.ndarray, left: np.ndarray, right: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """one, one_at, other, other_at, round of all rounds of whole groups, sorted by group, text and place; ``near`` has the shingles around each place.
+
+    As in the rounds of ``verify``, a row meets the first one of its group and goes
+    on under the run that is one shingle longer on each side.
+    """
+    reach = near.shape[1] // 2
+    letters = mix(near + np.arange(1, near.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    total = np.concatenate((np.zeros((len(near), 1), np.uint64), np.cumsum(letters, axis=1)), axis=1)
+    runs: dict[tuple[int, int], list[np.ndarray]] = {}
+    for x, y in np.unique(np.stack((ahead, behind)), axis=1).T.tolist():
+        runs[x, y] = [np.flatnonzero((ahead == x) & (behind == y))]
+    met, step = [np.zeros((5, 0), np.int64)], 0
+    while runs:
+        longer: dict[tuple[int, int], list[np.ndarray]] = {}
+        for (x, y), parts in runs.items():
+            rows = np.unique(np.concatenate(parts))
+            key = mix(mix(total[rows, reach + y + 1] - total[rows, reach - x]) + grp[rows].view(np.uint64))
+            by = np.lexsort((rows, key))
+            rows, key = rows[by], key[by]
+            head = np.append(True, key[1:] != key[:-1])
+            start, own = np.flatnonzero(head), np.cumsum(head) - 1
+            top, last = rows[start], rows[np.append(start[1:], len(rows)) - 1]
+            some = ~head & (text[top] != text[last])[own]
+            one, other = top[own][some], rows[some]
+            if not len(one):
+                continue
+            met.append(np.stack((text[one], at[one], text[other], at[other], turn[one] + step))[:, text[one] != text[other]])
+            differ = np.ones((len(one), 2, reach + 1), bool)  # behind the last place, too
+            differ[:, 0, :-1] = (near[one, :reach] != near[other, :reach])[:, ::-1]
+            differ[:, 1, :-1] = near[one, reach + 1:] != near[other, reach + 1:]
+            before, after = np.minimum(differ.argmax(axis=2).T, np.stack((np.minimum(left[one], left[other]), np.minimum(right[one], right[other]))))
+            for n in np.unique(before[before < left[other]]).tolist():
+                longer.setdefault((n + 1, y), []).append(other[(before == n) & (n < left[other])])
+            for n in np.unique(after[after < right[other]]).tolist():
+                longer.setdefault((x, n + 1), []).append(other[(after == n) & (n < right[other])])
+        runs, step = longer, step + 1
+    return np.concatenate(met, axis=1)
+
+
+def meet_in_groups(near: DataFrame) -> DataFrame:
+    """one, one_at, other, other_at, round: the meetings of all rounds to come of the groups of NEAR, each in one task."""
+    names = ["grp", "text", "at", "ahead", "behind", "round", "left", "right"]
+
+    def walk(batches):
+        def meet(held):
+            cols = [held.column(c).to_numpy().astype(np.int64) for c in names]
+            letters = np.frombuffer(b"".join(held.column("near").to_pylist()), np.uint32).reshape(len(held), -1).astype(np.uint64)
+            met = np.unique(meet_longer(*cols, letters), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(met, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()))], ["one", "one_at", "other", "other_at", "round"])
+
+        held = None
+        for batch in batches:
+            held = pa.concat_batches([held, batch]) if held else batch
+            last = np.searchsorted(held.column("grp").to_numpy(), held.column("grp")[-1].as_py()) if len(held) >= GROUP_ROWS else 0
+            if last:
+                yield meet(held[:last])
+                held = held[last:]
+        if held:
+            yield meet(held)
+
+    return map_batches(near.repartition("grp").sortWithinPartitions("grp", "text", "at"), walk, "one long, one_at int, other long, other_at int, round int")
+
+
 def shared_parts(spans: list[tuple[int, int]], words: int) -> list[tuple[int, int, int]]:
     """(start, stop, point): the largest sets of spans that have ``words`` places in common, named by a point, for each span."""
     start = np.array([s for s, _ in spans], np.int64)
@@ -392,7 +549,7 @@ def count_links(links: DataFrame, copies: DataFrame, words: int) -> DataFrame:
 
     A class is a passage of a first text with all texts that have it. Classes with
     the same texts are one, and texts with the same classes are counted together.
-    Documents that share several classes are taken off again by pairs of classes.
+    The documents of several classes are those of their bitmaps together.
     """
     def cut(batches):
         for batch in batches:
@@ -412,14 +569,19 @@ def count_links(links: DataFrame, copies: DataFrame, words: int) -> DataFrame:
     kinds = held.groupBy("sig", "copies").agg(F.sort_array(F.collect_list("part")).alias("parts")).withColumn("kind", F.xxhash64("parts"))
     kinds = store(kinds, "kinds")
     kind = store(kinds.groupBy("kind").agg(F.first("parts").alias("parts"), F.sum("copies").alias("n")), "kind")
-    each = kind.select("kind", "n", F.explode("parts").alias("part"))
-    total = each.join(each.groupBy("part").agg(F.sum("n").alias("size")), "part").groupBy("kind").agg(F.sum("size").alias("total"))
-    two = F.transform("parts", lambda x: F.transform(F.filter("parts", lambda y: y > x), lambda y: F.struct(x.alias("x"), y.alias("y"))))
-    two = store(kind.select("kind", "n", F.explode(F.flatten(two)).alias("two")).select("kind", "n", F.xxhash64("two.x", "two.y").alias("two")), "two")
-    twice = two.select("kind", "two").join(two.select(F.col("kind").alias("with"), "n", "two"), "two").groupBy("kind", "with", "n").agg(F.count(F.lit(1)).alias("m"))
-    # m pairs of shared classes come from (1 + sqrt(1 + 8 m)) / 2 classes
-    twice = twice.groupBy("kind").agg(F.sum(F.col("n") * F.round((F.sqrt(1 + 8 * F.col("m")) - 1) / 2).cast("long")).alias("twice"))
-    found = total.join(twice, "kind", "left").select("kind", (F.col("total") - F.coalesce("twice", F.lit(0))).alias("all"))
+    # numbers from 1 on, side by side for sets that share a class
+    kind = store(kind.sort("parts", "kind").withColumn("place", F.monotonically_increasing_id()), "numbered")
+    block = kind.groupBy(F.shiftright("place", 33).alias("block")).agg(F.count(F.lit(1)).alias("m"))
+    block = block.select("block", F.coalesce(F.sum("m").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    place = F.col("before") + F.col("place").bitwiseAND((1 << 33) - 1) + 1
+    kind = kind.withColumn("block", F.shiftright("place", 33)).join(F.broadcast(block), "block").select("kind", "n", "parts", place.alias("place"))
+    each = store(kind.select("kind", "n", "place", F.explode("parts").alias("part")), "classes")
+    # a bitmap for each binary digit of the number of documents
+    digits = F.filter(F.sequence(F.lit(0), F.lit(62)), lambda k: F.expr("n").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), k)) != 0)
+    bits = each.select("part", F.bitmap_bucket_number("place").alias("bucket"), F.bitmap_bit_position("place").alias("bit"), F.explode(digits).alias("digit"))
+    bits = bits.groupBy("part", "bucket", "digit").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    found = each.select("kind", "part").join(bits, "part").groupBy("kind", "bucket", "digit").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("m"))
+    found = found.groupBy("kind").agg(F.sum(F.call_function("shiftleft", F.col("m"), F.col("digit"))).alias("all"))
     return kinds.join(found, "kind").select("sig", (F.col("all") - F.col("copies")).alias("others"))
 
 
@@ -433,19 +595,30 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("sig"), text.alias("body"))
     met = first_meetings(candidate_rows(rows.select("sig", "body"), words, hashes))
+    link = [x.split()[0] for x in LINK.split(", ")]
 
     owners = store(rows.select("doc", "sig", F.octet_length("body").alias("size")).distinct(), "owners")
     one_of = owners.groupBy("sig").agg(F.min(F.struct(F.col("doc").isNull(), "doc")).alias("m")).select("sig", F.col("m.doc").alias("doc"))
     asked = met.select(F.explode(F.array("one", "other")).alias("sig")).distinct().join(one_of, "sig").select(F.col("sig").alias("s"), F.col("doc").alias("d"))
     texts = store(rows.join(asked, rows.doc.eqNullSafe(asked.d) & (rows.sig == asked.s)).select("sig", "body").dropDuplicates(["sig"]), "texts")
-    links = None
+    links, small, turn = None, None, 0
     while True:
-        seen = store(verify(met, texts, words, similarity), "passages")
-        part = seen.where("grp IS NULL").select(*(x.split()[0] for x in LINK.split(", ")))
+        seen = store(verify(met.withColumn("round", F.lit(turn)), texts, words, similarity), "passages")
+        part = seen.where("grp IS NULL").select(*link)
         links = part if links is None else links.unionByName(part)
-        met = store(meet_again(seen.where("grp IS NOT NULL").select("grp", F.col("other").alias("text"), "at", "ahead", "behind").distinct()), "met")
-        if met.isEmpty():
+        again = seen.where("grp IS NOT NULL").select("grp", F.col("other").alias("text"), "at", "ahead", "behind").distinct()
+        size = again.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("text").alias("low"), F.max("text").alias("high")).where("low <> high").select("grp", "n")
+        again = store(again.join(size, "grp"), "again")
+        # groups that fit into a task go through their rounds there
+        turn += 1
+        few = again.where(F.col("n") <= GROUP_ROWS).drop("n").withColumn("round", F.lit(turn))
+        small = few if small is None else small.unionByName(few)
+        again = again.where(F.col("n") > GROUP_ROWS)
+        if again.isEmpty():
             break
+        met = store(meet_again(again.drop("n")), "met")
+    met = store(meet_in_groups(near_places(small, texts, words)).distinct().select("*", F.lit(0).alias("ahead"), F.lit(0).alias("behind")), "met")
+    links = links.unionByName(verify(met, texts, words, similarity, longer=False).select(*link))
     links = store(links.distinct(), "links-found")
 
     roots = components(links.select(F.col("one").alias("a"), F.col("other").alias("b")))

@@ -233,3 +233,37 @@ def test_spans_that_have_a_passage_in_common():
     assert C.shared_parts([(0, 60), (5, 70), (100, 160)], 50) == [(0, 60, 10), (5, 70, 10), (100, 160, 110)]
     got = C.shared_parts([(0, 60), (40, 100), (0, 100)], 50)
     assert sorted(p for _, _, p in got) == [10, 10, 50, 50]
+
+
+def test_rounds_in_a_task_are_the_rounds_by_joins(spark, monkeypatch):
+    """Groups that fit go through all their rounds at once; each text shares one word more with the first than the one before."""
+    rng = random.Random(31)
+    whole = vocabulary(rng, 120, "p")
+    docs = [(i, " ".join(vocabulary(rng, 30, f"l{i}x") + whole[60 - k:66 + k] + vocabulary(rng, 30, f"r{i}x"))) for i, k in enumerate([*range(2, 22), 30, 30, 40])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    calls, verify = [], C.verify
+    monkeypatch.setattr(C, "verify", lambda *a, **k: calls.append(1) or verify(*a, **k))
+    rows = lambda: sorted((r.doc, r["class"], r.n_links, [tuple(s) for s in r.spans]) for r in C.repeated(df)[0].collect())
+    at_once = rows()
+    assert len(calls) <= 2 and {r[0] for r in at_once} == {i for i in repeats(docs, 50)}
+    monkeypatch.setattr(C, "GROUP_ROWS", 1, raising=False)
+    assert rows() == at_once and len(calls) > 4
+
+
+def test_many_shared_classes_make_no_pairs(spark, monkeypatch):
+    """Texts that share many classes: no table has a row for each pair of them."""
+    rng = random.Random(32)
+    shared = [vocabulary(rng, 60, f"s{k}x") for k in range(30)]
+    held = [sorted(rng.sample(range(30), 20)) for _ in range(12)]
+    docs = [(i, " ".join(sum((shared[k] + vocabulary(rng, 8, f"d{i}x{k}y") for k in own), []))) for i, own in enumerate(held)]
+    sizes, store = {}, C.store
+
+    def counted(df, label):
+        out = store(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(C, "store", counted)
+    found, _ = C.repeated(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    assert {r.doc: r.n_links for r in found.collect()} == {i: sum(bool(set(own) & set(o)) for o in held) - 1 for i, own in enumerate(held)}
+    assert all(n <= 2 * sizes["held"] for label, n in sizes.items() if label in ("kinds", "kind", "numbered", "classes", "two"))
