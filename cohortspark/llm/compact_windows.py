@@ -8,11 +8,11 @@ about two for each passage length, and this for each of ``hashes`` functions.
 
 A passage that occurs again has the same smallest token there, and on one side of
 it at least half a passage of the same neighbours. So a window gets a key for
-each side: its smallest token and the smallest of the neighbours there. A task
-first links its own windows of a key to the first text among them and passes on
-that one alone, so that a key meets again with at most one row from each task
-part, however many documents have it; then all are linked to the first one of all.
-No pairs are built.
+each side: its smallest token and the smallest of the neighbours there. The
+windows go to the buckets of their keys, packed; of a key that a part of a task has
+more than HOT_ROWS times only the first one goes there, to which the others are
+linked. All are linked to the first one of all. No pairs are built. Of a stretch that
+repeats itself, a key's places inside are left out, but for two at each end.
 
 Each linked text is compared with the first one around the place of the key:
 common shingles are followed from one to the next by their places in both texts,
@@ -42,13 +42,15 @@ not count. Extra columns are neither read nor returned.
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortspark.llm.common import components, map_batches, store
+from cohortspark.llm.common import components, free_shuffles, map_batches, store
 from cohortspark.llm.decontaminate import words_of
 
 SHINGLE = 5
@@ -56,7 +58,9 @@ GAP = 2 * SHINGLE
 PART_ROWS = 400_000
 GROUP_ROWS = 20_000  # rows of a group that go through its rounds in one task
 RUN_WORDS = 1 << 15  # words of texts that are scanned at once
-ROW = "key long, own long, text long, places long, first long"
+HOT_ROWS = 2048  # rows of a key in one part that go to the bucket of the key
+ROWS = "bucket int, role int, keys binary, texts binary, places binary, firsts binary"
+FIRST = "role int, key long, one long, one_at int, other long, other_at int"
 MET = "grp long, one long, one_at int, other long, other_at int, ahead int, behind int"
 SEEN = "one long, one_start int, one_stop int, other long, other_start int, other_stop int, similarity double, grp long, at int, ahead int, behind int"
 NEAR = "grp long, text long, at int, ahead int, behind int, round int, left int, right int, near binary"
@@ -166,8 +170,39 @@ def text_keys(texts: list[list[bytes]], words: int, hashes: int) -> tuple[np.nda
         left, right = c[place[c] >= side], c[left_of[c] >= side]
         keys += [mix(v[left] ^ low[left - side] + side_no), mix(v[right] ^ low[right + 1] + side_no + np.uint64(1))]
         found += [left, right]
-    at = np.concatenate(found)
-    return np.concatenate(keys).view(np.int64), text[at], place[at]
+    at, key = np.concatenate(found), np.concatenate(keys)
+    kept = ~inner_periods(s, text, key, at, side)
+    at = at[kept]
+    return key[kept].view(np.int64), text[at], place[at]
+
+
+def inner_periods(s: np.ndarray, text: np.ndarray, key: np.ndarray, at: np.ndarray, longest: int) -> np.ndarray:
+    """Rows inside a stretch that repeats itself after 2 to ``longest`` shingles, but for the first two and the last two of a key.
+
+    A run that two texts have in common there reaches as far from these places as from those
+    between them: from the ends where it goes beyond the stretch, else from the first, moved by
+    one period at most. Stretches of one repeated shingle are left to ``ends_of``.
+    """
+    inner, odd = np.zeros(len(at), bool), np.uint64(0x9E3779B97F4A7C15)
+    for d in range(2, min(longest, len(s) // 5) + 1):
+        equal = s[d:] == s[:-d]
+        if np.count_nonzero(equal) < 3 * d:
+            continue
+        run = np.concatenate(([0], np.cumsum(equal)))
+        place = np.flatnonzero(run[3 * d:] - run[:-3 * d] == 3 * d) + 2 * d
+        place = place[place + 2 * d < len(s)]
+        place = place[(text[place - 2 * d] == text[place + 2 * d]) & (s[place] != s[place - 1])]
+        if not len(place):
+            continue
+        fit, around = np.zeros(len(s), bool), np.zeros(len(s), bool)
+        fit[place] = True
+        for step in (-2 * d, -d, d, 2 * d):
+            around[place + step] = True
+        rows, fits = np.flatnonzero(around[at]), np.flatnonzero(fit[at])
+        rows = mix(key[rows] + at[rows].astype(np.uint64) * odd)
+        near = [np.isin(mix(key[fits] + (at[fits] + step).astype(np.uint64) * odd), rows) for step in (-2 * d, -d, d, 2 * d)]
+        inner[fits[np.logical_and.reduce(near)]] = True
+    return inner
 
 
 def ends_of(keys: np.ndarray, texts: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -188,24 +223,59 @@ def window_keys(text: bytes | None, words: int, hashes: int) -> tuple[np.ndarray
     return keys[by], places[by]
 
 
-def link_part(keys: np.ndarray, texts: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-    """Rows of one part: the first row of a key goes on, the others are linked to it here."""
-    by = np.lexsort((places, texts, keys))
-    by = by[ends_of(keys[by], texts[by], places[by])]
+def link_part(keys: np.ndarray, texts: np.ndarray, places: np.ndarray, buckets: int) -> list[pa.RecordBatch]:
+    """ROWS of one part. Of a key with more than HOT_ROWS rows here the first row goes to the bucket of the key, the others are linked to it and spread by their texts."""
+    by = np.argsort(keys)
     keys, texts, places = keys[by], texts[by], places[by]
-    head = np.append(True, keys[1:] != keys[:-1])
-    first = np.flatnonzero(head)[np.cumsum(head) - 1]
-    # a linked row needs no meeting place: it is spread by its text
-    key = np.where(head, keys, mix(texts.view(np.uint64)).view(np.int64))
-    both = places << 32 | np.where(head, 0, places[first])
-    lead = texts[first]
-    by = np.argsort(texts, kind="stable")  # rows of a text side by side make smaller shuffle files
-    return pa.RecordBatch.from_arrays([pa.array(key[by]), pa.array(keys[by], mask=head[by]), pa.array(texts[by]), pa.array(both[by]), pa.array(lead[by], mask=head[by])],
-                                      ["key", "own", "text", "places", "first"])
-
-
-def candidate_rows(docs: DataFrame, words: int, hashes: int) -> DataFrame:
-    """ROW for each window key of ``docs`` (sig, body)."""
+    same = keys[1:] == keys[:-1]
+    often = np.flatnonzero(np.append(False, same) | np.append(same, False))
+    sure = np.ones(len(keys), bool)
+    out, firsts = [], np.zeros(0, np.int64)
+    if len(often):
+        more = often[np.lexsort((places[often], texts[often], keys[often]))]
+        texts[often], places[often] = texts[more], places[more]
+        k, t, p = keys[often], texts[often], places[often]
+        ends = ends_of(k, t, p)
+        sure[often] = False
+        sure[often[ends]] = True
+        often, k, t, p = often[ends], k[ends], t[ends], p[ends]
+        head = np.append(True, k[1:] != k[:-1])
+        start, own = np.flatnonzero(head), np.cumsum(head) - 1
+        size = np.diff(np.append(start, len(k)))
+        hot = (size > HOT_ROWS)[own]
+        sure[often[hot]] = False
+        lead = start[size > HOT_ROWS]
+        many = t[start + size - 1][size > HOT_ROWS] != t[lead]
+        out.append((2, k[lead], t[lead], p[lead], 1 + many.astype(np.int64), bucket_of(k[lead], buckets)))
+        rest = np.flatnonzero(hot & ~head)
+        to = bucket_of(mix(t[rest].view(np.uint64)).view(np.int64), buckets)
+        order = np.argsort(to, kind="stable")
+        rest, to = rest[order], to[order]
+        out.append((1, k[rest], t[rest], p[rest], t[start][own[rest]], to))
+    keys, texts, places = keys[sure], texts[sure], places[sure]
+    out.append((0, keys, texts, places, firsts, bucket_of(keys, buckets)))
+    return [in_buckets(*x) for x in out if len(x[1])]
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each key, rising with the key."""
+    return ((keys >> 32) + (1 << 31)) * buckets >> 32
+
+
+def in_buckets(role: int, keys: np.ndarray, texts: np.ndarray, places: np.ndarray, firsts: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
+    """ROWS, one for each bucket of rows that are sorted by it."""
+    cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
+
+    def binary(v: np.ndarray) -> pa.Array:
+        offsets = (cut if len(v) else 0 * cut) * v.itemsize
+        return pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(v))])
+
+    columns = [pa.array(bucket[cut[:-1]], pa.int32()), pa.array(np.full(len(cut) - 1, role), pa.int32())]
+    return pa.RecordBatch.from_arrays([*columns, *map(binary, (keys, texts, places.astype(np.int32), firsts))], [x.split()[0] for x in ROWS.split(", ")])
+
+
+def candidate_rows(docs: DataFrame, words: int, hashes: int, buckets: int) -> DataFrame:
+    """ROWS of the window keys of ``docs`` (sig, body)."""
     def scan(batches):
         held, size = [], 0
         for sigs, texts in texts_of(batches, words):
@@ -214,12 +284,12 @@ def candidate_rows(docs: DataFrame, words: int, hashes: int) -> DataFrame:
                 held.append((keys, np.array(sigs, np.int64)[own], places))
                 size += len(keys)
             if size >= PART_ROWS:
-                yield link_part(*map(np.concatenate, zip(*held)))
+                yield from link_part(*map(np.concatenate, zip(*held)), buckets)
                 held, size = [], 0
         if held:
-            yield link_part(*map(np.concatenate, zip(*held)))
+            yield from link_part(*map(np.concatenate, zip(*held)), buckets)
 
-    return map_batches(docs, scan, ROW)
+    return map_batches(docs, scan, ROWS)
 
 
 def texts_of(batches, words: int):
@@ -242,25 +312,56 @@ def texts_of(batches, words: int):
         yield list(sigs), texts
 
 
+def meet_first(keys: np.ndarray, texts: np.ndarray, places: np.ndarray, marks: np.ndarray) -> list[tuple[int, np.ndarray, ...]]:
+    """FIRST: all rows of some keys that two texts have, with the key's first text and place; and for the first rows of spread ones (``marks`` > 0) the same."""
+    by = np.argsort(keys)
+    same = keys[by[1:]] == keys[by[:-1]]
+    by = by[np.append(False, same) | np.append(same, False) | (marks[by] > 0)]
+    by = by[np.lexsort((marks[by], places[by], texts[by], keys[by]))]
+    k, t, p, m = keys[by], texts[by], places[by], marks[by]
+    if not len(k):
+        return []
+    start = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+    size = np.diff(np.append(start, len(k)))
+    top = np.repeat(start, size)
+    several = np.repeat((t[start + size - 1] != t[start]) | (np.maximum.reduceat(m, start) == 2), size)
+    new = np.append(True, (k[1:] != k[:-1]) | (t[1:] != t[:-1]) | (p[1:] != p[:-1]))
+    met, lead = new & several & ((t != t[top]) | (p != p[top])), (m > 0) & several
+    return [(role, k[x], t[top][x], p[top][x], t[x], p[x]) for role, x in ((0, met), (2, lead)) if x.any()]
+
+
 def first_meetings(rows: DataFrame) -> DataFrame:
     """MET: every row of a key that two texts have, with the key's first text and place."""
-    top = F.min(F.when(F.col("first").isNull(), F.struct("text", "places"))).over(Window.partitionBy("key"))
-    linked = store(rows.withColumn("top", top).where("first IS NOT NULL OR text <> top.text").select(
-        F.coalesce("own", "key").alias("key"), "text", "places", "first", F.when(F.col("first").isNull(), F.col("top")).alias("top")), "linked")
+    kinds, names = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()), [x.split()[0] for x in FIRST.split(", ")]
+
+    def batch_of(role, *columns):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((np.full(len(columns[0]), role), *columns), kinds)], names)
+
+    def meet(batches):
+        held, last = [], None
+        for batch in batches:
+            for bucket, role, *parts in zip(*(batch.column(c).to_pylist() for c in ("bucket", "role", "keys", "texts", "places", "firsts"))):
+                keys, texts, places, firsts = (np.frombuffer(x, k) for x, k in zip(parts, (np.int64, np.int64, np.int32, np.int64)))
+                if role == 1:
+                    yield batch_of(1, keys, firsts, np.zeros(len(keys), np.int32), texts, places)
+                    continue
+                if bucket != last and held:
+                    for found in meet_first(*map(np.concatenate, zip(*held))):
+                        yield batch_of(*found)
+                    held = []
+                last = bucket
+                held.append((keys, texts, places, firsts if role == 2 else np.zeros(len(keys), np.int64)))
+        if held:
+            for found in meet_first(*map(np.concatenate, zip(*held))):
+                yield batch_of(*found)
+
+    found = store(map_batches(rows.repartition("bucket").sortWithinPartitions("bucket"), meet, FIRST), "met")
     # the first text of a part may not be the first of all
-    heads = linked.where("first IS NULL").select(F.col("key").alias("k"), F.col("text").alias("t"), F.col("top").alias("above")).distinct()
-    low = F.col("places").bitwiseAND(0xFFFFFFFF)
-    met = linked.where("first IS NOT NULL").join(heads, (F.col("key") == F.col("k")) & (F.col("first") == F.col("t")), "left").select(
-        "key", F.coalesce("above.text", "first").alias("one"), F.coalesce(F.shiftright("above.places", 32), low).alias("one_at"),
-        F.col("text").alias("other"), F.shiftright("places", 32).alias("other_at"))
-    met = met.unionByName(linked.where("first IS NULL").select(
-        "key", F.col("top.text").alias("one"), F.shiftright("top.places", 32).alias("one_at"), F.col("text").alias("other"), F.shiftright("places", 32).alias("other_at")))
-    met = met.distinct().where("one <> other OR one_at <> other_at")
-    # other places of the first text itself count where a second text has the key
-    met = store(met, "met")
-    alone = met.where("one = other").join(met.where("one <> other").select("key").distinct(), "key", "left_semi")
-    return met.where("one <> other").unionByName(alone).select(
-        F.col("key").alias("grp"), "one", F.col("one_at").cast("int"), "other", F.col("other_at").cast("int"), F.lit(0).alias("ahead"), F.lit(0).alias("behind"))
+    lead = found.where("role = 2").select("key", F.col("other").alias("first"), "one", "one_at").distinct()
+    spread = found.where("role = 1").select("key", F.col("one").alias("first"), "other", "other_at").distinct()
+    spread = spread.join(lead, ["key", "first"]).select("key", "one", "one_at", "other", "other_at").distinct()
+    met = found.where("role = 0").select(*spread.columns).unionByName(spread.where("one <> other OR one_at <> other_at"))
+    return met.select(F.col("key").alias("grp"), "one", "one_at", "other", "other_at", F.lit(0).alias("ahead"), F.lit(0).alias("behind"))
 
 
 def meet_again(rows: DataFrame) -> DataFrame:
@@ -325,6 +426,8 @@ def chain(a: np.ndarray, b: np.ndarray, p: int, q: int) -> np.ndarray:
 def stretches(blocks: np.ndarray, least: int, similarity: float) -> list[tuple[int, int]]:
     """First and last run of the longest stretch that is similar enough, then of what lies before and behind it."""
     i, j, n = blocks.T
+    if max(i[-1] + n[-1] - i[0], j[-1] + n[-1] - j[0]) < least:
+        return []
     total = np.cumsum(n)
     # common >= similarity * all together, as a difference of a value at the end and one at the start
     end = (1 + similarity) * total - similarity * (i + j + 2 * n) + 1e-9
@@ -356,10 +459,11 @@ def align(a: np.ndarray, b: np.ndarray, least: int, similarity: float, seeds: li
             at = next(r for r in reversed(known[q - p]) if r[0] <= p < r[1])
             for x, y in stretches(blocks, least, similarity):
                 (i, j, _), (u, w, m) = blocks[x].tolist(), blocks[y].tolist()
-                parts = [(i, u + m, j, w + m)]
-                if jaccard(a, b, *parts[0]) < similarity:  # places that repeat count once
-                    parts = [(i, i + n, j, j + n) for i, j, n in blocks[x:y + 1].tolist() if n >= least]
-                found.update((*part, jaccard(a, b, *part)) for part in parts)
+                part = (i, u + m, j, w + m)
+                if (common := jaccard(a, b, *part)) >= similarity:
+                    found.add((*part, common))
+                else:  # places that repeat count once
+                    found.update((i, i + n, j, j + n, 1.0) for i, j, n in blocks[x:y + 1].tolist() if n >= least)
         around.append((p - at[0], at[1] - 1 - p))
     # in repetitive texts a passage shows again inside a longer one, shifted
     kept: list[tuple[int, int, int, int, float]] = []
@@ -384,17 +488,23 @@ def passages(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> lis
     return align(a, b, least, similarity, [(p, q) for p, v in enumerate(a.tolist()) for q in where.get(v, ())])[0]
 
 
+@cache
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    factor = 0x9E3779B97F4A7C15  # any odd number
+    return tuple(np.cumprod(np.full(n, f, np.uint64)) for f in (factor, pow(factor, -1, 1 << 64)))
+
+
 def run_keys(s: np.ndarray, place: np.ndarray, ahead: np.ndarray, behind: np.ndarray) -> np.ndarray:
     """Keys of the runs of shingles from ``ahead`` places before some places to ``behind`` places after them."""
-    factor = 0x9E3779B97F4A7C15  # any odd number
-    power, back = (np.cumprod(np.full(len(s), f, np.uint64)) for f in (factor, pow(factor, -1, 1 << 64)))
+    power, back = powers(1 << len(s).bit_length())
+    power = power[:len(s)]
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(s * power)))
     run = (total[place + behind + 1] - total[place - ahead]) * back[place - ahead]
     return mix(mix(run) + (ahead << 32 | behind).astype(np.uint64)).view(np.int64)
 
 
 def verify(met: DataFrame, texts: DataFrame, words: int, similarity: float, longer: bool = True) -> DataFrame:
-    """SEEN for the near-duplicate passages around the places of MET, and if ``longer`` for the groups in which its rows meet again; with the texts from ``texts`` (sig, body).
+    """SEEN for the near-duplicate passages around the places of MET, and if ``longer`` for the groups in which its rows meet again; with the texts from ``texts`` (sig, letters).
 
     Two texts with an exact passage around their places may both differ from the
     first one inside it. They do so at the same place, at the end of the run they
@@ -403,8 +513,8 @@ def verify(met: DataFrame, texts: DataFrame, words: int, similarity: float, long
     least = words - SHINGLE + 1
     # passages of a round are found for themselves
     pairs = met.groupBy("one", "other").agg(F.sort_array(F.collect_list(F.struct("round", "one_at", "other_at", "ahead", "behind"))).alias("seeds"))
-    t1, t2 = texts.selectExpr("sig AS one", "body AS body1"), texts.selectExpr("sig AS other", "body AS body2")
-    rows = pairs.join(t2, "other").join(t1, "one").select("one", "other", "seeds", "body1", "body2")
+    t1, t2 = texts.selectExpr("sig AS one", "letters AS letters1"), texts.selectExpr("sig AS other", "letters AS letters2")
+    rows = pairs.join(t2, "other").join(t1, "one").select("one", "other", "seeds", "letters1", "letters2")
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
     names = [x.split()[0] for x in SEEN.split(", ")]
 
@@ -416,10 +526,10 @@ def verify(met: DataFrame, texts: DataFrame, words: int, similarity: float, long
             turns, one_at, other_at, aheads, behinds = (seeds.field(k).to_numpy() for k in range(5))
             cuts = np.unique(np.concatenate((ends, np.flatnonzero(np.diff(turns)) + 1)))
             at_end = np.searchsorted(cuts, ends).tolist()
-            for k, (one, other, b1, b2) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("one", "other", "body1", "body2")))):
+            for k, (one, other, b1, b2) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("one", "other", "letters1", "letters2")))):
                 if one != last:
-                    last, kept = one, shingles(b1)
-                a, b = kept, kept if one == other else shingles(b2)
+                    last, kept = one, letters_in(b1)
+                a, b = kept, kept if one == other else letters_in(b2)
                 own, around = slice(ends[k], ends[k + 1]), []
                 for lo, hi in zip(cuts[at_end[k]:at_end[k + 1]], cuts[at_end[k] + 1:]):
                     found, part = align(a, b, least, similarity, list(zip(one_at[lo:hi].tolist(), other_at[lo:hi].tolist())))
@@ -431,8 +541,10 @@ def verify(met: DataFrame, texts: DataFrame, words: int, similarity: float, long
                 at, (before, after) = other_at[own].astype(np.int64), np.array(around, np.int64).T
                 # a passage around the place reaches no farther than ``least`` - 1 places
                 left, right = (before + 1 < least) & (before < at), (after + 1 < least) & (at + after + 1 < len(b))
-                runs = np.unique(np.concatenate((np.stack((at, before + 1, behinds[own]))[:, left], np.stack((at, aheads[own], after + 1))[:, right]), axis=1), axis=1)
-                again.append((np.full(runs.shape[1], other), run_keys(b, *runs), *runs))
+                x, y = np.concatenate((before[left] + 1, aheads[own][right])), np.concatenate((behinds[own][left], after[right] + 1))
+                runs = np.unique((np.concatenate((at[left], at[right])) * words + x) * words + y)  # none reaches as far as ``words``
+                runs = runs // words // words, runs // words % words, runs % words
+                again.append((np.full(len(runs[0]), other), run_keys(b, *runs), *runs))
             if got:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*got), kinds)], names)
             if again:
@@ -448,7 +560,7 @@ def near_places(rows: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """NEAR: the rows (grp, text, at, ahead, behind) with the shingles up to a passage before and behind the place, 32 bits of each."""
     reach = words - SHINGLE
     lists = rows.groupBy("text").agg(F.collect_list(F.struct("grp", "at", "ahead", "behind", "round")).alias("places"))
-    both = lists.join(texts.selectExpr("sig AS text", "body"), "text").select("text", "body", "places")
+    both = lists.join(texts.selectExpr("sig AS text", "letters"), "text").select("text", "letters", "places")
 
     def look(batches):
         for batch in batches:
@@ -456,8 +568,8 @@ def near_places(rows: DataFrame, texts: DataFrame, words: int) -> DataFrame:
             grp, at, ahead, behind, turn = (lists.flatten().field(k) for k in range(5))
             size = lists.value_lengths().to_numpy()
             ends, near, right = np.append(0, np.cumsum(size)), [], []
-            for k, body in enumerate(batch.column("body")):
-                s, own = shingles(body.as_py()), at.to_numpy()[ends[k]:ends[k + 1]]
+            for k, letters in enumerate(batch.column("letters")):
+                s, own = letters_in(letters.as_py()), at.to_numpy()[ends[k]:ends[k + 1]]
                 wide = np.pad(s.astype(np.uint32), reach)
                 near += [x.tobytes() for x in np.lib.stride_tricks.sliding_window_view(wide, 2 * reach + 1)[own]]
                 right.append(np.minimum(len(s) - 1 - own, reach))
@@ -532,40 +644,78 @@ def meet_in_groups(near: DataFrame) -> DataFrame:
     return map_batches(near.repartition("grp").sortWithinPartitions("grp", "text", "at"), walk, "one long, one_at int, other long, other_at int, round int")
 
 
-def shared_parts(spans: list[tuple[int, int]], words: int) -> list[tuple[int, int, int]]:
-    """(start, stop, point): the largest sets of spans that have ``words`` places in common, named by a point, for each span."""
+def shared_points(spans: list[tuple[int, int]], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Points that name the largest sets of spans with ``words`` places in common, and for each span the numbers of its first point and of the one behind its last."""
     start = np.array([s for s, _ in spans], np.int64)
     end = np.maximum(start, np.array([e for _, e in spans], np.int64) - words)
     at, is_end = np.concatenate((start, end)), np.repeat([0, 1], len(start))
     by = np.lexsort((is_end, at))
     at, is_end = at[by], is_end[by]
     points = at[1:][(is_end[1:] == 1) & (is_end[:-1] == 0)]
-    low, high = np.searchsorted(points, start), np.searchsorted(points, end, "right")
+    return points, np.searchsorted(points, start), np.searchsorted(points, end, "right")
+
+
+def shared_parts(spans: list[tuple[int, int]], words: int) -> list[tuple[int, int, int]]:
+    """(start, stop, point): the largest sets of spans that have ``words`` places in common, named by a point, for each span."""
+    points, low, high = shared_points(spans, words)
     return [(*span, int(p)) for span, a, b in zip(spans, low, high) for p in points[a:b]]
 
 
+def tree_of(low: int, high: int, size: int) -> tuple[list[int], list[int]]:
+    """In a binary tree over ``size`` points, a power of two: the nodes above the point ``low``, and the fewest that hold ``low`` to ``high`` - 1.
+
+    Of two ranges with a point in common one starts inside the other, so one of
+    its nodes of the first kind is one of the other's of the second kind.
+    """
+    above = [size + low >> k for k in range(size.bit_length())]
+    a, b, inside = size + low, size + high, []
+    while a < b:
+        if a & 1:
+            inside.append(a)
+            a += 1
+        if b & 1:
+            b -= 1
+            inside.append(b)
+        a, b = a >> 1, b >> 1
+    return above, inside
+
+
+def tree_nodes(batches):
+    """A row for each node of ``tree_of`` of the ranges of some kinds of texts."""
+    for batch in batches:
+        got = [(kind, n, place, one, node, held) for kind, n, place, one, *part in zip(*(c.to_pylist() for c in batch.columns))
+               for held, nodes in enumerate(tree_of(*part)) for node in nodes]
+        if got:
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*got), kinds)], ["kind", "n", "place", "one", "node", "inside"])
+
+
 def count_links(links: DataFrame, copies: DataFrame, words: int) -> DataFrame:
     """sig, others: documents of other texts in the passage classes of a text; ``copies`` (sig, copies) has the documents of each.
 
-    A class is a passage of a first text with all texts that have it. Classes with
-    the same texts are one, and texts with the same classes are counted together.
-    The documents of several classes are those of their bitmaps together.
+    A class is a passage of a first text with all texts that have it. The passages
+    of a text in a first one are a range of its classes, so it has one row for a
+    range and a few for the range's nodes in a tree, however many classes it spans.
+    Texts with the same ranges are counted together, by bitmaps.
     """
     def cut(batches):
         for batch in batches:
-            got = [(one, *r) for one, spans in zip(batch.column("one").to_pylist(), batch.column("spans").to_pylist())
-                   for r in shared_parts([(x["one_start"], x["one_stop"]) for x in spans], words)]
+            got = []
+            for one, spans in zip(batch.column("one").to_pylist(), batch.column("spans").to_pylist()):
+                spans = [(x["one_start"], x["one_stop"]) for x in spans]
+                points, low, high = shared_points(spans, words)
+                size = 1 << (len(points) - 1).bit_length()
+                got += [(one, *span, a, b, size) for span, a, b in zip(spans, low.tolist(), high.tolist())]
+                got.append((one, None, None, 0, size, size))  # the first text has them all
             if got:
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*got), kinds)], ["one", "one_start", "one_stop", "point"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*got), [pa.int64()] + 5 * [pa.int32()])], ["one", "one_start", "one_stop", "low", "high", "size"])
 
     spans = links.groupBy("one").agg(F.sort_array(F.collect_set(F.struct("one_start", "one_stop"))).alias("spans"))
-    parts = map_batches(spans, cut, "one long, one_start int, one_stop int, point int")
-    held = links.select("one", "one_start", "one_stop", "other").join(parts, ["one", "one_start", "one_stop"]).select(
-        F.xxhash64("one", "point").alias("part"), F.explode(F.array("one", "other")).alias("sig"))
-    held = store(held.distinct(), "held")
-    alike = held.groupBy("part").agg(F.xxhash64(F.count(F.lit(1)), F.bit_xor(F.xxhash64("sig")), F.bit_xor(F.xxhash64("sig", F.lit(1)))).alias("set"))
-    held = held.join(alike, "part").select("sig", F.col("set").alias("part")).distinct().join(copies, "sig")
+    ranges = store(map_batches(spans, cut, "one long, one_start int, one_stop int, low int, high int, size int"), "ranges")
+    part = F.struct("one", "low", "high", "size").alias("part")
+    held = links.select("one", "one_start", "one_stop", "other").join(ranges, ["one", "one_start", "one_stop"]).select(F.col("other").alias("sig"), part)
+    held = held.unionByName(ranges.where("one_start IS NULL").select(F.col("one").alias("sig"), part))
+    held = store(held.distinct(), "held").join(copies, "sig")
     kinds = held.groupBy("sig", "copies").agg(F.sort_array(F.collect_list("part")).alias("parts")).withColumn("kind", F.xxhash64("parts"))
     kinds = store(kinds, "kinds")
     kind = store(kinds.groupBy("kind").agg(F.first("parts").alias("parts"), F.sum("copies").alias("n")), "kind")
@@ -575,12 +725,13 @@ def count_links(links: DataFrame, copies: DataFrame, words: int) -> DataFrame:
     block = block.select("block", F.coalesce(F.sum("m").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     place = F.col("before") + F.col("place").bitwiseAND((1 << 33) - 1) + 1
     kind = kind.withColumn("block", F.shiftright("place", 33)).join(F.broadcast(block), "block").select("kind", "n", "parts", place.alias("place"))
-    each = store(kind.select("kind", "n", "place", F.explode("parts").alias("part")), "classes")
+    each = store(kind.select("kind", "n", "place", F.explode("parts").alias("part")), "classes").select("kind", "n", "place", "part.*")
+    each = store(map_batches(each, tree_nodes, "kind long, n long, place long, one long, node int, inside int"), "nodes")
     # a bitmap for each binary digit of the number of documents
     digits = F.filter(F.sequence(F.lit(0), F.lit(62)), lambda k: F.expr("n").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), k)) != 0)
-    bits = each.select("part", F.bitmap_bucket_number("place").alias("bucket"), F.bitmap_bit_position("place").alias("bit"), F.explode(digits).alias("digit"))
-    bits = bits.groupBy("part", "bucket", "digit").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    found = each.select("kind", "part").join(bits, "part").groupBy("kind", "bucket", "digit").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("m"))
+    bits = each.select("one", "node", (1 - F.col("inside")).alias("inside"), F.bitmap_bucket_number("place").alias("bucket"), F.bitmap_bit_position("place").alias("bit"), F.explode(digits).alias("digit"))
+    bits = bits.groupBy("one", "node", "inside", "bucket", "digit").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    found = each.select("kind", "one", "node", "inside").join(bits, ["one", "node", "inside"]).groupBy("kind", "bucket", "digit").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("m"))
     found = found.groupBy("kind").agg(F.sum(F.call_function("shiftleft", F.col("m"), F.col("digit"))).alias("all"))
     return kinds.join(found, "kind").select("sig", (F.col("all") - F.col("copies")).alias("others"))
 
@@ -592,15 +743,22 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     documents in the same passage classes, copies included), spans (words from, to): only documents that repeat
     something. The second is LINK, in words, between text hashes.
     """
+    with free_shuffles(docs.sparkSession):
+        return find_repeated(docs, id_col, text_col, words, similarity, hashes)
+
+
+def find_repeated(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: float, hashes: int) -> tuple[DataFrame, DataFrame]:
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("sig"), text.alias("body"))
-    met = first_meetings(candidate_rows(rows.select("sig", "body"), words, hashes))
+    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = first_meetings(candidate_rows(rows.select("sig", "body"), words, hashes, buckets))
     link = [x.split()[0] for x in LINK.split(", ")]
 
     owners = store(rows.select("doc", "sig", F.octet_length("body").alias("size")).distinct(), "owners")
     one_of = owners.groupBy("sig").agg(F.min(F.struct(F.col("doc").isNull(), "doc")).alias("m")).select("sig", F.col("m.doc").alias("doc"))
     asked = met.select(F.explode(F.array("one", "other")).alias("sig")).distinct().join(one_of, "sig").select(F.col("sig").alias("s"), F.col("doc").alias("d"))
-    texts = store(rows.join(asked, rows.doc.eqNullSafe(asked.d) & (rows.sig == asked.s)).select("sig", "body").dropDuplicates(["sig"]), "texts")
+    texts = rows.join(asked, rows.doc.eqNullSafe(asked.d) & (rows.sig == asked.s)).select("sig", "body").dropDuplicates(["sig"])
+    texts = store(map_batches(texts, letters_of, "sig long, letters binary"), "texts")
     links, small, turn = None, None, 0
     while True:
         seen = store(verify(met.withColumn("round", F.lit(turn)), texts, words, similarity), "passages")
@@ -642,6 +800,19 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     return owners.join(named, "sig").select("doc", "sig", "class", "n_links", "spans"), links
 
 
+def letters_of(batches):
+    """48 bits of the shingles of each text, which several steps compare."""
+    for batch in batches:
+        letters = [shingles(t.as_py()).view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for t in batch.column("body")]
+        yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(letters, pa.binary())], ["sig", "letters"])
+
+
+def letters_in(letters: bytes) -> np.ndarray:
+    wide = np.zeros((len(letters) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(letters, np.uint8).reshape(-1, 6)
+    return wide.view(np.uint64)[:, 0]
+
+
 def count_words(batches):
     for batch in batches:
         n = [len(words_of(t.as_py())) for t in batch.column("body")]

@@ -267,3 +267,48 @@ def test_many_shared_classes_make_no_pairs(spark, monkeypatch):
     found, _ = C.repeated(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
     assert {r.doc: r.n_links for r in found.collect()} == {i: sum(bool(set(own) & set(o)) for o in held) - 1 for i, own in enumerate(held)}
     assert all(n <= 2 * sizes["held"] for label, n in sizes.items() if label in ("kinds", "kind", "numbered", "classes", "two"))
+
+
+def test_stretches_that_repeat_give_few_rows():
+    """Of places one period apart, those inside are left out; all runs that two texts share there are still met from the others."""
+    rng = random.Random(41)
+    for period in (2, 3, 7):
+        line = vocabulary(rng, period, "q")
+        text = " ".join(vocabulary(rng, 60, "a") + 300 * line + vocabulary(rng, 60, "b"))
+        keys, _ = C.window_keys(text.encode(), 50, 6)
+        assert len(keys) < 600
+
+
+def test_runs_inside_stretches_that_repeat(spark):
+    rng = random.Random(42)
+    line = vocabulary(rng, 3, "q")
+    long, short = (200 * line)[1:], (20 * line)[2:]
+    docs = [vocabulary(rng, 40, "a") + long + vocabulary(rng, 40, "b"), vocabulary(rng, 40, "c") + short + vocabulary(rng, 40, "d"),
+            vocabulary(rng, 40, "e") + short[1:54] + vocabulary(rng, 40, "f")]
+    tail = vocabulary(rng, 30, "t")
+    docs += [vocabulary(rng, 40, f"g{k}x") + 4 * k * line + tail + vocabulary(rng, 40, f"h{k}x") for k in (2, 5, 30)]
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    found, _ = C.repeated(spark.createDataFrame(docs, "doc_id long, text string").repartition(2))
+    got = {r.doc: {k for s in r.spans for k in range(s.start, s.stop)} for r in found.collect()}
+    want = repeats(docs, 50)
+    assert set(want) <= set(got)
+
+
+def test_hot_keys_give_the_same_rows(spark, monkeypatch):
+    """Keys whose rows are spread by their texts."""
+    docs, _, _ = texts(random.Random(43))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows = lambda: sorted((r.doc, r["class"], r.n_links, [tuple(s) for s in r.spans]) for r in C.repeated(df)[0].collect())
+    by_key = rows()
+    monkeypatch.setattr(C, "HOT_ROWS", 1)
+    assert rows() == by_key
+
+
+def test_ranges_that_meet_share_a_node():
+    for size in (1, 2, 8):
+        ranges = [(a, b) for a in range(size) for b in range(a + 1, size + 1)]
+        trees = {r: C.tree_of(*r, size) for r in ranges}
+        for (a, b), (up, held) in trees.items():
+            for (c, d), (above, inside) in trees.items():
+                meet = bool(set(up) & set(inside) or set(above) & set(held))
+                assert meet == (a < d and c < b)
